@@ -1,0 +1 @@
+"""Empty on purpose: the work covered here is a daily batch, there is no stream to rebuild."""
