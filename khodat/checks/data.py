@@ -51,11 +51,11 @@ def listing_texts(spark: SparkSession, sf: str) -> DataFrame:
     lineitem, part, supplier, nation, region = (
         table(spark, sf, n) for n in ("lineitem", "part", "supplier", "nation", "region")
     )
-    place = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).join(
-        region, F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    joined = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).join(
-        place, F.col("l_suppkey") == F.col("s_suppkey")
+    joined = (
+        lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     )
     return joined.selectExpr("l_orderkey", "l_linenumber", *[f"{e} as {n}" for n, e in LISTING_TEXTS.items()])
 

@@ -19,6 +19,9 @@ SETTINGS = {
     # A page can be megabytes: keep the batches handed to Python workers small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.parquet.compression.codec": "snappy",
+    # The JVM never compiles a method above 8000 bytecodes. Wide projections of parsers pass that as one
+    # whole-stage method; above the limit Spark generates several smaller methods per operator instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

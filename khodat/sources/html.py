@@ -1,15 +1,16 @@
 """Fields and links of listing pages.
 
-Malformed markup rules out regular expressions, so pages are tokenised by the standard library's parser in
-Arrow batches. Only the page text goes to the Python workers; the other columns stay in the JVM.
+Malformed markup rules out extracting by pattern in the JVM, so pages are tokenised in Arrow batches. Only the page text goes to the Python workers; the other columns stay in the JVM.
 """
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 from collections.abc import Sequence
 from dataclasses import dataclass
+from html import unescape
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -73,106 +74,190 @@ def listing_fields(type_itemprop: str = APARTMENT_TYPE) -> tuple[Field, ...]:
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _HIDDEN = frozenset(("script", "style", "template"))
 
+_NAME = r"""[^\s"'<>/=]++"""
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'=<>`]++)"""
+_ATTRIBUTES = rf"((?:\s++{_NAME}(?:\s*+=\s*+{_VALUE})?+)*+)"
+_ATTRIBUTE = re.compile(rf"\s++({_NAME})(?:\s*+=\s*+({_VALUE}))?+")
+# Text up to the next tag, then one of: end tag, script or style with its content, start tag, comment,
+# doctype, end of the page.
+_TOKEN = re.compile(
+    rf"([^<]*+)(?:</([a-z][a-z0-9:-]*+)\s*+>|<(script|style){_ATTRIBUTES}\s*+>.*?</\3\s*+>"
+    rf"|<(?!script|style)([a-z][a-z0-9:-]*+){_ATTRIBUTES}\s*+(/?)>|<!--(?!>|->)(?:[^-]|-(?!-))*+-->"
+    r"|<!doctype[^>]*+>|\Z)",
+    re.IGNORECASE | re.DOTALL,
+)
+
+
+def _attributes(attrs: str | list) -> dict[str, str | None]:
+    if isinstance(attrs, list):
+        return dict(attrs)
+    found = {}
+    for name, value in _ATTRIBUTE.findall(attrs):
+        if value[:1] in ('"', "'"):
+            value = value[1:-1]
+        found[name.lower()] = unescape(value)
+    return found
+
 
 class _AllFound(Exception):
     pass
 
 
-class _FieldReader(HTMLParser):
+class _Fields:
     """Collects the wanted texts; an end tag closes everything opened since its start tag."""
 
     def __init__(self, fields: Sequence[Field]):
-        super().__init__(convert_charrefs=True)
-        self.values: list[str | None] = [None] * len(fields)
-        self._wanted: dict[str, list[int]] = {}
+        self.result: list[str | None] = [None] * len(fields)
         self._fields = fields
+        self._wanted: dict[str, list[int]] = {}
         for i, field in enumerate(fields):
             self._wanted.setdefault(field.tag, []).append(i)
         self._awaiting_inner: dict[int, str] = {}
+        # Open elements as (tag, fields reading their text from it, fields looking for an inner tag in it).
         self._open: list[tuple[str, list[int], list[int]]] = []
+        self._n_open: dict[str, int] = {}
         self._texts: dict[int, list[str]] = {}
         self._hidden = 0
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
+    def start(self, tag: str, attrs: str | list, closed: bool = False) -> None:
+        reading, waiting = (), ()
+        if self._awaiting_inner or tag in self._wanted:
+            reading, waiting = self._look(tag, attrs)
+        if closed or tag in _VOID:
+            if reading or waiting:
+                self._finish(reading, waiting)
+            return
+        if tag in _HIDDEN:
+            self._hidden += 1
+        self._open.append((tag, reading, waiting))
+        self._n_open[tag] = self._n_open.get(tag, 0) + 1
+
+    def _look(self, tag: str, attrs: str | list) -> tuple[list[int], list[int]]:
         reading, waiting = [], []
-        for i, inner in list(self._awaiting_inner.items()):
-            if inner == tag:
-                del self._awaiting_inner[i]
-                reading.append(i)
+        for i in [i for i, inner in self._awaiting_inner.items() if inner == tag]:
+            del self._awaiting_inner[i]
+            reading.append(i)
         if tag in self._wanted:
-            lookup = dict(attrs)
-            found = [i for i in self._wanted[tag] if self._fields[i].matches(tag, lookup)]
-            for i in found:
-                inner = self._fields[i].inner
-                if inner is None:
+            lookup = _attributes(attrs)
+            for i in [i for i in self._wanted[tag] if self._fields[i].matches(tag, lookup)]:
+                self._wanted[tag].remove(i)
+                if self._fields[i].inner is None:
                     reading.append(i)
                 else:
-                    self._awaiting_inner[i] = inner
+                    self._awaiting_inner[i] = self._fields[i].inner
                     waiting.append(i)
-            if found:
-                self._wanted[tag] = [i for i in self._wanted[tag] if i not in found]
-                if not self._wanted[tag]:
-                    del self._wanted[tag]
+            if not self._wanted[tag]:
+                del self._wanted[tag]
         for i in reading:
             self._texts[i] = []
-        if tag in _VOID:
-            self._finish(reading, waiting)
-            return
-        self._hidden += tag in _HIDDEN
-        self._open.append((tag, reading, waiting))
+        return reading, waiting
 
-    def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)
-        if tag not in _VOID:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag: str) -> None:
-        if not any(name == tag for name, _, _ in self._open):
+    def end(self, tag: str) -> None:
+        if not self._n_open.get(tag):
             return
-        while True:
+        name = None
+        while name != tag:
             name, reading, waiting = self._open.pop()
-            self._hidden -= name in _HIDDEN
-            self._finish(reading, waiting)
-            if name == tag:
-                return
+            self._n_open[name] -= 1
+            if name in _HIDDEN:
+                self._hidden -= 1
+            if reading or waiting:
+                self._finish(reading, waiting)
 
-    def handle_data(self, data: str) -> None:
+    def text(self, data: str) -> None:
         if self._texts and not self._hidden:
             for parts in self._texts.values():
                 parts.append(data)
 
-    def _finish(self, reading: list[int], waiting: list[int]) -> None:
+    def end_of_page(self) -> None:
+        while self._open:
+            self.end(self._open[-1][0])
+
+    def _finish(self, reading: Sequence[int], waiting: Sequence[int]) -> None:
         for i in reading:
-            self.values[i] = unicodedata.normalize("NFC", "".join(self._texts.pop(i)))
+            self.result[i] = unicodedata.normalize("NFC", "".join(self._texts.pop(i)))
         for i in waiting:
             self._awaiting_inner.pop(i, None)
-        if (reading or waiting) and not (self._wanted or self._texts or self._awaiting_inner):
+        if not (self._wanted or self._texts or self._awaiting_inner):
             raise _AllFound
 
-    def read(self, page: str) -> list[str | None]:
-        try:
-            self.feed(page)
-            self.close()
-            while self._open:
-                _, reading, waiting = self._open.pop()
-                self._finish(reading, waiting)
-        except _AllFound:
-            pass
-        return self.values
 
+class _Links:
+    """Collects the hrefs of links."""
 
-class _LinkReader(HTMLParser):
     def __init__(self, itemprop: str | None):
+        self.result: list[str] = []
+        self._itemprop = itemprop
+
+    def start(self, tag: str, attrs: str | list, closed: bool = False) -> None:
+        if tag == "a":
+            lookup = _attributes(attrs)
+            href = lookup.get("href")
+            if href and not href.startswith("https") and self._itemprop in (None, lookup.get("itemprop")):
+                self.result.append(href)
+
+    def end(self, tag: str) -> None:
+        pass
+
+    def text(self, data: str) -> None:
+        pass
+
+    def end_of_page(self) -> None:
+        pass
+
+
+class _AnyPage(HTMLParser):
+    """Feeds a reader from a page of whatever shape."""
+
+    def __init__(self, reader: _Fields | _Links):
         super().__init__(convert_charrefs=True)
-        self.itemprop, self.links = itemprop, []
+        self._reader = reader
+        self.handle_endtag = reader.end
+        self.handle_data = reader.text
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag == "a":
-            lookup = dict(attrs)
-            if self.itemprop is None or lookup.get("itemprop") == self.itemprop:
-                href = lookup.get("href")
-                if href and not href.startswith("https"):
-                    self.links.append(href)
+        self._reader.start(tag, attrs)
+
+    def handle_startendtag(self, tag: str, attrs: list) -> None:
+        self._reader.start(tag, attrs, closed=True)
+
+
+def _read_regular(page: str, reader: _Fields | _Links) -> bool:
+    """Feeds a reader from a page whose tags are all well formed; False at the first one that is not."""
+    position, start, end, text = 0, reader.start, reader.end, reader.text
+    for token in _TOKEN.finditer(page):
+        if token.start() != position:
+            return False
+        position = token.end()
+        data, closing, raw, raw_attrs, opening, attrs, slash = token.groups()
+        if data:
+            text(unescape(data) if "&" in data else data)
+        if closing:
+            end(closing.lower())
+        elif opening:
+            start(opening.lower(), attrs, bool(slash))
+        elif raw:
+            start(raw.lower(), raw_attrs, True)
+    return position == len(page)
+
+
+def read_page(page: str, make_reader) -> list:
+    """What the reader finds in a page.
+
+    The quick tokeniser and the standard parser agree on well-formed tags (not on nesting, which neither cares
+    about); any other page is read again from the start by the standard parser, some ten times slower.
+    """
+    try:
+        reader = make_reader()
+        if not _read_regular(page, reader):
+            reader = make_reader()
+            parser = _AnyPage(reader)
+            parser.feed(page)
+            parser.close()
+        reader.end_of_page()
+    except _AllFound:
+        pass
+    return reader.result
 
 
 def field_struct(html: Column | str, fields: Sequence[Field]) -> Column:
@@ -182,7 +267,7 @@ def field_struct(html: Column | str, fields: Sequence[Field]) -> Column:
 
     @F.pandas_udf(schema)
     def read(pages: pd.Series) -> pd.DataFrame:
-        rows = [[None] * len(names) if p is None else _FieldReader(fields).read(p) for p in pages]
+        rows = [[None] * len(names) if p is None else read_page(p, lambda: _Fields(fields)) for p in pages]
         return pd.DataFrame(rows, columns=names, dtype=object)
 
     return read(html)
@@ -199,14 +284,7 @@ def extract_links(pages: DataFrame, itemprop: str | None = "item", html: str = "
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def links(batch: pd.Series) -> pd.Series:
-        found = []
-        for page in batch:
-            reader = _LinkReader(itemprop)
-            if page is not None:
-                reader.feed(page)
-                reader.close()
-            found.append(reader.links)
-        return pd.Series(found, dtype=object)
+        return pd.Series([[] if p is None else read_page(p, lambda: _Links(itemprop)) for p in batch], dtype=object)
 
     others = [c for c in pages.columns if c != html]
     return pages.select(*others, F.posexplode(links(html)).alias("pos", "href"))
