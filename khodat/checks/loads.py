@@ -68,8 +68,7 @@ def warehouse_load(spark, sf):
 @query("listing_ingest", data.typed_sql(data.PAGE_TEXTS_SQL, floor="Số tầng", first="page_id, url, "))
 def listing_ingest(spark, sf):
     pages = data.listing_pages(spark, sf)
-    rows = ingest.listing_ingest(pages, data.index_pages(spark, sf))
-    return rows.select("page_id", "url", *[c for c in rows.columns if c not in ("page_id", "url")])
+    return ingest.listing_ingest(pages, data.index_pages(spark, sf))
 
 
 @query("end_to_end", data.warehouse_sql(f"select distinct * from ({RAW_SQL}) r"))

@@ -23,5 +23,6 @@ def write_parquet(df: DataFrame, path: str, overwrite: bool = False, by: Sequenc
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Header CSV that read_csv reads back: quotes are doubled, NULL is an empty field, '' is quoted."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Header CSV that read_csv reads back: quotes are doubled, blanks kept, NULL is an empty field."""
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)

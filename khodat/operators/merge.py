@@ -32,13 +32,17 @@ def check_single_match(target: DataFrame, source: DataFrame, keys: Sequence[str]
         raise DuplicateKeyError(f"source holds {clash['count']} rows for one target key {clash.asDict()}")
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], dedup: bool = True) -> DataFrame:
+def merge_upsert(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], dedup: bool = True, small_source: bool = False
+) -> DataFrame:
     """Target after: matched rows take every source value, unmatched source rows are added.
 
     A NULL key matches nothing. Several target rows with one key are all updated.
 
-    Both joins keep the side that may hold a hot key on the left, where AQE splits oversized partitions, and
-    a source far smaller than the target is broadcast by its measured size, so the target is not shuffled.
+    A key that fills much of the target does not end in one task: the update keeps the target on the left of its
+    join, where AQE splits oversized partitions, and the insert sees each target key once per map task.
+    ``small_source`` says that the source has been found small enough to broadcast; then neither needs a shuffle
+    of the target.
     """
     keys = list(keys)
     if not keys:
@@ -49,10 +53,14 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], dedu
         rows = rows.distinct()
     check_single_match(target, rows, keys)
 
+    if small_source:
+        rows = F.broadcast(rows)
     found = rows.withColumn("_found", F.lit(True)).alias("s")
     updated = target.alias("t").join(found, _same_keys(keys, "t", "s"), "left_outer").select(
         *[F.when(F.col("s._found"), F.col(f"s.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c) for c in columns]
     )
-    present = target.select(*keys).join(rows.select(*keys), keys, "left_semi").distinct()
-    added = rows.join(present, keys, "left_anti").select(*columns)
+    present = target.select(*keys)
+    if small_source:
+        present = present.join(rows.select(*keys), keys, "left_semi")
+    added = rows.join(present.distinct(), keys, "left_anti").select(*columns)
     return updated.unionByName(added)

@@ -12,7 +12,8 @@ from khodat.functions.dates import day_partition
 from khodat.operators.merge import merge_upsert
 from khodat.operators.rows import sized_for_write
 from khodat.schema import Partition, TableSpec
-from khodat.sources.files import as_strings
+from khodat.session import scratch_path
+from khodat.sources.files import as_strings, list_files
 
 WRITE_TRUNCATE, WRITE_APPEND, WRITE_EMPTY, WRITE_MERGE = (
     "WRITE_TRUNCATE", "WRITE_APPEND", "WRITE_EMPTY", "WRITE_MERGE",
@@ -149,10 +150,26 @@ def replace_content(df: DataFrame, table: str) -> None:
     spark.sql(f"ALTER TABLE {following} RENAME TO {table}")
 
 
+# A source up to this many bytes of Parquet is broadcast in a merge.
+SMALL_SOURCE_BYTES = 16 * 1024 * 1024
+
+
 def merge_into(df: DataFrame, table: str, keys: Sequence[str], distinct: bool = True) -> None:
-    """Updates the rows whose keys match and adds the others. Plain Parquet tables have no MERGE statement."""
-    target = df.sparkSession.table(table)
-    replace_content(merge_upsert(target, _in_table_order(df, table), keys, dedup=distinct), table)
+    """Updates the rows whose keys match and adds the others. Plain Parquet tables have no MERGE statement.
+
+    The source is written to the shared folder first: it is read several times, and its size is known then. A
+    small one is broadcast, so the target is not shuffled; beyond that both sides are shuffled by key.
+    """
+    spark = df.sparkSession
+    rows = _in_table_order(df, table)
+    path = scratch_path(spark, "merge_source")
+    (rows.distinct() if distinct else rows).write.parquet(path)
+    source = spark.read.schema(rows.schema).parquet(path)
+    n_bytes = list_files(spark, path).agg(F.sum("size")).first()[0] or 0
+    merged = merge_upsert(
+        spark.table(table), source, keys, dedup=False, small_source=n_bytes <= SMALL_SOURCE_BYTES
+    )
+    replace_content(merged, table)
 
 
 def retype_swap(spark: SparkSession, table: str, types: dict[str, str]) -> None:

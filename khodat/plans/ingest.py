@@ -38,11 +38,13 @@ def listing_links(index_pages: DataFrame, url: str = "url") -> DataFrame:
 def listing_ingest(
     pages: DataFrame, index_pages: DataFrame | None = None, type_itemprop: str = APARTMENT_TYPE
 ) -> DataFrame:
-    """Listing rows of the crawled pages; with index pages, of the pages those link to only, once per link.
+    """Listing rows of the crawled pages; with index pages, one row per link those hold.
 
-    ``pages`` holds url and html.
+    ``pages`` holds url and html. Each page is read once, where it lies: only the short rows are joined with the
+    links, never the page text.
     """
-    if index_pages is not None:
-        links = listing_links(index_pages).select(F.col("link").alias("url"))
-        pages = links.join(pages, "url")
-    return normalize_listing(extract_fields(pages, listing_fields(type_itemprop)))
+    rows = normalize_listing(extract_fields(pages, listing_fields(type_itemprop)))
+    if index_pages is None:
+        return rows
+    links = listing_links(index_pages).select(F.col("link").alias("url"))
+    return links.join(rows, "url").select(*rows.columns)

@@ -35,6 +35,9 @@ def build_session(app_name: str, master: str | None = None, **extra: str) -> Spa
     return builder.getOrCreate()
 
 
+_local_roots: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
@@ -44,11 +47,12 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", root)
-        return root
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    application = spark.conf.get("spark.app.id")
+    if application not in _local_roots:
+        _local_roots[application] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _local_roots[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

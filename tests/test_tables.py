@@ -1,0 +1,265 @@
+"""Write modes, merge, retype, scripts, maintenance."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from khodat.operators import columns as C
+from khodat.operators import maintenance, rows, tables
+from khodat.operators.merge import DuplicateKeyError, merge_upsert
+from khodat.operators.script import run_sql_script, statements
+from khodat.schema import Partition, TableSpec, struct
+
+KV = "k bigint, v string"
+SPEC = TableSpec("t", struct(k="bigint", v="string"), key_columns=("k",))
+
+
+def frame(spark, *values):
+    return spark.createDataFrame(list(values), KV)
+
+
+def content(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_merge_updates_and_adds(spark):
+    target = frame(spark, (1, "a"), (2, "b"), (2, "c"), (None, "n"))
+    source = frame(spark, (2, "B"), (2, "B"), (3, "d"), (None, "m"))
+    expected = [(1, "a"), (2, "B"), (2, "B"), (3, "d"), (None, "m"), (None, "n")]
+    for small in (False, True):
+        merged = merge_upsert(target, source, ["k"], small_source=small)
+        assert content(merged) == sorted(expected, key=str)
+    again = merge_upsert(merged, frame(spark, (2, "B"), (3, "d")), ["k"])
+    assert content(again) == content(merged)
+
+
+def test_merge_can_set_null_and_take_columns_in_any_order(spark):
+    source = spark.createDataFrame([(None, 1)], "v string, k bigint")
+    assert content(merge_upsert(frame(spark, (1, "a")), source, ["k"])) == [(1, None)]
+
+
+def test_merge_raises_only_if_a_target_row_has_two_sources(spark):
+    target, twice = frame(spark, (1, "a")), frame(spark, (2, "x"), (2, "y"))
+    assert content(merge_upsert(target, twice, ["k"])) == [(1, "a"), (2, "x"), (2, "y")]
+    with pytest.raises(DuplicateKeyError):
+        merge_upsert(target, frame(spark, (1, "x"), (1, "y")), ["k"])
+    with pytest.raises(ValueError, match="key columns"):
+        merge_upsert(target, twice, [])
+
+
+def test_merge_on_two_keys(spark):
+    schema = "a int, b int, v string"
+    target = spark.createDataFrame([(1, 1, "x"), (1, 2, "y"), (1, None, "z")], schema)
+    source = spark.createDataFrame([(1, 2, "Y"), (2, 1, "n"), (1, None, "w")], schema)
+    assert content(merge_upsert(target, source, ["a", "b"])) == sorted(
+        [(1, 1, "x"), (1, 2, "Y"), (1, None, "z"), (2, 1, "n"), (1, None, "w")], key=str
+    )
+
+
+def test_merge_splits_a_hot_target_key(spark):
+    """A third of the target under one key: its join partition is cut up, and no row is lost."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k")
+        target = spark.range(0, 60000, 1, 12).select(key, F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        source = spark.range(0, 70000, 7, 2).select(F.col("id").alias("k"), F.lit("new").alias("v"))
+        merged = merge_upsert(target, source, ["k"])
+        assert merged.count() == 60000 + 10000 - source.join(target, "k", "left_semi").count()
+        assert merged.where("k = 7 and v = 'new'").count() == target.where("k = 7").count()
+        merged.collect()
+        assert "SortMergeJoin(skew=true)" in merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def test_merge_into_keeps_partitions_and_properties(spark, database):
+    name = f"{database}.t"
+    spec = TableSpec("t", SPEC.schema, (Partition("v"),), properties={"team": "me"})
+    tables.create_table(spark, name, spec)
+    tables.insert_append(frame(spark, (1, "a"), (2, "b")), name)
+    tables.merge_into(frame(spark, (2, "c"), (3, "d")), name, ["k"])
+    assert content(spark.table(name)) == [(1, "a"), (2, "c"), (3, "d")]
+    assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["v"]
+    properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    assert properties["team"] == "me" and properties["write.target-file-size-bytes"] == "134217728"
+    assert not spark.catalog.tableExists(f"{name}__next")
+
+
+def test_write_modes(spark, database):
+    name = f"{database}.t"
+    with pytest.raises(ValueError, match="does not exist"):
+        tables.write_table(frame(spark, (1, "a")), name, SPEC, create=tables.CREATE_NEVER)
+    tables.write_table(frame(spark, (1, "a"), (1, "a")), name, SPEC, tables.WRITE_EMPTY)
+    assert content(spark.table(name)) == [(1, "a")]
+    with pytest.raises(ValueError, match="already has rows"):
+        tables.write_table(frame(spark, (1, "a")), name, SPEC, tables.WRITE_EMPTY)
+    tables.write_table(frame(spark, (1, "a")), name, SPEC, tables.WRITE_APPEND)
+    assert content(spark.table(name)) == [(1, "a"), (1, "a")]
+    tables.write_table(frame(spark, (1, "b"), (2, "c")), name, SPEC, tables.WRITE_MERGE)
+    assert content(spark.table(name)) == [(1, "b"), (1, "b"), (2, "c")]
+    tables.write_table(frame(spark, (9, "z"), (9, "z")), name, SPEC, distinct=False)
+    assert content(spark.table(name)) == [(9, "z"), (9, "z")]
+    with pytest.raises(ValueError, match="key columns"):
+        tables.write_table(frame(spark, (1, "b")), name, TableSpec("t", SPEC.schema), tables.WRITE_MERGE)
+    with pytest.raises(ValueError, match="unknown"):
+        tables.write_table(frame(spark, (1, "b")), name, SPEC, "WRITE_ODD")
+
+
+def test_create_or_replace(spark, database):
+    name = f"{database}.t"
+    with pytest.raises(ValueError, match="sort"):
+        tables.create_or_replace_table_as(frame(spark, (1, "a")), name, [Partition("v")])
+    tables.create_or_replace_table_as(frame(spark, (1, "a"), (1, "a")), name)
+    assert content(spark.table(name)) == [(1, "a")]
+    days = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 5)), (2, dt.datetime(2024, 1, 2))], "k int, t timestamp")
+    tables.create_or_replace_table_as(days, name, [Partition("t", "DAY")], ["k"])
+    assert {r.t_day for r in spark.table(name).collect()} == {dt.date(2024, 1, 1), dt.date(2024, 1, 2)}
+
+
+def test_sorted_write_is_sorted_within_each_file(spark, database):
+    name = f"{database}.t"
+    many = spark.range(0, 5000, 1, 8).select((F.col("id") * 7919 % 5000).alias("k"), (F.col("id") % 2).alias("p"))
+    tables.create_or_replace_table_as(many, name, [Partition("p", "INTEGER")], ["k"], distinct=False)
+    files = {}
+    position = [F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i")]
+    for r in spark.table(name).select("k", *position).collect():
+        files.setdefault(r.f, []).append((r.i, r.k))
+    assert sum(map(len, files.values())) == 5000
+    for found in files.values():
+        keys = [k for _, k in sorted(found)]
+        assert keys == sorted(keys)
+
+
+def test_num_partitions_is_kept(spark):
+    assert rows.sized_for_write(spark.range(100), 3).rdd.getNumPartitions() == 3
+
+
+def test_retype(spark, database):
+    name = f"{database}.t"
+    frame(spark, (1, "2024-12-09 01:02:03"), (2, "-1"), (3, None)).write.saveAsTable(name)
+    tables.retype_swap(spark, name, {"v": "timestamp"})
+    assert spark.table(name).dtypes == [("k", "bigint"), ("v", "timestamp")]
+    assert content(spark.table(name)) == sorted([(1, dt.datetime(2024, 12, 9, 1, 2, 3)), (2, None), (3, None)], key=str)
+
+
+def test_create_table_all_string_with_options_and_location(spark, database, scratch):
+    name, path = f"{database}.t", scratch("t")
+    tables.create_table(spark, name, SPEC, "csv", path, {"sep": "|", "header": "true"}, all_string=True)
+    tables.insert_append(spark.createDataFrame([("1", "it's")], "k string, v string"), name)
+    assert spark.table(name).dtypes == [("k", "string"), ("v", "string")]
+    assert spark.read.text(path).where("value like '1|%'").count() == 1
+
+
+def test_statements():
+    script = "select 1;\n-- a comment;\n\n-- note\nselect ';' as x;  \n  select 3;"
+    assert statements(script) == ["select 1", "-- note\nselect ';' as x", "select 3"]
+    assert statements("") == [] and statements(" ;\n") == []
+
+
+def test_script(spark, database):
+    out = run_sql_script(spark, "CREATE TABLE IDENTIFIER(:t) (a INT) USING parquet;\n"
+                                "INSERT INTO IDENTIFIER(:t) VALUES (1), (2);\nSELECT sum(a) AS s FROM IDENTIFIER(:t)",
+                         {"t": f"{database}.x"})
+    assert out.first().s == 3
+
+
+def test_extract(spark):
+    source = spark.createDataFrame([(1, "a"), (2, "b")], "id int, ServerKey string")
+    out = C.extract(source, "20241209", ["id", "ServerKey"], where="id = 2", server_key=F.lit("S"))
+    assert out.columns == ["ETL_DATE", "BUSINESS_DATE", "id", "ServerKey"]
+    assert out.dtypes[0][1] == "timestamp" and tuple(out.first())[1:] == ("20241209", 2, "S")
+
+
+@pytest.mark.parametrize("operator, days", [
+    ("=", [2]), ("!=", [1, 3]), ("<>", [1, 3]), ("<", [1]), ("<=", [1, 2]), (">", [3]), (">=", [2, 3]),
+])
+def test_date_filter(spark, operator, days):
+    stamps = spark.sql("select explode(array(1, 2, 3)) as d").selectExpr(
+        "d", "make_timestamp_ntz(2024, 1, d, 23, 59, 59.9) as t", "make_date(2024, 1, d) as day"
+    )
+    for column in ("t", "day"):
+        found = stamps.where(C.date_filter(column, operator, "2024-01-02"))
+        assert sorted(r.d for r in found.collect()) == days
+    with pytest.raises(ValueError):
+        C.date_filter("t", "~", "2024-01-02")
+
+
+def test_casts(spark):
+    texts = spark.createDataFrame([("1", "x", None)], "a string, b string, c string")
+    schema = struct(a="bigint", c="bigint")
+    assert tuple(C.apply_schema(texts, schema).first()) == (1, None)
+    with pytest.raises(Exception, match="cannot cast to bigint: x"):
+        C.apply_schema(texts, struct(b="bigint")).collect()
+    assert C.apply_schema(texts, struct(b="bigint"), strict=False).first().b is None
+
+
+def test_type_maps(spark):
+    typed = spark.sql("select 1 as i, float(1.5) as f, cast(1 as decimal(38, 6)) as d, date'2024-01-01' as day, 'x' as s")
+    assert [t for _, t in C.relax_types(typed).dtypes] == ["int", "float", "string", "string", "string"]
+    assert [t for _, t in C.widen_types(typed).dtypes] == ["bigint", "double", "decimal(38,6)", "date", "string"]
+    assert C.drop_string_columns(typed).columns == ["i", "f", "d", "day"]
+
+
+def test_select_columns(spark):
+    df = spark.sql("select 1 as `a.b`, 2 as c")
+    assert C.select_columns(df, ["a.b", "`c`", "c + 1 AS e"]).columns == ["a.b", "c", "e"]
+
+
+def test_union(spark):
+    both = rows.union_by_name([frame(spark, (1, "a")), spark.createDataFrame([("b", 1.0)], "v string, w double")])
+    assert both.columns == ["k", "v", "w"]
+    assert content(both) == [(1, "a", None), (None, "b", 1.0)]
+
+
+def test_distinct_twice_is_distinct_once(spark):
+    once = rows.distinct_rows(frame(spark, (1, "a"), (1, "a"), (None, None), (None, None)))
+    assert content(once) == content(rows.distinct_rows(once)) == [(1, "a"), (None, None)]
+
+
+def test_partition_count(spark):
+    counts = [rows.partition_count(spark.range(n), 10).first().n_partitions for n in (0, 1, 10, 11)]
+    assert counts == [1, 1, 1, 2]
+
+
+def snapshots(spark):
+    log = [("a", i, dt.datetime(2024, 1, i)) for i in range(1, 6)]
+    log += [("b", 1, dt.datetime(2024, 1, 1)), ("c", 1, dt.datetime(2024, 1, 1)), ("c", 2, dt.datetime(2024, 1, 1)),
+            ("c", 3, dt.datetime(2024, 1, 1))]
+    return spark.createDataFrame(log, "`table` string, snapshot_id int, committed_at timestamp")
+
+
+def test_expired_snapshots(spark):
+    log = snapshots(spark)
+    tomorrow = F.lit("2025-01-01").cast("timestamp")
+    expired = maintenance.expired_snapshots(log, tomorrow)
+    assert [(r["table"], r.snapshot_id) for r in expired.orderBy("table", "snapshot_id").collect()] == [
+        ("a", 1), ("a", 2), ("a", 3), ("c", 1),
+    ]
+    early = maintenance.expired_snapshots(log, F.lit("2024-01-02").cast("timestamp"), retain_last=1)
+    assert [(r["table"], r.snapshot_id) for r in early.orderBy("table", "snapshot_id").collect()] == [
+        ("a", 1), ("c", 1), ("c", 2),
+    ]
+    kept = log.join(expired, log.columns, "left_anti").groupBy("table").count().collect()
+    assert {r["table"]: r["count"] for r in kept} == {"a": 2, "b": 1, "c": 2}
+
+
+def test_orphans(spark):
+    old, new = dt.datetime(2024, 1, 1), dt.datetime(2024, 6, 1)
+    listing = spark.createDataFrame([("x", old), ("y", old), ("z", new)], "path string, mtime timestamp")
+    manifest = spark.createDataFrame([("y",), ("y",), (None,)], "path string")
+    found = maintenance.orphan_files(listing, manifest, F.lit("2024-03-01").cast("timestamp"))
+    assert [r.path for r in found.collect()] == ["x"]
