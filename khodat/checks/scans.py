@@ -124,9 +124,10 @@ def extract_html_field(spark, sf):
 
 
 def _plain_sql(pattern: str) -> str:
+    """Text of an element with its entities resolved; a cut-off one may lack the semicolon."""
     text = f"regexp_extract(html, '{pattern}', 1)"
-    for entity, plain in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "''"), ("&amp;", "&")):
-        text = f"replace({text}, '{entity}', '{plain}')"
+    for entity, plain in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#x27", "''"), ("amp", "&")):
+        text = f"regexp_replace({text}, '&{entity};?', '{plain}', 'g')"
     return f"nfc_normalize({text})"
 
 

@@ -148,6 +148,8 @@ def replace_content(df: DataFrame, table: str) -> None:
         spark.sql(f"ALTER TABLE {following} SET TBLPROPERTIES ({_pairs(properties)})")
     spark.sql(f"DROP TABLE {table}")
     spark.sql(f"ALTER TABLE {following} RENAME TO {table}")
+    if names:
+        spark.catalog.recoverPartitions(table)  # the catalog still has them where they were before the rename
 
 
 # A source up to this many bytes of Parquet is broadcast in a merge.

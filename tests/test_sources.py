@@ -32,8 +32,10 @@ def test_csv_missing_values_and_whole_numbers_with_a_point(spark, scratch):
 
 def test_csv_bad_number_raises(spark, scratch):
     path = text_file(scratch, spark, ["name,n,price", "a,x,1"])
-    with pytest.raises(Exception, match="cannot cast to double: x"):
+    with pytest.raises(Exception, match="cannot cast to bigint: x"):
         files.read_csv(spark, path, CSV).collect()
+    with pytest.raises(Exception, match="cannot cast to bigint: 3.5"):
+        files.read_csv(spark, text_file(scratch, spark, ["name,n,price", "a,3.5,1"]), CSV).collect()
 
 
 def test_csv_round_trip(spark, scratch):
