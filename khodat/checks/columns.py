@@ -109,13 +109,14 @@ def staging_type_relax(spark, sf):
 @query(
     "export_type_widen",
     "select l_orderkey, cast(l_linenumber as bigint) as l_linenumber, cast(cast(l_tax as float) as double) as tax, "
-    "l_quantity, cast(l_extendedprice as decimal(38, 6)) as price from lineitem",
+    "l_quantity, cast(cast(l_extendedprice as decimal(38, 6)) as varchar) as price from lineitem",
 )
 def export_type_widen(spark, sf):
-    return C.widen_types(data.table(spark, sf, "lineitem").selectExpr(
+    wide = C.widen_types(data.table(spark, sf, "lineitem").selectExpr(
         "l_orderkey", "l_linenumber", "cast(l_tax as float) as tax", "l_quantity",
         "cast(l_extendedprice as decimal(38, 6)) as price",
     ))
+    return wide.withColumn("price", F.col("price").cast("string"))
 
 
 @query("drop_string_columns", "select c_custkey, c_nationkey, c_acctbal from customer")

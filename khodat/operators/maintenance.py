@@ -10,7 +10,7 @@ from khodat.schema import SNAPSHOTS_KEPT
 
 def expired_snapshots(
     log: DataFrame,
-    older_than: Column,
+    older_than: Column | None = None,
     retain_last: int = SNAPSHOTS_KEPT,
     table: str = "table",
     snapshot: str = "snapshot_id",
@@ -18,9 +18,13 @@ def expired_snapshots(
 ) -> DataFrame:
     """Snapshots committed before ``older_than``, except the newest ``retain_last`` of their table.
 
+    By default the bound is the coming midnight, so that only ``retain_last`` protects a snapshot.
+
     The newest few of each table are picked on the map side before any shuffle; the rest is compared with the
     oldest one kept. So no task ever holds all snapshots of a table.
     """
+    if older_than is None:
+        older_than = F.date_add(F.current_date(), 1)
     newest_first = Window.partitionBy(table).orderBy(F.desc(committed), F.desc(snapshot))
     oldest_kept = (
         log.withColumn("_rank", F.row_number().over(newest_first))
@@ -39,8 +43,10 @@ def expired_snapshots(
 
 
 def orphan_files(
-    listing: DataFrame, manifest: DataFrame, older_than: Column, path: str = "path", mtime: str = "mtime"
+    listing: DataFrame, manifest: DataFrame, older_than: Column | None = None, path: str = "path", mtime: str = "mtime"
 ) -> DataFrame:
-    """Listed files no manifest entry refers to, last modified before ``older_than``."""
+    """Listed files no manifest entry refers to, last modified before ``older_than`` (midnight two days ago)."""
+    if older_than is None:
+        older_than = F.date_sub(F.current_date(), 2)
     referenced = manifest.select(path).distinct()
     return listing.where(F.col(mtime) < older_than).join(referenced, path, "left_anti").select(*listing.columns)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -152,20 +154,37 @@ def replace_content(df: DataFrame, table: str) -> None:
         spark.catalog.recoverPartitions(table)  # the catalog still has them where they were before the rename
 
 
+# Table formats that update rows in place.
+ROW_LEVEL_FORMATS = ("iceberg", "delta", "hudi")
 # A source up to this many bytes of Parquet is broadcast in a merge.
 SMALL_SOURCE_BYTES = 16 * 1024 * 1024
 
 
+def has_merge(spark: SparkSession, table: str) -> bool:
+    """Whether the table's format has a MERGE of its own."""
+    provider = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Provider'").first()
+    return provider is not None and provider.data_type.lower() in ROW_LEVEL_FORMATS
+
+
 def merge_into(df: DataFrame, table: str, keys: Sequence[str], distinct: bool = True) -> None:
-    """Updates the rows whose keys match and adds the others. Plain Parquet tables have no MERGE statement.
+    """Updates the rows whose keys match and adds the others.
 
-    The source is written to the shared folder first: it is read several times, and its size is known then. A
-    small one is broadcast, so the target is not shuffled; beyond that both sides are shuffled by key.
+    Where the table format has MERGE that is used, and only the files with matches are rewritten. Plain Parquet
+    tables have none, so there the merged table is written anew. The source then goes to the shared folder first:
+    it is read several times, and its size is known from there. A small one is broadcast, so the target is not
+    shuffled; beyond that both sides are shuffled by key.
     """
     spark = df.sparkSession
     rows = _in_table_order(df, table)
+    rows = rows.distinct() if distinct else rows
+    if not keys:
+        raise ValueError("a merge needs key columns")
+    if has_merge(spark, table):
+        same = reduce(and_, [F.col(f"{table}.`{k}`") == F.col(f"s.`{k}`") for k in keys])
+        rows.alias("s").mergeInto(table, same).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+        return
     path = scratch_path(spark, "merge_source")
-    (rows.distinct() if distinct else rows).write.parquet(path)
+    rows.write.parquet(path)
     source = spark.read.schema(rows.schema).parquet(path)
     n_bytes = list_files(spark, path).agg(F.sum("size")).first()[0] or 0
     merged = merge_upsert(

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from khodat.operators import columns as C
 from khodat.operators import maintenance, rows, tables
 from khodat.operators.merge import DuplicateKeyError, merge_upsert
+from khodat.operators.files import write_parquet
 from khodat.operators.script import run_sql_script, statements
 from khodat.schema import Partition, TableSpec, struct
+from khodat.sources.files import list_files
 
 KV = "k bigint, v string"
 SPEC = TableSpec("t", struct(k="bigint", v="string"), key_columns=("k",))
@@ -263,3 +265,47 @@ def test_orphans(spark):
     manifest = spark.createDataFrame([("y",), ("y",), (None,)], "path string")
     found = maintenance.orphan_files(listing, manifest, F.lit("2024-03-01").cast("timestamp"))
     assert [r.path for r in found.collect()] == ["x"]
+
+
+def test_default_bounds_of_the_maintenance(spark):
+    assert maintenance.expired_snapshots(snapshots(spark)).count() == 4
+    listing = spark.sql(
+        "select 'old' as path, current_timestamp() - interval 4 days as mtime union all select 'new', current_timestamp()"
+    )
+    found = maintenance.orphan_files(listing, spark.createDataFrame([], "path string"))
+    assert [r.path for r in found.collect()] == ["old"]
+
+
+def test_hot_partition_value_is_written_by_several_tasks(spark, scratch):
+    path, before = scratch("t"), spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        hot = spark.range(0, 60000, 1, 12).select(
+            F.sha2(F.col("id").cast("string"), 256).alias("v"), F.when(F.col("id") % 3 > 0, "hot").otherwise("cold").alias("p")
+        )
+        write_parquet(hot, path, by=["p"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = list_files(spark, path).groupBy(F.col("path").contains("p=hot").alias("hot")).count().collect()
+    assert {r.hot: r["count"] for r in files}[True] > 4
+    assert spark.read.parquet(path).count() == 60000
+
+
+def test_a_table_format_with_merge_uses_it(spark, database, monkeypatch):
+    """Stands in for such a format, none of which is at hand: only the call is checked."""
+    name, calls = f"{database}.t", []
+
+    class Merge:
+        def __getattr__(self, step):
+            return lambda: calls.append(step) or self
+
+    def merge_into(self, table, condition):
+        calls.append((table, self.count()))
+        return Merge()
+
+    frame(spark, (1, "a")).write.saveAsTable(name)
+    monkeypatch.setattr(tables, "has_merge", lambda spark, table: True)
+    source = frame(spark, (1, "b"), (1, "b"))
+    monkeypatch.setattr(type(source), "mergeInto", merge_into)
+    tables.merge_into(source, name, ["k"])
+    assert calls == [(name, 1), "whenMatched", "updateAll", "whenNotMatched", "insertAll", "merge"]
