@@ -139,7 +139,9 @@ LISTINGS_PER_INDEX = 20
 INDEX_URL = "https://listings.example/ban-can-ho"
 
 _PAGES_FROM = " from part join nation on n_nationkey = p_partkey % 25 join region on r_regionkey = n_regionkey"
-PAGE_URL_SQL = f"'{INDEX_URL}' || cast(p_partkey // {LISTINGS_PER_INDEX} as string) || '/ban/' || cast(p_partkey as string) || '.htm'"
+PAGE_URL_SQL = (
+    f"'{INDEX_URL}' || cast(p_partkey // {LISTINGS_PER_INDEX} as string) || '/ban/' || cast(p_partkey as string) || '.htm'"
+)
 PAGE_TEXTS_SQL = (
     f"select p_partkey as page_id, {PAGE_URL_SQL} as url, "
     + ", ".join(f"{e} as {n}" for n, e in PAGE_TEXTS.items()) + _PAGES_FROM
@@ -170,7 +172,7 @@ def page_texts(spark: SparkSession, sf: str) -> DataFrame:
     joined = part.join(nation, F.expr("n_nationkey = p_partkey % 25")).join(
         region, F.col("n_regionkey") == F.col("r_regionkey")
     )
-    url = f"'{INDEX_URL}' || cast(p_partkey div {LISTINGS_PER_INDEX} as string) || '/ban/' || cast(p_partkey as string) || '.htm'"
+    url = PAGE_URL_SQL.replace(" // ", " div ")  # the integer division of Spark
     return joined.selectExpr("p_partkey as page_id", f"{url} as url", *[f"{e} as {n}" for n, e in PAGE_TEXTS.items()])
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from khodat.checks import data
 from khodat.checks.registry import query
+from khodat.functions.parsing import cast_timestamp
 from khodat.operators.files import write_csv
 from khodat.operators.tables import write_table
 from khodat.plans import ingest, lakehouse
@@ -19,7 +20,7 @@ STAGING_SQL = (
 
 
 def crawl_csv(spark, sf) -> str:
-    """The listings as the crawl leaves them: a CSV with the crawled column names."""
+    """The listings as the crawl leaves them: a CSV with the crawled column names. No text holds a line break."""
     path = scratch_path(spark, "crawl.csv")
     write_csv(data.listings(spark, sf).withColumnRenamed("So_tang", "Số tầng"), path)
     return path
@@ -28,7 +29,7 @@ def crawl_csv(spark, sf) -> str:
 @query("source_load", RAW_SQL)
 def source_load(spark, sf):
     name = f"{scratch_database(spark)}.listing"
-    rows = lakehouse.source_load(spark, crawl_csv(spark, sf))
+    rows = lakehouse.source_load(spark, crawl_csv(spark, sf), multi_line=False)
     write_table(rows, name, LISTING_RAW, distinct=False)
     return spark.table(name)
 
@@ -50,7 +51,7 @@ def staging_load(spark, sf):
 @query("warehouse_transform", data.warehouse_sql(RAW_SQL))
 def warehouse_transform(spark, sf):
     """Staging to warehouse, the flagship: no shuffle after the listings are read."""
-    staging = data.listings(spark, sf).withColumn("created_date", lakehouse.P.cast_timestamp("created_date"))
+    staging = data.listings(spark, sf).withColumn("created_date", cast_timestamp("created_date"))
     return lakehouse.warehouse_rows(staging)
 
 
@@ -58,7 +59,7 @@ def warehouse_transform(spark, sf):
 def warehouse_load(spark, sf):
     """Two daily loads of one staging table: the warehouse holds its rows twice."""
     db = scratch_database(spark)
-    staging = data.listings(spark, sf).withColumn("created_date", lakehouse.P.cast_timestamp("created_date"))
+    staging = data.listings(spark, sf).withColumn("created_date", cast_timestamp("created_date"))
     write_table(staging, f"{db}.staging", LISTING_STAGING, distinct=False)
     lakehouse.warehouse_load(spark, f"{db}.staging", f"{db}.listing", replace=True)
     lakehouse.warehouse_load(spark, f"{db}.staging", f"{db}.listing")
@@ -75,6 +76,7 @@ def listing_ingest(spark, sf):
 def end_to_end(spark, sf):
     db = scratch_database(spark)
     lakehouse.end_to_end(
-        spark, crawl_csv(spark, sf), scratch_path(spark, "lake"), DATE, f"{db}.listing_staging", f"{db}.listing"
+        spark, crawl_csv(spark, sf), scratch_path(spark, "lake"), DATE, f"{db}.listing_staging", f"{db}.listing",
+        multi_line=False,
     )
     return spark.table(f"{db}.listing")

@@ -62,8 +62,8 @@ def scan_parquet_empty_fallback(spark, sf):
 def scan_with_options(spark, sf):
     customers = data.table(spark, sf, "customer")
     as_json, as_csv = scratch_path(spark, "json"), scratch_path(spark, "csv")
-    customers.where("c_acctbal < 0").write.json(as_json)
-    customers.where("c_acctbal >= 0").write.option("sep", "|").option("header", True).csv(as_csv)
+    customers.where("coalesce(c_acctbal < 0, false)").write.json(as_json)
+    customers.where("not coalesce(c_acctbal < 0, false)").write.option("sep", "|").option("header", True).csv(as_csv)
     return files.read_source(spark, as_json, "json", CUSTOMER, {"mode": "FAILFAST"}).unionByName(
         files.read_source(spark, as_csv, "csv", CUSTOMER, {"sep": "|", "header": "true"})
     )

@@ -23,6 +23,8 @@ def expired_snapshots(
     The newest few of each table are picked on the map side before any shuffle; the rest is compared with the
     oldest one kept. So no task ever holds all snapshots of a table.
     """
+    if retain_last < 1:
+        raise ValueError("at least one snapshot of a table is kept")
     if older_than is None:
         older_than = F.date_add(F.current_date(), 1)
     newest_first = Window.partitionBy(table).orderBy(F.desc(committed), F.desc(snapshot))

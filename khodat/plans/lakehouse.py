@@ -22,13 +22,15 @@ def crawl_csv_schema(spec: TableSpec = LISTING_RAW) -> T.StructType:
     return T.StructType([T.StructField(crawled if f.name == stored else f.name, f.dataType, True) for f in spec.schema])
 
 
-def source_load(spark: SparkSession, csv_path: str) -> DataFrame:
+def source_load(spark: SparkSession, csv_path: str, multi_line: bool = True) -> DataFrame:
     """The crawl CSV as typed source rows, ready for any sink.
 
+    ``multi_line=False`` lets large files be split, if no field holds a line break.
+
     Missing values stay NULL throughout. Writing -1 for them and turning -1 back later would only lose
     genuine -1 values and leave '-1' in created_date.
     """
-    return apply_schema(rename_columns(read_csv(spark, csv_path, crawl_csv_schema())), LISTING_RAW.schema)
+    return apply_schema(rename_columns(read_csv(spark, csv_path, crawl_csv_schema(), multi_line)), LISTING_RAW.schema)
 
 
 def raw_extract(source: DataFrame, root: str, business_date: str, spec: TableSpec = LISTING_RAW) -> str:
@@ -81,9 +83,17 @@ def warehouse_load(spark: SparkSession, staging: str, table: str, replace: bool
     )
 
 
-def end_to_end(spark: SparkSession, csv_path: str, root: str, business_date: str, staging: str, warehouse: str) -> None:
+def end_to_end(
+    spark: SparkSession,
+    csv_path: str,
+    root: str,
+    business_date: str,
+    staging: str,
+    warehouse: str,
+    multi_line: bool = True,
+) -> None:
     """CSV to raw to staging to warehouse for one business date."""
-    folder = raw_extract(source_load(spark, csv_path), root, business_date)
+    folder = raw_extract(source_load(spark, csv_path, multi_line), root, business_date)
     for table in (staging, warehouse):
         if "." in table:
             create_database(spark, table.rsplit(".", 1)[0])

@@ -1,6 +1,7 @@
 """Fields and links of listing pages.
 
-Malformed markup rules out extracting by pattern in the JVM, so pages are tokenised in Arrow batches. Only the page text goes to the Python workers; the other columns stay in the JVM.
+Malformed markup rules out extracting by pattern in the JVM, so pages are tokenised in Arrow batches. Only the page
+text goes to the Python workers; the other columns stay in the JVM.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ import sys
 import unicodedata
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import lru_cache, partial
+from functools import partial
 from html import unescape
 from html.parser import HTMLParser
 
@@ -31,12 +32,13 @@ class Field:
     itemprop: str | None = None
     inner: str | None = None
 
-    def matches(self, tag: str, attrs: dict[str, str | None]) -> bool:
-        if tag != self.tag or (self.itemprop is not None and attrs.get("itemprop") != self.itemprop):
-            return False
+    def has_class(self, attrs: dict[str, str | None]) -> bool:
         if self.css_class is None:
             return True
-        classes = (attrs.get("class") or "").split()
+        given = attrs.get("class") or ""
+        if given == self.css_class:
+            return True
+        classes = given.split()
         return self.css_class in classes or self.css_class == " ".join(classes)
 
 
@@ -91,15 +93,19 @@ _TOKEN = re.compile(
 )
 
 
-@lru_cache(maxsize=1024)
+_patterns: dict[frozenset[str], re.Pattern] = {}
+
+
 def _before(tags: frozenset[str]) -> re.Pattern:
     """Everything up to the next start tag among ``tags``, or to one that needs a closer look."""
-    stops = "|".join(["script", "style", "template", *(re.escape(t) + "(?![a-z0-9:-])" for t in sorted(tags))])
-    return re.compile(
-        rf"(?:[^<]++|</{_TAG}\s*+>|<(?!{stops}){_TAG}{_ATTRIBUTES}\s*+/?>"
-        rf"|<script{_ATTRIBUTES}\s*+>.*?</script\s*+>|<style{_ATTRIBUTES}\s*+>.*?</style\s*+>|{_ASIDE})*+",
-        _FLAGS,
-    )
+    if tags not in _patterns:
+        stops = "|".join(["script", "style", "template", *(re.escape(t) + "(?![a-z0-9:-])" for t in sorted(tags))])
+        _patterns[tags] = re.compile(
+            rf"(?:[^<]++|</{_TAG}\s*+>|<(?!{stops}){_TAG}{_ATTRIBUTES}\s*+/?>"
+            rf"|<script{_ATTRIBUTES}\s*+>.*?</script\s*+>|<style{_ATTRIBUTES}\s*+>.*?</style\s*+>|{_ASIDE})*+",
+            _FLAGS,
+        )
+    return _patterns[tags]
 
 
 def _attributes(attrs: str | list) -> dict[str, str | None]:
@@ -128,9 +134,10 @@ class _Fields:
         self.result: list[str | None] = [None] * len(fields)
         self._skipping = skipping
         self._fields = fields
-        self._wanted: dict[str, list[int]] = {}
+        # Tag -> itemprop (None for any) -> fields.
+        self._wanted: dict[str, dict[str | None, list[int]]] = {}
         for i, field in enumerate(fields):
-            self._wanted.setdefault(field.tag, []).append(i)
+            self._wanted.setdefault(field.tag, {}).setdefault(field.itemprop, []).append(i)
         # Start tags that matter while nothing is being read.
         self.tags = frozenset(self._wanted)
         self._awaiting_inner: dict[int, str] = {}
@@ -161,21 +168,32 @@ class _Fields:
             del self._awaiting_inner[i]
             reading.append(i)
         if tag in self._wanted:
-            lookup = _attributes(attrs)
-            for i in [i for i in self._wanted[tag] if self._fields[i].matches(tag, lookup)]:
-                self._wanted[tag].remove(i)
-                if self._fields[i].inner is None:
-                    reading.append(i)
-                else:
-                    self._awaiting_inner[i] = self._fields[i].inner
-                    waiting.append(i)
-            if not self._wanted[tag]:
-                del self._wanted[tag]
-                self.tags = frozenset(self._wanted)
+            self._look_for_fields(tag, _attributes(attrs), reading, waiting)
         for i in reading:
             self._texts[i] = []
         return reading, waiting
 
+    def _look_for_fields(self, tag: str, attrs: dict, reading: list[int], waiting: list[int]) -> None:
+        by_itemprop = self._wanted[tag]
+        for itemprop in {attrs.get("itemprop"), None}:
+            missing = by_itemprop.get(itemprop, ())
+            found = [i for i in missing if self._fields[i].has_class(attrs)]
+            if not found:
+                continue
+            for i in found:
+                missing.remove(i)
+                inner = self._fields[i].inner
+                if inner is None:
+                    reading.append(i)
+                else:
+                    self._awaiting_inner[i] = inner
+                    waiting.append(i)
+            if not missing:
+                del by_itemprop[itemprop]
+        if not by_itemprop:
+            del self._wanted[tag]
+            self.tags = frozenset(self._wanted)
+
     def end(self, tag: str) -> bool:
         """False if the tag may close an element the reader has not been told of."""
         if not self._n_open.get(tag):

@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 ROWS_PER_READ = 500_000
 
@@ -42,28 +41,43 @@ def partitions_for(rows: int, rows_per_read: int = ROWS_PER_READ) -> int:
     return max(math.ceil(rows / rows_per_read), 1)
 
 
+def spread_predicates(expression: str, n: int) -> list[str]:
+    """One condition per read task over a whole-number SQL expression; together they take every row once."""
+    rest = f"MOD(ABS({expression}), {n})"
+    return [f"({rest} = {i}" + (f" OR {expression} IS NULL)" if i == 0 else ")") for i in range(n)]
+
+
 def read_query(
-    spark: SparkSession, url: str, query: str, partition_column: str | None = None, **connection: str
+    spark: SparkSession,
+    url: str,
+    query: str,
+    partition_column: str | None = None,
+    spread_by: str | None = None,
+    **connection: str,
 ) -> DataFrame:
     """Result of an extract query, read by one task per ROWS_PER_READ rows.
 
-    With a partition column the database first reports its range and row count (one row); the ranges are then
-    read in parallel. Use a column spread evenly over its range.
+    The database first reports row count and range (one row). ``partition_column`` then cuts its range in equal
+    parts, which suits a column spread evenly over it. Where values bunch up, ``spread_by`` names a whole-number
+    expression of the database's SQL instead, such as ``CRC32(id)``, whose remainders are even.
     """
-    if partition_column is None:
-        return spark.read.format("jdbc").options(**extract_options(url, query, **connection)).load()
-    whole = spark.read.format("jdbc").options(
-        **extract_options(
-            url,
-            f"SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi, COUNT(*) AS n "
-            f"FROM ({query.strip().rstrip(';')}) q",
-            **connection,
+    plain = extract_options(url, query, **connection)
+    if partition_column is None and spread_by is None:
+        return spark.read.format("jdbc").options(**plain).load()
+    bound = partition_column or "NULL"
+    counted = extract_options(
+        url, f"SELECT COUNT(*) AS n, MIN({bound}) AS lo, MAX({bound}) AS hi FROM {plain['dbtable']}", **connection
+    )
+    n, lo, hi = spark.read.format("jdbc").options(**counted).load().first()
+    n_tasks = partitions_for(int(n))
+    if spread_by is not None:
+        properties = {k: v for k, v in plain.items() if k not in ("url", "dbtable")}
+        return spark.read.jdbc(
+            url, plain["dbtable"], predicates=spread_predicates(spread_by, n_tasks), properties=properties
         )
-    ).load()
-    lo, hi, n = whole.toDF("lo", "hi", "n").select("lo", "hi", F.col("n").cast("bigint")).first()
     if lo is None:
-        return spark.read.format("jdbc").options(**extract_options(url, query, **connection)).load()
-    options = extract_options(url, query, partition_column, (lo, hi), partitions_for(n), **connection)
+        return spark.read.format("jdbc").options(**plain).load()
+    options = extract_options(url, query, partition_column, (lo, hi), n_tasks, **connection)
     return spark.read.format("jdbc").options(**options).load()
 
 

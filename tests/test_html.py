@@ -1,10 +1,14 @@
 """Page reading: first match, nesting, broken markup, and the quick tokeniser against the standard parser."""
 
+import subprocess
+import sys
 from functools import partial
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark import cloudpickle
+
 from khodat.plans.ingest import listing_ingest, listing_links
 from khodat.sources.html import (
     HOUSE_TYPE, LOCATION_CLASS, PRICE_CLASS, PROJECT_CLASS, VALUE_CLASS, Field, _AllFound, _AnyPage, _Fields, _Links,
@@ -126,6 +130,17 @@ def test_listing_rows(spark):
         assert all(v is None for k, v in rows[url].asDict().items() if k != "url")
 
 
+def test_readers_need_no_installed_package():
+    """What goes to the workers is read back by an interpreter that cannot find this package."""
+    payload = cloudpickle.dumps((read_page, partial(_Fields, (ROOMS,)), partial(_Links, None), value("rooms", "3")))
+    program = (
+        "import pickle, sys; read, fields, links, page = pickle.load(sys.stdin.buffer); "
+        "print(read(page, fields), read('<a href=/1>', links), read('a < ' + page, fields))"
+    )
+    out = subprocess.run([sys.executable, "-c", program], input=payload, capture_output=True, cwd="/")
+    assert out.stdout.decode().strip() == "['3'] ['/1'] ['3']", out.stderr.decode()
+
+
 def test_house_type_is_a_parameter(spark):
     pages = spark.createDataFrame([("u", listing_html("house_type"))], "url string, html string")
     assert listing_ingest(pages, type_itemprop=HOUSE_TYPE).first().type == "Chung cư"

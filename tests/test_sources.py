@@ -141,4 +141,7 @@ def test_jdbc_options():
     with pytest.raises(ValueError):
         jdbc.extract_options("jdbc:x", "SELECT 1", "id")
     assert [jdbc.partitions_for(n) for n in (0, 500_000, 500_001)] == [1, 1, 2]
+    assert jdbc.spread_predicates("CRC32(id)", 2) == [
+        "(MOD(ABS(CRC32(id)), 2) = 0 OR CRC32(id) IS NULL)", "(MOD(ABS(CRC32(id)), 2) = 1)",
+    ]
     assert jdbc.replace_options("jdbc:x", "t")["truncate"] == "true"

@@ -255,6 +255,8 @@ def test_expired_snapshots(spark):
     assert [(r["table"], r.snapshot_id) for r in early.orderBy("table", "snapshot_id").collect()] == [
         ("a", 1), ("c", 1), ("c", 2),
     ]
+    with pytest.raises(ValueError):
+        maintenance.expired_snapshots(log, tomorrow, retain_last=0)
     kept = log.join(expired, log.columns, "left_anti").groupBy("table").count().collect()
     assert {r["table"]: r["count"] for r in kept} == {"a": 2, "b": 1, "c": 2}
 
