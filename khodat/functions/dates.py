@@ -16,6 +16,10 @@ STRFTIME_PATTERNS = {
 }
 
 
+# Name of the column a DAY partition adds, after that of its timestamp.
+DAY_SUFFIX = "_day"
+
+
 def spark_pattern(fmt: str) -> str:
     """Spark datetime pattern of ``fmt``, which may use strftime codes."""
     if "%" not in fmt:
@@ -95,7 +99,7 @@ def day_partition(df: DataFrame, partition: Partition) -> tuple[DataFrame, str |
     if partition.kind == "NONE":
         return df, None
     if partition.kind == "DAY":
-        name = f"{partition.column}_day"
+        name = f"{partition.column}{DAY_SUFFIX}"
         return df.withColumn(name, F.to_date(partition.column)), name
     return df, partition.column
 

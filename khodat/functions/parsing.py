@@ -33,7 +33,7 @@ _BLANKS = " \u00a0\u2007\u202f\u3000\t\r\n"
 
 
 # What the casts accept: a sign, digits with at most one dot, an exponent.
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_NUMBER = r"^[+-]?(?:[0-9]++\.?+[0-9]*+|\.[0-9]++)(?:[eE][+-]?[0-9]++)?$"
 _INTEGER = r"^[+-]?[0-9]+$"
 
 

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from khodat.functions.dates import day_partition
+from khodat.functions.dates import DAY_SUFFIX, day_partition
 from khodat.operators.merge import merge_upsert
 from khodat.operators.rows import sized_for_write
-from khodat.schema import Partition, TableSpec
+from khodat.schema import ROW_LEVEL_FORMATS, Partition, TableSpec
 from khodat.session import scratch_path
 from khodat.sources.files import as_strings, list_files
 
@@ -38,31 +38,35 @@ def create_table(
     spark: SparkSession,
     table: str,
     spec: TableSpec,
-    fmt: str = "parquet",
+    fmt: str | None = None,
     location: str | None = None,
     options: dict[str, str] | None = None,
     all_string: bool = False,
 ) -> None:
     """Creates the table unless it exists: columns, partitions, options, properties, location.
 
-    A DAY partition is a date column of its own, derived on write. A partition column the schema lacks is added
-    with the type its kind implies.
+    A DAY partition is a transform where the format has them, else a date column of its own, derived on write.
+    A partition column the schema lacks is added with the type its kind implies.
     """
+    fmt = fmt or spec.format
     schema = as_strings(spec.schema) if all_string else spec.schema
     added, partition_by = [], []
     for p in spec.partitions:
         if p.kind == "NONE":
             continue
-        name = f"{p.column}_day" if p.kind == "DAY" else p.column
+        if p.kind == "DAY" and fmt == "iceberg":
+            partition_by.append(f"days(`{p.column}`)")
+            continue
+        name = f"{p.column}{DAY_SUFFIX}" if p.kind == "DAY" else p.column
         if name not in schema.fieldNames():
             added.append(T.StructField(name, T.StringType() if all_string else _KIND_TYPES[p.kind], True))
-        partition_by.append(name)
+        partition_by.append(f"`{name}`")
     columns = T.StructType(schema.fields + added)
     clauses = [f"CREATE TABLE IF NOT EXISTS {table} ({columns.toDDL()}) USING {fmt}"]
     if options:
         clauses.append(f"OPTIONS ({_pairs(options)})")
     if partition_by:
-        clauses.append("PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_by) + ")")
+        clauses.append("PARTITIONED BY (" + ", ".join(partition_by) + ")")
     if location:
         clauses.append(f"LOCATION '{location}'")
     clauses.append(f"TBLPROPERTIES ({_pairs(spec.table_properties())})")
@@ -108,17 +112,18 @@ def create_or_replace_table_as(
     (writer.partitionBy(*names) if names else writer).saveAsTable(table)
 
 
-def _in_table_order(df: DataFrame, table: str) -> DataFrame:
-    """Columns by name in the order of the table; the derived day columns are filled in."""
-    stored = df.sparkSession.table(table).columns
-    days = {c: c.removesuffix("_day") for c in stored if c not in df.columns and c.endswith("_day")}
-    return df.withColumns({c: F.to_date(src) for c, src in days.items() if src in df.columns}).select(*stored)
-
-
 def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def _in_table_order(df: DataFrame, table: str) -> DataFrame:
+    """Columns by name in the order of the table; partition days are derived from their timestamps."""
+    spark = df.sparkSession
+    missing = [c for c in _partition_columns(spark, table) if c not in df.columns and c.endswith(DAY_SUFFIX)]
+    days = {c: F.to_date(c.removesuffix(DAY_SUFFIX)) for c in missing}
+    return df.withColumns(days).select(*spark.table(table).columns)
+
+
 def _sized_for_table(df: DataFrame, table: str, num_partitions: int | None = None) -> DataFrame:
     rows = _in_table_order(df, table)
     return sized_for_write(rows, num_partitions, _partition_columns(df.sparkSession, table))
@@ -154,8 +159,6 @@ def replace_content(df: DataFrame, table: str) -> None:
         spark.catalog.recoverPartitions(table)  # the catalog still has them where they were before the rename
 
 
-# Table formats that update rows in place.
-ROW_LEVEL_FORMATS = ("iceberg", "delta", "hudi")
 # A source up to this many bytes of Parquet is broadcast in a merge.
 SMALL_SOURCE_BYTES = 16 * 1024 * 1024
 

@@ -32,6 +32,9 @@ DEFAULT_TABLE_PROPERTIES = {
     "write.target-file-size-bytes": "134217728",
 }
 
+# Table formats that update rows in place.
+ROW_LEVEL_FORMATS = ("iceberg", "delta", "hudi")
+
 ROWS_PER_PARTITION = 300_000
 SNAPSHOTS_KEPT = 2
 
@@ -67,7 +70,7 @@ class Partition:
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A declared table: columns plus how it is partitioned, sorted and keyed."""
+    """A declared table: columns plus how it is stored, partitioned, sorted and keyed."""
 
     name: str
     schema: T.StructType
@@ -75,6 +78,7 @@ class TableSpec:
     sort_by: tuple[str, ...] = ()
     key_columns: tuple[str, ...] = ()
     kind: str = "DIM"
+    format: str = "parquet"
     properties: dict[str, str] = field(default_factory=dict)
 
     @property
