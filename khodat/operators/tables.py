@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -159,10 +159,24 @@ def replace_content(df: DataFrame, table: str) -> None:
         spark.catalog.recoverPartitions(table)  # the catalog still has them where they were before the rename
 
 
-# A source up to this many bytes of Parquet is broadcast in a merge.
+# A source is broadcast in a merge if it takes at most this many bytes stored, and four times as many read.
 SMALL_SOURCE_BYTES = 16 * 1024 * 1024
 
 
+def is_small(source: DataFrame, path: str) -> bool:
+    """Whether the frame stored at the path is small enough to broadcast.
+
+    Files can hold far more than their size when values repeat, so what passes by size is measured value by value.
+    """
+    stored = list_files(source.sparkSession, path).agg(F.sum("size")).first()[0] or 0
+    if stored > SMALL_SOURCE_BYTES:
+        return False
+    row_bytes = reduce(add, [
+        F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in source.columns
+    ])
+    return (source.agg(F.sum(row_bytes.cast("bigint"))).first()[0] or 0) <= 4 * SMALL_SOURCE_BYTES
+
+
 def has_merge(spark: SparkSession, table: str) -> bool:
     """Whether the table's format has a MERGE of its own."""
     provider = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Provider'").first()
@@ -189,10 +203,7 @@ def merge_into(df: DataFrame, table: str, keys: Sequence[str], distinct: bool =
     path = scratch_path(spark, "merge_source")
     rows.write.parquet(path)
     source = spark.read.schema(rows.schema).parquet(path)
-    n_bytes = list_files(spark, path).agg(F.sum("size")).first()[0] or 0
-    merged = merge_upsert(
-        spark.table(table), source, keys, dedup=False, small_source=n_bytes <= SMALL_SOURCE_BYTES
-    )
+    merged = merge_upsert(spark.table(table), source, keys, dedup=False, small_source=is_small(source, path))
     replace_content(merged, table)
 
 

@@ -101,6 +101,26 @@ def test_merge_into_keeps_partitions_and_properties(spark, database):
     assert not spark.catalog.tableExists(f"{name}__next")
 
 
+def test_small_sources_are_measured_unpacked(spark, scratch, monkeypatch):
+    path = scratch("repeated")
+    spark.range(50000).select(F.repeat(F.lit("x"), 1000).alias("v")).write.parquet(path)
+    source = spark.read.parquet(path)
+    assert tables.is_small(source, path)
+    monkeypatch.setattr(tables, "SMALL_SOURCE_BYTES", 8 * 1024 * 1024)
+    assert not tables.is_small(source, path)  # a few kilobytes stored, 50 MB read
+    empty = scratch("none")
+    spark.range(0).write.parquet(empty)
+    assert tables.is_small(spark.read.parquet(empty), empty)
+
+
+def test_merge_into_with_a_large_source(spark, database, monkeypatch):
+    name = f"{database}.t"
+    monkeypatch.setattr(tables, "SMALL_SOURCE_BYTES", 0)
+    frame(spark, (1, "a"), (2, "b")).write.saveAsTable(name)
+    tables.merge_into(frame(spark, (2, "c"), (3, "d")), name, ["k"])
+    assert content(spark.table(name)) == [(1, "a"), (2, "c"), (3, "d")]
+
+
 def test_write_modes(spark, database):
     name = f"{database}.t"
     with pytest.raises(ValueError, match="does not exist"):
