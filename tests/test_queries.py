@@ -6,6 +6,7 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as driver
+from khodat.checks import QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -15,7 +16,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_gives_what_its_sql_gives(spark, con, name):
     assert name in driver.oracle_sql()
     df = driver.queries()[name](spark, SF)
