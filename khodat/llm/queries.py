@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from khodat.llm.bpe import encode_digest
 from khodat.llm.common import table
 from khodat.llm.exact import duplicate_plan
+from khodat.llm.extraction import extract_text
+from khodat.llm.minhash import near_digest
 from khodat.llm.mixing import mix_digest
+from khodat.llm.quality import quality_digest
 from khodat.llm.sharding import shard_documents
 from khodat.llm.url_rules import judge_urls
 
@@ -47,6 +52,19 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     return shard_documents(table(spark, sf, "documents"), shards=8)
 
 
+@query("op5_minhash_dedup")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return near_digest(table(spark, sf, "documents"))
+
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+@query("op6_bpe")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return encode_digest(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 @query("op7_mix")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     return mix_digest(table(spark, sf, "documents"))
@@ -67,3 +85,13 @@ select doc_id, keep_id, cast(group_size as bigint) as group_size, kept, sha256(b
 """)
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return duplicate_plan(table(spark, sf, "documents")).drop("row")
+
+
+@query("op9_quality")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_digest(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op10_extract")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return extract_text(table(spark, sf, "pages"))
