@@ -14,9 +14,11 @@ from khodat.llm.exact import duplicate_plan
 from khodat.llm.extraction import extract_text
 from khodat.llm.minhash import near_digest
 from khodat.llm.mixing import mix_digest
+from khodat.llm.pitman_yor import score_documents
 from khodat.llm.quality import quality_digest
 from khodat.llm.sharding import shard_documents
 from khodat.llm.url_rules import judge_urls
+from khodat.llm.vectors import near_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,6 +54,32 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     return shard_documents(table(spark, sf, "documents"), shards=8)
 
 
+@query("op3_vector_dedup", """
+with recursive v as (
+  select vec_id, label, cast(embedding as double[]) as e from embeddings
+  where label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links as (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.98
+),
+reach as (select vec_id as a, vec_id as b from v union select reach.a, links.b from reach join links on reach.b = links.a),
+groups as (select a, min(b) as component_id from reach group by a),
+counts as (select a, count(*) as n from links group by a)
+select vec_id, coalesce(n, 0) as n_links, coalesce(component_id, vec_id) as component_id,
+  vec_id = coalesce(component_id, vec_id) as kept
+from embeddings left join groups on groups.a = vec_id left join counts on counts.a = vec_id
+""")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return near_vectors(table(spark, sf, "embeddings")).drop("row")
+
+
+@query("op4_pitman_yor")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return score_documents(table(spark, sf, "documents"))
+
+
 @query("op5_minhash_dedup")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return near_digest(table(spark, sf, "documents"))
