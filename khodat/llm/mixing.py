@@ -9,6 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from khodat.llm.common import column, fresh, numbered, stored
@@ -17,10 +18,10 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MOST_EPOCHS = 3
 SEED = 17
 #: Documents in one block of a source, on average; only one block of each source is looked at document by document.
-BLOCK_ROWS = 1 << 15
+BLOCK_ROWS = 1 << 12
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def count_words(texts: pd.Series) -> pd.Series:
     """Number of ``[^\\x20\\x09-\\x0D]+`` in each text; null has none."""
     return pd.Series([0 if t is None else len(t.encode().split()) for t in texts], dtype="int64")
