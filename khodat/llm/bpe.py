@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from khodat.llm.common import text_chunks
+from khodat.llm.common import text_chunks, whole_texts
 
 #: Words whose ids a worker keeps at a time; a full store is emptied. It saves work and changes no result.
 KEPT_WORDS = 300_000
@@ -126,7 +126,7 @@ class Bpe:
 
     def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's ids start (one more than there are texts). Null is empty."""
-        lists = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        lists = pc.ascii_split_whitespace(whole_texts(texts))
         starts = np.asarray(lists.offsets, np.int64)
         coded = lists.values.slice(starts[0], starts[-1] - starts[0]).dictionary_encode()
         words = [self.word(w) for w in coded.dictionary.to_pylist()]

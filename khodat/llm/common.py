@@ -77,13 +77,19 @@ def text_chunks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int
         yield batch.slice(start)
 
 
+def whole_texts(texts: pa.Array) -> pa.Array:
+    """The texts, null as empty, in buffers of their own: Arrow's text functions go wrong on slices of large strings."""
+    own = texts.take(pa.array(np.arange(len(texts)), pa.int64()))
+    return pc.fill_null(own.cast(pa.large_string()), "")
+
+
 def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of each text with A-Z lower-cased; null is the empty text.
 
     Returns where each text's words start (one more than there are texts), the words as numbers, and the words
     these numbers stand for.
     """
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(whole_texts(texts)))
     starts = np.asarray(lists.offsets, dtype=np.int64)
     flat = lists.values.slice(starts[0], starts[-1] - starts[0])
     starts = starts - starts[0]
