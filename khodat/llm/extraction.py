@@ -248,13 +248,17 @@ def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float
     article text, give the empty text. A null url has the empty host. Repeated rows stay; an empty table gives no rows.
     """
     read = stored(read_pages(pages), "pages-read")
+    around = F.array_distinct(F.flatten(F.col("blocks.around")))
+    # Most articles hold nothing that could be template; their text stays where it is.
+    plain, boxed = read.where(F.size(around) == 0), read.where(F.size(around) > 0)
     removed = (
-        read.select("row", "host", F.explode(F.array_distinct(F.flatten(F.col("blocks.around")))).alias("hash"))
+        boxed.select("row", "host", F.explode(around).alias("hash"))
         .join(templates(read, min_pages, min_share), ["host", "hash"]).groupBy("row").agg(F.collect_set("hash").alias("removed"))
     )
     kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["around"], F.coalesce("removed", F.array().cast("array<bigint>"))))
     return (
-        read.select("row", "page_id", "url", "blocks").join(removed, "row", "left")
-        .select("page_id", "url", F.array_join(F.transform(kept, lambda b: b["text"]), "\n").alias("text"))
+        boxed.select("row", "page_id", "url", "blocks").join(removed, "row", "left").withColumn("blocks", kept)
+        .select("page_id", "url", "blocks").unionByName(plain.select("page_id", "url", "blocks"))
+        .select("page_id", "url", F.array_join("blocks.text", "\n").alias("text"))
         .withColumn("n_chars", F.length("text").cast("long"))
     )
