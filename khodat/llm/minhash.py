@@ -37,6 +37,8 @@ BLOCK = 1024
 
 REST_BITS = 64 - BUCKET_BITS
 POLYNOMIAL = np.uint64(0x100000001B3)
+#: For each bucket the order in which it borrows from others.
+LENDERS = np.random.default_rng(7).permuted(np.tile(np.arange(1 << BUCKET_BITS), (1 << BUCKET_BITS, 1)), axis=1)
 
 
 def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
@@ -82,14 +84,16 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
 
 def band_keys(values: np.ndarray) -> np.ndarray:
     """Keys of the bands of each row of registers (rows without any register are not allowed). An empty bucket borrows the
-    next one's register together with the distance to it, so that small sets meet too."""
+    register of the first bucket that is not empty in a fixed random order of its own, so that small sets meet too."""
     n, buckets = values.shape
-    place = np.where(values > 0, np.arange(buckets), 2 * buckets)
-    place = np.concatenate([place, np.where(place < buckets, place + buckets, 2 * buckets)], 1)
-    following = np.minimum.accumulate(place[:, ::-1], 1)[:, ::-1][:, :buckets]
-    distance = (following - np.arange(buckets)).astype(np.uint64)
-    lent = np.take_along_axis(values, following % buckets, 1).astype(np.uint64)
-    filled = (lent | (distance << np.uint64(16))).reshape(n, -1, BAND_ROWS)[:, :BANDS]
+    filled = values.astype(np.uint64)
+    rows, empty = np.nonzero(values == 0)
+    for at in range(0, len(rows), 1 << 15):
+        some, of = rows[at : at + (1 << 15)], empty[at : at + (1 << 15)]
+        lenders = LENDERS[of]
+        first = (values[some[:, None], lenders] > 0).argmax(1)
+        filled[some, of] = values[some, lenders[np.arange(len(of)), first]]
+    filled = filled.reshape(n, -1, BAND_ROWS)[:, :BANDS]
     key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (n, BANDS))
     for j in range(BAND_ROWS):
         key = mixed(key ^ filled[:, :, j])
