@@ -5,8 +5,9 @@ ten bits behind them. Bands of four registers propose; an estimate of the simila
 by chance, sorts out; the full sets confirm. Documents with equal sets are one class, and only classes are compared.
 
 Within a bucket of equal bands not all pairs are formed. First each class is compared with the class that leads most of
-its buckets. What these links join needs no more comparing, so afterwards only classes that are still apart and share a
-bucket are compared, in blocks of bounded size.
+its buckets. What these links join needs no more comparing. Classes that share a bucket and are still apart then visit
+each other's groups: the member that looks most alike first, and if that is no link, all of them, in blocks of bounded
+size. So the groups are those that all pairs would give, and rows grow with classes, not with their pairs.
 """
 
 from __future__ import annotations
@@ -32,8 +33,10 @@ BAND_ROWS = 4
 BANDS = 24
 #: An estimate so many standard deviations below the threshold rules a pair out (odds of a wrong one below 1e-6).
 DEVIATIONS = 5.0
-#: Classes of one bucket in a block of the second comparison.
+#: Classes of one bucket in a block whose registers are compared.
 BLOCK = 1024
+#: Members of a group, and visitors, in a block whose full sets are compared.
+MEETING = 256
 
 REST_BITS = 64 - BUCKET_BITS
 POLYNOMIAL = np.uint64(0x100000001B3)
@@ -107,9 +110,9 @@ def chance(n_left: np.ndarray, n_right: np.ndarray) -> np.ndarray:
     return np.abs((held(np.asarray(n_left, float)) * held(np.asarray(n_right, float))).sum(0)) / (1 << MANTISSA_BITS)
 
 
-def possible(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Whether pairs of register rows can reach the threshold: by the sizes of their sets, which is exact, and by the
-    estimate less ``DEVIATIONS`` standard deviations."""
+def estimates(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs of register rows, the similarity corrected for chance, and whether they can reach the threshold: by the
+    sizes of their sets, which is exact, and by the estimate plus ``DEVIATIONS`` standard deviations."""
     either = ((left > 0) | (right > 0)).sum(-1)
     equal = ((left == right) & (left > 0)).sum(-1)
     by_chance = chance(n_left, n_right)
@@ -117,7 +120,7 @@ def possible(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: n
     least = percent / 100
     slack = DEVIATIONS * np.sqrt(least * (1 - least) / np.maximum(either, 1))
     sizes = 100 * np.minimum(n_left, n_right) >= percent * np.maximum(n_left, n_right)
-    return sizes & (estimate >= least - slack)
+    return estimate, sizes & (estimate >= least - slack)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -159,7 +162,7 @@ def sorted_out(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 sizes = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
-                hold = possible(read_registers(batch.column("of_a")), read_registers(batch.column("of_b")), *sizes)
+                _, hold = estimates(read_registers(batch.column("of_a")), read_registers(batch.column("of_b")), *sizes)
                 yield batch.select(["a", "b"]).filter(pa.array(hold))
 
     side = lambda c: classes.select(F.col("class").alias(c), F.col("registers").alias(f"of_{c}"), F.col("n_shingles").alias(f"n_{c}"))
@@ -174,13 +177,19 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
     return pairs.join(side("a"), "a").join(side("b"), "b").withColumn("shared", shared).where(F.col("shared") * 100 >= either * percent).select("a", "b")
 
 
-def apart(buckets: DataFrame, groups: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes that share a bucket, are in different ``groups`` (id, component) so far, and can reach the
-    threshold. Buckets are compared in blocks against blocks; buckets within one group are left out."""
-    members = (
-        buckets.select("key", "class").join(groups, F.col("class") == F.col("id"), "left")
-        .select("key", "class", F.coalesce("component", "class").alias("together"))
-    )
+def in_groups(classes: DataFrame, groups: DataFrame) -> DataFrame:
+    """Every class with the group it is in so far, itself if ``groups`` (id, component) lacks it, and the group's size."""
+    placed = classes.select("class").join(groups, F.col("class") == F.col("id"), "left").select("class", F.coalesce("component", "class").alias("together"))
+    return placed.join(placed.groupBy("together").agg(F.count("*").alias("many")), "together")
+
+
+def apart(buckets: DataFrame, placed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Which classes should visit which other groups: (a, together, b), b being the member of that group that looks most like a.
+
+    A class visits a larger group (of equal ones that with the greater number) if it shares a bucket with a member that its
+    registers leave possible. Buckets are compared in blocks against blocks; buckets within one group are left out.
+    """
+    members = buckets.select("key", "class").join(placed, "class")
     mixed_buckets = (
         members.groupBy("key").agg(F.min("together").alias("least"), F.max("together").alias("most"), F.count("*").alias("n"))
         .where("least < most").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
@@ -192,31 +201,76 @@ def apart(buckets: DataFrame, groups: DataFrame, classes: DataFrame) -> DataFram
     rows = (
         members.join(mixed_buckets, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({"first": first, "second": second}).withColumn("task", task).join(classes.select("class", "registers", "n_shingles"), "class")
-        .select("task", "key", "first", "second", "own", "class", "together", "registers", "n_shingles")
+        .select("task", "key", "first", "second", "own", "class", "together", "many", "registers", "n_shingles")
     )
 
     def compare(group: pa.Table) -> pa.Table:
-        columns = {c: group[c].to_numpy() for c in ("key", "first", "second", "own", "class", "together", "n_shingles")}
+        names = ("key", "first", "second", "own", "class", "together", "many", "n_shingles")
+        key, first, second, own, name, together, many, n = (group[c].to_numpy() for c in names)
         values = read_registers(group["registers"])
-        order = np.lexsort((columns["second"], columns["first"], columns["key"]))
-        change = np.flatnonzero(np.any([np.diff(columns[c][order]) != 0 for c in ("key", "first", "second")], axis=0)) + 1
-        found = [np.zeros((0, 2), np.int64)]
+        order = np.lexsort((second, first, key))
+        change = np.flatnonzero(np.any([np.diff(c[order]) != 0 for c in (key, first, second)], axis=0)) + 1
+        found: dict[tuple[int, int], tuple[float, int]] = {}
         for part in np.split(order, change):
-            left = part[columns["own"][part] == columns["first"][part]]
-            right = part[columns["own"][part] == columns["second"][part]]
-            for i in left:
-                # Each pair once: by class number within a block, by side between blocks.
-                later = right[columns["class"][right] > columns["class"][i]] if columns["first"][i] == columns["second"][i] else right
-                later = later[columns["together"][later] != columns["together"][i]]
-                if len(later):
-                    n = columns["n_shingles"]
-                    hit = later[possible(values[i], values[later], n[i : i + 1], n[later])]
-                    if len(hit):
-                        found.append(np.stack([np.full(len(hit), columns["class"][i]), columns["class"][hit]], 1))
-        pairs = np.concatenate(found)
-        return pa.table({"a": pa.array(pairs.min(1) if len(pairs) else pairs[:, 0]), "b": pa.array(pairs.max(1) if len(pairs) else pairs[:, 0])})
-
-    return rows.groupBy("task").applyInArrow(compare, "a long, b long").distinct()
+            for side, other in ((first, second), (second, first)) if first[part[0]] != second[part[0]] else ((first, second),):
+                hosts = part[own[part] == other[part]]
+                for i in part[own[part] == side[part]]:
+                    larger = (many[hosts] > many[i]) | ((many[hosts] == many[i]) & (together[hosts] > together[i]))
+                    those = hosts[larger]
+                    if len(those):
+                        likeness, hold = estimates(values[i], values[those], n[i : i + 1], n[those])
+                        for host, like in zip(those[hold].tolist(), likeness[hold].tolist()):
+                            pair = int(name[i]), int(together[host])
+                            found[pair] = max(found.get(pair, (-1.0, 0)), (like, int(name[host])))
+        return pa.table({
+            "a": pa.array([a for a, _ in found], pa.int64()), "together": pa.array([t for _, t in found], pa.int64()),
+            "b": pa.array([b for _, b in found.values()], pa.int64()), "likeness": pa.array([x for x, _ in found.values()], pa.float64()),
+        })
+
+    seen = rows.groupBy("task").applyInArrow(compare, "a long, together long, b long, likeness double")
+    return seen.groupBy("a", "together").agg(F.max_by("b", F.struct("likeness", "b")).alias("b"))
+
+
+def met(visits: DataFrame, placed: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) that the full sets confirm between the visitors and any member of the groups that they visit, ``visits``
+    (a, together): one for each visitor and block of members. Both sides are dealt out in blocks of bounded size."""
+    hosts = placed.join(visits.select("together").distinct(), "together", "left_semi").select("together", F.col("class").alias("row"))
+    guests = visits.select("together", F.col("a").alias("row"))
+
+    def dealt(side: DataFrame, name: str) -> DataFrame:
+        counted = side.groupBy("together").agg(F.ceil(F.count("*") / MEETING).cast("int").alias(name))
+        return side, counted
+
+    (hosts, host_blocks), (guests, guest_blocks) = dealt(hosts, "host_blocks"), dealt(guests, "guest_blocks")
+    counts = host_blocks.join(guest_blocks, "together")
+    own = lambda blocks: F.pmod(F.xxhash64("row"), F.col(blocks)).cast("int")
+    each = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+    columns = ["together", "host_block", "guest_block", "visits", "row", "shingles"]
+    seated = lambda side: side.join(counts, "together").join(sets, "row")
+    rows = (
+        seated(hosts).withColumns({"visits": F.lit(False), "host_block": own("host_blocks")}).withColumn("guest_block", each("guest_blocks")).select(columns)
+        .unionByName(seated(guests).withColumns({"visits": F.lit(True), "guest_block": own("guest_blocks")}).withColumn("host_block", each("host_blocks")).select(columns))
+    )
+
+    def compare(key: tuple, group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        comes, names = group["visits"].to_numpy(zero_copy_only=False), group["row"].to_numpy()
+        lists = group["shingles"].combine_chunks() if group.num_rows else group["shingles"]
+        all_sets = [lists[i].values.to_numpy() for i in range(group.num_rows)]
+        own_hosts, links = np.flatnonzero(~comes), []
+        if len(own_hosts):
+            together, sizes = np.concatenate([all_sets[i] for i in own_hosts]), np.array([len(all_sets[i]) for i in own_hosts])
+            starts = np.cumsum(sizes) - sizes
+            for i in np.flatnonzero(comes):
+                guest = np.sort(all_sets[i])
+                at = np.minimum(np.searchsorted(guest, together), len(guest) - 1)
+                shared = np.add.reduceat((guest[at] == together).astype(np.int64), starts)
+                hit = np.flatnonzero(100 * shared >= percent * (len(guest) + sizes - shared))
+                if len(hit):
+                    links.append((names[i], names[own_hosts[hit[0]]]))
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return rows.groupBy("together", "host_block", "guest_block").applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -250,8 +304,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .groupBy("class").agg(F.max_by("lead", F.struct("n", -F.col("lead"))).alias("a")).select("a", F.col("class").alias("b"))
     )
     first = stored(confirmed(sorted_out(nearest, classes), sets), "links")
-    second = stored(confirmed(apart(buckets, components(first), classes), sets), "links")
-    linked = components(first.unionByName(second))
+    placed = stored(in_groups(classes, components(first)), "groups")
+    visits = stored(apart(buckets, placed, classes), "visits")
+    second = stored(confirmed(visits.select("a", "b"), sets), "links")
+    joined = components(first.unionByName(second))
+    # Who is still apart from a group of more than one compares itself with every member of it.
+    now = in_groups(classes, joined).select("class", F.col("together").alias("now"))
+    several = placed.where("many > 1").select("together").distinct()
+    group_now = placed.select("together", "class").join(now, "class").groupBy("together").agg(F.min("now").alias("theirs"))
+    open_visits = stored(
+        visits.join(several, "together", "left_semi").join(now.withColumnRenamed("class", "a"), "a").join(group_now, "together")
+        .where("now <> theirs").select("a", "together"),
+        "visits",
+    )
+    linked = components(first.unionByName(second).unionByName(met(open_visits, placed, sets)))
     groups = classes.select("same", "class", "least_id").join(linked, F.col("class") == F.col("id"), "left").select(
         "same", "least_id", F.coalesce("component", "class").alias("group")
     )

@@ -10,7 +10,8 @@ from hypothesis import strategies as st
 
 from khodat.llm.components import components
 from khodat.llm.minhash import (
-    BANDS, apart, band_keys, chance, drop_near_duplicates, near_digest, near_duplicates, possible, registers, shingle_sets,
+    BANDS, apart, band_keys, chance, drop_near_duplicates, estimates, in_groups, met, near_digest, near_duplicates, registers,
+    shingle_sets,
 )
 
 
@@ -72,21 +73,45 @@ def test_empty(documents):
     assert [r.n_shingles for r in near_digest(documents([None, " "])).collect()] == [0, 0]
 
 
-def test_links_that_the_leader_of_a_bucket_lacks(spark, monkeypatch):
-    """A chain a - b - c where a and c are not linked, in one bucket, in blocks of one member."""
+def test_visits_and_meetings(spark, monkeypatch):
+    """A chain a - b - c where a and c are not linked, in one bucket, in blocks of one, two and many members."""
     words = [f"w{i}" for i in range(100)]
-    texts = [" ".join(words), " ".join(words[8:] + [f"x{i}" for i in range(2)]), " ".join(words[16:] + [f"x{i}" for i in range(4)]), "far away from all others here"]
+    texts = [" ".join(words), " ".join(words[8:] + [f"x{i}" for i in range(2)]), " ".join(words[20:] + [f"x{i}" for i in range(4)]), "far away from all others here"]
     sets = shingle_sets(pa.array(texts))
-    values = registers(sets)
-    classes = spark.createDataFrame([(i, bytearray(v.tobytes()), len(s)) for i, (v, s) in enumerate(zip(values, sets))], "class long, registers binary, n_shingles long")
+    classes = spark.createDataFrame(
+        [(i, bytearray(v.tobytes()), len(s)) for i, (v, s) in enumerate(zip(registers(sets), sets))], "class long, registers binary, n_shingles long"
+    )
+    full = spark.createDataFrame([(i, s.view(np.int64).tolist()) for i, s in enumerate(sets)], "row long, shingles array<bigint>")
     buckets = spark.createDataFrame([(5, i) for i in range(4)], "key long, class long")
-    nothing = spark.createDataFrame([], "id long, component long")
+    groups = lambda *rows: in_groups(classes, spark.createDataFrame(list(rows), "id long, component long"))
     for block in (1, 2, 1024):
         monkeypatch.setattr("khodat.llm.minhash.BLOCK", block)
-        got = {tuple(r) for r in apart(buckets, nothing, classes).collect()}
-        assert {(0, 1), (1, 2)} <= got and not any(3 in p for p in got)
-    together = spark.createDataFrame([(0, 0), (1, 0), (2, 0), (3, 0)], "id long, component long")
-    assert apart(buckets, together, classes).collect() == []
+        monkeypatch.setattr("khodat.llm.minhash.MEETING", block)
+        alone = {(r.a, r.together, r.b) for r in apart(buckets, groups(), classes).collect()}
+        assert {(0, 1, 1), (1, 2, 2)} <= alone and not any(3 in v for v in alone)
+        pair = groups((1, 1), (2, 1))
+        visits = apart(buckets, pair, classes)
+        assert [(r.a, r.together, r.b) for r in visits.collect()] == [(0, 1, 1)]
+        assert {tuple(r) for r in met(visits.select("a", "together"), pair, full).collect()} == {(0, 1)}
+        wrong = spark.createDataFrame([(3, 1), (0, 1)], "a long, together long")
+        assert {tuple(r) for r in met(wrong, pair, full).collect()} == {(0, 1)}
+    assert apart(buckets, groups((0, 0), (1, 0), (2, 0), (3, 0)), classes).collect() == []
+
+
+def test_a_large_group_whose_members_are_not_all_linked(documents):
+    """Copies of one text with many edits: most are linked with some other copy, few with the first, some with none."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for _ in range(150):
+        own = list(base)
+        for _ in range(rng.randrange(1, 5)):
+            own[rng.randrange(len(own))] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(own))
+    docs = documents(texts)
+    wanted = brute_components(docs.collect())
+    assert 5 < len({w[2] for w in wanted}) < 140
+    assert sorted(map(tuple, near_digest(docs).collect()), key=str) == wanted
 
 
 def test_registers_hold_the_zeros_and_what_follows():
@@ -107,7 +132,7 @@ def test_estimates_are_corrected_for_chance():
             by_chance = chance(len(a), len(b))
             hits.append((((ra == rb) & (ra > 0)).sum() / ((ra > 0) | (rb > 0)).sum() - by_chance) / (1 - by_chance))
             if shared / (shared + 2 * own) >= 0.8:
-                assert possible(ra[None], rb[None], np.array([len(a)]), np.array([len(b)])).all()
+                assert estimates(ra[None], rb[None], np.array([len(a)]), np.array([len(b)]))[1].all()
         assert abs(np.mean(hits) - shared / (shared + 2 * own)) < 0.03
 
 
