@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from khodat.checks import data
 from khodat.checks.registry import query
 from khodat.operators import maintenance, rows
+from khodat.operators.files import write_parquet
+from khodat.session import scratch_path
+from khodat.sources.files import list_files
 
 
 @query("count_rows", "select count(1) as n_rows from lineitem")
@@ -71,3 +74,22 @@ def orphan_files(spark, sf):
     listing = data.table(spark, sf, "orders").selectExpr("o_orderkey as path", "o_orderdate as mtime")
     manifest = data.table(spark, sf, "lineitem").selectExpr("l_orderkey as path")
     return maintenance.orphan_files(listing, manifest, F.lit("2000-01-01").cast("timestamp_ntz"))
+
+
+@query(
+    "orphan_files_on_disk",
+    "select 'Quận ' || c_mktsegment as segment, true as found from customer where c_custkey % 3 = 0 group by 1",
+)
+def orphan_files_on_disk(spark, sf):
+    """A partitioned table under a folder with a space and partition values with Vietnamese letters; files that its manifest lacks."""
+    folder = scratch_path(spark, "bảng khách hàng")
+    customers = data.table(spark, sf, "customer").withColumn("segment", F.concat(F.lit("Quận "), "c_mktsegment"))
+    write_parquet(customers, folder, by=["segment"])
+    manifest_path = scratch_path(spark, "manifest")
+    spark.read.parquet(folder).select(F.col("_metadata.file_path").alias("path")).distinct().write.parquet(manifest_path)
+    write_parquet(customers.where("c_custkey % 3 = 0"), folder, by=["segment"])
+    found = maintenance.orphan_files(
+        list_files(spark, folder).where("path like '%.parquet'"), spark.read.parquet(manifest_path), F.date_add(F.current_date(), 1)
+    )
+    segment = F.url_decode(F.regexp_extract("path", "segment=([^/]*)/", 1))
+    return found.select(segment.alias("segment")).distinct().withColumn("found", F.lit(True))

@@ -58,25 +58,36 @@ def scan_parquet_empty_fallback(spark, sf):
     )
 
 
-@query("scan_with_options", "select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer")
+@query(
+    "scan_with_options",
+    "select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer union all "
+    "select o_custkey, o_orderpriority, cast(o_orderkey as integer), case when o_orderkey % 2 = 0 then o_totalprice end, 'order' from orders",
+)
 def scan_with_options(spark, sf):
-    customers = data.table(spark, sf, "customer")
-    as_json, as_csv = scratch_path(spark, "json"), scratch_path(spark, "csv")
+    """Each format with options; the Parquet files differ in columns and types, and stray files lie beside them."""
+    customers, orders = data.table(spark, sf, "customer"), data.table(spark, sf, "orders")
+    as_json, as_csv, as_parquet = (scratch_path(spark, n) for n in ("json", "csv", "parquet"))
     customers.where("coalesce(c_acctbal < 0, false)").write.json(as_json)
     customers.where("not coalesce(c_acctbal < 0, false)").write.option("sep", "|").option("header", True).csv(as_csv)
+    same = orders.selectExpr("o_custkey as c_custkey", "o_orderpriority as c_name", "o_orderkey as c_nationkey", "'order' as c_mktsegment", "o_totalprice")
+    same.where("c_nationkey % 2 = 0").withColumnRenamed("o_totalprice", "c_acctbal").write.parquet(f"{as_parquet}/even")
+    same.where("c_nationkey % 2 <> 0").drop("o_totalprice").write.parquet(f"{as_parquet}/odd")
+    same.write.option("compression", "gzip").parquet(f"{as_parquet}/stray")
+    options = {"mergeSchema": "true", "pathGlobFilter": "*.snappy.parquet", "recursiveFileLookup": "true"}
     return files.read_source(spark, as_json, "json", CUSTOMER, {"mode": "FAILFAST"}).unionByName(
         files.read_source(spark, as_csv, "csv", CUSTOMER, {"sep": "|", "header": "true"})
-    )
+    ).unionByName(files.read_source(spark, as_parquet, "parquet", CUSTOMER, options))
 
 
 @query(
     "scan_all_string",
-    "select cast(s_suppkey as varchar) as s_suppkey, s_name, cast(s_nationkey as varchar) as s_nationkey from supplier",
+    "select cast(s_suppkey as varchar) as s_suppkey, s_name, cast(s_nationkey as varchar) as s_nationkey, "
+    "cast(s_acctbal as varchar) as s_acctbal from supplier",
 )
 def scan_all_string(spark, sf):
     path = scratch_path(spark, "supplier.csv")
-    schema = struct(s_suppkey="bigint", s_name="string", s_nationkey="integer")
-    write_csv(data.table(spark, sf, "supplier").select(*schema.fieldNames()), path)
+    schema = struct(s_suppkey="bigint", s_name="string", s_nationkey="integer", s_acctbal="double")
+    write_csv(data.table(spark, sf, "supplier"), path)
     return files.read_source(spark, path, "csv", schema, {"header": "true"}, all_string=True)
 
 

@@ -79,10 +79,10 @@ def sink_parquet_overwrite(spark, sf):
     return spark.read.schema(lines.schema).parquet(path)
 
 
-@query("sink_csv", f"select nullif(du_an, '') as du_an, status, area, room from ({data.LISTINGS_SQL}) l")
+@query("sink_csv", f"select * replace (nullif(du_an, '') as du_an, nullif(location, '') as location) from ({data.LISTINGS_SQL}) l")
 def sink_csv(spark, sf):
     path = scratch_path(spark, "listings.csv")
-    rows = data.listings(spark, sf).select("du_an", "status", "area", "room")
+    rows = data.listings(spark, sf)
     write_csv(rows, path)
     return read_csv(spark, path, rows.schema)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,11 +46,35 @@ def expired_snapshots(
     )
 
 
+def plain_path(path: Column) -> Column:
+    """A file's path in one form: without scheme and authority, and with the escapes of a URI resolved. What has no scheme
+    is no URI and stays as it is."""
+    uri = "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+    text = path.cast("string")
+    decoded = F.try_url_decode(F.regexp_replace(F.regexp_replace(text, uri, ""), r"\+", "%2B"))
+    return F.when(F.regexp_like(text, F.lit("^[A-Za-z][A-Za-z0-9+.-]*:/")), F.coalesce(decoded, F.regexp_replace(text, uri, ""))).otherwise(text)
+
+
+def _common_folder(paths: DataFrame) -> str | None:
+    """The deepest folder that all paths are below; None without paths. The least and the greatest path decide."""
+    least, most = paths.agg(F.min("_path"), F.max("_path")).first()
+    return None if least is None else os.path.commonprefix([least, most]).rpartition("/")[0]
+
+
 def orphan_files(
     listing: DataFrame, manifest: DataFrame, older_than: Column | None = None, path: str = "path", mtime: str = "mtime"
 ) -> DataFrame:
-    """Listed files no manifest entry refers to, last modified before ``older_than`` (midnight two days ago)."""
+    """Listed files no manifest entry refers to, last modified before ``older_than`` (midnight two days ago).
+
+    Both sides name files as ``list_files`` and ``_metadata.file_path`` do. Scheme and authority may differ: paths are
+    compared without them. Where neither side's folder holds the other's, nothing could ever match and every live file would
+    be reported, so that raises.
+    """
     if older_than is None:
         older_than = F.date_sub(F.current_date(), 2)
-    referenced = manifest.select(path).distinct()
-    return listing.where(F.col(mtime) < older_than).join(referenced, path, "left_anti").select(*listing.columns)
+    listed = listing.withColumn("_path", plain_path(F.col(path)))
+    referenced = manifest.select(plain_path(F.col(path)).alias("_path")).distinct()
+    ours, theirs = _common_folder(listed), _common_folder(referenced)
+    if ours is not None and theirs is not None and not f"{ours}/".startswith(f"{theirs}/") and not f"{theirs}/".startswith(f"{ours}/"):
+        raise ValueError(f"listed files are below {ours or '/'}, referenced ones below {theirs or '/'}")
+    return listed.where(F.col(mtime) < older_than).join(referenced, "_path", "left_anti").select(*listing.columns)

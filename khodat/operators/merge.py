@@ -14,8 +14,12 @@ class DuplicateKeyError(ValueError):
     """A target row matches more than one source row."""
 
 
-def _same_keys(keys: Sequence[str], left: str, right: str) -> Column:
-    return reduce(and_, [F.col(f"{left}.`{k}`") == F.col(f"{right}.`{k}`") for k in keys])
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def same_keys(keys: Sequence[str], left: str, right: str) -> Column:
+    return reduce(and_, [F.col(f"{left}.{quoted(k)}") == F.col(f"{right}.{quoted(k)}") for k in keys])
 
 
 def check_single_match(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
@@ -24,10 +28,13 @@ def check_single_match(target: DataFrame, source: DataFrame, keys: Sequence[str]
     Only keys are read, and counted before they are shuffled. The target is looked at only when the source
     does repeat a key.
     """
-    repeated = source.select(*keys).dropna().groupBy(*keys).count().where("count > 1")
+    names = [quoted(k) for k in keys]
+    known = reduce(and_, [F.col(n).isNotNull() for n in names])
+    repeated = source.select(*names).where(known).groupBy(*names).count().where("count > 1")
     if repeated.isEmpty():
         return
-    clash = repeated.join(target.select(*keys), list(keys), "left_semi").first()
+    matches = same_keys(keys, "s", "t")
+    clash = repeated.alias("s").join(target.select(*names).alias("t"), matches, "left_semi").first()
     if clash is not None:
         raise DuplicateKeyError(f"source holds {clash['count']} rows for one target key {clash.asDict()}")
 
@@ -48,7 +55,8 @@ def merge_upsert(
     if not keys:
         raise ValueError("a merge needs key columns")
     columns = target.columns
-    rows = source.select(*columns)
+    names = [quoted(k) for k in keys]
+    rows = source.select(*map(quoted, columns))
     if dedup:
         rows = rows.distinct()
     check_single_match(target, rows, keys)
@@ -56,11 +64,11 @@ def merge_upsert(
     if small_source:
         rows = F.broadcast(rows)
     found = rows.withColumn("_found", F.lit(True)).alias("s")
-    updated = target.alias("t").join(found, _same_keys(keys, "t", "s"), "left_outer").select(
-        *[F.when(F.col("s._found"), F.col(f"s.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c) for c in columns]
+    updated = target.alias("t").join(found, same_keys(keys, "t", "s"), "left_outer").select(
+        *[F.when(F.col("s._found"), F.col(f"s.{quoted(c)}")).otherwise(F.col(f"t.{quoted(c)}")).alias(c) for c in columns]
     )
-    present = target.select(*keys)
+    present = target.select(*names)
     if small_source:
-        present = present.join(rows.select(*keys), keys, "left_semi")
-    added = rows.join(present.distinct(), keys, "left_anti").select(*columns)
+        present = present.alias("t").join(rows.select(*names).alias("s"), same_keys(keys, "t", "s"), "left_semi")
+    added = rows.alias("s").join(present.distinct().alias("t"), same_keys(keys, "s", "t"), "left_anti")
     return updated.unionByName(added)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,20 +28,27 @@ def partition_count(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION)
 
 
 def sized_for_write(df: DataFrame, num_partitions: int | None = None, by: Sequence[str] = ()) -> DataFrame:
-    """Frame in output-sized partitions: exactly ``num_partitions`` if given, else by size.
+    """Frame in output-sized partitions: ``num_partitions`` if given, else by size.
 
     Sizing by size needs no counting pass. With partition columns their rows are brought together, small groups
     merged and oversized ones split, so a hot partition value does not end in one task. Without them the frame
     stays as it is: scans are split and shuffles merged by size already, and another shuffle would gain nothing.
     """
+    names = [F.col("`" + c.replace("`", "``") + "`") for c in by]
     if num_partitions:
-        return df.repartition(num_partitions)
-    return df.hint("rebalance", *by) if by else df
+        # With partition columns too: each value in few tasks, not each task with all values.
+        return df.hint("rebalance", num_partitions, *names) if by else df.repartition(num_partitions)
+    return df.hint("rebalance", *names) if by else df
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
-    """Concatenation by column name; a column missing from a frame is NULL there."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    """Concatenation by column name; a column missing from a frame is NULL there. Neighbours are joined in pairs, so that
+    the plan of many frames stays flat."""
+    frames = list(frames)
+    while len(frames) > 1:
+        pairs = zip(frames[::2], frames[1::2])
+        frames = [a.unionByName(b, allowMissingColumns=True) for a, b in pairs] + frames[len(frames) // 2 * 2 :]
+    return frames[0]
 
 
 def newest(listing: DataFrame, by: Sequence[str] = (), path: str = "path", mtime: str = "mtime") -> DataFrame:

@@ -2,32 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
-from operator import add, and_
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from khodat.functions.dates import DAY_SUFFIX, day_partition
-from khodat.operators.merge import merge_upsert
+from khodat.operators.merge import merge_upsert, quoted, same_keys
 from khodat.operators.rows import sized_for_write
-from khodat.schema import ROW_LEVEL_FORMATS, Partition, TableSpec
-from khodat.session import scratch_path
-from khodat.sources.files import as_strings, list_files
+from khodat.schema import DEFAULT_TABLE_PROPERTIES, FILE_FORMATS, ROW_LEVEL_FORMATS, Partition, TableSpec
+from khodat.session import scratch_database
+from khodat.sources.files import as_strings
 
-WRITE_TRUNCATE, WRITE_APPEND, WRITE_EMPTY, WRITE_MERGE = (
-    "WRITE_TRUNCATE", "WRITE_APPEND", "WRITE_EMPTY", "WRITE_MERGE",
+WRITE_TRUNCATE, WRITE_APPEND, WRITE_EMPTY, WRITE_MERGE, WRITE_REPLACE = (
+    "WRITE_TRUNCATE", "WRITE_APPEND", "WRITE_EMPTY", "WRITE_MERGE", "WRITE_REPLACE",
 )
 CREATE_IF_NEEDED, CREATE_NEVER = "CREATE_IF_NEEDED", "CREATE_NEVER"
 
 
+def _text(value: object) -> str:
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _pairs(values: dict[str, str]) -> str:
-    def text(v: object) -> str:
-        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return ", ".join(f"{_text(k)}={_text(v)}" for k, v in values.items())
+
+
+def _detail(spark: SparkSession, table: str) -> dict[str, str]:
+    """What DESCRIBE says of the table besides its columns."""
+    rows = [(r.col_name, r.data_type) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()]
+    start = next((i for i, (name, _) in enumerate(rows) if name.startswith("# Detailed")), len(rows))
+    return dict(rows[start + 1 :])
 
-    return ", ".join(f"{text(k)}={text(v)}" for k, v in values.items())
+
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 
 
 def create_database(spark: SparkSession, name: str) -> None:
@@ -96,20 +109,40 @@ def create_or_replace_table_as(
     distinct: bool = True,
     num_partitions: int | None = None,
     fmt: str = "parquet",
+    location: str | None = None,
+    properties: dict[str, str] | None = None,
 ) -> None:
     """Replaces the table, schema included, by the rows of ``df``; partitioned tables need a sort order.
 
-    Rows are sorted within each task by partition and sort columns. No global sort takes place.
+    Rows are sorted within each task by partition and sort columns. No global sort takes place. A DAY partition is a
+    transform where the format has them. A table that exists keeps its properties and, unless another is given, a location
+    outside of the warehouse; given properties win over those, and those over the defaults.
     """
+    spark = df.sparkSession
     if partitions and not sort_by:
         raise ValueError("a partitioned table needs sort columns")
+    before: dict[str, str] = {}
+    if spark.catalog.tableExists(table):
+        before, detail = _properties(spark, table), _detail(spark, table)
+        location = location or (detail.get("Location") if detail.get("Type") == "EXTERNAL" else None)
     rows = df.distinct() if distinct else df
+    all_properties = {**DEFAULT_TABLE_PROPERTIES, **before, **(properties or {})}
+    if fmt in ROW_LEVEL_FORMATS:
+        by = [F.days(p.column) if p.kind == "DAY" else F.col(quoted(p.column)) for p in partitions if p.kind != "NONE"]
+        writer = (sized_for_write(rows, num_partitions).sortWithinPartitions(*sort_by) if sort_by else rows).writeTo(table).using(fmt)
+        for key, value in {**all_properties, **({"location": location} if location else {})}.items():
+            writer = writer.tableProperty(key, value)
+        (writer.partitionedBy(*by) if by else writer).createOrReplace()
+        return
     rows, names = with_partitions(rows, partitions)
     rows = sized_for_write(rows, num_partitions, names)
     if sort_by:
-        rows = rows.sortWithinPartitions(*names, *sort_by)
+        rows = rows.sortWithinPartitions(*map(quoted, [*names, *sort_by]))
     writer = rows.write.format(fmt).mode("overwrite")
+    if location:
+        writer = writer.option("path", location)
     (writer.partitionBy(*names) if names else writer).saveAsTable(table)
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_pairs(all_properties)})")
 
 
 def _partition_columns(spark: SparkSession, table: str) -> list[str]:
@@ -120,75 +153,175 @@ def _in_table_order(df: DataFrame, table: str) -> DataFrame:
     """Columns by name in the order of the table; partition days are derived from their timestamps."""
     spark = df.sparkSession
     missing = [c for c in _partition_columns(spark, table) if c not in df.columns and c.endswith(DAY_SUFFIX)]
-    days = {c: F.to_date(c.removesuffix(DAY_SUFFIX)) for c in missing}
-    return df.withColumns(days).select(*spark.table(table).columns)
+    days = {c: F.to_date(quoted(c.removesuffix(DAY_SUFFIX))) for c in missing}
+    return df.withColumns(days).select(*map(quoted, spark.table(table).columns))
 
 
-def _sized_for_table(df: DataFrame, table: str, num_partitions: int | None = None) -> DataFrame:
+def _sized_for_table(
+    df: DataFrame, table: str, num_partitions: int | None = None, sort_by: Sequence[str] = ()
+) -> DataFrame:
     rows = _in_table_order(df, table)
-    return sized_for_write(rows, num_partitions, _partition_columns(df.sparkSession, table))
+    names = _partition_columns(df.sparkSession, table)
+    rows = sized_for_write(rows, num_partitions, names)
+    return rows.sortWithinPartitions(*map(quoted, [*names, *sort_by])) if sort_by else rows
+
+
+@contextmanager
+def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
+    """What an overwrite replaces meanwhile: the ``static`` whole table, or the ``dynamic`` partitions that get rows. An
+    insert into a table takes that from the session alone."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def insert_overwrite(
-    df: DataFrame, table: str, distinct: bool = True, num_partitions: int | None = None
+    df: DataFrame, table: str, distinct: bool = True, num_partitions: int | None = None, sort_by: Sequence[str] = ()
 ) -> None:
-    """Replaces the rows of the table. ``df`` must not read from the table itself."""
+    """Replaces all rows of the table, whatever the session's overwrite mode. ``df`` must not read from the table itself."""
     rows = df.distinct() if distinct else df
-    _sized_for_table(rows, table, num_partitions).write.insertInto(table, overwrite=True)
+    with _overwriting(df.sparkSession, "static"):
+        _sized_for_table(rows, table, num_partitions, sort_by).write.insertInto(table, overwrite=True)
 
 
-def insert_append(df: DataFrame, table: str) -> None:
+def insert_append(df: DataFrame, table: str, sort_by: Sequence[str] = ()) -> None:
     """Adds the rows; running it twice adds them twice."""
-    _sized_for_table(df, table).write.insertInto(table)
+    _sized_for_table(df, table, sort_by=sort_by).write.insertInto(table)
 
 
-def replace_content(df: DataFrame, table: str) -> None:
-    """Replaces the table by ``df``, which may read from it: the result is written next to it, then swapped in."""
+@contextmanager
+def _staged(df: DataFrame) -> Iterator[str]:
+    """A table in the shared folder that holds the rows of ``df``. It goes afterwards, but stays if the work with it fails:
+    by then it may be the only place of the rows."""
     spark = df.sparkSession
-    following = f"{table}__next"
-    spark.sql(f"DROP TABLE IF EXISTS {following}")
-    names = _partition_columns(spark, table)
-    writer = sized_for_write(df, by=names).write.format("parquet")
-    (writer.partitionBy(*names) if names else writer).saveAsTable(following)
-    properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-    if properties:
-        spark.sql(f"ALTER TABLE {following} SET TBLPROPERTIES ({_pairs(properties)})")
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {following} RENAME TO {table}")
-    if names:
-        spark.catalog.recoverPartitions(table)  # the catalog still has them where they were before the rename
+    database = scratch_database(spark)
+    table = f"{database}.staged"
+    df.write.saveAsTable(table)
+    try:
+        yield table
+    except Exception as error:
+        error.add_note(f"the new rows are kept in the table {table}")
+        raise
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def _keepable(spark: SparkSession, table: str) -> str:
+    """The table's format, if its content can be replaced so that the table stays what it is."""
+    provider = _detail(spark, table).get("Provider", "").lower()
+    if provider not in FILE_FORMATS + ROW_LEVEL_FORMATS:
+        raise ValueError(f"{table} is stored as {provider or 'nothing known'}; its rows can't be replaced in place")
+    return provider
+
+
+def replace_content(df: DataFrame, table: str) -> None:
+    """Replaces the rows of the table by ``df``, which may read from it and has the table's columns.
+
+    Format, options, location, comments, properties and partitions stay: the table itself is never dropped. The result
+    is stored first; a failure until then changes nothing.
+    """
+    _keepable(df.sparkSession, table)
+    with _staged(df) as staged:
+        insert_overwrite(df.sparkSession.table(staged), table, distinct=False)
 
 
-# A source is broadcast in a merge if it takes at most this many bytes stored, and four times as many read.
-SMALL_SOURCE_BYTES = 16 * 1024 * 1024
+def _column_list(df: DataFrame, like: DataFrame) -> str:
+    comments = {f.name: f.metadata.get("comment") for f in like.schema}
+    return ", ".join(
+        f"{quoted(f.name)} {f.dataType.simpleString()}" + (f" COMMENT {_text(comments[f.name])}" if comments.get(f.name) else "")
+        for f in df.schema
+    )
 
 
-def is_small(source: DataFrame, path: str) -> bool:
-    """Whether the frame stored at the path is small enough to broadcast.
+def replace_with_types(df: DataFrame, table: str) -> None:
+    """Replaces rows and column types of the table by those of ``df``; everything else stays.
 
-    Files can hold far more than their size when values repeat, so what passes by size is measured value by value.
+    Plain file tables can't change a type, so there the table is made anew from its own definition, at its old location if it
+    has one of its own, while the one before stands aside under another name and comes back if the new one can't be made. Formats with row-level
+    writes replace the table in one step of their own.
     """
-    stored = list_files(source.sparkSession, path).agg(F.sum("size")).first()[0] or 0
-    if stored > SMALL_SOURCE_BYTES:
-        return False
-    row_bytes = reduce(add, [
-        F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in source.columns
-    ])
-    return (source.agg(F.sum(row_bytes.cast("bigint"))).first()[0] or 0) <= 4 * SMALL_SOURCE_BYTES
+    spark = df.sparkSession
+    provider = _keepable(spark, table)
+    columns = _column_list(df, spark.table(table))
+    # From the format on: options, partitions, comment, location, properties.
+    definition = "USING " + spark.sql(f"SHOW CREATE TABLE {table}").first()[0].split("\nUSING ", 1)[1]
+    with _staged(df) as staged:
+        if provider in ROW_LEVEL_FORMATS:
+            spark.sql(f"CREATE OR REPLACE TABLE {table}\n{definition}\nAS SELECT * FROM {staged}")
+            return
+        before = f"{table}__before"
+        spark.sql(f"ALTER TABLE {table} RENAME TO {before}")
+        try:
+            spark.sql(f"CREATE TABLE {table} ({columns})\n{definition}")
+        except Exception:
+            spark.sql(f"ALTER TABLE {before} RENAME TO {table}")
+            raise
+        insert_overwrite(spark.table(staged), table, distinct=False)
+        spark.sql(f"DROP TABLE {before}")
+
+
+# A source is broadcast in a merge if its values take at most this many bytes.
+SMALL_SOURCE_BYTES = 64 * 1024 * 1024
+
+
+def is_small(source: DataFrame) -> bool:
+    """Whether the frame is small enough to broadcast, measured value by value: files can hold far more than their size
+    when values repeat."""
+    row_bytes = reduce(add, [F.coalesce(F.octet_length(F.col(quoted(c)).cast("string")), F.lit(0)) + 16 for c in source.columns])
+    return (source.agg(F.sum(row_bytes.cast("bigint"))).first()[0] or 0) <= SMALL_SOURCE_BYTES
 
 
 def has_merge(spark: SparkSession, table: str) -> bool:
     """Whether the table's format has a MERGE of its own."""
-    provider = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Provider'").first()
-    return provider is not None and provider.data_type.lower() in ROW_LEVEL_FORMATS
+    return _detail(spark, table).get("Provider", "").lower() in ROW_LEVEL_FORMATS
+
+
+def _in_partitions(names: Sequence[str], values: Sequence[str]):
+    """Condition on partition columns alone, so that the others are not even listed. One set test, however many values."""
+    return _partition_key(names).isin(list(values))
+
+
+def _partition_key(names: Sequence[str]):
+    return F.to_json(F.struct(*map(quoted, names)), {"ignoreNullFields": "false"})
+
+
+def _merge_partitions(source: DataFrame, table: str, keys: Sequence[str], names: Sequence[str], small: bool) -> None:
+    """A merge that rewrites only the partitions it touches: those of matched rows, before and after, and of added rows.
+
+    Their names come to the driver, as they do for every listing of the table.
+    """
+    spark = source.sparkSession
+    target = spark.table(table)
+    wanted = F.broadcast(source) if small else source
+    matched = target.alias("t").join(wanted.select(*map(quoted, keys)).alias("s"), same_keys(keys, "t", "s"), "left_semi")
+    key = _partition_key(names).alias("partition")
+    touched = matched.select(key, *map(quoted, names)).unionByName(source.select(key, *map(quoted, names))).distinct().collect()
+    if not touched:
+        return
+    within = target.where(_in_partitions(names, [r.partition for r in touched]))
+    merged = merge_upsert(within, source, keys, dedup=False, small_source=small)
+    with _staged(merged) as staged:
+        rows = spark.table(staged)
+        with _overwriting(spark, "dynamic"):
+            _sized_for_table(rows, table).write.insertInto(table, overwrite=True)
+        filled = {r.partition for r in rows.select(key).distinct().collect()}
+        others = ", ".join(quoted(c) for c in target.columns if c not in names)
+        for r in touched:
+            # All rows moved elsewhere: nothing has overwritten this partition.
+            if r.partition not in filled:
+                spec = ", ".join(f"{quoted(n)}={'null' if r[n] is None else _text(r[n])}" for n in names)
+                spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT {others} FROM {staged} WHERE false")
 
 
 def merge_into(df: DataFrame, table: str, keys: Sequence[str], distinct: bool = True) -> None:
     """Updates the rows whose keys match and adds the others.
 
-    Where the table format has MERGE that is used, and only the files with matches are rewritten. Plain Parquet
-    tables have none, so there the merged table is written anew. The source then goes to the shared folder first:
-    it is read several times, and its size is known from there. A small one is broadcast, so the target is not
+    Where the table format has MERGE that is used, and only the files with matches are rewritten. Plain file tables have
+    none: there the partitions that change are rewritten, or the whole table if it has no partitions. The source then
+    goes to the shared folder first, since it is read several times. A small one is broadcast, so the target is not
     shuffled; beyond that both sides are shuffled by key.
     """
     spark = df.sparkSession
@@ -197,20 +330,23 @@ def merge_into(df: DataFrame, table: str, keys: Sequence[str], distinct: bool =
     if not keys:
         raise ValueError("a merge needs key columns")
     if has_merge(spark, table):
-        same = reduce(and_, [F.col(f"{table}.`{k}`") == F.col(f"s.`{k}`") for k in keys])
-        rows.alias("s").mergeInto(table, same).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+        rows.alias("s").mergeInto(table, same_keys(keys, table, "s")).whenMatched().updateAll().whenNotMatched().insertAll().merge()
         return
-    path = scratch_path(spark, "merge_source")
-    rows.write.parquet(path)
-    source = spark.read.schema(rows.schema).parquet(path)
-    merged = merge_upsert(spark.table(table), source, keys, dedup=False, small_source=is_small(source, path))
-    replace_content(merged, table)
+    _keepable(spark, table)
+    with _staged(rows) as staged:
+        source = spark.table(staged)
+        small, names = is_small(source), _partition_columns(spark, table)
+        if names:
+            _merge_partitions(source, table, keys, names, small)
+        else:
+            replace_content(merge_upsert(spark.table(table), source, keys, dedup=False, small_source=small), table)
 
 
 def retype_swap(spark: SparkSession, table: str, types: dict[str, str]) -> None:
     """Changes column types; a value that cannot be read in the new type becomes NULL."""
     df = spark.table(table)
-    replace_content(df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()}).select(*df.columns), table)
+    retyped = [F.col(quoted(c)).try_cast(types[c]).alias(c) if c in types else F.col(quoted(c)) for c in df.columns]
+    replace_with_types(df.select(*retyped), table)
 
 
 def drop_table(spark: SparkSession, table: str, purge: bool = False) -> None:
@@ -224,21 +360,29 @@ def write_table(
     write: str = WRITE_TRUNCATE,
     create: str = CREATE_IF_NEEDED,
     distinct: bool = True,
+    location: str | None = None,
 ) -> None:
-    """One entry to all write modes, creating the table first if that is allowed."""
+    """One entry to all write modes, creating the table first if that is allowed. Rows are sorted within tasks as the
+    specification says; WRITE_REPLACE also replaces columns, partitions and properties by those of the specification."""
     spark = df.sparkSession
-    if not spark.catalog.tableExists(table):
-        if create == CREATE_NEVER:
-            raise ValueError(f"table {table} does not exist")
-        create_table(spark, table, spec)
+    exists = spark.catalog.tableExists(table)
+    if not exists and create == CREATE_NEVER:
+        raise ValueError(f"table {table} does not exist")
+    if write == WRITE_REPLACE:
+        create_or_replace_table_as(
+            df, table, spec.partitions, spec.sort_by, distinct, fmt=spec.format, location=location, properties=spec.properties
+        )
+        return
+    if not exists:
+        create_table(spark, table, spec, location=location)
     if write == WRITE_TRUNCATE:
-        insert_overwrite(df, table, distinct)
+        insert_overwrite(df, table, distinct, sort_by=spec.sort_by)
     elif write == WRITE_APPEND:
-        insert_append(df.distinct() if distinct else df, table)
+        insert_append(df.distinct() if distinct else df, table, spec.sort_by)
     elif write == WRITE_EMPTY:
         if not spark.table(table).isEmpty():
             raise ValueError(f"table {table} already has rows")
-        insert_append(df.distinct() if distinct else df, table)
+        insert_append(df.distinct() if distinct else df, table, spec.sort_by)
     elif write == WRITE_MERGE:
         if not spec.key_columns:
             raise ValueError("a merge needs key columns")

@@ -22,10 +22,10 @@ def crawl_csv_schema(spec: TableSpec = LISTING_RAW) -> T.StructType:
     return T.StructType([T.StructField(crawled if f.name == stored else f.name, f.dataType, True) for f in spec.schema])
 
 
-def source_load(spark: SparkSession, csv_path: str, multi_line: bool = True) -> DataFrame:
+def source_load(spark: SparkSession, csv_path: str, multi_line: bool = False) -> DataFrame:
     """The crawl CSV as typed source rows, ready for any sink.
 
-    ``multi_line=False`` lets large files be split, if no field holds a line break.
+    A row is a line and large files are split; ``multi_line`` is for files whose fields hold line breaks.
 
     Missing values stay NULL throughout. Writing -1 for them and turning -1 back later would only lose
     genuine -1 values and leave '-1' in created_date.
@@ -90,7 +90,7 @@ def end_to_end(
     business_date: str,
     staging: str,
     warehouse: str,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> None:
     """CSV to raw to staging to warehouse for one business date."""
     folder = raw_extract(source_load(spark, csv_path, multi_line), root, business_date)

@@ -6,8 +6,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-LAYER_RAW, LAYER_STAGING, LAYER_WAREHOUSE, LAYER_MART = "raw", "staging", "warehouse", "mart"
-
 # Lakehouse type name -> Spark type.
 SPARK_TYPES = {
     "bigint": T.LongType(),
@@ -35,6 +33,9 @@ DEFAULT_TABLE_PROPERTIES = {
 # Table formats that update rows in place.
 ROW_LEVEL_FORMATS = ("iceberg", "delta", "hudi")
 
+# Table formats of plain files.
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro", "text")
+
 ROWS_PER_PARTITION = 300_000
 SNAPSHOTS_KEPT = 2
 
@@ -90,8 +91,6 @@ class TableSpec:
         return {**DEFAULT_TABLE_PROPERTIES, **self.properties}
 
 
-AUDIT_COLUMNS = struct(ETL_DATE="timestamp", BUSINESS_DATE="string")
-
 _LISTING = dict(
     du_an="string", price_VND="double", location="string", status="string", area="double", price_m2="double",
     toilet="bigint", room="bigint", doc="string", type="string", So_tang="bigint", furnishing="string",
@@ -106,13 +105,3 @@ LISTING_WAREHOUSE = TableSpec(
         phuong="string", quan="string", created_date="timestamp", total="double",
     ),
 )
-DATE_DIMENSION = TableSpec(
-    "dim_date",
-    struct(
-        date="date", day_of_week="integer", day_of_month="integer", week="integer", month="integer",
-        quarter="integer", quarter_name="string", year="integer", month_full_name="string", week_day="string",
-    ),
-)
-
-# Tables the daily load walks through.
-ALL_TABLES = {spec.name: spec for spec in (LISTING_RAW,)}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,23 +18,27 @@ MISSING_TEXTS = (
 )
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
-    """Header CSV with the declared columns; missing-value texts are NULL, other bad values raise.
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False, missing: Sequence[str] = MISSING_TEXTS
+) -> DataFrame:
+    """Header CSV with the declared columns; the texts in ``missing`` are NULL, other bad values raise.
 
-    Whole numbers may be written as 3.0, as they are when some are missing. Quoted fields may hold line breaks,
-    so files are read whole, one task each; ``multi_line=False`` splits files that have none.
+    Whole numbers may be written as 3.0, as they are when some are missing. A row is a line, so that large files are read
+    by many tasks. ``multi_line`` says that quoted fields hold line breaks; then each file is one task. A field that holds
+    a line break without that makes a row with the wrong number of fields, which raises.
     """
     rows = (
         spark.read.schema(as_strings(schema))
         .option("header", True)
         .option("multiLine", multi_line)
+        .option("mode", "FAILFAST")
         .option("escape", '"')
         .csv(path)
     )
 
     def one(field: T.StructField) -> Column:
         c = F.col(f"`{field.name}`")
-        text = F.when(~c.isin(*MISSING_TEXTS), c)
+        text = F.when(~c.isin(*missing), c) if missing else c
         if isinstance(field.dataType, T.IntegralType):
             text = F.regexp_replace(text, r"\.0+$", "")
         return strict_cast(text, field.dataType).alias(field.name)
@@ -59,32 +65,44 @@ def read_source(
 ) -> DataFrame:
     """Any file format with reader options.
 
-    Parquet finds its own schema and falls back to the declared one when there are no files; every other
-    format needs the declared schema. ``all_string`` reads every declared column as text.
+    Parquet brings its own schema; declared columns are then taken from it by name and cast, strictly, to the declared
+    types, and a column the files lack is NULL. Where there are no files at all the declared schema alone counts. Every
+    other format needs the declared schema. ``all_string`` reads every declared column as text.
     """
-    if fmt == "parquet" and not all_string:
-        return read_parquet(spark, path, schema)
-    if schema is None or not schema.fields:
+    if fmt != "parquet" and (schema is None or not schema.fields):
         raise ValueError(f"a schema is required for {fmt} sources; only parquet brings its own")
+    if fmt == "parquet":
+        if schema is None:
+            return read_parquet(spark, path, options=options)
+        declared = as_strings(schema) if all_string else schema
+        found = read_parquet(spark, path, declared, options)
+        return found.select([_declared(found, f) for f in declared])
     if all_string:
-        if fmt == "parquet":
-            stored = read_parquet(spark, path, as_strings(schema))
-            return stored.select([F.col(f"`{n}`").cast("string") for n in schema.fieldNames()])
         schema = as_strings(schema)
     return spark.read.format(fmt).options(**(options or {})).schema(schema).load(path)
 
 
+def _declared(found: DataFrame, field: T.StructField) -> Column:
+    """The column in its declared type. One that has it already stays a bare column, so filters on it reach the files."""
+    own = next((f for f in found.schema if f.name.lower() == field.name.lower()), None)
+    if own is None:
+        return F.lit(None).cast(field.dataType).alias(field.name)
+    c = F.col("`" + own.name.replace("`", "``") + "`")
+    return (c if own.dataType == field.dataType else strict_cast(c, field.dataType)).alias(field.name)
+
+
 def as_strings(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema])
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """path, mtime and size of every file below a directory; the contents are not read."""
+    """path, mtime and size of every file below a directory; the contents are not read. The path is the URI that
+    ``_metadata.file_path`` gives to rows of the file."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(path)
-        .select("path", F.col("modificationTime").alias("mtime"), F.col("length").alias("size"))
+        .select(F.col("_metadata.file_path").alias("path"), F.col("modificationTime").alias("mtime"), F.col("length").alias("size"))
     )
 
 

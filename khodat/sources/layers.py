@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,44 +38,53 @@ def file_set_uri(folder: str, source: str, table: str, fmt: str = "json", codec:
 def read_business_date(
     spark: SparkSession, folder: str, date: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """Rows of one ``business_date=`` directory, read through partition pruning.
+    """Rows of one ``business_date=`` directory; no other is listed, however many there are.
 
-    The partition value is always text, so 20010102 does not turn into a number.
+    The partition value is always text, so 20010102 does not turn into a number. A date that is not there gives no
+    rows if a schema is declared, else it raises.
     """
-    if schema is not None:
-        with_date = T.StructType(
-            [f for f in schema if f.name != BUSINESS_DATE] + [T.StructField(BUSINESS_DATE, T.StringType(), True)]
-        )
-        table = spark.read.schema(with_date).parquet(folder)
-    else:
-        table = spark.read.parquet(folder)
-        if not isinstance(table.schema[BUSINESS_DATE].dataType, T.StringType):
-            fields = [
-                T.StructField(f.name, T.StringType() if f.name == BUSINESS_DATE else f.dataType, True)
-                for f in table.schema
-            ]
-            table = spark.read.schema(T.StructType(fields)).parquet(folder)
-    return table.where(F.col(BUSINESS_DATE) == date)
+    path = f"{folder.rstrip('/')}/{BUSINESS_DATE}={_escaped(date)}"
+    if schema is None:
+        schema = spark.read.parquet(path).schema
+    with_date = T.StructType([f for f in schema if f.name != BUSINESS_DATE] + [T.StructField(BUSINESS_DATE, T.StringType(), True)])
+    try:
+        return spark.read.schema(with_date).option("basePath", folder).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], with_date)
+
+
+def _escaped(value: str) -> str:
+    """A partition value as directory names have it: control characters and those with a meaning in paths as %XX."""
+    return "".join(f"%{ord(c):02X}" if c in ESCAPED_IN_PATHS or ord(c) < 32 or ord(c) == 127 else c for c in value)
+
+
+# Characters that names of partition directories escape.
+ESCAPED_IN_PATHS = "\"#%'*/:=?\\{[]^"
 
 
 def partition_date_filter(dates: list[str], year: str = "year", month: str = "month", day: str = "day") -> Column:
-    """Condition on the partition columns that holds for the given yyyymmdd dates."""
+    """Condition on the partition columns that holds for the given yyyymmdd dates: one set test, however many there are."""
     if not dates:
         return F.lit(False)
-    return reduce(or_, [
-        (F.col(year) == int(d[:4])) & (F.col(month) == int(d[4:6])) & (F.col(day) == int(d[6:])) for d in dates
-    ])
+    days = ", ".join(str(int(d[:4]) * 10000 + int(d[4:6]) * 100 + int(d[6:])) for d in dates)
+    y, m, d = (f"int(`{c}`)" for c in (year, month, day))
+    return F.expr(f"{y} * 10000 + {m} * 100 + {d} IN ({days})")
 
 
-def read_parquet(spark: SparkSession, path: str, fallback: T.StructType | None = None) -> DataFrame:
-    """Parquet with the schema found in the files.
+def read_parquet(
+    spark: SparkSession, path: str, fallback: T.StructType | None = None, options: dict[str, str] | None = None
+) -> DataFrame:
+    """Parquet with the schema found in the files, and reader options.
 
     A directory without any files gives an empty frame with the ``fallback`` schema. Only that case is
     caught: unreadable files or a missing directory still raise.
     """
+    reader = spark.read.options(**(options or {}))
     try:
-        return spark.read.parquet(path)
+        return reader.parquet(path)
     except AnalysisException as error:
         if fallback is None or error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
-        return spark.read.schema(fallback).parquet(path)
+        return reader.schema(fallback).parquet(path)

@@ -1,5 +1,7 @@
 """CSV texts, layer paths, schema fallback, listings of files, JDBC options."""
 
+import time
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -24,10 +26,25 @@ def test_csv_missing_values_and_whole_numbers_with_a_point(spark, scratch):
     path = text_file(scratch, spark, [
         "name,n,price", '"a ""b"", c",3.0,1.5', "NaN,,NA", "None,4,nan", '"line', 'two",5,2',
     ])
-    rows = files.read_csv(spark, path, CSV).collect()
+    rows = files.read_csv(spark, path, CSV, multi_line=True).collect()
     assert [tuple(r) for r in rows] == [
         ('a "b", c', 3, 1.5), (None, None, None), (None, 4, None), ("line\ntwo", 5, 2.0),
     ]
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        files.read_csv(spark, path, CSV).collect()
+    plain = text_file(scratch, spark, ["name,n,price", "NA,1,", "x,2,1"])
+    assert [tuple(r) for r in files.read_csv(spark, plain, CSV, missing=("",)).collect()] == [("NA", 1, None), ("x", 2, 1.0)]
+
+
+def test_large_csv_is_split(spark, scratch):
+    path = text_file(scratch, spark, ["name,n,price", *[f"name number {i},{i},1.5" for i in range(20000)]])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        rows = files.read_csv(spark, path, CSV)
+        assert rows.rdd.getNumPartitions() > 4 and rows.agg(F.sum("n")).first()[0] == 19999 * 10000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_csv_bad_number_raises(spark, scratch):
@@ -42,7 +59,7 @@ def test_csv_round_trip(spark, scratch):
     rows = [("quote \" and, comma", 1, 0.1), ("back\\slash", 2, None), ("two\nlines", None, 1e10), (" pad ", 3, -1.0)]
     path = scratch("csv")
     write_csv(spark.createDataFrame(rows, CSV), path)
-    assert sorted(map(str, (tuple(r) for r in files.read_csv(spark, path, CSV).collect()))) == sorted(map(str, rows))
+    assert sorted(map(str, (tuple(r) for r in files.read_csv(spark, path, CSV, multi_line=True).collect()))) == sorted(map(str, rows))
 
 
 def test_paths():
@@ -60,8 +77,21 @@ def test_business_date_stays_text_and_is_pruned(spark, scratch):
     write_parquet(rows, path, by=["business_date"])
     one_day = layers.read_business_date(spark, path, "20010102")
     assert [tuple(r) for r in one_day.orderBy("id").collect()] == [(2, "20010102"), (5, "20010102"), (8, "20010102")]
-    assert "PartitionFilters: [isnotnull(business_date" in one_day._jdf.queryExecution().executedPlan().toString()
-    assert layers.read_business_date(spark, path, "20010109", struct(id="bigint")).count() == 0
+    declared = layers.read_business_date(spark, path, "20010102", struct(id="bigint"))
+    for frame in (one_day, declared):
+        assert frame.inputFiles() and all("/business_date=20010102/" in f for f in frame.inputFiles())
+        assert frame.dtypes == [("id", "bigint"), ("business_date", "string")] and frame.count() == 3
+    missing = layers.read_business_date(spark, path, "20010109", struct(id="bigint"))
+    assert missing.dtypes == declared.dtypes and missing.count() == 0
+    with pytest.raises(AnalysisException):
+        layers.read_business_date(spark, path, "20010109")
+
+
+def test_business_date_with_odd_characters(spark, scratch):
+    path, odd = scratch("a folder"), "2001-01-02 10:00/ä%"
+    rows = spark.createDataFrame([(1, odd), (2, "x")], "id bigint, business_date string")
+    write_parquet(rows, path, by=["business_date"])
+    assert [tuple(r) for r in layers.read_business_date(spark, path, odd).collect()] == [(1, odd)]
 
 
 def test_partition_filter(spark):
@@ -70,6 +100,37 @@ def test_partition_filter(spark):
     assert rows.where(layers.partition_date_filter([])).count() == 0
 
 
+def test_partition_filter_of_ten_years(spark, scratch):
+    path = scratch("t")
+    dates = spark.sql("select explode(sequence(date'2014-12-30', date'2015-01-04')) as d")
+    rows = dates.selectExpr("day(d) * 1L as id", "year(d) as year", "month(d) as month", "day(d) as day")
+    write_parquet(rows, path, by=["year", "month", "day"])
+    wanted = [f"{y}{m:02}{d:02}" for y in range(2015, 2025) for m in range(1, 13) for d in range(1, 32)]
+    start = time.perf_counter()
+    found = spark.read.parquet(path).where(layers.partition_date_filter(wanted))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert time.perf_counter() - start < 10
+    assert len(wanted) > 3650 and "PartitionFilters: [" in plan and "INSET" in plan.upper()
+    assert sorted(r.id for r in found.collect()) == [1, 2, 3, 4] and len(found.inputFiles()) > 0
+
+
+def test_declared_schema_and_options_hold_for_parquet(spark, scratch):
+    path = scratch("p")
+    spark.createDataFrame([(1, "x")], "a bigint, b string").write.parquet(f"{path}/1")
+    spark.createDataFrame([(2, "y", 1.5)], "a bigint, b string, c double").write.parquet(f"{path}/2")
+    glob, merged = f"{path}/*", {"mergeSchema": "true"}
+    assert sorted(files.read_source(spark, glob, options=merged).columns) == ["a", "b", "c"]
+    rows = files.read_source(spark, glob, schema=struct(a="string", c="double", d="date"), options=merged)
+    assert rows.dtypes == [("a", "string"), ("c", "double"), ("d", "date")]
+    assert sorted(map(tuple, rows.collect())) == [("1", None, None), ("2", 1.5, None)]
+    with pytest.raises(Exception, match="cannot cast to bigint: [xy]"):
+        files.read_source(spark, glob, schema=struct(b="bigint")).collect()
+    none = files.read_source(spark, glob, schema=struct(a="bigint"), options={"pathGlobFilter": "*.none"})
+    assert none.dtypes == [("a", "bigint")] and none.count() == 0
+    plan = files.read_source(spark, glob, schema=struct(a="bigint", b="string")).where("a = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(a,1)" in plan
+
+
 def test_only_a_directory_without_files_falls_back(spark, scratch):
     empty, schema = scratch("empty"), struct(id="bigint")
     write_parquet(spark.range(0).withColumn("p", F.lit(1)), empty, by=["p"])

@@ -98,19 +98,163 @@ def test_merge_into_keeps_partitions_and_properties(spark, database):
     assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["v"]
     properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
     assert properties["team"] == "me" and properties["write.target-file-size-bytes"] == "134217728"
-    assert not spark.catalog.tableExists(f"{name}__next")
+    assert not [d for d in spark.sql("SHOW DATABASES").collect() if d[0].startswith("scratch_") and d[0] != database and spark.catalog.tableExists(f"{d[0]}.staged")]
+
+
+def described(spark, name):
+    """All that DESCRIBE and SHOW CREATE say, but for times."""
+    rows = [tuple(r) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()]
+    rows = [(n, sorted(v.strip("[]").split(", ")), c) if n.endswith(" Properties") else (n, v, c) for n, v, c in rows]
+    return [r for r in rows if r[0] not in ("Created Time", "Last Access")], spark.sql(f"SHOW CREATE TABLE {name}").first()[0]
+
+
+KINDS = {
+    "json": "USING json OPTIONS (compression 'gzip') COMMENT 'it''s a table' LOCATION '{path}' TBLPROPERTIES ('team' = 'me')",
+    "csv": "USING csv OPTIONS (sep '|', header 'true') LOCATION '{path}'",
+    "partitioned": "USING parquet PARTITIONED BY (`p q`) COMMENT 'by p' TBLPROPERTIES ('team' = 'me')",
+    "partitioned outside": "USING parquet PARTITIONED BY (`p q`) LOCATION '{path}'",
+}
+WIDE = "k bigint, `a.b` string, `p q` string"
+
+
+def make(spark, database, scratch, kind, number=""):
+    name, path = f"{database}.t{number}", scratch("a place")
+    spark.sql(f"CREATE TABLE {name} (k bigint COMMENT 'the key', `a.b` string, `p q` string) " + KINDS[kind].format(path=path))
+    rows = [(1, "1", "x"), (2, "2", "x"), (3, "3", "Quận 1"), (4, "4", None), (5, "5", "y")]
+    tables.insert_append(spark.createDataFrame(rows, WIDE), name)
+    return name, path
+
+
+def at_place(spark, name, path):
+    """The rows that a reader of the location finds, if the table has one of its own."""
+    provider = tables._detail(spark, name)
+    if provider["Type"] != "EXTERNAL":
+        return content(spark.table(name))
+    reader = spark.read.schema(spark.table(name).schema).options(sep="|", header="true") if provider["Provider"] == "csv" else spark.read.schema(spark.table(name).schema)
+    return content(reader.format(provider["Provider"]).load(path))
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_merge_keeps_what_the_table_is(spark, database, scratch, kind):
+    name, path = make(spark, database, scratch, kind)
+    before = described(spark, name)
+    changes = spark.createDataFrame([(2, "B", "y"), (3, "C", "z"), (4, "D", None), (9, "I", "new ä")], WIDE)
+    tables.merge_into(changes, name, ["k"])
+    wanted = sorted([(1, "1", "x"), (2, "B", "y"), (3, "C", "z"), (4, "D", None), (5, "5", "y"), (9, "I", "new ä")], key=str)
+    assert content(spark.table(name)) == wanted == at_place(spark, name, path)
+    assert described(spark, name) == before
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_retype_keeps_what_the_table_is(spark, database, scratch, kind):
+    name, path = make(spark, database, scratch, kind)
+    before, definition = described(spark, name)
+    tables.retype_swap(spark, name, {"a.b": "double"})
+    wanted = sorted([(1, 1.0, "x"), (2, 2.0, "x"), (3, 3.0, "Quận 1"), (4, 4.0, None), (5, 5.0, "y")], key=str)
+    assert content(spark.table(name)) == wanted == at_place(spark, name, path)
+    after, new_definition = described(spark, name)
+    assert [r for r in after if r[0] != "a.b"] == [r for r in before if r[0] != "a.b"]
+    assert new_definition == definition.replace("`a.b` STRING", "`a.b` DOUBLE") and not spark.catalog.tableExists(f"{name}__before")
+
+
+@pytest.mark.parametrize("change", ["merge", "retype"])
+def test_a_failure_before_the_swap_leaves_the_table(spark, database, scratch, monkeypatch, change):
+    name, _ = make(spark, database, scratch, "json")
+    before, rows = described(spark, name), content(spark.table(name))
+
+    def broken(*_, **__):
+        raise OSError("no space")
+
+    if change == "merge":
+        monkeypatch.setattr(tables, "insert_overwrite", broken)
+        with pytest.raises(OSError) as caught:
+            tables.merge_into(spark.createDataFrame([(2, "B", "y")], WIDE), name, ["k"])
+        kept = caught.value.__notes__[0].split()[-1]
+        assert (2, "B", "y") in content(spark.table(kept))
+    else:
+        monkeypatch.setattr(tables, "_column_list", lambda *_: "no columns !")
+        with pytest.raises(Exception, match="(?i)parse"):
+            tables.retype_swap(spark, name, {"a.b": "double"})
+    assert content(spark.table(name)) == rows and described(spark, name) == before
+
+
+def test_formats_that_cannot_be_kept_are_refused(spark, database, monkeypatch):
+    frame(spark, (1, "a")).write.saveAsTable(f"{database}.t")
+    monkeypatch.setattr(tables, "_detail", lambda *_: {"Provider": "jdbc"})
+    with pytest.raises(ValueError, match="stored as jdbc"):
+        tables.merge_into(frame(spark, (1, "b")), f"{database}.t", ["k"])
+    with pytest.raises(ValueError, match="stored as jdbc"):
+        tables.retype_swap(spark, f"{database}.t", {"k": "string"})
+
+
+def test_merge_rewrites_only_touched_partitions(spark, database):
+    name = f"{database}.t"
+    rows = spark.range(40).selectExpr("id as k", "string(id) as v", "int(id % 5) as p", "if(id % 2 = 0, 'a', null) as q")
+    rows.write.partitionBy("p", "q").saveAsTable(name)
+    files = lambda: {r[0] for r in spark.table(name).select("_metadata.file_path").distinct().collect()}
+    before = files()
+    changes = spark.createDataFrame([(0, "new", 0, "a"), (3, "moved", 1, None), (100, "added", 9, "a")], "k bigint, v string, p int, q string")
+    tables.merge_into(changes, name, ["k"])
+    wanted = {r.k: tuple(r) for r in rows.collect()} | {r.k: tuple(r) for r in changes.collect()}
+    assert content(spark.table(name)) == sorted(wanted.values(), key=str)
+    place = lambda f: f.split("/")[-3] + "/" + f.split("/")[-2]
+    none = "q=__HIVE_DEFAULT_PARTITION__"
+    assert {place(f) for f in before - files()} == {"p=0/q=a", f"p=3/{none}", f"p=1/{none}"}
+    assert {place(f) for f in files() - before} == {"p=0/q=a", f"p=3/{none}", f"p=1/{none}", "p=9/q=a"}
+    tables.merge_into(changes.limit(0), name, ["k"])
+    tables.merge_into(spark.createDataFrame([(100, "back", 0, "a")], changes.schema), name, ["k"])
+    assert content(spark.table(name).where("k >= 100 or p = 9")) == [(100, "back", 0, "a")]
+
+
+def test_overwrite_replaces_all_in_a_dynamic_session(spark, database):
+    name = f"{database}.t"
+    spark.range(10).selectExpr("id as k", "int(id % 3) as p").write.partitionBy("p").saveAsTable(name)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        tables.insert_overwrite(spark.createDataFrame([(7, 1)], "k bigint, p int"), name)
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "dynamic"
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert content(spark.table(name)) == [(7, 1)]
+
+
+def test_replace_mode_takes_all_from_the_specification(spark, database, scratch):
+    name, path = f"{database}.t", scratch("a place")
+    spec = TableSpec("t", SPEC.schema, (Partition("v"),), ("k",), properties={"team": "me", "format-version": "2"})
+    tables.write_table(frame(spark, (1, "a")), name, SPEC)
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('old' = 'kept', 'team' = 'they')")
+    tables.write_table(frame(spark, (2, "b"), (2, "b"), (1, "b")), name, spec, tables.WRITE_REPLACE, location=path)
+    assert content(spark.table(name)) == [(1, "b"), (2, "b")] == content(spark.read.parquet(path).select("k", "v"))
+    properties = tables._properties(spark, name)
+    assert (properties["team"], properties["format-version"], properties["old"]) == ("me", "2", "kept")
+    assert properties["write.format.default"] == "parquet" and tables._detail(spark, name)["Type"] == "EXTERNAL"
+    assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["v"]
+    tables.write_table(frame(spark, (3, "c")), name, spec, tables.WRITE_REPLACE)
+    assert content(spark.read.parquet(path).select("k", "v")) == [(3, "c")]
 
 
-def test_small_sources_are_measured_unpacked(spark, scratch, monkeypatch):
-    path = scratch("repeated")
-    spark.range(50000).select(F.repeat(F.lit("x"), 1000).alias("v")).write.parquet(path)
-    source = spark.read.parquet(path)
-    assert tables.is_small(source, path)
-    monkeypatch.setattr(tables, "SMALL_SOURCE_BYTES", 8 * 1024 * 1024)
-    assert not tables.is_small(source, path)  # a few kilobytes stored, 50 MB read
-    empty = scratch("none")
-    spark.range(0).write.parquet(empty)
-    assert tables.is_small(spark.read.parquet(empty), empty)
+def test_columns_with_dots_are_written(spark, database):
+    name = f"{database}.t"
+    rows = spark.createDataFrame([(1, "a")], "`k.1` bigint, `v w` string")
+    rows.write.saveAsTable(name)
+    tables.insert_append(rows, name)
+    tables.insert_overwrite(spark.createDataFrame([("b", 1), ("b", 1)], "`v w` string, `k.1` bigint"), name)
+    tables.merge_into(spark.createDataFrame([(1, "c"), (2, "d")], rows.schema), name, ["k.1"])
+    assert content(spark.table(name)) == [(1, "c"), (2, "d")]
+
+
+def test_num_partitions_with_partition_columns_does_not_multiply_files(spark, database):
+    name = f"{database}.t"
+    many = spark.range(0, 4000, 1, 8).selectExpr("id as k", "int(id % 10) as p")
+    tables.create_or_replace_table_as(many, name, [Partition("p", "INTEGER")], ["k"], distinct=False, num_partitions=8)
+    assert spark.table(name).select("_metadata.file_path").distinct().count() <= 20 and spark.table(name).count() == 4000
+
+
+def test_small_sources_are_measured_by_their_values(spark, monkeypatch):
+    source = spark.range(50000).select(F.repeat(F.lit("x"), 1000).alias("a.b"))
+    assert tables.is_small(source) and tables.is_small(spark.range(0))
+    monkeypatch.setattr(tables, "SMALL_SOURCE_BYTES", 32 * 1024 * 1024)
+    assert not tables.is_small(source)
 
 
 def test_merge_into_with_a_large_source(spark, database, monkeypatch):
@@ -245,6 +389,10 @@ def test_union(spark):
     both = rows.union_by_name([frame(spark, (1, "a")), spark.createDataFrame([("b", 1.0)], "v string, w double")])
     assert both.columns == ["k", "v", "w"]
     assert content(both) == [(1, "a", None), (None, "b", 1.0)]
+    for n in (1, 2, 3, 7):
+        frames = [spark.createDataFrame([(i,)], f"c{i % 3} int") for i in range(n)]
+        wanted = [tuple(i if c == i % 3 else None for c in range(min(n, 3))) for i in range(n)]
+        assert content(rows.union_by_name(frames).select([f"c{c}" for c in range(min(n, 3))])) == sorted(wanted, key=str)
 
 
 def test_distinct_twice_is_distinct_once(spark):
@@ -289,6 +437,17 @@ def test_orphans(spark):
     assert [r.path for r in found.collect()] == ["x"]
 
 
+def test_orphans_are_found_under_any_name_of_a_path(spark):
+    old = dt.datetime(2024, 1, 1)
+    later = F.lit("2024-03-01").cast("timestamp")
+    listed = ["hdfs://n1:9000/lake/t/p=Qu%E1%BA%ADn%201/a+b.parquet", "/lake/t/p=x/100%25.parquet", "hdfs:/lake/t/p=x/stray", "hdfs:/lake/t/100%"]
+    listing = spark.createDataFrame([(p, old) for p in listed], "path string, mtime timestamp")
+    manifest = spark.createDataFrame([("/lake/t/p=Quận 1/a+b.parquet",), ("file:/lake/t/p=x/100%2525.parquet",), ("/lake/t/100%",)], "path string")
+    assert [r.path for r in maintenance.orphan_files(listing, manifest, later).collect()] == ["hdfs:/lake/t/p=x/stray"]
+    with pytest.raises(ValueError, match="below /lake/t, referenced ones below /other/t"):
+        maintenance.orphan_files(listing, spark.createDataFrame([("/other/t/x",)], "path string"), later)
+
+
 def test_default_bounds_of_the_maintenance(spark):
     assert maintenance.expired_snapshots(snapshots(spark)).count() == 4
     listing = spark.sql(
