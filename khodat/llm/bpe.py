@@ -6,11 +6,12 @@ by place; a merge that no longer fits its place is skipped when it comes up.
 
 from __future__ import annotations
 
-import heapq
 import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -52,58 +53,64 @@ class Bpe:
         self.special = {t["content"]: t["id"] for t in parts["added_tokens"]}
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         ids = self.vocabulary
-        # The merge of two ids: its rank and the id it makes.
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        size = max([*ids.values(), *self.special.values()]) + 1
+        # For each id the ranks of its merges by the id that follows, and the id that each rank makes. The last is for -1.
+        self.ranks: list[dict[int, int]] = [{} for _ in range(size + 1)]
+        self.made: list[int] = []
         for rank, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[ids[left], ids[right]] = rank, ids[left + right]
+            self.ranks[ids[left]][ids[right]] = rank
+            self.made.append(ids[left + right])
         letters = byte_letters()
         self.inner = [ids.get(c) for c in letters]
         self.last = [ids.get(c + self.suffix) for c in letters]
-        size = max([*ids.values(), *self.special.values()]) + 1
         self.strings = [b""] * size
         for text, i in [*ids.items(), *self.special.items()]:
             self.strings[i] = text.encode()
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
         self.known_pieces: dict[str, list[int]] = {}
 
     def piece(self, text: str) -> list[int]:
         """Ids of one piece of the pattern: merges in the order of the queue until none is left."""
         raw = text.encode()
         ids = [i for i in [self.inner[b] for b in raw[:-1]] + [self.last[raw[-1]]] if i is not None]
-        merges = self.merges
-        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
-        queue = [(*found, at) for at, pair in enumerate(zip(ids, ids[1:])) if (found := merges.get(pair))]
-        queue = [(rank, at, made) for rank, made, at in queue]
-        heapq.heapify(queue)
-        end = len(ids)
+        ranks, made, end = self.ranks, self.made, len(ids)
+        # Entries are rank and place in one number. Merged symbols and the one behind the last are -1, which no merge has.
+        queue = [rank << 32 | at for at, (a, b) in enumerate(zip(ids, ids[1:])) if (rank := ranks[a].get(b)) is not None]
+        heapify(queue)
+        after, before = list(range(1, end + 1)), list(range(-1, end))
+        ids.append(-1)
         while queue:
-            _, at, made = heapq.heappop(queue)
+            entry = heappop(queue)
+            at = entry & 0xFFFFFFFF
             right = after[at]
+            now = ranks[ids[at]].get(ids[right])
             # Stale: this symbol was merged away, or its pair is another one by now.
-            if ids[at] < 0 or right >= end or merges.get((ids[at], ids[right]), (0, -1))[1] != made:
+            if now is None or (new := made[entry >> 32]) != made[now]:
                 continue
-            ids[at], ids[right] = made, -1
+            ids[at], ids[right] = new, -1
             after[at] = beyond = after[right]
-            if beyond < end:
-                before[beyond] = at
-                if found := merges.get((made, ids[beyond])):
-                    heapq.heappush(queue, (found[0], at, found[1]))
-            if (left := before[at]) >= 0 and (found := merges.get((ids[left], made))):
-                heapq.heappush(queue, (found[0], left, found[1]))
+            after[right] = end
+            before[beyond] = at
+            if (rank := ranks[new].get(ids[beyond])) is not None:
+                heappush(queue, rank << 32 | at)
+            if (left := before[at]) >= 0 and (rank := ranks[ids[left]].get(new)) is not None:
+                heappush(queue, rank << 32 | left)
         return [i for i in ids if i >= 0]
 
-    def word(self, text: str) -> np.ndarray:
-        """Ids of a word without ASCII white space; no piece, no special token and no composed letter reaches across that."""
+    def word(self, text: str) -> bytes:
+        """Ids of a word, four bytes each, without ASCII white space; no piece, no special token and no composed letter reaches across that."""
         if (ids := self.known.get(text)) is not None:
             return ids
         out: list[int] = []
-        for i, part in enumerate(self.specials.split(text)):
+        for i, part in enumerate(self.specials.split(text) if "<" in text else (text,)):
             if i % 2:
                 out.append(self.special[part])
                 continue
             # Lower case letter by letter: a final sigma is no exception.
-            for piece in self.pieces(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()):
+            part = part.lower() if part.isascii() else unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+            # Letters alone are one piece.
+            for piece in (part,) if part.isalpha() else self.pieces(part):
                 if (own := self.known_pieces.get(piece)) is None:
                     if len(self.known_pieces) >= KEPT_WORDS:
                         self.known_pieces.clear()
@@ -111,11 +118,11 @@ class Bpe:
                 out += own
         if len(self.known) >= KEPT_WORDS:
             self.known.clear()
-        ids = self.known[text] = np.array(out, np.uint32)
+        ids = self.known[text] = pack(f"<{len(out)}I", *out)
         return ids
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for w in text.encode().split() for i in self.word(w.decode())]
+        return np.frombuffer(b"".join(self.word(w.decode()) for w in text.encode().split()), "<u4").tolist()
 
     def decode_bytes(self, ids: list[int]) -> bytes:
         """The vocabulary's strings, one space between them: a definition without a decoder joins them so."""
@@ -130,8 +137,8 @@ class Bpe:
         starts = np.asarray(lists.offsets, np.int64)
         coded = lists.values.slice(starts[0], starts[-1] - starts[0]).dictionary_encode()
         words = [self.word(w) for w in coded.dictionary.to_pylist()]
-        lengths = np.array([len(w) for w in words], np.int64)
-        ids, at = np.concatenate([*words, np.zeros(0, np.uint32)]), np.cumsum(lengths) - lengths
+        lengths = np.array([len(w) for w in words], np.int64) // 4
+        ids, at = np.frombuffer(b"".join(words), "<u4"), np.cumsum(lengths) - lengths
         which = coded.indices.to_numpy(zero_copy_only=False)
         own = lengths[which]
         ends = np.concatenate([[0], np.cumsum(own)])
@@ -162,7 +169,7 @@ def encode_documents(docs: DataFrame, definition: str) -> DataFrame:
             bounds = list(zip(starts[:-1].tolist(), starts[1:].tolist()))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": chunk.column("doc_id"),
-                "ids": pa.array([ids[a:b].astype("<u4").tobytes() for a, b in bounds], pa.binary()),
+                "ids": pa.array([ids[a:b].tobytes() for a, b in bounds], pa.binary()),
                 "decoded": pa.array([bpe.decode_bytes(ids[a:b].tolist()).decode() for a, b in bounds], pa.string()),
             })
 

@@ -41,7 +41,7 @@ MEETING = 256
 REST_BITS = 64 - BUCKET_BITS
 POLYNOMIAL = np.uint64(0x100000001B3)
 #: For each bucket the order in which it borrows from others.
-LENDERS = np.random.default_rng(7).permuted(np.tile(np.arange(1 << BUCKET_BITS), (1 << BUCKET_BITS, 1)), axis=1)
+LENDERS = np.random.default_rng(7).permuted(np.tile(np.arange(1 << BUCKET_BITS, dtype=np.uint8), (1 << BUCKET_BITS, 1)), axis=1)
 
 
 def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
