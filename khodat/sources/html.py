@@ -273,14 +273,10 @@ class _AnyPage(HTMLParser):
         self._reader.start(tag, attrs, closed=True)
 
 
-def _read_tokens(
-    page: str, reader: _Fields | _Links, position: int = 0, first: frozenset[str] | None = None
-) -> int:
-    """Feeds a reader tag by tag and returns where it stopped, -1 at a tag that is not well formed.
-
-    With ``first`` the page goes on with one of these start tags, and reading stops when the reader is idle.
-    """
-    start, end, text, idle, wanted = reader.start, reader.end, reader.text, reader.idle, first
+def _read_element(page: str, reader: _Fields | _Links, position: int, first: frozenset[str]) -> int:
+    """Feeds a reader tag by tag, from one of the start tags ``first`` until the reader is idle; returns where that is,
+    -1 at a tag that is not well formed or not expected."""
+    start, end, text, wanted = reader.start, reader.end, reader.text, first
     for token in _TOKEN.finditer(page, position):
         if token.start() != position:
             return -1
@@ -298,15 +294,15 @@ def _read_tokens(
             start(opening, attrs, bool(slash))
         elif raw:
             start(raw.lower(), raw_attrs, True)
-        if first is not None:
-            if idle():
-                return position
-            wanted = None
+        if reader.idle():
+            return position
+        wanted = None
     return position if position == len(page) else -1
 
 
-def _read_skipping(page: str, reader: _Fields | _Links) -> bool:
-    """Feeds a reader the elements it wants and passes over the rest in one match; False where that is unsafe."""
+def _read_quickly(page: str, reader: _Fields | _Links) -> bool:
+    """Feeds a reader the elements it wants and passes over the rest in one match; False where that is unsafe: a tag is not
+    well formed, or an element may be closed by one that encloses it."""
     position = 0
     while position >= 0:
         tags = reader.tags
@@ -315,32 +311,45 @@ def _read_skipping(page: str, reader: _Fields | _Links) -> bool:
         position = _before(tags).match(page, position).end()
         if position == len(page):
             return True
-        position = _read_tokens(page, reader, position, first=tags)
+        position = _read_element(page, reader, position, tags)
     return False
 
 
 def read_page(page: str, make_reader) -> list:
     """What a reader finds in a page; ``make_reader(skipping)`` gives a new one.
 
-    Three ways, each for what the one before cannot decide: jump from one wanted tag to the next; follow all tags,
-    if an element may be closed by one that encloses it; the standard parser, some ten times slower, if a tag is
-    not well formed.
+    The quick reader jumps from one wanted tag to the next; pages it can't decide go to the standard parser, some ten
+    times slower.
     """
     try:
         reader = make_reader(True)
-        if not _read_skipping(page, reader):
+        if not _read_quickly(page, reader):
             reader = make_reader(False)
-            if _read_tokens(page, reader) < 0:
-                reader = make_reader(False)
-                parser = _AnyPage(reader)
-                parser.feed(page)
-                parser.close()
+            parser = _AnyPage(reader)
+            parser.feed(page)
+            parser.close()
         reader.end_of_page()
     except _AllFound:
         pass
     return reader.result
 
 
+def irregular_pages(pages: DataFrame, fields: Sequence[Field], html: str = "html") -> DataFrame:
+    """How many pages there are, and how many of them need the standard parser to find the fields."""
+
+    @F.pandas_udf(T.BooleanType())
+    def irregular(batch: pd.Series) -> pd.Series:
+        def one(page: str | None) -> bool:
+            try:
+                return page is not None and not _read_quickly(page, _Fields(fields, True))
+            except _AllFound:
+                return False
+
+        return pd.Series([one(p) for p in batch], dtype=bool)
+
+    return pages.agg(F.count(F.lit(1)).alias("n_pages"), F.count(F.when(irregular(html), 1)).alias("n_irregular"))
+
+
 def field_struct(html: Column | str, fields: Sequence[Field]) -> Column:
     """Struct of the fields' texts, NULL where the page lacks the element; one pass per page."""
     names = [f.name for f in fields]

@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 from khodat.plans.ingest import listing_ingest, listing_links
 from khodat.sources.html import (
     HOUSE_TYPE, LOCATION_CLASS, PRICE_CLASS, PROJECT_CLASS, VALUE_CLASS, Field, _AllFound, _AnyPage, _Fields, _Links,
-    _read_skipping, extract_fields, extract_links, listing_fields, read_page,
+    _read_quickly, extract_fields, extract_links, irregular_pages, listing_fields, read_page,
 )
 
 
@@ -105,10 +105,16 @@ def test_both_tokenisers_agree(page):
 def test_most_pages_are_read_by_jumping():
     fields = (ROOMS,)
     page = "<div><p>x<b>y<br>" + value("rooms", "1 <i>a</i>") + "</div><script>var a='<b>';</script>"
-    assert _read_skipping(page + "<!-- c -->", _Fields(fields + (Field("z", "em"),), True))
+    assert _read_quickly(page + "<!-- c -->", _Fields(fields + (Field("z", "em"),), True))
     # The end tag may belong to an element around the one being read.
-    assert not _read_skipping("<div>" + value("rooms", "1</div>"), _Fields(fields, True))
-    assert not _read_skipping("<template>" + value("rooms", "1"), _Fields(fields, True))
+    assert not _read_quickly("<div>" + value("rooms", "1</div>"), _Fields(fields, True))
+    assert not _read_quickly("<template>" + value("rooms", "1"), _Fields(fields, True))
+
+
+def test_pages_for_the_standard_parser_are_counted(spark):
+    good, bad = "<div>" + value("rooms", "1") + "</div>", "<div>" + value("rooms", "1</div>")
+    pages = spark.createDataFrame([(good,), (bad,), (None,), (good + "<",), ("<p>x",)], "html string")
+    assert tuple(irregular_pages(pages, (ROOMS, Field("z", "em"))).first()) == (5, 2)
 
 
 def listing_html(type_itemprop="apartment_type"):
