@@ -4,7 +4,7 @@ A document's shingle hashes fall into 128 buckets. Of the smallest in each, a 16
 ten bits behind them. Bands of four registers propose; an estimate of the similarity, corrected for registers that agree
 by chance, sorts out; the full sets confirm. Documents with equal sets are one class, and only classes are compared.
 
-Within a bucket of equal bands not all pairs are formed. First each class is compared with the class that leads most of
+Within a bucket of equal bands not all pairs are formed. First each class is compared with the classes that lead most of
 its buckets. What these links join needs no more comparing. Classes that share a bucket and are still apart then visit
 each other's groups: the member that looks most alike first, and if that is no link, all of them, in blocks of bounded
 size. So the groups are those that all pairs would give, and rows grow with classes, not with their pairs.
@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from khodat.llm.common import column, fresh, mixed, numbered, stored, text_chunks, words_of
 from khodat.llm.components import components
@@ -33,6 +34,8 @@ BAND_ROWS = 4
 BANDS = 24
 #: An estimate so many standard deviations below the threshold rules a pair out (odds of a wrong one below 1e-6).
 DEVIATIONS = 5.0
+#: Leaders of its buckets that each class is compared with at first; what that leaves open is settled afterwards.
+LEADERS = 3
 #: Classes of one bucket in a block whose registers are compared.
 BLOCK = 1024
 #: Members of a group, and visitors, in a block whose full sets are compared.
@@ -299,9 +302,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     led = keys.groupBy("key").agg(F.min("class").alias("lead"), F.count("*").alias("n")).where("n > 1").select("key", "lead")
     buckets = stored(keys.join(led, "key"), "buckets")
     sets = stored(full_sets(docs, buckets.select(F.col("class").alias("row")).distinct()), "shingle-sets")
+    by_buckets = Window.partitionBy("class").orderBy(F.desc("n"), "lead")
     nearest = (
         buckets.where("class <> lead").groupBy("class", "lead").agg(F.count("*").alias("n"))
-        .groupBy("class").agg(F.max_by("lead", F.struct("n", -F.col("lead"))).alias("a")).select("a", F.col("class").alias("b"))
+        .withColumn("place", F.row_number().over(by_buckets)).where(F.col("place") <= LEADERS).select(F.col("lead").alias("a"), F.col("class").alias("b"))
     )
     first = stored(confirmed(sorted_out(nearest, classes), sets), "links")
     placed = stored(in_groups(classes, components(first)), "groups")
