@@ -53,9 +53,13 @@ def read_query(
     query: str,
     partition_column: str | None = None,
     spread_by: str | None = None,
+    readers: int | None = None,
     **connection: str,
 ) -> DataFrame:
-    """Result of an extract query, read by one task per ROWS_PER_READ rows.
+    """Result of an extract query, read by ``readers`` tasks, or one per ROWS_PER_READ rows.
+
+    Each task runs the query with a condition of its own, and the database may scan all of the query's tables for each:
+    where the condition has no index to use, choose few readers.
 
     The database first reports row count and range (one row). ``partition_column`` then cuts its range in equal
     parts, which suits a column spread evenly over it. Where values bunch up, ``spread_by`` names a whole-number
@@ -69,7 +73,7 @@ def read_query(
         url, f"SELECT COUNT(*) AS n, MIN({bound}) AS lo, MAX({bound}) AS hi FROM {plain['dbtable']}", **connection
     )
     n, lo, hi = spark.read.format("jdbc").options(**counted).load().first()
-    n_tasks = partitions_for(int(n))
+    n_tasks = readers or partitions_for(int(n))
     if spread_by is not None:
         properties = {k: v for k, v in plain.items() if k not in ("url", "dbtable")}
         return spark.read.jdbc(
