@@ -180,9 +180,17 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
     return pairs.join(side("a"), "a").join(side("b"), "b").withColumn("shared", shared).where(F.col("shared") * 100 >= either * percent).select("a", "b")
 
 
-def in_groups(classes: DataFrame, groups: DataFrame) -> DataFrame:
-    """Every class with the group it is in so far, itself if ``groups`` (id, component) lacks it, and the group's size."""
-    placed = classes.select("class").join(groups, F.col("class") == F.col("id"), "left").select("class", F.coalesce("component", "class").alias("together"))
+def in_groups(classes: DataFrame, links: DataFrame | None = None, placed: DataFrame | None = None) -> DataFrame:
+    """Every class with the group that ``links`` (a, b) put it in, and the group's size. With ``placed``, groups made before, links
+    join whole groups."""
+    if placed is None:
+        placed = classes.select("class", F.col("class").alias("together"))
+    else:
+        side = lambda c: placed.select(F.col("class").alias(c), F.col("together").alias(f"of_{c}"))
+        links = links.join(side("a"), "a").join(side("b"), "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b")).where("a <> b")
+        placed = placed.select("class", "together")
+    if links is not None:
+        placed = placed.join(components(links), F.col("together") == F.col("id"), "left").select("class", F.coalesce("component", "together").alias("together"))
     return placed.join(placed.groupBy("together").agg(F.count("*").alias("many")), "together")
 
 
@@ -308,22 +316,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .withColumn("place", F.row_number().over(by_buckets)).where(F.col("place") <= LEADERS).select(F.col("lead").alias("a"), F.col("class").alias("b"))
     )
     first = stored(confirmed(sorted_out(nearest, classes), sets), "links")
-    placed = stored(in_groups(classes, components(first)), "groups")
+    placed = stored(in_groups(classes, first), "groups")
     visits = stored(apart(buckets, placed, classes), "visits")
     second = stored(confirmed(visits.select("a", "b"), sets), "links")
-    joined = components(first.unionByName(second))
+    now = stored(in_groups(classes, second, placed).select("class", "together"), "groups")
     # Who is still apart from a group of more than one compares itself with every member of it.
-    now = in_groups(classes, joined).select("class", F.col("together").alias("now"))
     several = placed.where("many > 1").select("together").distinct()
-    group_now = placed.select("together", "class").join(now, "class").groupBy("together").agg(F.min("now").alias("theirs"))
+    group_now = placed.join(now.select("class", F.col("together").alias("theirs")), "class").groupBy("together").agg(F.min("theirs").alias("theirs"))
     open_visits = stored(
-        visits.join(several, "together", "left_semi").join(now.withColumnRenamed("class", "a"), "a").join(group_now, "together")
-        .where("now <> theirs").select("a", "together"),
+        visits.join(several, "together", "left_semi").join(now.select(F.col("class").alias("a"), F.col("together").alias("now")), "a")
+        .join(group_now, "together").where("now <> theirs").select("a", "together"),
         "visits",
     )
-    linked = components(first.unionByName(second).unionByName(met(open_visits, placed, sets)))
-    groups = classes.select("same", "class", "least_id").join(linked, F.col("class") == F.col("id"), "left").select(
-        "same", "least_id", F.coalesce("component", "class").alias("group")
+    third = stored(met(open_visits, placed, sets), "links")
+    groups = (
+        classes.select("same", "class", "least_id").join(in_groups(classes, third, now).select("class", "together"), "class")
+        .select("same", "least_id", F.col("together").alias("group"))
     )
     named = groups.join(groups.groupBy("group").agg(F.min("least_id").alias("component_id")), "group").select("same", "group", "component_id")
     rows = signed.select("row", "doc_id", "n_shingles", "same").join(stored(named, "groups"), "same", "left").withColumn(
