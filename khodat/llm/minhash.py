@@ -121,7 +121,9 @@ def estimates(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right:
     by_chance = chance(n_left, n_right)
     estimate = (equal / np.maximum(either, 1) - by_chance) / (1 - by_chance)
     least = percent / 100
-    slack = DEVIATIONS * np.sqrt(least * (1 - least) / np.maximum(either, 1))
+    union = (n_left + n_right) / (1 + least)
+    undrawn = np.clip((union - either) / np.maximum(union - 1, 1), 0, 1)
+    slack = (DEVIATIONS * np.sqrt(least * (1 - least) * np.maximum(either, 1) * undrawn) + 2) / np.maximum(either, 1)
     sizes = 100 * np.minimum(n_left, n_right) >= percent * np.maximum(n_left, n_right)
     return estimate, sizes & (estimate >= least - slack)
 

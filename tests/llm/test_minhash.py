@@ -83,19 +83,23 @@ def test_visits_and_meetings(spark, monkeypatch):
     )
     full = spark.createDataFrame([(i, s.view(np.int64).tolist()) for i, s in enumerate(sets)], "row long, shingles array<bigint>")
     buckets = spark.createDataFrame([(5, i) for i in range(4)], "key long, class long")
-    groups = lambda *rows: in_groups(classes, spark.createDataFrame(list(rows), "id long, component long"))
+    groups = lambda *rows: in_groups(classes, spark.createDataFrame(list(rows), "a long, b long") if rows else None)
     for block in (1, 2, 1024):
         monkeypatch.setattr("khodat.llm.minhash.BLOCK", block)
         monkeypatch.setattr("khodat.llm.minhash.MEETING", block)
         alone = {(r.a, r.together, r.b) for r in apart(buckets, groups(), classes).collect()}
         assert {(0, 1, 1), (1, 2, 2)} <= alone and not any(3 in v for v in alone)
-        pair = groups((1, 1), (2, 1))
+        pair = groups((2, 1))
         visits = apart(buckets, pair, classes)
         assert [(r.a, r.together, r.b) for r in visits.collect()] == [(0, 1, 1)]
         assert {tuple(r) for r in met(visits.select("a", "together"), pair, full).collect()} == {(0, 1)}
         wrong = spark.createDataFrame([(3, 1), (0, 1)], "a long, together long")
         assert {tuple(r) for r in met(wrong, pair, full).collect()} == {(0, 1)}
-    assert apart(buckets, groups((0, 0), (1, 0), (2, 0), (3, 0)), classes).collect() == []
+    both = in_groups(classes, spark.createDataFrame([(2, 3)], "a long, b long"), groups((0, 1)))
+    assert sorted(map(tuple, in_groups(classes, spark.createDataFrame([(3, 0)], "a long, b long"), both).select("class", "together", "many").collect())) == [
+        (c, 0, 4) for c in range(4)
+    ]
+    assert apart(buckets, groups((1, 0), (2, 1), (3, 0)), classes).collect() == []
 
 
 def test_a_large_group_whose_members_are_not_all_linked(documents):
@@ -136,6 +140,20 @@ def test_estimates_are_corrected_for_chance():
         assert abs(np.mean(hits) - shared / (shared + 2 * own)) < 0.03
 
 
+def test_no_linked_pair_is_ruled_out():
+    rng = np.random.default_rng(12)
+    for n in (5, 9, 18, 45, 90, 150, 300, 900, 5000):
+        for _ in range(300 if n < 1000 else 40):
+            shared = -(-8 * n // 9)  # just linked: 8 of 10 in the union
+            a = rng.integers(0, 2**64, n, np.uint64)
+            b = np.r_[a[:shared], rng.integers(0, 2**64, n - shared, np.uint64)]
+            sets = [np.unique(a), np.unique(b)]
+            both = len(np.intersect1d(*sets))
+            assert 100 * both >= 80 * (len(sets[0]) + len(sets[1]) - both)
+            left, right = registers(sets)
+            assert estimates(left[None], right[None], np.array([len(sets[0])]), np.array([len(sets[1])]))[1].all(), n
+
+
 def test_similar_small_sets_share_bands():
     rng = np.random.default_rng(2)
     missed = 0
