@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from khodat.llm.common import text_chunks, whole_texts
 
 #: Words whose ids a worker keeps at a time; a full store is emptied. It saves work and changes no result.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 
 # What the definition's pattern calls white space: the Unicode property (fixed values).
 SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
