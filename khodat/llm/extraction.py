@@ -1,8 +1,9 @@
 """Main text of pages: site templates are found by counting element subtrees per host, and removed.
 
-A page is read once. Its blocks of text are kept with the hashes of the elements around them; hashes that recur across
-many different pages of a host are its template, and blocks within them go. What an element's name, class, id or role
-declares as something else than the article goes as it is read.
+Blocks of text are read with the hashes of the elements around them; hashes that recur across many different pages of a
+host, or of a section of it, are its template, and blocks within them go. What an element's name, class, id or role
+declares as something else than the article goes as it is read. Pages are read twice, once for the hashes and once for
+the blocks, so that the text is written only once.
 """
 
 from __future__ import annotations
@@ -17,12 +18,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from khodat.llm.common import numbered, stored, text_chunks
+from khodat.llm.common import stored, text_chunks
 from khodat.llm.url_rules import host_and_path
 
-#: A subtree is template if it stands in so many different pages of a host, and in this share of them.
+#: A subtree is template if it stands in so many different pages of a host or section, and in this share of them.
 MIN_PAGES = 8
 MIN_SHARE = 0.3
+#: Code points up to which a passage in a declared article can be template by its place.
+SHORT = 200
 
 # Elements and names that hold no article text (fixed values).
 RAW = frozenset("script style textarea title noscript template iframe svg math object canvas select xmp noembed noframes".split())
@@ -43,6 +46,9 @@ DROPPED_NAMES = frozenset(
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 # Elements that hold text directly.
 TEXT_ELEMENTS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th tr table tbody ul ol dl figcaption caption".split())
+# Those of them that hold a single passage.
+PASSAGES = TEXT_ELEMENTS - {"table", "tbody", "ul", "ol", "dl"}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Items that end before the next one of their kind.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
@@ -62,6 +68,8 @@ class Element:
     name: str
     first: int
     digest: xxhash.xxh64 = field(default_factory=xxhash.xxh64)
+    #: Of each child with text its name, hash, first block and the one behind it; the name of bare text is empty.
+    children: list[tuple[str, int, int, int]] = field(default_factory=list)
 
 
 def declared_otherwise(name: str, rest: str, inside: bool) -> bool:
@@ -80,6 +88,35 @@ def declared_otherwise(name: str, rest: str, inside: bool) -> bool:
     return False
 
 
+def signed(value: int) -> int:
+    return value - ((value >> 63) << 64)
+
+
+def places(parent: Element, sizes: list[int]) -> list[tuple[int, int, int]]:
+    """Hashes of short passages in a declared article by their place, with the blocks they cover: two that follow each other,
+    with their number from the first or the last child, and the one at either end of a parent that is no list or table. A
+    heading that opens its parent is a title: it is no template, and what follows it is not at an end."""
+    found, children = [], parent.children
+    short = [name in PASSAGES and sum(sizes[first:behind]) <= SHORT for name, _, first, behind in children]
+    if children and children[0][0] in HEADINGS:
+        short[0] = False
+
+    def add(place: str, *those: tuple[str, int, int, int]) -> None:
+        named = f"{parent.name} {place} " + " ".join(str(value) for _, value, _, _ in those)
+        found.append((signed(xxhash.xxh64_intdigest(named)), those[0][2], those[-1][3]))
+
+    for i in range(len(children) - 1):
+        if short[i] and short[i + 1]:
+            add(f"+{i}", *children[i : i + 2])
+            add(f"-{len(children) - i}", *children[i : i + 2])
+    if children and parent.name not in TEXT_ELEMENTS:
+        if short[0]:
+            add("first", children[0])
+        if short[-1]:
+            add("last", children[-1])
+    return found
+
+
 def resumes(tag: re.Match) -> bool:
     """Whether an element that lacks its end is over here at the latest."""
     name = (tag["name"] or "").lower()
@@ -90,9 +127,10 @@ def read_page(html: str) -> tuple[list[str], list[list[int]], list[int]]:
     """Blocks of the article in page order, for each the hashes of the elements around it, and the hashes of all elements of
     the page that can be template.
 
-    The article is what stands in article or main elements; in a page that has none it is the whole body. In a declared
-    article, paragraphs and the like are no template, since sites repeat passages; in other pages they can be. A hash
-    covers name and content of the subtree. Bad markup is read as browsers do: end tags without a start are
+    The article is what stands in article or main elements; in a page that has none it is the
+    whole body. In a declared article a passage (paragraph, heading, item) is no template by its content alone, since sites
+    repeat passages, but with its place (see ``places``); in other pages every element can be. A hash covers name and
+    content of the subtree. Bad markup is read as browsers do: end tags without a start are
     skipped, an end tag closes what is open inside, blocks end a paragraph, a tag cut off by the end of the page is none. An
     element to be dropped that is never closed ends before the next article, main or footer.
     """
@@ -101,10 +139,10 @@ def read_page(html: str) -> tuple[list[str], list[list[int]], list[int]]:
     for i, tag in enumerate(tags):
         if tag["end"]:
             last_end[tag["name"].lower()] = i
-    has_article = any(t["name"] and not t["end"] and t["name"].lower() in ARTICLE for t in tags)
-    blocks: list[tuple[str, list[int]]] = []
-    hashes: list[int] = []
+    blocks: list[tuple[str, bool]] = []  # with whether it stands in the article
     around: list[tuple[int, int, int]] = []  # subtree hash with the first block in it and the one behind it
+    passages: list[tuple[int, int, int]] = []  # the same of what counts in pages without article only
+    parents: list[Element] = []  # elements in or of the article
     stack: list[Element] = []
     run: list[str] = []
     depth_article, at, i = 0, 0, 0
@@ -115,24 +153,26 @@ def read_page(html: str) -> tuple[list[str], list[list[int]], list[int]]:
         if text:
             if stack:
                 stack[-1].digest.update(text)
-            if depth_article or not has_article:
-                blocks.append((text, []))
+                stack[-1].children.append(("", 0, len(blocks), len(blocks) + 1))
+            blocks.append((text, depth_article > 0))
 
     def close(upto: int) -> None:
         nonlocal depth_article
         while len(stack) > upto:
             finish_block()
             element = stack.pop()
+            if depth_article and len(blocks) > element.first:
+                parents.append(element)
             if element.name in ARTICLE:
                 depth_article -= 1
             element.digest.update("\0" + element.name)
             value = element.digest.intdigest()
             if stack:
                 stack[-1].digest.update(value.to_bytes(8, "big"))
-            if element.name not in WHOLE and not (has_article and element.name in TEXT_ELEMENTS):
-                value -= (value >> 63) << 64
-                hashes.append(value)
-                around.append((value, element.first, len(blocks)))
+                if len(blocks) > element.first:
+                    stack[-1].children.append((element.name, value, element.first, len(blocks)))
+            if element.name not in WHOLE:
+                (passages if element.name in PASSAGES else around).append((signed(value), element.first, len(blocks)))
 
     while i < len(tags):
         tag = tags[i]
@@ -203,42 +243,48 @@ def read_page(html: str) -> tuple[list[str], list[list[int]], list[int]]:
         run.append(unescape(html[at:]))
     close(0)
     finish_block()
+    has_article = any(t["name"] and not t["end"] and t["name"].lower() in ARTICLE for t in tags)
+    sizes = [len(b) for b, _ in blocks]
+    around += [a for e in parents for a in places(e, sizes)] if has_article else passages
+    owns: list[list[int]] = [[] for _ in blocks]
     for value, first, behind in around:
-        for _, own in blocks[first:behind]:
+        for own in owns[first:behind]:
             own.append(value)
-    return [b for b, _ in blocks], [own for _, own in blocks], hashes
+    kept = [i for i, (_, inside) in enumerate(blocks) if inside or not has_article]
+    return [blocks[i][0] for i in kept], [owns[i] for i in kept], [value for value, _, _ in around]
 
 
 def read_pages(pages: DataFrame) -> DataFrame:
-    """Every row of ``pages`` (page_id, url, html) read once: row, page_id, url, host, blocks, hashes, and a digest of the blocks."""
+    """Every row of ``pages`` (page_id, url, html) read: page_id, url, key, host, section, blocks, hashes, and a digest of the
+    blocks. Rows of one key are alike in all of these. The section is the first folder of the path."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64()))]))
         for chunk in text_chunks(batches, "html", 2 << 20):
             found = [read_page(h or "") for h in chunk.column("html").to_pylist()]
             yield pa.RecordBatch.from_pydict({
-                "row": chunk.column("row"), "page_id": chunk.column("page_id"), "url": chunk.column("url"), "host": chunk.column("host"),
+                **{c: chunk.column(c) for c in ("page_id", "url", "host", "section")},
                 "blocks": pa.array([[{"text": t, "around": a} for t, a in zip(b, own)] for b, own, _ in found], kind),
                 "hashes": pa.array([list(dict.fromkeys(h)) for _, _, h in found], pa.list_(pa.int64())),
                 "digest": pa.array([xxhash.xxh64_intdigest("\n".join(b)) - (1 << 63) for b, _, _ in found], pa.int64()),
             })
 
-    host, _ = host_and_path(F.col("url"))
-    return numbered(pages.select("page_id", "url", "html"), "row").withColumn("host", host).mapInArrow(
-        read, "row long, page_id long, url string, host string, blocks array<struct<text string, around array<bigint>>>, "
+    host, path = host_and_path(F.col("url"))
+    return pages.select("page_id", "url", "html", host.alias("host"), F.regexp_extract(path, "^/+([^/]+)/", 1).alias("section")).mapInArrow(
+        read, "page_id long, url string, host string, section string, blocks array<struct<text string, around array<bigint>>>, "
         "hashes array<bigint>, digest long",
-    )
+    ).withColumn("key", F.xxhash64("page_id", "url", "digest", "hashes"))
 
 
 def templates(read: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """Hashes (host, hash) that recur in at least ``min_pages`` pages of a host and ``min_share`` of them. Pages of equal text
+    """Hashes (place, hash) that recur in at least ``min_pages`` pages of a place and ``min_share`` of them. Pages of equal text
     count as one: copies of a page do not make its article a template."""
     seen = (
-        read.select("host", "digest", F.explode("hashes").alias("hash")).distinct()
-        .groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+        read.select("place", "digest", F.explode("hashes").alias("hash")).distinct()
+        .groupBy("place", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
     )
-    hosts = read.select("host", "digest").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    return seen.join(hosts, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "hash")
+    sizes = read.select("place", "digest").distinct().groupBy("place").agg(F.count("*").alias("pages"))
+    return seen.join(sizes, "place").where(F.col("n") >= min_share * F.col("pages")).select("place", "hash")
 
 
 def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
@@ -247,18 +293,21 @@ def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float
     Blocks are joined by one line break; white space inside a block is one space. Null or empty html, and pages without
     article text, give the empty text. A null url has the empty host. Repeated rows stay; an empty table gives no rows.
     """
-    read = stored(read_pages(pages), "pages-read")
-    around = F.array_distinct(F.flatten(F.col("blocks.around")))
-    # Most articles hold nothing that could be template; their text stays where it is.
-    plain, boxed = read.where(F.size(around) == 0), read.where(F.size(around) > 0)
+    read = read_pages(pages)
+    # A page counts for its host and, if it has one, for its section there.
+    section = F.when(F.col("section") != "", F.xxhash64("host", "section"))
+    placed = stored(
+        read.select(
+            "key", "digest", "hashes", F.explode(F.array_compact(F.array(F.xxhash64("host"), section))).alias("place"),
+        ), "page-hashes",
+    )
     removed = (
-        boxed.select("row", "host", F.explode(around).alias("hash"))
-        .join(templates(read, min_pages, min_share), ["host", "hash"]).groupBy("row").agg(F.collect_set("hash").alias("removed"))
+        placed.select("key", "place", F.explode("hashes").alias("hash"))
+        .join(templates(placed, min_pages, min_share), ["place", "hash"]).groupBy("key").agg(F.collect_set("hash").alias("removed"))
     )
-    kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["around"], F.coalesce("removed", F.array().cast("array<bigint>"))))
+    kept = F.filter("blocks", lambda b: F.col("removed").isNull() | ~F.arrays_overlap(b["around"], "removed"))
     return (
-        boxed.select("row", "page_id", "url", "blocks").join(removed, "row", "left").withColumn("blocks", kept)
-        .select("page_id", "url", "blocks").unionByName(plain.select("page_id", "url", "blocks"))
+        read.select("page_id", "url", "blocks", "key").join(removed, "key", "left").withColumn("blocks", kept)
         .select("page_id", "url", F.array_join("blocks.text", "\n").alias("text"))
         .withColumn("n_chars", F.length("text").cast("long"))
     )

@@ -55,6 +55,20 @@ def test_passages_in_articles_and_copies_of_pages_stay(spark):
     assert all(got[100 + i] == "A copied page" for i in range(20))
 
 
+def test_lists_and_short_passages_of_a_template_in_an_article_go(spark):
+    share, rows = "<ul><li>Mail<li>Print</ul>", []
+    for i in range(20):
+        rows.append((i, f"http://a.org/{i}", f"<article><h1>Story {i}</h1>{share}<p>Text {i}</p><p>Said twice</p><p>More {i}</p><p>All rights kept</p></article>"))
+        table = "<table><tr><td>Only<td>here</table>"
+        rows += [(100 + 20 * k + i, f"http://b.org/{'xyzuv'[k]}/{i}", f"<article><p>Page {k} {i}</p>{'' if k else table}<p>End {k} {i}</p></article>") for k in range(5)]
+    got = {r.page_id: r.text for r in extract_text(pages(spark, rows)).collect()}
+    assert all(got[i] == f"Story {i}\nText {i}\nSaid twice\nMore {i}" for i in range(20))
+    # A title and what it announces stay, however many pages have them.
+    rows = [(i, f"http://a.org/{i}", f"<article><h1>News</h1><p>News of today</p><p>Text {i}</p></article>") for i in range(20)]
+    assert {r.text.replace(str(r.page_id), "") for r in extract_text(pages(spark, rows)).collect()} == {"News\nNews of today\nText "}
+    assert all(got[100 + 20 * k + i] == f"Page {k} {i}\nEnd {k} {i}" for k in range(5) for i in range(20))
+
+
 def test_odd_rows(spark):
     rows = [(1, None, "<p>a</p>"), (1, None, "<p>a</p>"), (None, "x", None), (2, "http://a.org", ""), (3, "http://a.org", "<nav>x</nav>")]
     got = sorted(map(tuple, extract_text(pages(spark, rows)).collect()), key=str)
