@@ -127,7 +127,7 @@ def read_page(html: str) -> tuple[list[str], list[list[int]], list[int]]:
     """Blocks of the article in page order, for each the hashes of the elements around it, and the hashes of all elements of
     the page that can be template.
 
-    The article is what stands in article or main elements; in a page that has none it is the
+    The article is what stands in article or main elements; in a page where none of them was entered and gave text it is the
     whole body. In a declared article a passage (paragraph, heading, item) is no template by its content alone, since sites
     repeat passages, but with its place (see ``places``); in other pages every element can be. A hash covers name and
     content of the subtree. Bad markup is read as browsers do: end tags without a start are
@@ -243,7 +243,7 @@ def read_page(html: str) -> tuple[list[str], list[list[int]], list[int]]:
         run.append(unescape(html[at:]))
     close(0)
     finish_block()
-    has_article = any(t["name"] and not t["end"] and t["name"].lower() in ARTICLE for t in tags)
+    has_article = any(inside for _, inside in blocks)
     sizes = [len(b) for b, _ in blocks]
     around += [a for e in parents for a in places(e, sizes)] if has_article else passages
     owns: list[list[int]] = [[] for _ in blocks]

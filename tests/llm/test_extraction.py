@@ -28,6 +28,15 @@ def test_pages(html):
     assert "\n".join(read_page(html)[0]) == PAGES[html]
 
 
+@pytest.mark.parametrize("other", [
+    "<aside><article>teaser</article></aside>", "<div class=comments><article>said</article></div>", "<script>var a = '<article>';</script>",
+    "<nav><main>x</main></nav>", "<article><img></article>",
+])
+def test_an_article_that_is_not_read_hides_nothing(other):
+    for html in (f"<body>{other}<div class=content><p>Whole text</p></div></body>", f"<body><div class=content><p>Whole text</p></div>{other}</body>"):
+        assert read_page(html)[0] == ["Whole text"]
+
+
 @pytest.mark.parametrize("cut", range(0, 120, 7))
 def test_cut_pages_do_not_fail(cut):
     html = "<body><nav><a href='x'>m</a></nav><article><p class=\"a b\">One &amp; <b>two</b><script>var a='<p>';</script></p></article></body>"
