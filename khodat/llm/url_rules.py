@@ -1,8 +1,8 @@
 """URL verdicts: given site rules first, then association rules between URL tokens and labels, mined by FP-growth.
 
-Only DataFrame functions and Spark's own FP-growth. Each URL has at most ten tokens, one from each place in it, so a
-URL lies in at most 2 ** 10 token sets, and the rules that reach a support s number at most 2 ** 10 / s, however many
-URLs there are.
+Only DataFrame functions and Spark's own FP-growth. FP-growth gets the ten places of a URL, so a URL lies in at most 2 ** 10
+token sets, and the rules that reach a support s number at most 2 ** 10 / s, however many URLs there are. Every host
+label, folder, query value and word is a token besides; of all tokens that are no rare ones, rules of one or two are counted.
 """
 
 from __future__ import annotations
@@ -24,6 +24,9 @@ MIN_CONFIDENCE = 0.6
 #: Least confidence against the share of the verdict among all labelled URLs.
 MIN_LIFT = 1.2
 
+#: Standard deviations by which a rule of one or two tokens must exceed the share of its verdict.
+MIN_SIGMAS = 4
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -74,6 +77,23 @@ def url_tokens(url: Column) -> Column:
     return F.filter(tokens, lambda t: t.isNotNull())
 
 
+def all_tokens(url: Column) -> Column:
+    """``url_tokens`` and, wherever they stand, each host label, folder, query pair, and each word in any of them (A-Z
+    lower-cased). Digits count as 0; numbers alone are no words."""
+    host, path = host_and_path(url)
+    zeroed = lambda c: F.regexp_replace(c, "[0-9]+", "0")
+    query = F.regexp_extract(url, "\\?([^#]*)", 1)
+    kinds = {
+        "label": F.split(zeroed(host), "\\."),
+        "part": F.split(zeroed(path), "/"),
+        "pair": F.split(zeroed(query), "&"),
+        "word": F.filter(F.split(F.translate(F.concat_ws("/", host, path, query), UPPER, LOWER), "[^\\p{L}\\p{N}]+"), lambda w: w.rlike("\\p{L}")),
+    }
+    named = lambda kind, c: F.transform(F.filter(c, lambda t: t != ""), lambda t: F.concat(F.lit(f"{kind}="), t))
+    more = [named(kind, c) for kind, c in kinds.items()]
+    return F.array_distinct(F.concat(url_tokens(url), *[F.coalesce(m, F.array().cast("array<string>")) for m in more]))
+
+
 def mine_rules(
     labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT,
     min_rows: int = MIN_ROWS,
@@ -93,17 +113,60 @@ def mine_rules(
     )
 
 
+def mine_short_rules(
+    labelled: DataFrame, min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT, min_rows: int = MIN_ROWS, min_sigmas: float = MIN_SIGMAS,
+) -> DataFrame:
+    """Rules like those of ``mine_rules`` of one or two of ``all_tokens``. The least support is a number of rows, whatever the size
+    of the table; a verdict must also exceed its share by ``min_sigmas`` deviations. A rule of two stays only if it is
+    surer than each of its tokens alone."""
+    items = stored(
+        labelled.where(F.col("verdict").isNotNull()).select(F.monotonically_increasing_id().alias("row"), all_tokens(F.col("url")).alias("tokens"), "verdict"),
+        "url-tokens",
+    )
+    total = items.count()
+    shares = items.groupBy("verdict").agg((F.count("*") / F.lit(max(1, total))).alias("share"))
+    per_token = items.select("row", "verdict", F.explode("tokens").alias("token"))
+    frequent = per_token.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= min_rows).select("token")
+    left = stored(
+        per_token.join(frequent, "token").groupBy("row", "verdict").agg(F.array_sort(F.collect_list("token")).alias("tokens")), "url-frequent-tokens"
+    )
+
+    def counted(sets: DataFrame) -> DataFrame:
+        """Rows (tokens, verdict, held, confidence) of ``sets`` (tokens, verdict) with the least number of rows."""
+        held = sets.groupBy("tokens", "verdict").agg(F.count("*").alias("held"))
+        per_set = held.groupBy("tokens").agg(F.sum("held").alias("n"), F.collect_list(F.struct("verdict", "held")).alias("of"))
+        return per_set.select("tokens", "n", F.inline("of")).where(F.col("held") >= min_rows).withColumn("confidence", F.col("held") / F.col("n"))
+
+    singles = stored(counted(left.select(F.explode("tokens").alias("token"), "verdict").select(F.array("token").alias("tokens"), "verdict")), "url-singles")
+    both = F.flatten(F.transform("tokens", lambda a, i: F.transform(F.slice("tokens", i + 2, F.size("tokens")), lambda b: F.array(a, b))))
+    alone = lambda i: singles.select(F.col("tokens")[0].alias(f"t{i}"), "verdict", F.col("confidence").alias(f"c{i}"))
+    pairs = counted(left.select(F.explode(both).alias("tokens"), "verdict")).where(F.col("confidence") >= min_confidence)
+    pairs = (
+        pairs.withColumns({"t0": F.col("tokens")[0], "t1": F.col("tokens")[1]})
+        .join(alone(0), ["t0", "verdict"]).join(alone(1), ["t1", "verdict"]).where(F.col("confidence") > F.greatest("c0", "c1"))
+        .select("tokens", "n", "verdict", "held", "confidence")
+    )
+    share, n = F.col("share"), F.col("n")
+    return (
+        singles.select("tokens", "n", "verdict", "held", "confidence").unionByName(pairs).join(F.broadcast(shares), "verdict")
+        .where((F.col("confidence") >= min_confidence) & (F.col("confidence") >= min_lift * share))
+        .where(F.col("confidence") - share >= min_sigmas * F.sqrt(share * (1 - share) / n))
+        .select("tokens", "verdict", "confidence", (F.col("held") / F.lit(max(1, total))).alias("support"))
+    )
+
+
 def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """For each distinct url that fits a rule, the verdict of the best: most confidence, then support, then tokens in order.
 
-    An inverted index leads from a token to the rules that hold it; a rule fits a URL that reaches it by all its tokens.
+    An inverted index leads to a rule from that token of it which the fewest rules hold; the others are then looked up.
     """
-    ranked = rules.select("verdict", "confidence", "support", F.array_join(F.array_sort("tokens"), " ").alias("name"), "tokens")
-    index = ranked.withColumn("needed", F.size("tokens")).withColumn("token", F.explode("tokens")).drop("tokens")
+    ranked = rules.select("verdict", "confidence", "support", F.array_join(F.array_sort("tokens"), " ").alias("name"), "tokens").distinct()
+    each = ranked.withColumn("token", F.explode("tokens"))
+    held = each.groupBy("token").agg(F.count("*").alias("held"))
+    index = each.join(held, "token").groupBy(*ranked.columns).agg(F.min_by("token", F.struct("held", "token")).alias("token"))
     reached = (
-        urls.select("url").distinct().withColumn("token", F.explode(url_tokens(F.col("url"))))
-        .join(index, "token").groupBy("url", "verdict", "confidence", "support", "name", "needed").agg(F.count("*").alias("found"))
-        .where("found = needed")
+        urls.select("url").distinct().withColumn("own", all_tokens(F.col("url"))).withColumn("token", F.explode("own"))
+        .join(index, "token").where(F.size(F.array_except("tokens", "own")) == 0)
     )
     best = F.max_by(F.struct("verdict", "name"), F.struct("confidence", "support", "name", "verdict"))
     return reached.groupBy("url").agg(best.alias("best")).select("url", F.col("best.verdict").alias("mined"), F.col("best.name").alias("mined_rule"))
@@ -115,7 +178,9 @@ def judge_urls(pages: DataFrame, labelled: DataFrame, rules: Sequence[tuple[str,
     judged alike; an empty table gives no rows. Other columns are not read."""
     host, path = host_and_path(F.col("url"))
     judged = pages.select("page_id", "url").withColumns({"host": host, "path": path}).withColumn("site", site_rule(F.col("host"), F.col("path"), rules))
-    mined = match_rules(judged.where("site is null and url is not null"), stored(mine_rules(labelled), "url-rules"))
+    labelled = stored(labelled.select("url", "verdict"), "url-labels")
+    rules_mined = stored(mine_rules(labelled).unionByName(mine_short_rules(labelled)), "url-rules")
+    mined = match_rules(judged.where("site is null and url is not null"), rules_mined)
     return judged.join(mined, "url", "left").select(
         "page_id", "host", "path", F.col("site.rule").alias("rule"),
         F.coalesce("site.verdict", "mined", F.lit("allow")).alias("verdict"),
