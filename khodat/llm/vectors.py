@@ -1,8 +1,9 @@
 """Near duplicates among vectors by sorted projection passes.
 
 In each pass a vector's signs on random hyperplanes, concatenated, are its place in a lexicographic order; similar vectors
-come near each other in some pass. Each vector is compared with a bounded window of those behind it, and the pairs that
-hold are united across passes. Within the components found so, all pairs are then compared in blocks, so that links are
+come near each other in some pass. Each vector is compared with a bounded window of those behind it; where more vectors
+than a window share as many first signs as should tell a window apart, all pairs of these are compared in blocks. The pairs
+that hold are united across passes. Within the components found so, all pairs are then compared in blocks, so that links are
 counted whole.
 """
 
@@ -31,10 +32,16 @@ MISSED = 1e-5
 SEED = 11
 
 
+def prefix_bits(n: int, window: int = WINDOW) -> int:
+    """First signs that tell a window apart among ``n`` vectors that are spread evenly."""
+    return math.ceil(math.log2(max(n, window) / window))
+
+
 def passes_for(n: int, least: float = LEAST_COSINE, window: int = WINDOW, missed: float = MISSED) -> int:
-    """Passes that find a pair at the threshold among ``n`` vectors: it must agree in as many signs as tell a window apart."""
+    """Passes that find a pair at the threshold among ``n`` vectors: it must agree in ``prefix_bits`` signs, however the others
+    are spread."""
     agree = 1 - math.acos(least) / math.pi
-    met = agree ** max(0.0, math.log2(max(n, 1) / window))
+    met = agree ** prefix_bits(n, window)
     return 1 if met >= 1 else math.ceil(math.log(missed) / math.log(1 - met))
 
 
@@ -82,7 +89,42 @@ def usable(vectors: DataFrame, kind: str) -> DataFrame:
     )
 
 
-def window_links(classes: DataFrame, kind: str, passes: int, least: float, window: int, block: int) -> DataFrame:
+def crowded_links(sorted_rows: DataFrame, kind: str, bits: int, least: float, window: int, block: int) -> DataFrame:
+    """Links (a, b) among all vectors of a pass that share the first ``bits`` signs, where these are more than a window
+    holds: block against block, from each member of a component to its first one."""
+    # The sign bit of a key only shifts the range.
+    named = sorted_rows.withColumn("bucket", F.xxhash64("pass", "label", "size", F.shiftright("key", 64 - bits) if bits else F.lit(0)))
+    sizes = stored(named.groupBy("bucket").agg(F.count("*").alias("rows")).where(F.col("rows") > window + 1), "crowded")
+    tasks = max(1, (sizes.agg(F.sum("rows")).first()[0] or 0) // (8 * block))
+    blocks = F.ceil(F.col("rows") / block).cast("int")
+    rows = (
+        named.join(sizes, "bucket").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumns({"first": F.least("own", "other"), "second": F.greatest("own", "other")})
+        .withColumn("task", F.when(F.col("blocks") == 1, F.pmod("bucket", F.lit(tasks))).otherwise(F.xxhash64("bucket", "first", "second")))
+        .select("task", "bucket", "size", "first", "second", "own", "class", "raw")
+    )
+
+    def compare(group: pa.Table) -> pa.Table:
+        columns = {c: group[c].to_numpy() for c in ("bucket", "size", "first", "second", "own", "class")}
+        raw, found = group["raw"].to_pylist(), [np.zeros((0, 2), np.int64)]
+        order = np.lexsort([columns[c] for c in ("second", "first", "size", "bucket")])
+        change = np.flatnonzero(np.any([np.diff(columns[c][order]) != 0 for c in ("bucket", "size", "first", "second")], axis=0)) + 1
+        for part in np.split(order, change):
+            names = columns["class"][part]
+            unit = unit_rows([raw[i] for i in part], kind)
+            left, right = (np.flatnonzero(columns["own"][part] == columns[c][part]) for c in ("first", "second"))
+            a, b = np.nonzero(unit[left] @ unit[right].T >= least)
+            root = local_roots(len(part), left[a], right[b])
+            moved = np.flatnonzero(root != np.arange(len(part)))
+            found.append(np.stack([names[root[moved]], names[moved]], 1))
+        links = np.concatenate(found)
+        return pa.table({"a": pa.array(links.min(1) if len(links) else links[:, 0]), "b": pa.array(links.max(1) if len(links) else links[:, 0])})
+
+    return rows.groupBy("task").applyInArrow(compare, "a long, b long")
+
+
+def window_links(classes: DataFrame, kind: str, passes: int, bits: int, least: float, window: int, block: int) -> DataFrame:
     """Links (a, b) that the passes find among ``classes`` (class, label, raw): in each block, from each member of a
     component to its first one."""
 
@@ -142,7 +184,8 @@ def window_links(classes: DataFrame, kind: str, passes: int, least: float, windo
         links = np.concatenate(found)
         return pa.table({"a": pa.array(links.min(1) if len(links) else links[:, 0]), "b": pa.array(links.max(1) if len(links) else links[:, 0])})
 
-    return blocks.groupBy("block").applyInArrow(compare, "a long, b long")
+    near = blocks.groupBy("block").applyInArrow(compare, "a long, b long")
+    return near.unionByName(crowded_links(sorted_rows, kind, bits, least, window, block))
 
 
 def counted_links(members: DataFrame, kind: str, least: float, block: int) -> DataFrame:
@@ -196,7 +239,10 @@ def near_vectors(vectors: DataFrame, least: float = LEAST_COSINE, window: int =
         .agg(F.min("row").alias("class"), F.count("*").alias("copies"), F.min("vec_id").alias("least_id")),
         "vector-classes",
     )
-    linked = stored(components(window_links(classes, kind, passes_for(classes.count(), least, window), least, window, block)), "components")
+    n = classes.count()
+    linked = stored(
+        components(window_links(classes, kind, passes_for(n, least, window), prefix_bits(n, window), least, window, block)), "components",
+    )
     members = classes.join(linked, F.col("class") == F.col("id")).select("class", F.col("component").alias("group"), "copies", "raw", "least_id")
     counts = counted_links(members, kind, least, block)
     names = members.groupBy("group").agg(F.min("least_id").alias("component_id"))

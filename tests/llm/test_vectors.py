@@ -61,6 +61,18 @@ def test_clusters_of_many_sizes_and_small_blocks(spark):
     assert sorted(map(tuple, near_vectors(vectors, window=8, block=16).drop("row").collect()), key=str) == brute(vectors.collect())
 
 
+def test_no_pair_is_lost_in_a_dense_region(spark):
+    """All vectors of a label at a cosine of about 0.95, 200 pairs among them at 0.982."""
+    rng = np.random.default_rng(6)
+    turned = lambda v, cosine: cosine * v + math.sqrt(1 - cosine**2) * rng.normal(size=v.shape) / 8
+    dense = turned(np.tile(np.eye(64)[0], (3000, 1)), math.sqrt(0.95))
+    dense[:200] = turned(dense[200:400], 0.982)
+    unit = dense / np.linalg.norm(dense, axis=1, keepdims=True)
+    links = (unit @ unit.T >= 0.98).sum(1) - 1
+    vectors = table(spark, [(i, v.tolist(), 1) for i, v in enumerate(dense)], "double")
+    assert {r.vec_id: r.n_links for r in near_vectors(vectors, window=16, block=256).collect()} == dict(enumerate(links.tolist())) and links.sum() > 200
+
+
 def test_empty(spark):
     assert near_vectors(table(spark, [])).collect() == []
     assert [tuple(r)[1:] for r in near_vectors(table(spark, [(3, None, 1)])).collect()] == [(3, 0, 3, True)]
