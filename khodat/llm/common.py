@@ -77,6 +77,21 @@ def text_chunks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int
         yield batch.slice(start)
 
 
+def gathered_chunks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, in order, in chunks of up to ``most`` bytes of text that reach across batches. A longer
+    text is a chunk of its own."""
+    waiting, total = [], 0
+    for chunk in text_chunks(batches, text, most):
+        size = pc.sum(pc.binary_length(chunk.column(text))).as_py() or 0
+        if waiting and total + size > most:
+            yield pa.concat_batches(waiting)
+            waiting, total = [], 0
+        waiting.append(chunk)
+        total += size
+    if waiting:
+        yield pa.concat_batches(waiting)
+
+
 def whole_texts(texts: pa.Array) -> pa.Array:
     """The texts, null as empty, in buffers of their own: Arrow's text functions go wrong on slices of large strings."""
     own = texts.take(pa.array(np.arange(len(texts)), pa.int64()))

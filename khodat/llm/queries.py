@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from khodat.llm.alignment import alignment_digest
 from khodat.llm.bpe import encode_digest
 from khodat.llm.common import table
 from khodat.llm.exact import duplicate_plan
@@ -17,8 +18,10 @@ from khodat.llm.mixing import mix_digest
 from khodat.llm.pitman_yor import score_documents
 from khodat.llm.quality import quality_digest
 from khodat.llm.sharding import shard_documents
+from khodat.llm.spelling import spelling_variants
 from khodat.llm.url_rules import judge_urls
 from khodat.llm.vectors import near_vectors
+from khodat.llm.wavelet import token_digest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -123,3 +126,69 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_extract")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return extract_text(table(spark, sf, "pages"))
+
+
+@query("op11_wavelet_ids")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return token_digest(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER), end=2)
+
+
+#: CRC-32 by half bytes, the lower first: the sums of 0 to 15 (fixed values).
+CRC_STEPS = (
+    "[0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, "
+    "3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108]"
+)
+LETTERS = r"[A-Za-z\x{00C0}-\x{00FF}]+"
+
+
+@query("op12_spelling_variants", f"""
+with recursive runs as (
+  select doc_id, run, count(*) as times from (
+    select doc_id, translate(unnest(regexp_extract_all(text, '{LETTERS}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run from documents
+  ) group by all
+),
+digits as (
+  select *, hex(encode(cast(doc_id as varchar) || ':' || run)) as h from runs
+),
+summed as (
+  select run, times, xor(4294967295, list_reduce(
+    list_prepend(4294967295::bigint, list_transform(range(0, length(h)), lambda i: strpos('123456789ABCDEF', substr(h, xor(i, 1) + 1, 1)))),
+    lambda c, d: xor({CRC_STEPS}[(xor(c, d) & 15) + 1], c >> 4)
+  )) as s from digits
+),
+words as (
+  select word, cast(sum(times) as bigint) as n from (
+    select times, case when s % 97 = 0 then substr(run, 1, s % length(run)) || substr(run, s % length(run) + 2) else run end as word from summed
+  ) where length(word) >= 5 group by word having sum(times) >= 3
+),
+shorter as (
+  select word, i, substr(word, 1, i) || substr(word, i + 2) as rest from (select word, unnest(range(0, length(word))) as i from words)
+),
+near as (
+  select a.word, b.word as other from shorter a join shorter b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+  union select shorter.word, words.word from shorter join words on words.word = rest
+  union select words.word, shorter.word from shorter join words on words.word = rest
+),
+best as (
+  select near.word, count(*) as n_near, first(struct_pack(form := o.word, form_n := o.n) order by o.n desc, o.word) as top
+  from near join words o on o.word = other group by near.word
+),
+formed as (
+  select words.word, n, coalesce(n_near, 0) as n_near, case when top.form_n >= 2 * n then top.form end as form,
+    case when top.form_n >= 2 * n then top.form_n end as form_n
+  from words left join best on best.word = words.word
+),
+walk as (
+  select word, word as at from formed
+  union all select walk.word, form from walk join formed on formed.word = walk.at where form is not null
+)
+select formed.word, form, walk.at as root, n, n_near, form_n
+from formed join walk on walk.word = formed.word join formed ends on ends.word = walk.at and ends.form is null
+""")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling_variants(table(spark, sf, "documents"))
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment_digest(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
