@@ -182,7 +182,7 @@ walk as (
   select word, word as at from formed
   union all select walk.word, form from walk join formed on formed.word = walk.at where form is not null
 )
-select formed.word, form, walk.at as root, n, n_near, form_n
+select formed.word, formed.form, walk.at as root, formed.n, formed.n_near, formed.form_n
 from formed join walk on walk.word = formed.word join formed ends on ends.word = walk.at and ends.form is null
 """)
 def op12(spark: SparkSession, sf: str) -> DataFrame:
