@@ -39,6 +39,18 @@ def scan_csv(spark, sf):
     return files.read_csv(spark, path, CUSTOMER)
 
 
+@query(
+    "scan_csv_line_breaks",
+    "select o_orderkey, o_orderstatus || chr(10) || '\"' || o_orderpriority || chr(10) || '\",' as note, o_totalprice from orders",
+)
+def scan_csv_line_breaks(spark, sf):
+    """One file whose quoted fields hold line breaks, quotes and commas; its splits are read by tasks of their own."""
+    path = scratch_path(spark, "orders.csv")
+    note = F.concat("o_orderstatus", F.lit('\n"'), "o_orderpriority", F.lit('\n",'))
+    write_csv(data.table(spark, sf, "orders").select("o_orderkey", note.alias("note"), "o_totalprice").coalesce(1), path)
+    return files.read_csv(spark, path, struct(o_orderkey="bigint", note="string", o_totalprice="double"), multi_line=True)
+
+
 @query("scan_parquet_inferred", f"select {ORDER_LIST}, {LOADED_SQL} as business_date from orders")
 def scan_parquet_inferred(spark, sf):
     folder = raw_orders(spark, sf)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from khodat.sources.layers import read_parquet
+from khodat.sources.records import csv_records
 
 
 # CSV texts that mean "missing", besides the empty field.
@@ -23,18 +24,17 @@ def read_csv(
 ) -> DataFrame:
     """Header CSV with the declared columns; the texts in ``missing`` are NULL, other bad values raise.
 
-    Whole numbers may be written as 3.0, as they are when some are missing. A row is a line, so that large files are read
-    by many tasks. ``multi_line`` says that quoted fields hold line breaks; then each file is one task. A field that holds
-    a line break without that makes a row with the wrong number of fields, which raises.
+    Whole numbers may be written as 3.0, as they are when some are missing. Large files are read by many tasks. ``multi_line`` says
+    that quoted fields may hold line breaks; then quotes are counted in a pass of its own, and lines are joined to records
+    (``csv_records``). Without it a row is a line, and a field that holds a line break makes a row with the wrong number of fields,
+    which raises.
     """
-    rows = (
-        spark.read.schema(as_strings(schema))
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("mode", "FAILFAST")
-        .option("escape", '"')
-        .csv(path)
-    )
+    parsing = {"mode": "FAILFAST", "escape": '"'}
+    if multi_line:
+        row = F.from_csv("record", as_strings(schema).simpleString(), {**parsing, "multiLine": "true"})
+        rows = csv_records(spark, path).select(row.alias("row")).select("row.*")
+    else:
+        rows = spark.read.schema(as_strings(schema)).option("header", True).options(**parsing).csv(path)
 
     def one(field: T.StructField) -> Column:
         c = F.col(f"`{field.name}`")

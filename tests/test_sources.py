@@ -11,6 +11,7 @@ from khodat.operators.rows import newest
 from khodat.schema import LISTING_RAW, spark_type, struct
 from khodat.session import scratch_path, shared_root
 from khodat.sources import files, jdbc, layers
+from khodat.sources.records import csv_records
 
 
 def text_file(scratch, spark, lines):
@@ -47,6 +48,50 @@ def test_large_csv_is_split(spark, scratch):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+BREAKS = [
+    "name,n,price", '"a\nb",1,1.5', "plain,2,", '"\n\n",3,0', '"x ""quoted\n"" and\r\n, more",4,2', '"many\nlines\nof\none field, with a comma",5,7\r',
+    "", '""",""",6,8', '"ends with a break\n",7,9', "last,8,10",
+]
+
+
+def by_the_parser(spark, path):
+    reader = spark.read.schema(files.as_strings(CSV)).option("header", True).option("multiLine", True).option("escape", '"')
+    return sorted(map(str, reader.option("mode", "FAILFAST").csv(path).selectExpr("name", "cast(n as long)", "cast(price as double)").collect()))
+
+
+@pytest.mark.parametrize("header", ["name,n,price", 'name,"the\nnumber",price'])
+def test_line_breaks_at_every_edge_of_a_split(spark, scratch, header):
+    path = text_file(scratch, spark, [header, *BREAKS[1:], *BREAKS[1:]])
+    wanted = by_the_parser(spark, path)
+    assert len(wanted) == 16
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (*range(5, 40, 3), 61, 100, 1 << 20):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            rows = files.read_csv(spark, path, CSV, multi_line=True)
+            assert sorted(map(str, rows.collect())) == wanted, size
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20")
+        assert csv_records(spark, path).count() == 16 and csv_records(spark, path, header=False).count() == 17
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_records_of_several_files_and_many_batches(spark, scratch):
+    path = scratch("csv")
+    frame = spark.range(5000).selectExpr("repeat('line\n', cast(id % 4 as int)) || id as name", "id as n", "id / 2 as price")
+    write_csv(frame.repartition(3), path)
+    rows = files.read_csv(spark, path, CSV, multi_line=True)
+    assert sorted(map(str, rows.collect())) == by_the_parser(spark, path) == sorted(map(str, frame.collect()))
+
+
+def test_a_file_that_ends_within_quotes_raises(spark, scratch):
+    path = text_file(scratch, spark, ["name,n,price", "a,1,2", '"b,2,3', "c,3,4"])
+    with pytest.raises(Exception, match="a quoted field is open at the end of"):
+        files.read_csv(spark, path, CSV, multi_line=True).collect()
+    empty = text_file(scratch, spark, ["name,n,price"])
+    assert files.read_csv(spark, empty, CSV, multi_line=True).collect() == []
+
+
 def test_csv_bad_number_raises(spark, scratch):
     path = text_file(scratch, spark, ["name,n,price", "a,x,1"])
     with pytest.raises(Exception, match="cannot cast to bigint: x"):
