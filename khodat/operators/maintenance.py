@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,26 +56,38 @@ def plain_path(path: Column) -> Column:
     return F.when(F.regexp_like(text, F.lit("^[A-Za-z][A-Za-z0-9+.-]*:/")), F.coalesce(decoded, F.regexp_replace(text, uri, ""))).otherwise(text)
 
 
-def _common_folder(paths: DataFrame) -> str | None:
-    """The deepest folder that all paths are below; None without paths. The least and the greatest path decide."""
-    least, most = paths.agg(F.min("_path"), F.max("_path")).first()
-    return None if least is None else os.path.commonprefix([least, most]).rpartition("/")[0]
+def _folder(least: str, most: str) -> str:
+    """The deepest folder that all paths from the least to the greatest are below."""
+    return os.path.commonprefix([least, most]).rpartition("/")[0] or "/"
 
 
 def orphan_files(
-    listing: DataFrame, manifest: DataFrame, older_than: Column | None = None, path: str = "path", mtime: str = "mtime"
+    listing: DataFrame, manifest: DataFrame, older_than: Column | None = None, path: str = "path", mtime: str = "mtime",
+    roots: Sequence[str] = (),
 ) -> DataFrame:
     """Listed files no manifest entry refers to, last modified before ``older_than`` (midnight two days ago).
 
     Both sides name files as ``list_files`` and ``_metadata.file_path`` do. Scheme and authority may differ: paths are
-    compared without them. Where neither side's folder holds the other's, nothing could ever match and every live file would
-    be reported, so that raises.
+    compared without them. ``roots`` are the folders that were listed, by default one that holds all. Where no file of a root is
+    referenced, though the manifest refers to some, it speaks of another place, and every live file would be reported:
+    that raises. Both sides are brought together by path once, where each path's rows are counted by side.
     """
     if older_than is None:
         older_than = F.date_sub(F.current_date(), 2)
-    listed = listing.withColumn("_path", plain_path(F.col(path)))
-    referenced = manifest.select(plain_path(F.col(path)).alias("_path")).distinct()
-    ours, theirs = _common_folder(listed), _common_folder(referenced)
-    if ours is not None and theirs is not None and not f"{ours}/".startswith(f"{theirs}/") and not f"{theirs}/".startswith(f"{ours}/"):
-        raise ValueError(f"listed files are below {ours or '/'}, referenced ones below {theirs or '/'}")
-    return listed.where(F.col(mtime) < older_than).join(referenced, "_path", "left_anti").select(*listing.columns)
+    rows = listing.select(plain_path(F.col(path)).alias("_path"), F.struct(*listing.columns).alias("_row"))
+    entries = manifest.select(plain_path(F.col(path)).alias("_path")).where("_path is not null")
+    tagged = rows.unionByName(entries, allowMissingColumns=True)
+    listed, referenced = F.count("_row"), F.count(F.when(F.col("_row").isNull(), 1))
+    paths = tagged.groupBy("_path").agg(listed.alias("_listed"), referenced.alias("_referenced"))
+    plain = [r.plain for r in listing.sparkSession.createDataFrame([(r,) for r in roots], "root string").select(plain_path(F.col("root")).alias("plain")).collect()] if roots else []
+    root = F.coalesce(*[F.when(F.startswith("_path", F.lit(r.rstrip("/") + "/")), F.lit(r)) for r in plain], F.lit("")) if plain else F.lit("")
+    ours, theirs = F.when(F.col("_listed") > 0, F.col("_path")), F.when(F.col("_referenced") > 0, F.col("_path"))
+    seen = paths.groupBy(root.alias("root")).agg(
+        F.max(F.least("_listed", "_referenced")).alias("matched"), F.min(ours).alias("first"), F.max(ours).alias("last"), F.min(theirs).alias("least"), F.max(theirs).alias("most"),
+    ).collect()  # one row for each root
+    least, most = (pick((r[c] for r in seen if r[c] is not None), default=None) for c, pick in (("least", min), ("most", max)))
+    for r in seen:
+        if r["first"] is not None and least is not None and not r["matched"]:
+            raise ValueError(f"listed files are below {_folder(r['first'], r['last'])}, referenced ones below {_folder(least, most)}")
+    old = listing.withColumn("_path", plain_path(F.col(path))).where(F.col(mtime) < older_than)
+    return old.join(entries.distinct(), "_path", "left_anti").select(*listing.columns)

@@ -41,6 +41,19 @@ def sized_for_write(df: DataFrame, num_partitions: int | None = None, by: Sequen
     return df.hint("rebalance", *names) if by else df
 
 
+def ranged_for_write(df: DataFrame, order: Sequence[str], num_partitions: int | None = None) -> DataFrame:
+    """Frame in partitions that each hold a range of the ``order`` columns and are sorted by them.
+
+    Bounds are quantiles of a sample. Neighbouring ranges share at most the value at their bound; so one that fills several of
+    them is split, by the hash of all columns. Without ``num_partitions`` small neighbours are merged by size.
+    """
+    names = [F.col("`" + c.replace("`", "``") + "`") for c in order]
+    hashable = [F.col("`" + f.name.replace("`", "``") + "`") for f in df.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    bounds = [*names, F.xxhash64(*hashable)] if hashable else names
+    ranged = df.repartitionByRange(num_partitions, *bounds) if num_partitions else df.repartitionByRange(*bounds)
+    return ranged.sortWithinPartitions(*names)
+
+
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     """Concatenation by column name; a column missing from a frame is NULL there. Neighbours are joined in pairs, so that
     the plan of many frames stays flat."""

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from khodat.functions.dates import DAY_SUFFIX, day_partition
+from khodat.operators import swap
 from khodat.operators.merge import merge_upsert, quoted, same_keys
-from khodat.operators.rows import sized_for_write
+from khodat.operators.rows import ranged_for_write, sized_for_write
 from khodat.schema import DEFAULT_TABLE_PROPERTIES, FILE_FORMATS, ROW_LEVEL_FORMATS, Partition, TableSpec
 from khodat.session import scratch_database
 from khodat.sources.files import as_strings
@@ -81,7 +82,7 @@ def create_table(
     if partition_by:
         clauses.append("PARTITIONED BY (" + ", ".join(partition_by) + ")")
     if location:
-        clauses.append(f"LOCATION '{location}'")
+        clauses.append(f"LOCATION {_text(location)}")
     clauses.append(f"TBLPROPERTIES ({_pairs(spec.table_properties())})")
     spark.sql("\n".join(clauses))
 
@@ -114,7 +115,8 @@ def create_or_replace_table_as(
 ) -> None:
     """Replaces the table, schema included, by the rows of ``df``; partitioned tables need a sort order.
 
-    Rows are sorted within each task by partition and sort columns. No global sort takes place. A DAY partition is a
+    Files hold ranges of partition and sort columns that do not overlap, and are sorted, so that a filter on them leaves most files
+    unread. A DAY partition is a
     transform where the format has them. A table that exists keeps its properties and, unless another is given, a location
     outside of the warehouse; given properties win over those, and those over the defaults.
     """
@@ -129,15 +131,13 @@ def create_or_replace_table_as(
     all_properties = {**DEFAULT_TABLE_PROPERTIES, **before, **(properties or {})}
     if fmt in ROW_LEVEL_FORMATS:
         by = [F.days(p.column) if p.kind == "DAY" else F.col(quoted(p.column)) for p in partitions if p.kind != "NONE"]
-        writer = (sized_for_write(rows, num_partitions).sortWithinPartitions(*sort_by) if sort_by else rows).writeTo(table).using(fmt)
+        writer = (ranged_for_write(rows, sort_by, num_partitions) if sort_by else rows).writeTo(table).using(fmt)
         for key, value in {**all_properties, **({"location": location} if location else {})}.items():
             writer = writer.tableProperty(key, value)
         (writer.partitionedBy(*by) if by else writer).createOrReplace()
         return
     rows, names = with_partitions(rows, partitions)
-    rows = sized_for_write(rows, num_partitions, names)
-    if sort_by:
-        rows = rows.sortWithinPartitions(*map(quoted, [*names, *sort_by]))
+    rows = ranged_for_write(rows, [*names, *sort_by], num_partitions) if sort_by else sized_for_write(rows, num_partitions, names)
     writer = rows.write.format(fmt).mode("overwrite")
     if location:
         writer = writer.option("path", location)
@@ -162,8 +162,7 @@ def _sized_for_table(
 ) -> DataFrame:
     rows = _in_table_order(df, table)
     names = _partition_columns(df.sparkSession, table)
-    rows = sized_for_write(rows, num_partitions, names)
-    return rows.sortWithinPartitions(*map(quoted, [*names, *sort_by])) if sort_by else rows
+    return ranged_for_write(rows, [*names, *sort_by], num_partitions) if sort_by else sized_for_write(rows, num_partitions, names)
 
 
 @contextmanager
@@ -180,12 +179,53 @@ def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
 
 
 def insert_overwrite(
-    df: DataFrame, table: str, distinct: bool = True, num_partitions: int | None = None, sort_by: Sequence[str] = ()
+    df: DataFrame, table: str, distinct: bool = True, num_partitions: int | None = None, sort_by: Sequence[str] = (),
+    files: Sequence[str] | None = None,
 ) -> None:
-    """Replaces all rows of the table, whatever the session's overwrite mode. ``df`` must not read from the table itself."""
+    """Replaces all rows of the table, or those of its ``files`` (as ``_metadata.file_path`` names them), whatever the session's
+    overwrite mode; no setting is touched.
+
+    A plain file table gets the new files beside the old ones, hidden, and they are swapped under a journal (``swap``): a failure
+    until then changes nothing, a later one is made good by ``recover_table`` or the next write. Formats with
+    row-level writes do it in their own way. Until its files are swapped ``df`` may read from the table itself.
+    """
+    spark = df.sparkSession
     rows = df.distinct() if distinct else df
-    with _overwriting(df.sparkSession, "static"):
-        _sized_for_table(rows, table, num_partitions, sort_by).write.insertInto(table, overwrite=True)
+    if _detail(spark, table).get("Provider", "").lower() not in FILE_FORMATS:
+        with _overwriting(spark, "static"):
+            _sized_for_table(rows, table, num_partitions, sort_by).write.insertInto(table, overwrite=True)
+        return
+    recover_table(spark, table)
+    place = _place(spark, table)
+    hidden = swap.begin()
+    database = scratch_database(spark)
+    try:
+        # Like the table in all that its files depend on.
+        spark.sql(f"CREATE TABLE {database}.next LIKE {table} LOCATION {_text(place.at(hidden).toString())}")
+        _sized_for_table(rows, table, num_partitions, sort_by).write.insertInto(f"{database}.next")
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+    place.fs.mkdirs(place.at(hidden))
+    swap.record(place, hidden, place.names() if files is None else map(place.relative, files))
+    changed = swap.finish(place, hidden)
+    # A table that was made anew at an old place knows none of its folders.
+    _swapped(spark, table, changed or files is None)
+
+
+def _place(spark: SparkSession, table: str) -> swap.Place:
+    return swap.Place(spark, _detail(spark, table)["Location"])
+
+
+def _swapped(spark: SparkSession, table: str, folders_changed: bool) -> None:
+    if folders_changed and _partition_columns(spark, table):
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    spark.sql(f"REFRESH TABLE {table}")
+
+
+def recover_table(spark: SparkSession, table: str) -> None:
+    """After a failed write: the table is as it was before, or as the write would have left it."""
+    if _detail(spark, table).get("Provider", "").lower() in FILE_FORMATS and swap.recover(_place(spark, table)):
+        _swapped(spark, table, True)
 
 
 def insert_append(df: DataFrame, table: str, sort_by: Sequence[str] = ()) -> None:
@@ -240,8 +280,9 @@ def replace_with_types(df: DataFrame, table: str) -> None:
     """Replaces rows and column types of the table by those of ``df``; everything else stays.
 
     Plain file tables can't change a type, so there the table is made anew from its own definition, at its old location if it
-    has one of its own, while the one before stands aside under another name and comes back if the new one can't be made. Formats with row-level
-    writes replace the table in one step of their own.
+    has one of its own, while the one before stands aside under another name and comes back if the new one can't be made or
+    filled: its files are not touched until the new ones are complete. Formats with row-level writes replace the
+    table in one step of their own.
     """
     spark = df.sparkSession
     provider = _keepable(spark, table)
@@ -256,10 +297,14 @@ def replace_with_types(df: DataFrame, table: str) -> None:
         spark.sql(f"ALTER TABLE {table} RENAME TO {before}")
         try:
             spark.sql(f"CREATE TABLE {table} ({columns})\n{definition}")
-        except Exception:
+            insert_overwrite(spark.table(staged), table, distinct=False)
+        except Exception as error:
+            if spark.catalog.tableExists(table) and swap.has_journal(_place(spark, table)):
+                error.add_note(f"the new files of {table} are complete: recover_table puts them in place, then {before} can be dropped")
+                raise
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
             spark.sql(f"ALTER TABLE {before} RENAME TO {table}")
             raise
-        insert_overwrite(spark.table(staged), table, distinct=False)
         spark.sql(f"DROP TABLE {before}")
 
 
@@ -302,26 +347,42 @@ def _merge_partitions(source: DataFrame, table: str, keys: Sequence[str], names:
     if not touched:
         return
     within = target.where(_in_partitions(names, [r.partition for r in touched]))
-    merged = merge_upsert(within, source, keys, dedup=False, small_source=small)
-    with _staged(merged) as staged:
-        rows = spark.table(staged)
-        with _overwriting(spark, "dynamic"):
-            _sized_for_table(rows, table).write.insertInto(table, overwrite=True)
-        filled = {r.partition for r in rows.select(key).distinct().collect()}
-        others = ", ".join(quoted(c) for c in target.columns if c not in names)
-        for r in touched:
-            # All rows moved elsewhere: nothing has overwritten this partition.
-            if r.partition not in filled:
-                spec = ", ".join(f"{quoted(n)}={'null' if r[n] is None else _text(r[n])}" for n in names)
-                spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT {others} FROM {staged} WHERE false")
+    _replace_files(merge_upsert(within, source, keys, dedup=False, small_source=small), table, _files_of(within))
+
+
+def _files_of(rows: DataFrame) -> list[str]:
+    """The files that hold the rows. Their names come to the driver, as they do for every listing of a table."""
+    return [r.path for r in rows.select(F.col("_metadata.file_path").alias("path")).distinct().collect()]
+
+
+def _replace_files(rows: DataFrame, table: str, files: Sequence[str]) -> None:
+    """Puts ``rows``, which may read from the table, in place of the ``files``. They are stored first."""
+    with _staged(rows) as staged:
+        insert_overwrite(rows.sparkSession.table(staged), table, distinct=False, files=files)
+
+
+def _merge_files(source: DataFrame, table: str, keys: Sequence[str], small: bool) -> None:
+    """A merge that rewrites only the files that hold a matched row. Just keys are read to find them."""
+    target = source.sparkSession.table(table)
+    wanted = F.broadcast(source) if small else source
+    path = F.col("_metadata.file_path")
+    matched = target.select(*map(quoted, keys), path.alias("_file")).alias("t").join(
+        wanted.select(*map(quoted, keys)).alias("s"), same_keys(keys, "t", "s"), "left_semi",
+    )
+    files = [r._file for r in matched.select("_file").distinct().collect()]
+    if not files and source.isEmpty():
+        return
+    # Every row with a key of the source is in one of these files.
+    within = target.where(path.isin(files))
+    _replace_files(merge_upsert(within, source, keys, dedup=False, small_source=small), table, files)
 
 
 def merge_into(df: DataFrame, table: str, keys: Sequence[str], distinct: bool = True) -> None:
     """Updates the rows whose keys match and adds the others.
 
     Where the table format has MERGE that is used, and only the files with matches are rewritten. Plain file tables have
-    none: there the partitions that change are rewritten, or the whole table if it has no partitions. The source then
-    goes to the shared folder first, since it is read several times. A small one is broadcast, so the target is not
+    none: there the partitions that change are rewritten, or the files with matches if it has no partitions, and swapped under a
+    journal. The source then goes to the shared folder first, since it is read several times. A small one is broadcast, so the target is not
     shuffled; beyond that both sides are shuffled by key.
     """
     spark = df.sparkSession
@@ -332,14 +393,15 @@ def merge_into(df: DataFrame, table: str, keys: Sequence[str], distinct: bool =
     if has_merge(spark, table):
         rows.alias("s").mergeInto(table, same_keys(keys, table, "s")).whenMatched().updateAll().whenNotMatched().insertAll().merge()
         return
-    _keepable(spark, table)
+    if _keepable(spark, table) in FILE_FORMATS:
+        recover_table(spark, table)
     with _staged(rows) as staged:
         source = spark.table(staged)
         small, names = is_small(source), _partition_columns(spark, table)
         if names:
             _merge_partitions(source, table, keys, names, small)
         else:
-            replace_content(merge_upsert(spark.table(table), source, keys, dedup=False, small_source=small), table)
+            _merge_files(source, table, keys, small)
 
 
 def retype_swap(spark: SparkSession, table: str, types: dict[str, str]) -> None:
