@@ -15,22 +15,26 @@ import hashlib
 import json
 import os
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from khodat.llm.bpe import byte_letters
-from khodat.llm.common import gathered_chunks, narrow, pack, stored, unpack
+from khodat.llm.common import gathered_chunks, narrow, pack, stored, unpack, whole_texts
 
 #: Text of the documents that share one list of words; a longer text has one of its own. It changes no result.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
+#: Words whose tokens a worker keeps, the first that it meets. It saves work and changes no result.
+KEPT_WORDS = 100_000
 #: Words given to the tokenizers at once.
-ENCODED_TOGETHER = 20_000
+ENCODED_TOGETHER = 4_000
 
 #: Between words: one space, and no white space on either side of it.
 BETWEEN = re.compile(r"(?<=\S) (?=\S)")
@@ -56,33 +60,33 @@ def coalesced(starts: np.ndarray, ends: np.ndarray, side: np.ndarray) -> tuple[n
     reach = np.maximum.accumulate(ends[order])
     breaks = np.ones(len(order), bool)
     breaks[1:] = starts[order][1:] >= reach[:-1]
-    return order, np.cumsum(breaks) - 1
+    return order, np.cumsum(breaks, dtype=starts.dtype) - 1
 
 
 def overlaps(a_starts: np.ndarray, a_ends: np.ndarray, b_starts: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All pairs (of A, of B) of intervals that overlap. Those of each side are in order and do not overlap one another."""
     first = np.searchsorted(b_ends, a_starts, "right")
     many = np.searchsorted(b_starts, a_ends, "left") - first
-    return np.repeat(np.arange(len(a_starts)), many), spread(first, many)
+    return np.repeat(np.arange(len(a_starts), dtype=a_starts.dtype), many), spread(first, many).astype(a_starts.dtype)
 
 
 class Words:
-    """Words, each with a space before it, aligned: for each word the numbers of its tokens, groups and links, the text of its groups, and
-    whether both tokenizers give back its bytes (else it has no tokens)."""
-
-    def __init__(self, a: list[np.ndarray], b: list[np.ndarray], good: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray):
-        empty = np.zeros(0, np.int64)
-        a, b = ([ids if g else empty for ids, g in zip(side, good.tolist())] for side in (a, b))
-        self.good = good
-        self.n_a, self.n_b = (np.array([len(ids) for ids in side], np.int64) for side in (a, b))
-        self.a, self.b = (np.concatenate([empty, *side]).astype(np.int64) for side in (a, b))
+    """Words, each with a space before it, aligned: for each word the numbers of its tokens, groups and links, the text of its
+    groups, and whether both tokenizers give back its bytes (else it has no tokens)."""
+
+    def __init__(self, tokens: list[tuple[bytes, bytes]], a_sizes: np.ndarray, b_sizes: np.ndarray):
+        """``tokens`` of each word: A's and B's ids, four bytes each, or none of either."""
+        self.n_a, self.n_b = (np.array([len(t[side]) >> 2 for t in tokens], np.int64) for side in (0, 1))
+        self.a, self.b = (np.frombuffer(b"".join([t[side] for t in tokens]), "<i4") for side in (0, 1))
+        self.good = self.n_a > 0
         # The words lie one behind the other on one line of bytes, which both sides cover without gaps.
-        a_ends, b_ends = np.cumsum(a_sizes[self.a]), np.cumsum(b_sizes[self.b])
-        a_starts, b_starts = a_ends - a_sizes[self.a], b_ends - b_sizes[self.b]
+        place = np.int64 if a_sizes[self.a].sum() >= 1 << 31 else np.int32
+        a_ends, b_ends = np.cumsum(a_sizes[self.a], dtype=place), np.cumsum(b_sizes[self.b], dtype=place)
+        a_starts, b_starts = a_ends - a_sizes[self.a].astype(place), b_ends - b_sizes[self.b].astype(place)
         n = len(self.a)
-        side = np.repeat([0, 1], [n, len(self.b)])
+        side = np.repeat(np.array([0, 1], np.int8), [n, len(self.b)])
         order, group = coalesced(np.concatenate([a_starts, b_starts]), np.concatenate([a_ends, b_ends]), side)
-        of = np.empty(len(order), np.int64)
+        of = np.empty(len(order), place)
         of[order] = group
         self.group_ends = a_ends[np.diff(of[:n], append=-1) != 0]
         self.n_groups = sums(np.diff(of[:n], prepend=-1) != 0, self.n_a)
@@ -92,10 +96,10 @@ class Words:
 
     def texts(self) -> list[str]:
         """The groups of each word: ``a1,a2|b1;`` and so on, decimal ids in order."""
-        ids, place = np.concatenate([self.a, self.b]), 2 * self._of + self._side
+        place = 2 * self._of + self._side
         order = np.argsort(place, kind="stable")
         last = np.diff(place[order], append=-1) != 0
-        kind = 3 * ids[order] + np.where(last, 1 + self._side[order], 0)
+        kind = 3 * np.concatenate([self.a, self.b])[order] + np.where(last, 1 + self._side[order], 0)
         kinds, which = np.unique(kind, return_inverse=True)
         pieces = np.array([f"{k // 3}{',|;'[k % 3]}" for k in kinds.tolist()], object)[which].tolist()
         ends = np.cumsum(self.n_a + self.n_b).tolist()
@@ -130,37 +134,54 @@ class Aligner:
         self.a_sizes, self.b_sizes = (np.array([len(t) for t in side], np.int64) for side in (self.a_bytes, self.b_bytes))
         #: Whether no piece reaches from a word into the space behind it.
         self.splits = not any(SPACE_LETTER in p.lstrip(SPACE_LETTER) for p in pieces)
+        self.known: dict[str, tuple[bytes, bytes]] = {}
 
-    def split(self, text: str | None) -> list[str]:
+    def split(self, text: str) -> list[str]:
         if not text:
             return []
         return BETWEEN.split(text) if self.splits else [text]
 
+    def words_of(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Different words, the numbers of all texts' words in a row, and how many each text has. Null is empty."""
+        whole = whole_texts(texts)
+        lists = pc.split_pattern(whole, " ")
+        starts = np.asarray(lists.offsets, np.int64)
+        coded = lists.values.slice(starts[0], starts[-1] - starts[0]).dictionary_encode()
+        words, which, counts = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False), np.diff(starts)
+        # Where no part is empty or has white space at an end, the spaces are all between words.
+        odd = np.array([not (self.splits and w and not w[0].isspace() and not w[-1].isspace()) for w in words], bool)
+        others = np.flatnonzero(sums(odd[which], counts))
+        if len(others):
+            number = {w: i for i, w in enumerate(words)}
+            parts = np.split(which, np.cumsum(counts)[:-1])
+            for i in others.tolist():
+                parts[i] = np.array([number.setdefault(w, len(number)) for w in self.split(whole[i].as_py())], which.dtype)
+            words, which, counts = list(number), np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+        return words, which, counts
+
     def align(self, words: list[str]) -> Words:
-        a: list[np.ndarray] = []
-        b: list[np.ndarray] = []
-        good = np.zeros(len(words), bool)
-        for at in range(0, len(words), ENCODED_TOGETHER):
-            some = words[at : at + ENCODED_TOGETHER]
-            spaced = [" " + w for w in some]
-            of_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-            of_b = self.b.encode(some, num_threads=1)
-            for i, text in enumerate(spaced):
-                raw = text.encode()
-                good[at + i] = b"".join([self.a_bytes[t] for t in of_a[i]]) == raw == b"".join([self.b_bytes[t] for t in of_b[i]])
-            a += [np.array(ids, np.int64) for ids in of_a]
-            b += [np.array(ids, np.int64) for ids in of_b]
-        return Words(a, b, good, self.a_sizes, self.b_sizes)
+        out = [self.known.get(w) for w in words]
+        new = [i for i, tokens in enumerate(out) if tokens is None]
+        for at in range(0, len(new), ENCODED_TOGETHER):
+            some = new[at : at + ENCODED_TOGETHER]
+            of_a = self.a.encode_batch_fast([" " + words[i] for i in some], add_special_tokens=False)
+            of_b = self.b.encode([words[i] for i in some], num_threads=1)
+            for i, a, b in zip(some, of_a, of_b):
+                raw, a = (" " + words[i]).encode(), a.ids
+                same = b"".join([self.a_bytes[t] for t in a]) == raw == b"".join([self.b_bytes[t] for t in b])
+                out[i] = (struct.pack(f"<{len(a)}i", *a), struct.pack(f"<{len(b)}i", *b)) if same else (b"", b"")
+        # Frequent words come early and stay.
+        self.known.update((words[i], out[i]) for i in new[: max(KEPT_WORDS - len(self.known), 0)])
+        return Words(out, self.a_sizes, self.b_sizes)
 
     def chunk(self, texts: pa.Array) -> tuple[Words, np.ndarray, np.ndarray]:
         """The distinct words of the texts, aligned; the numbers of all texts' words in a row, and how many each text has. A
         text with a word whose bytes do not come back has none."""
-        words = [self.split(t) for t in texts.to_pylist()]
-        counts = np.array([len(w) for w in words], np.int64)
-        coded = pa.array([w for own in words for w in own], pa.large_string()).dictionary_encode()
-        which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        aligned = self.align(coded.dictionary.to_pylist())
+        words, which, counts = self.words_of(texts)
+        aligned = self.align(words)
         whole = sums(~aligned.good[which], counts) == 0
+        if whole.all():
+            return aligned, which, counts
         return aligned, which[np.repeat(whole, counts)], np.where(whole, counts, 0)
 
 
@@ -215,29 +236,31 @@ def _chunks(docs: DataFrame, definition: str, model: str) -> DataFrame:
     upper 32 bits, B's below), the distinct id pairs that its links hold; counts, how many links hold each."""
     aligner = _tokenizers(docs, definition, model)
 
+    def aligned(chunk: pa.RecordBatch, number: int) -> pa.RecordBatch:
+        words, which, counts = aligner().chunk(chunk.column("text"))
+        texts, digests = words.texts(), bytearray()
+        for at, n in zip((np.cumsum(counts) - counts).tolist(), counts.tolist()):
+            text = "".join([texts[w] for w in which[at : at + n].tolist()])[:-1]
+            digests += hashlib.sha256(text.encode()).digest()
+        times = np.bincount(which, minlength=len(texts))
+        keys, pair = np.unique(words.a[words.link_a].astype(np.int64) << 32 | words.b[words.link_b], return_inverse=True)
+        held = np.zeros(len(keys), np.int64)
+        np.add.at(held, pair, np.repeat(times, words.n_links))
+        doc_id = chunk.column("doc_id")
+        content = pack(
+            doc_id.fill_null(0).to_numpy(zero_copy_only=False), doc_id.is_null().to_numpy(zero_copy_only=False).astype(np.uint8),
+            np.frombuffer(bytes(digests), np.uint8), narrow(counts), narrow(which), narrow(pair),
+            *map(narrow, (words.n_a, words.n_b, words.n_groups, words.n_links)),
+        )
+        return pa.RecordBatch.from_pydict({
+            "chunk": pa.array([number], pa.int64()), "content": pa.array([content], pa.binary()),
+            "keys": pa.array([keys], pa.list_(pa.int64())), "counts": pa.array([held], pa.list_(pa.int64())),
+        })
+
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, part = aligner(), TaskContext.get().partitionId()
         for number, chunk in enumerate(gathered_chunks(batches, most=CHUNK_BYTES)):
-            words, which, counts = own.chunk(chunk.column("text"))
-            texts, digests = words.texts(), bytearray()
-            for at, n in zip((np.cumsum(counts) - counts).tolist(), counts.tolist()):
-                text = "".join([texts[w] for w in which[at : at + n].tolist()])[:-1]
-                digests += hashlib.sha256(text.encode()).digest()
-            times = np.bincount(which, minlength=len(texts))
-            pairs = words.a[words.link_a] << 32 | words.b[words.link_b]
-            keys, pair = np.unique(pairs, return_inverse=True)
-            held = np.zeros(len(keys), np.int64)
-            np.add.at(held, pair, np.repeat(times, words.n_links))
-            doc_id = chunk.column("doc_id")
-            content = pack(
-                doc_id.fill_null(0).to_numpy(zero_copy_only=False), doc_id.is_null().to_numpy(zero_copy_only=False).astype(np.uint8),
-                np.frombuffer(bytes(digests), np.uint8), narrow(counts), narrow(which), narrow(pair),
-                *map(narrow, (words.n_a, words.n_b, words.n_groups, words.n_links)),
-            )
-            yield pa.RecordBatch.from_pydict({
-                "chunk": pa.array([part << 32 | number], pa.int64()), "content": pa.array([content], pa.binary()),
-                "keys": pa.array([keys], pa.list_(pa.int64())), "counts": pa.array([held], pa.list_(pa.int64())),
-            })
+            yield aligned(chunk, TaskContext.get().partitionId() << 32 | number)
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return stored(rows.mapInArrow(align, "chunk long, content binary, keys array<bigint>, counts array<bigint>"), "chunks")

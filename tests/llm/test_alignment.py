@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -100,6 +101,8 @@ def test_words_alone_have_the_tokens_that_they_have_in_a_text():
     for text in texts:
         words = aligner.split(text)
         assert " ".join(words) == text
+        distinct, which, counts = aligner.words_of(pa.array(["x", text]))
+        assert [distinct[i] for i in which] == ["x", *words] and counts.tolist() == [1, len(words)]
         own = aligner.align(words)
         assert own.a.tolist() == aligner.a.encode(" " + text, add_special_tokens=False).ids
         assert own.b.tolist() == aligner.b.encode(text)
