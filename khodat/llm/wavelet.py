@@ -12,7 +12,9 @@ follows one for each plane: how many ids have a 0, the bits as 64-bit words, and
 
 from __future__ import annotations
 
+import json
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from khodat.llm.common import numbered, pack, stored, text_chunks, unpack, whole_texts
+from khodat.llm.common import gathered_chunks, numbered, pack, stored, unpack, whole_texts
 from khodat.session import scratch_path
 
 MAGIC = b"KHOWAVE1"
@@ -33,8 +35,8 @@ MAGIC = b"KHOWAVE1"
 SHARD_TOKENS = 1 << 22
 #: About how many bytes of text make an id. It sets how many tasks write, not what they write.
 TOKEN_BYTES = 3
-#: Words whose ids a worker keeps at a time; a full store is emptied. It saves work and changes no result.
-KEPT_WORDS = 200_000
+#: Words whose ids a worker keeps, the first that it meets. It saves work and changes no result.
+KEPT_WORDS = 350_000
 #: Words given to the tokenizer at once.
 ENCODED_TOGETHER = 20_000
 BLOCK_WORDS = 8
@@ -102,10 +104,10 @@ class Shard:
         sections = [pack(np.array([bits], "<i8"), doc_ids.astype("<i8"), no_id.astype("<u1"), lengths.astype("<i8"))]
         now = ids.astype(np.uint16 if bits <= 16 else np.uint32)
         for bit in range(bits - 1, -1, -1):
-            ones = (now >> bit) & 1 == 1
-            zeros = now[~ones]
+            ones = (now & now.dtype.type(1 << bit)) != 0
+            zeros = now[np.flatnonzero(~ones)]
             sections.append(pack(np.array([len(zeros)], "<i8"), *Plane.parts(ones)))
-            now = np.concatenate([zeros, now[ones]])
+            now = np.concatenate([zeros, now[np.flatnonzero(ones)]])
         sizes = np.array([len(sections), *map(len, sections)], "<u8")
         return b"".join([MAGIC, sizes.tobytes(), *sections])
 
@@ -118,17 +120,15 @@ class Shard:
             yield int(self._bits) - 1 - i, *self._planes[i]
 
     def all_ids(self) -> np.ndarray:
-        """All ids in their order, by parting the places as the ids were parted."""
+        """All ids in their order: from the last plane back to the first, ids that were parted are put together again."""
         n = len(self)
-        places, ids = np.arange(n, dtype=np.uint32), np.zeros(n, np.uint32)
-        for _, _, plane in self.planes():
-            ones = plane.bits(n)
-            zeros = ~ones
-            ids = np.concatenate([ids[zeros] << 1, ids[ones] << 1 | 1])
-            places = np.concatenate([places[zeros], places[ones]])
-        out = np.empty(n, np.uint32)
-        out[places] = ids
-        return out
+        ids = np.zeros(n, np.uint16 if int(self._bits) <= 16 else np.uint32)
+        for bit, zeros, plane in reversed(list(self.planes())):
+            ones, before = plane.bits(n), np.empty_like(ids)
+            before[np.flatnonzero(~ones)] = ids[:zeros]
+            before[np.flatnonzero(ones)] = ids[zeros:] | ids.dtype.type(1 << bit)
+            ids = before
+        return ids.astype(np.uint32)
 
     def access(self, at: np.ndarray) -> np.ndarray:
         """The ids at these places."""
@@ -171,48 +171,66 @@ class Shard:
 class WordEncoder:
     """The tokenizers library over words between ASCII white space, each distinct word of a chunk encoded once.
 
-    No piece, special token or composed letter of a definition that drops white space reaches across it.
+    ``definition`` lower-cases, drops white space and parts letters from signs. No piece, special token or composed letter
+    reaches across white space, nor from an ASCII letter to the stops and commas that end a word.
     """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        parts = json.loads(definition)
+        steps = [n["type"] for n in parts["normalizer"]["normalizers"]]
+        pattern = parts["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        if steps != ["NFC", "Replace", "Lowercase"] or not pattern.endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"):
+            raise ValueError(f"not a definition of this kind: {steps}, {pattern}")
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.tokenize = self.tokenizer.model.tokenize
+        self.signs = sorted({t["content"][0] for t in parts["added_tokens"]})
         self.known: dict[str, bytes] = {}
 
     def words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word, four bytes each."""
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > KEPT_WORDS:
-            self.known, new = {}, words
-        own: dict[str, bytes] = {}
-        for i in range(0, len(new), ENCODED_TOGETHER):
-            some = new[i : i + ENCODED_TOGETHER]
-            for word, coded in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                own[word] = np.array(coded.ids, "<u4").tobytes()
-        out = [own[w] if w in own else self.known[w] for w in words]
-        if len(self.known) + len(own) <= KEPT_WORDS:
-            self.known.update(own)
+        """Ids of each of these different words, four bytes each."""
+        known = self.known
+        out = [known.get(w) for w in words]
+        new = [i for i, ids in enumerate(out) if ids is None]
+        # Plain letters are one piece, which the model takes as it is.
+        pieces = [i for i in new if words[i].isascii() and words[i].isalpha()]
+        for i in pieces:
+            tokens = self.tokenize(words[i].lower())
+            out[i] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        others = [i for i in new if out[i] is None]
+        for at in range(0, len(others), ENCODED_TOGETHER):
+            some = others[at : at + ENCODED_TOGETHER]
+            for i, coded in zip(some, self.tokenizer.encode_batch_fast([words[i] for i in some], add_special_tokens=False)):
+                ids = coded.ids
+                out[i] = struct.pack(f"<{len(ids)}I", *ids)
+        # Frequent words come early and stay.
+        known.update((words[i], out[i]) for i in new[: max(KEPT_WORDS - len(known), 0)])
         return out
 
     def encode_texts(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each with ``end`` behind it, and how many each text has. Null is empty."""
-        lists = pc.ascii_split_whitespace(whole_texts(texts))
+        whole = whole_texts(texts)
+        # Words that differ in case or in the sign behind them are encoded once. A special token keeps its case.
+        plain = pc.ascii_lower(whole)
+        for sign in self.signs:
+            plain = pc.if_else(pc.match_substring(whole, sign), whole, plain)
+        plain = pc.replace_substring_regex(plain, r"([A-Za-z])([,.;:!?]+)([\x20\x09-\x0D]|$)", r"\1 \2\3")
+        lists = pc.ascii_split_whitespace(plain)
         starts = np.asarray(lists.offsets, np.int64)
         coded = lists.values.slice(starts[0], starts[-1] - starts[0]).dictionary_encode()
         # One word more stands for the end of a text.
-        words = [*self.words(coded.dictionary.to_pylist()), np.array([end], "<u4").tobytes()]
-        which = np.insert(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), starts[1:] - starts[0], len(words) - 1)
-        starts = starts - starts[0] + np.arange(len(starts))
+        words = [*self.words(coded.dictionary.to_pylist()), struct.pack("<I", end)]
+        which = np.insert(coded.indices.to_numpy(zero_copy_only=False), starts[1:] - starts[0], len(words) - 1)
         lengths = np.array([len(w) for w in words], np.int64) // 4
-        ids, at = np.frombuffer(b"".join(words), "<u4"), np.cumsum(lengths) - lengths
-        own = lengths[which]
-        ends = np.concatenate([[0], np.cumsum(own)])
-        places = np.repeat(at[which] - ends[:-1], own) + np.arange(ends[-1])
-        return ids[places], np.diff(ends[starts])
+        ids = pa.LargeListArray.from_arrays(
+            pa.array(np.concatenate([[0], np.cumsum(lengths)])), pa.array(np.frombuffer(b"".join(words), "<u4"), pa.uint32()),
+        ).take(pa.array(which))
+        ends = np.asarray(ids.offsets)
+        return ids.values.to_numpy()[ends[0] : ends[-1]], np.diff(ends[starts - starts[0] + np.arange(len(starts))])
 
 
 _ready: dict[str, WordEncoder] = {}
@@ -269,7 +287,7 @@ def write_shards(docs: DataFrame, definition: str, end: int, folder: str | None
                 "first_id": pa.array([first], pa.int64()), "first_row": pa.array([int(rows[0])], pa.int64()),
             })
 
-        for chunk in text_chunks(batches, most=4 << 20):
+        for chunk in gathered_chunks(batches):
             ids, lengths = _ready[content.value].encode_texts(chunk.column("text"), end)
             doc_id = chunk.column("doc_id")
             waiting.append((
