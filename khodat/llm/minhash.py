@@ -6,8 +6,10 @@ by chance, sorts out; the full sets confirm. Documents with equal sets are one c
 
 Within a bucket of equal bands not all pairs are formed. First each class is compared with the classes that lead most of
 its buckets. What these links join needs no more comparing. Classes that share a bucket and are still apart then visit
-each other's groups: the member that looks most alike first, and if that is no link, all of them, in blocks of bounded
-size. So the groups are those that all pairs would give, and rows grow with classes, not with their pairs.
+each other's groups. In a bucket of few classes the member that looks most alike comes first, and if that is no link, all of
+them. In a crowded one, classes are left out that have so many shingles for themselves that no other can reach the threshold;
+the others are compared in blocks, estimate before full sets, and only links that join groups come out of a block. So
+the groups are those that all pairs would give, and rows grow with classes, not with their pairs.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from khodat.llm.common import column, fresh, mixed, numbered, stored, text_chunks, words_of
+from khodat.llm.common import column, fresh, mixed, numbered, pack, stored, text_chunks, unpack, words_of
 from khodat.llm.components import components
 
 WORDS = 4
@@ -36,11 +38,17 @@ BANDS = 24
 DEVIATIONS = 5.0
 #: Leaders of its buckets that each class is compared with at first; what that leaves open is settled afterwards.
 LEADERS = 3
+#: Classes that may share a bucket before it counts as crowded.
+CROWD = 64
 #: Classes of one bucket in a block whose registers are compared.
 BLOCK = 1024
 #: Members of a group, and visitors, in a block whose full sets are compared.
 MEETING = 256
 
+#: Shingles of crowded classes that one task counts, and classes whose shingles are packed together. They change no result.
+RANGE_SHINGLES = 1 << 22
+SENT_CLASSES = 500
+
 REST_BITS = 64 - BUCKET_BITS
 POLYNOMIAL = np.uint64(0x100000001B3)
 #: For each bucket the order in which it borrows from others.
@@ -128,12 +136,12 @@ def estimates(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right:
     return estimate, sizes & (estimate >= least - slack)
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Every row of ``docs``: row, doc_id, n_shingles, a digest of its set, and its registers."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in text_chunks(batches):
-            sets = shingle_sets(chunk.column("text"))
+            sets = shingle_sets(chunk.column("text"), words)
             yield pa.RecordBatch.from_pydict({
                 "row": chunk.column("row"), "doc_id": chunk.column("doc_id"), "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                 "same": pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()),
@@ -143,12 +151,12 @@ def signatures(docs: DataFrame) -> DataFrame:
     return numbered(docs.select("doc_id", "text"), "row").mapInArrow(sign, "row long, doc_id long, n_shingles long, same binary, registers binary")
 
 
-def full_sets(docs: DataFrame, rows: DataFrame) -> DataFrame:
+def full_sets(docs: DataFrame, rows: DataFrame, words: int = WORDS) -> DataFrame:
     """The whole shingle sets (row, shingles) of the rows whose numbers are in ``rows``."""
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in text_chunks(batches):
-            sets = [s.view(np.int64) for s in shingle_sets(chunk.column("text"))]
+            sets = [s.view(np.int64) for s in shingle_sets(chunk.column("text"), words)]
             yield pa.RecordBatch.from_pydict({"row": chunk.column("row"), "shingles": pa.array(sets, pa.list_(pa.int64()))})
 
     wanted = numbered(docs.select("text"), "row").join(rows, "row", "left_semi")
@@ -286,16 +294,109 @@ def met(visits: DataFrame, placed: DataFrame, sets: DataFrame, percent: int = PE
     return rows.groupBy("together", "host_block", "guest_block").applyInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def alone(classes: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Those of the ``classes`` (class, n_shingles) that no other one of them can be linked with: of n shingles a link needs
+    percent / 100 * n in common, and too many are in no other set. A task sends each of its shingles once, with the class that
+    alone has it there, packed by ranges; there are as many ranges as keep one in a task's memory."""
+    total = classes.agg(F.sum("n_shingles")).first()[0] or 0
+    ranges = max(1, -(-total // RANGE_SHINGLES))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("shingles")
+            for at in range(0, batch.num_rows, SENT_CLASSES):
+                some = lists.slice(at, SENT_CLASSES)
+                owner = np.repeat(batch.column("row").slice(at, SENT_CLASSES).to_numpy(), some.value_lengths().to_numpy())
+                shingles, first, n = np.unique(some.flatten().to_numpy(), return_index=True, return_counts=True)
+                owner = np.where(n == 1, owner[first], -1)
+                place = (mixed(shingles.view(np.uint64)) % np.uint64(ranges)).astype(np.int64)
+                for part in np.unique(place).tolist():
+                    own = place == part
+                    yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "content": [pack(shingles[own], owner[own])]})
+
+    def count(group: pa.Table) -> pa.Table:
+        contents = [unpack(c) for c in group["content"].to_pylist()]
+        shingles, owner = (np.concatenate([c[i] for c in contents]) for i in (0, 1))
+        _, first, n = np.unique(shingles, return_index=True, return_counts=True)
+        own = owner[first[n == 1]]
+        names, counts = np.unique(own[own >= 0], return_counts=True)
+        return pa.table({"class": pa.array(names, pa.int64()), "own": pa.array(counts, pa.int64())})
+
+    own_sets = sets.join(classes.select(F.col("class").alias("row")), "row", "left_semi").select("row", "shingles")
+    own = own_sets.mapInArrow(send, "part long, content binary").groupBy("part").applyInArrow(count, "class long, own long").groupBy("class").agg(F.sum("own").alias("own"))
+    return classes.join(own, "class").where(100 * (F.col("n_shingles") - F.col("own")) < percent * F.col("n_shingles")).select("class")
+
+
+def crowded_links(buckets: DataFrame, placed: DataFrame, classes: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b), confirmed on full sets, that join all groups of ``placed`` which share one of these ``buckets`` (key, class) and
+    are linked there.
+
+    In each bucket the classes outside of its largest group are guests, and all are hosts; a guest meets the hosts of larger
+    groups (of equal ones those with the greater number). Both are dealt out in blocks of bounded size.
+    """
+    mixed_keys = lambda rows: rows.groupBy("key").agg(
+        F.min("together").alias("least"), F.max("together").alias("most"), F.max(F.struct("many", "together")).alias("largest"),
+    ).where("least < most")
+    members = buckets.select("key", "class").join(placed, "class")
+    inside = stored(members.join(mixed_keys(members).select("key"), "key"), "crowded")
+    facts = classes.select("class", "n_shingles")
+    lonely = stored(alone(facts.join(inside, "class", "left_semi"), sets, percent), "alone")
+    rest = inside.join(lonely, "class", "left_anti")
+    guest = F.struct("many", "together") < F.col("largest")
+    seated = rest.join(mixed_keys(rest).select("key", "largest"), "key").withColumn("guest", guest)
+    blocks = seated.groupBy("key").agg(
+        F.ceil(F.count("*") / MEETING).cast("int").alias("host_blocks"), F.ceil(F.count(F.when(F.col("guest"), 1)) / MEETING).cast("int").alias("guest_blocks"),
+    )
+    own = lambda n: F.pmod(F.xxhash64("class"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    dealt = seated.join(blocks, "key").join(classes.select("class", "n_shingles", "registers"), "class").join(sets.withColumnRenamed("row", "class"), "class")
+    columns = ["visits", "class", "together", "many", "n_shingles", "registers", "shingles", F.xxhash64("key", "host_block", "guest_block").alias("task")]
+    hosts = dealt.withColumns({"visits": F.lit(False), "host_block": own("host_blocks")}).withColumn("guest_block", each("guest_blocks")).select(columns)
+    guests = dealt.where("guest").withColumns({"visits": F.lit(True), "guest_block": own("guest_blocks")}).withColumn("host_block", each("host_blocks")).select(columns)
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        visits, names, together, many, n = (group[c].to_numpy() for c in ("visits", "class", "together", "many", "n_shingles"))
+        values, lists = read_registers(group["registers"]), group["shingles"].combine_chunks()
+        all_sets = [np.sort(lists[i].values.to_numpy()) for i in range(group.num_rows)]
+        root, links = {int(t): int(t) for t in together}, []
+
+        def find(t: int) -> int:
+            while root[t] != t:
+                root[t] = root[root[t]]
+                t = root[t]
+            return t
+
+        own_hosts = np.flatnonzero(~visits)
+        for i in np.flatnonzero(visits).tolist():
+            those = own_hosts[(many[own_hosts] > many[i]) | ((many[own_hosts] == many[i]) & (together[own_hosts] > together[i]))]
+            if not len(those):
+                continue
+            likeness, hold = estimates(values[i], values[those], n[i : i + 1], n[those], percent)
+            for j in those[hold][np.argsort(-likeness[hold], kind="stable")].tolist():
+                mine, theirs = find(int(together[i])), find(int(together[j]))
+                if mine == theirs:
+                    continue
+                small, large = sorted((all_sets[i], all_sets[j]), key=len)
+                shared = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
+                if 100 * shared >= percent * (len(small) + len(large) - shared):
+                    root[mine] = theirs
+                    links.append((int(names[i]), int(names[j])))
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return hosts.unionByName(guests).groupBy("task").applyInArrow(compare, "a long, b long")
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Every row of ``docs`` (doc_id, text) with the group of near duplicates it belongs to.
 
-    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; the set holds the distinct shingles of four words; fewer words
-    are one shingle. Null and wordless texts have no shingle and are linked with nothing. Documents are linked if 100 *
+    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; the set holds the distinct shingles of ``words`` words; fewer
+    words are one shingle. Null and wordless texts have no shingle and are linked with nothing. Documents are linked if 100 *
     intersection >= 80 * union. Columns: row (its number in the stored table), doc_id, n_shingles, component_id (the
     smallest doc_id that links reach, null if all are), group (a number that the rows of a group share). Rows that repeat
     are linked with each other. An empty table gives no rows. ``docs`` must be a stored table.
     """
-    signed = stored(signatures(docs), "signatures")
+    signed = stored(signatures(docs, words), "signatures")
     classes = stored(
         signed.where("n_shingles > 0").groupBy("same")
         .agg(F.min("row").alias("class"), F.min("doc_id").alias("least_id"), F.first("registers").alias("registers"), F.first("n_shingles").alias("n_shingles")),
@@ -309,9 +410,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"class": pa.array(np.repeat(batch.column("class").to_numpy(), BANDS)), "key": pa.array(keys.ravel())})
 
     keys = classes.select("class", "registers").mapInArrow(propose, "class long, key long")
-    led = keys.groupBy("key").agg(F.min("class").alias("lead"), F.count("*").alias("n")).where("n > 1").select("key", "lead")
+    led = keys.groupBy("key").agg(F.min("class").alias("lead"), F.count("*").alias("n")).where("n > 1").select("key", "lead", F.col("n").alias("in_key"))
     buckets = stored(keys.join(led, "key"), "buckets")
-    sets = stored(full_sets(docs, buckets.select(F.col("class").alias("row")).distinct()), "shingle-sets")
+    sets = stored(full_sets(docs, buckets.select(F.col("class").alias("row")).distinct(), words), "shingle-sets")
     by_buckets = Window.partitionBy("class").orderBy(F.desc("n"), "lead")
     nearest = (
         buckets.where("class <> lead").groupBy("class", "lead").agg(F.count("*").alias("n"))
@@ -319,8 +420,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     first = stored(confirmed(sorted_out(nearest, classes), sets), "links")
     placed = stored(in_groups(classes, first), "groups")
-    visits = stored(apart(buckets, placed, classes), "visits")
-    second = stored(confirmed(visits.select("a", "b"), sets), "links")
+    few, crowded = buckets.where(F.col("in_key") <= CROWD), buckets.where(F.col("in_key") > CROWD)
+    visits = stored(apart(few, placed, classes), "visits")
+    second = stored(confirmed(visits.select("a", "b"), sets).unionByName(crowded_links(crowded, placed, classes, sets)), "links")
     now = stored(in_groups(classes, second, placed).select("class", "together"), "groups")
     # Who is still apart from a group of more than one compares itself with every member of it.
     several = placed.where("many > 1").select("together").distinct()
@@ -349,11 +451,11 @@ def near_digest(docs: DataFrame) -> DataFrame:
     )
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``docs`` with one row of each group, that with the smallest doc_id (null last, then the first), all columns kept.
     Rows without a shingle all stay. ``docs`` must be a stored table."""
     row = fresh(docs, "row")
-    plan = stored(near_duplicates(docs), "near-duplicates")
+    plan = stored(near_duplicates(docs, words), "near-duplicates")
     staying = plan.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best")).select(F.col("best.row").alias("row"))
     dropped = plan.join(staying, "row", "left_anti").select(F.col("row").alias(row))
     return numbered(docs, row).join(dropped, row, "left_anti").select(*[column(c) for c in docs.columns])

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 
 from khodat.llm.components import components
 from khodat.llm.minhash import (
-    BANDS, apart, band_keys, chance, drop_near_duplicates, estimates, in_groups, met, near_digest, near_duplicates, registers,
+    BANDS, alone, apart, band_keys, chance, crowded_links, drop_near_duplicates, estimates, in_groups, met, near_digest, near_duplicates, registers,
     shingle_sets,
 )
 
@@ -183,3 +183,49 @@ def test_components_of_a_chain_a_star_and_nulls(spark):
     star = [(500, i) for i in range(501, 700)]
     rows = components(spark.createDataFrame([*chain, *star, (None, 3), (7, None), (9, 9)], "a long, b long")).collect()
     assert {r.id: r.component for r in rows} == {9: 9} | {i: 100 for i in range(100, 161)} | {i: 500 for i in range(500, 700)}
+
+
+@pytest.mark.parametrize("words", [9, 60])
+def test_crowded_buckets_give_the_same_groups(documents, monkeypatch, words):
+    """Every bucket counts as crowded, and blocks hold three classes."""
+    monkeypatch.setattr("khodat.llm.minhash.CROWD", 1)
+    monkeypatch.setattr("khodat.llm.minhash.MEETING", 3)
+    monkeypatch.setattr("khodat.llm.minhash.LEADERS", 0)
+    docs = documents(varied(words, words=words) + ["a b c d e f g h", "a b c d e f g h i"])
+    assert sorted(map(tuple, near_digest(docs).collect()), key=str) == brute_components(docs.collect())
+
+
+def crowd(spark, sets):
+    """All sets in one bucket, none linked yet."""
+    classes = spark.createDataFrame(
+        [(i, bytearray(v.tobytes()), len(s)) for i, (v, s) in enumerate(zip(registers(sets), sets))], "class long, registers binary, n_shingles long"
+    )
+    full = spark.createDataFrame([(i, s.view(np.int64).tolist()) for i, s in enumerate(sets)], "row long, shingles array<bigint>")
+    buckets = spark.createDataFrame([(5, i) for i in range(len(sets))], "key long, class long")
+    return buckets, classes, full
+
+
+@pytest.mark.parametrize("shared_ends", [False, True])
+def test_a_template_makes_few_rows(spark, shared_ends):
+    """Documents of one template at a likeness of 0.73, none linked: no rows, however many there are. The ends are their own, or each
+    is shared with some others."""
+    rng = np.random.default_rng(4)
+    template, ends = rng.integers(0, 2**63, 270, np.uint64), rng.integers(0, 2**63, (40, 25), np.uint64)
+    sets = [np.unique(np.concatenate([template, *(ends[[i % 40, (i * 7 + i // 40) % 40]] if shared_ends else [rng.integers(0, 2**63, 50, np.uint64)])])) for i in range(800)]
+    sets = [s if len(s) == 320 else np.unique(np.concatenate([s, rng.integers(0, 2**63, 320 - len(s), np.uint64)])) for s in sets]
+    buckets, classes, full = crowd(spark, sets)
+    found = crowded_links(buckets, in_groups(classes), classes, full).collect()
+    linked = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))] if shared_ends else []
+    # No more rows than classes in each of the 4 x 4 pairs of blocks, and all groups that all pairs would give.
+    assert len(found) <= 16 * len(sets) and bool(found) == bool(linked)
+    if linked:
+        name = {r.id: r.component for r in components(spark.createDataFrame(linked, "a long, b long")).collect()}
+        assert name == {r.id: r.component for r in components(spark.createDataFrame(found, "a long, b long")).collect()}
+
+
+def test_classes_with_too_many_shingles_of_their_own_are_left_out(spark):
+    together = np.arange(100, dtype=np.uint64) * np.uint64(2**57)
+    sets = [together[:80], together[:81], np.unique(np.append(together[:79], np.arange(1, 21, dtype=np.uint64))), np.unique(np.append(together[:78], np.arange(30, 52, dtype=np.uint64)))]
+    buckets, classes, full = crowd(spark, sets)
+    assert {r["class"] for r in alone(classes.select("class", "n_shingles"), full).collect()} == {2, 3}
+    assert {tuple(r) for r in crowded_links(buckets, in_groups(classes), classes, full).collect()} == {(0, 1)}
