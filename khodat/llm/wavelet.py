@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from khodat.llm.bpe import byte_letters
 from khodat.llm.common import gathered_chunks, numbered, pack, stored, unpack, whole_texts
 from khodat.session import scratch_path
 
@@ -187,7 +188,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.tokenize = self.tokenizer.model.tokenize
+        self.tokenize, self.letters = self.tokenizer.model.tokenize, byte_letters()
         self.signs = sorted({t["content"][0] for t in parts["added_tokens"]})
         self.known: dict[str, bytes] = {}
 
@@ -196,10 +197,11 @@ class WordEncoder:
         known = self.known
         out = [known.get(w) for w in words]
         new = [i for i, ids in enumerate(out) if ids is None]
-        # Plain letters are one piece, which the model takes as it is.
-        pieces = [i for i in new if words[i].isascii() and words[i].isalpha()]
+        # Latin letters alone are one piece, composed already, which the model takes by the letters of its bytes.
+        pieces = [i for i in new if words[i].isalpha() and (words[i].isascii() or max(words[i]) <= "ÿ")]
         for i in pieces:
-            tokens = self.tokenize(words[i].lower())
+            word = words[i].lower()
+            tokens = self.tokenize(word if word.isascii() else "".join([self.letters[b] for b in word.encode()]))
             out[i] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
         others = [i for i in new if out[i] is None]
         for at in range(0, len(others), ENCODED_TOGETHER):

@@ -85,7 +85,7 @@ def test_given_documents(spark):
 
 
 def test_special_strings_and_odd_spaces(documents):
-    docs = documents(["a<|endoftext|>b <|startoftext|>", "x\x85y z　q", "don't  can't'LL", "é É", "Ω K", "١٢ 12ab"], ids=[5, 4, 3, 3, -1, 0])
+    docs = documents(["a<|endoftext|>b <|startoftext|>", "x\x85y z　q", "don't  can't'LL", "é É", "Ω K", "١٢ 12ab"], ids=[5, 4, 3, 3, 7, -1, 0])
     assert in_order(token_digest(docs, DEFINITION)) == [w[:4] for w in brute(docs.collect())]
 
 
