@@ -1,15 +1,16 @@
 """Exact duplicates: counting quotient filters find fingerprints seen more than once, and only their texts are compared.
 
-A filter holds each 64-bit fingerprint whole: the high bits (the quotient) name a run, the low bits (the remainder)
-stand sorted in that run with a count. Filters over parts of the data therefore merge without loss, run by run. Each
-task builds one filter, cut by leading bits into ranges, and a range of all filters is merged in one task. Equal
+The leading bits of a 64-bit fingerprint name a range, the next ones (the quotient) a run of its filter, and the others (the
+remainder) stand sorted in that run with a count. So fingerprints are held whole, and filters over parts of the data merge
+without loss, by walking their sorted remainders. Each task builds one filter for each range it meets, and the filters of a
+range are merged in one task. A filter has the same number of runs however large the table is. Equal
 fingerprints collapse to a count before they travel, so a text that fills a third of the table weighs no more than any
 other.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,40 +30,69 @@ RUN_BITS = 12
 
 @dataclass
 class CountingQuotientFilter:
-    """Distinct 64-bit fingerprints with counts. ``runs[q]`` is where the run of quotient q starts."""
+    """Distinct fingerprints below 2 ** ``width`` with counts. ``runs[q]`` is where the run of quotient q starts; there are 2 ** ``bits`` runs,
+    however large the table is."""
 
     bits: int
+    width: int
     runs: np.ndarray
     remainders: np.ndarray
     counts: np.ndarray
 
     @classmethod
-    def of(cls, fingerprints: np.ndarray, counts: np.ndarray | None = None, bits: int = RUN_BITS) -> CountingQuotientFilter:
+    def of(cls, fingerprints: np.ndarray, counts: np.ndarray | None = None, bits: int = RUN_BITS, width: int = 64) -> CountingQuotientFilter:
         """Sorts the fingerprints and adds up the counts of equal ones (1 each without ``counts``)."""
-        fingerprints = fingerprints.astype(np.uint64)
-        order = np.argsort(fingerprints, kind="stable")
-        ordered = fingerprints[order]
-        first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else np.zeros(0, np.int64)
-        weights = np.ones(len(ordered), np.int64) if counts is None else counts.astype(np.int64)[order]
-        totals = np.add.reduceat(weights, first) if len(first) else np.zeros(0, np.int64)
-        distinct = ordered[first]
-        quotients = (distinct >> np.uint64(64 - bits)).astype(np.int64)
+        distinct, place = np.unique(fingerprints.astype(np.uint64), return_inverse=True)
+        totals = np.zeros(len(distinct), np.int64)
+        np.add.at(totals, place, 1 if counts is None else counts.astype(np.int64))
+        return cls.of_sorted(distinct, totals, bits, width)
+
+    @classmethod
+    def of_sorted(cls, distinct: np.ndarray, counts: np.ndarray, bits: int, width: int) -> CountingQuotientFilter:
+        quotients = (distinct >> np.uint64(width - bits)).astype(np.int64)
         runs = np.r_[0, np.cumsum(np.bincount(quotients, minlength=1 << bits))]
-        return cls(bits, runs, distinct & np.uint64((1 << (64 - bits)) - 1), totals)
+        return cls(bits, width, runs, distinct & np.uint64((1 << (width - bits)) - 1), counts)
 
     def fingerprints(self) -> np.ndarray:
         quotients = np.repeat(np.arange(len(self.runs) - 1, dtype=np.uint64), np.diff(self.runs))
-        return (quotients << np.uint64(64 - self.bits)) | self.remainders
+        return (quotients << np.uint64(self.width - self.bits)) | self.remainders
+
+    def joined(self, other: CountingQuotientFilter) -> CountingQuotientFilter:
+        """Both together. The sorted remainders of ``other`` find their places in the sorted runs here: equal ones add their
+        counts, the others move in, and the runs behind them shift."""
+        own, new = self.fingerprints(), other.fingerprints()
+        at = np.searchsorted(own, new)
+        equal = np.zeros(len(new), bool)
+        inside = at < len(own)
+        equal[inside] = own[at[inside]] == new[inside]
+        counts = self.counts.copy()
+        counts[at[equal]] += other.counts[equal]
+        moves = ~equal
+        quotients = (new[moves] >> np.uint64(self.width - self.bits)).astype(np.int64)
+        shifts = np.r_[0, np.cumsum(np.bincount(quotients, minlength=1 << self.bits))]
+        return CountingQuotientFilter(
+            self.bits, self.width, self.runs + shifts, np.insert(self.remainders, at[moves], other.remainders[moves]),
+            np.insert(counts, at[moves], other.counts[moves]),
+        )
 
     @classmethod
-    def merge(cls, filters: list[CountingQuotientFilter]) -> CountingQuotientFilter:
-        """The filter of all fingerprints together; nothing is lost, whatever the order."""
-        return cls.of(
-            np.concatenate([f.fingerprints() for f in filters]), np.concatenate([f.counts for f in filters]), filters[0].bits,
-        )
+    def merge(cls, filters: Iterable[CountingQuotientFilter]) -> CountingQuotientFilter:
+        """The filter of all fingerprints together; nothing is lost, whatever the order. Filters of about equal size are
+        joined first, so few are held at a time and each remainder moves a logarithmic number of times."""
+        waiting: list[CountingQuotientFilter] = []
+        for one in filters:
+            waiting.append(one)
+            while len(waiting) > 1 and len(waiting[-2].remainders) <= 2 * len(waiting[-1].remainders):
+                last = waiting.pop()
+                waiting[-1] = waiting[-1].joined(last)
+        while len(waiting) > 1:
+            last = waiting.pop()
+            waiting[-1] = waiting[-1].joined(last)
+        return waiting[0]
 
     def count(self, fingerprint: int) -> int:
-        q, r = fingerprint >> (64 - self.bits), np.uint64(fingerprint & ((1 << (64 - self.bits)) - 1))
+        rest = self.width - self.bits
+        q, r = fingerprint >> rest, np.uint64(fingerprint & ((1 << rest) - 1))
         run = self.remainders[self.runs[q] : self.runs[q + 1]]
         at = int(np.searchsorted(run, r))
         return int(self.counts[self.runs[q] + at]) if at < len(run) and run[at] == r else 0
@@ -71,34 +101,39 @@ class CountingQuotientFilter:
         return self.fingerprints()[self.counts > 1]
 
     def to_bytes(self) -> bytes:
-        return pack(np.array([self.bits]), narrow(np.diff(self.runs)), self.remainders, narrow(self.counts))
+        return pack(np.array([self.bits, self.width]), narrow(np.diff(self.runs)), self.remainders, narrow(self.counts))
 
     @classmethod
     def from_bytes(cls, value: bytes) -> CountingQuotientFilter:
-        bits, lengths, remainders, counts = unpack(value)
-        return cls(int(bits[0]), np.r_[0, np.cumsum(lengths, dtype=np.int64)], remainders, counts.astype(np.int64))
+        shape, lengths, remainders, counts = unpack(value)
+        return cls(int(shape[0]), int(shape[1]), np.r_[0, np.cumsum(lengths, dtype=np.int64)], remainders, counts.astype(np.int64))
+
+
+def range_filters(fingerprints: np.ndarray, range_bits: int) -> Iterator[tuple[int, CountingQuotientFilter]]:
+    """A filter for each range of fingerprints, named by their leading ``range_bits``; it holds the bits below those."""
+    distinct, counts = np.unique(fingerprints, return_counts=True)
+    width = 64 - range_bits
+    ranges, starts = np.unique(distinct >> np.uint64(width), return_index=True)
+    below = distinct & np.uint64((1 << width) - 1)
+    for r, a, b in zip(ranges.tolist(), starts.tolist(), [*starts[1:].tolist(), len(distinct)]):
+        yield r, CountingQuotientFilter.of_sorted(below[a:b], counts[a:b], RUN_BITS, width)
 
 
 def repeated_fingerprints(rows: DataFrame, n: int) -> DataFrame:
     """The fingerprints (column fp, a long) that stand in more than one of the ``n`` rows."""
     range_bits = max(n // RANGE_ROWS, 7).bit_length()
-    bits = range_bits + RUN_BITS
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) for b in batches if b.num_rows]
         if not parts:
             return
-        filled = CountingQuotientFilter.of(np.concatenate(parts), bits=bits)
-        fingerprints = filled.fingerprints()
-        ranges = (fingerprints >> np.uint64(64 - range_bits)).astype(np.int64)
-        for r in np.unique(ranges).tolist():
-            own = ranges == r
-            part = CountingQuotientFilter.of(fingerprints[own], filled.counts[own], bits=bits)
+        for r, part in range_filters(np.concatenate(parts), range_bits):
             yield pa.RecordBatch.from_pydict({"range": pa.array([r]), "filter": pa.array([part.to_bytes()], pa.binary())})
 
     def merge(group: pa.Table) -> pa.Table:
-        whole = CountingQuotientFilter.merge([CountingQuotientFilter.from_bytes(v) for v in group["filter"].to_pylist()])
-        return pa.table({"fp": pa.array(whole.repeated().view(np.int64))})
+        whole = CountingQuotientFilter.merge(CountingQuotientFilter.from_bytes(v.as_py()) for v in group["filter"])
+        leading = np.uint64(group["range"][0].as_py()) << np.uint64(whole.width)
+        return pa.table({"fp": pa.array((whole.repeated() | leading).view(np.int64))})
 
     return (
         rows.select("fp").mapInArrow(build, "range long, filter binary").groupBy("range").applyInArrow(merge, "fp long")
