@@ -43,6 +43,14 @@ DROPPED_NAMES = frozenset(
     "comments commentlist disqus respond replies share sharing social related recommended recommendations newsletter subscribe "
     "subscription signup login footer masthead toolbar pagination pager widget widgets topbar search form paywall".split()
 )
+# Words behind such a name that say what kind of box it is or how it is shown, and words before it that say what something else has.
+BOX_WORDS = frozenset(
+    "area articles bar block body bottom box button buttons card cards closed col column container content fixed form group header "
+    "heading holder icon icons inner item items label large layer layout left link links list main message mobile module open outer panel "
+    "placeholder post posts primary region results right root row section slot small space stories story strip tab tabs text thread "
+    "title toggle top unit videos view visible wrap wrapper zone".split()
+)
+HAVING_WORDS = frozenset("has with without no".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 # Elements that hold text directly.
 TEXT_ELEMENTS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th tr table tbody ul ol dl figcaption caption".split())
@@ -83,11 +91,21 @@ def declared_otherwise(name: str, rest: str, inside: bool) -> bool:
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value in DROPPED_ROLES:
             return True
-        if key in ("class", "id") and not DROPPED_NAMES.isdisjoint(NAME_PARTS.split(value)):
+        if key in ("class", "id") and any(named_otherwise(token) for token in value.split()):
             return True
     return False
 
 
+def named_otherwise(token: str) -> bool:
+    """Whether a class or id names something that is no article text: by its head, the last word that isn't of the kind of
+    ``BOX_WORDS``. So main-menu and ad-box do, while social-history, notice-of-motion and has-sidebar say what a text is about or has."""
+    if DROPPED_NAMES.isdisjoint(parts := [p for p in NAME_PARTS.split(token) if p]):
+        return False
+    while parts[-1] not in DROPPED_NAMES and parts[-1] in BOX_WORDS:
+        parts.pop()
+    return parts[-1] in DROPPED_NAMES and HAVING_WORDS.isdisjoint(parts[:-1])
+
+
 def signed(value: int) -> int:
     return value - ((value >> 63) << 64)
 

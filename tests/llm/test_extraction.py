@@ -37,6 +37,23 @@ def test_an_article_that_is_not_read_hides_nothing(other):
         assert read_page(html)[0] == ["Whole text"]
 
 
+@pytest.mark.parametrize("tag", [
+    'div class="social-history"', 'p class="notice-of-motion"', 'section id="widget-theory"', 'div class="search-results-analysis"', 'div class="has-sidebar"',
+])
+def test_names_that_only_hold_a_dropped_word_drop_nothing(tag):
+    part = f"<{tag}>Kept text</{tag.split()[0]}>"
+    assert read_page(f"<article><p>One</p>{part}</article>")[0] == ["One", "Kept text"]
+    assert read_page(f"<body>{part}<p>Two</p></body>")[0] == ["Kept text", "Two"]
+
+
+@pytest.mark.parametrize("name", [
+    "main-menu", "cookie-notice", "ad_box", "share-buttons", "related-posts", "sidebar-inner", "page__sidebar--open", "comment-list", "story comments",
+])
+def test_names_of_other_things_drop_them(name):
+    for key in ("class", "id"):
+        assert read_page(f"<article><p>One</p><div {key}='{name}'>no</div></article>")[0] == ["One"]
+
+
 @pytest.mark.parametrize("cut", range(0, 120, 7))
 def test_cut_pages_do_not_fail(cut):
     html = "<body><nav><a href='x'>m</a></nav><article><p class=\"a b\">One &amp; <b>two</b><script>var a='<p>';</script></p></article></body>"
