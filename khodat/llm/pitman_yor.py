@@ -1,18 +1,18 @@
 """Hierarchical Pitman-Yor language model over words, sampled by Gibbs in Chinese restaurants.
 
-The context of a token is the ending of the word before it: its last three bytes, hashed into ``CONTEXTS`` - 1 restaurants, and one
-for the start of a text. All context restaurants share the root as parent: each of their tables is a customer of the root. The root's
-parent is uniform over the V words seen in training and one unknown word.
-
-What a restaurant needs to know of a word is kept with that word, and of itself only its number of customers and tables,
-``CONTEXTS`` numbers in all. So words are dealt by hash, and a task seats the customers of its words alone. A chunk of
-documents sends each of its word and context pairs once, with a count, however often it occurs, and gets back one
-probability for it; a word that is a third of all tokens weighs no more there than ``CONTEXTS`` entries.
+Three levels. A token is a customer of the restaurant of the whole word before it (of the start, for the first). That restaurant's
+parent is the one of the word's ending, its last three bytes; each of its tables is a customer there. Their parent is the
+root, and the root's is uniform over the V words seen in training and one unknown word. There are as many restaurants as the corpus has words
+and endings.
+
+Words are dealt by hash, and a task seats the customers of its words at all three levels. What a restaurant needs to know of all words, its
+numbers of customers and tables, is summed by a shuffle on the restaurants and sent back to the tasks that ask; only the root's numbers are known
+everywhere. A chunk of documents sends each of its pairs of word and word before once, with a count, and gets back one
+probability for it.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,25 +23,25 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from khodat.llm.common import CHUNK_BYTES, narrow, pack, stored, text_chunks, unpack, words_of
+from khodat.llm.common import CHUNK_BYTES, mixed, narrow, pack, stored, text_chunks, unpack, words_of
 
-#: Restaurants below the root.
-CONTEXTS = 512
 #: Bytes of text whose words come to one range of word hashes, on average.
-RANGE_BYTES = 32 << 20
-#: Sweeps before samples are taken, and samples that are averaged.
-BURN_IN = 2
+RANGE_BYTES = 16 << 20
+#: Sweeps before restaurants exchange their numbers, and sweeps after that, each of which is a sample; samples are averaged.
+BURN_IN = 3
 SAMPLES = 3
-#: How often all words are seated; each time with the numbers of tables that the time before has left.
-ROUNDS = 2
-#: Strength of restaurants and root.
+#: Pairs of up to so many customers move them one by one; larger ones in as many blocks, of this many at most.
+BLOCKS = 64
+BLOCK_CUSTOMERS = 1 << 20
+#: Strength of all restaurants.
 STRENGTH = 1.0
 SEED = 23
 #: Added to counts in the base score.
 ADDED = 0.1
 
-#: The end of a text as a word: no word holds white space.
+#: The end of a text as a word: no word holds white space. Before a text's first word stands an end too.
 END = xxhash.xxh64_intdigest(" end")
+END_ENDING = (1 << 32) - 1
 
 
 def held_out(doc_id: Column) -> Column:
@@ -49,8 +49,10 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 10 == 0
 
 
-def context_of(word: str) -> int:
-    return 1 + zlib.crc32(word.encode()[-3:]) % (CONTEXTS - 1)
+def ending_of(word: str) -> int:
+    """The last three bytes and how many there are, as a number."""
+    last = word.encode()[-3:]
+    return len(last) << 24 | int.from_bytes(last, "big")
 
 
 def planes(values: np.ndarray) -> list[np.ndarray]:
@@ -62,35 +64,37 @@ def joined(parts: list[np.ndarray]) -> np.ndarray:
     return sum(p.astype(np.int64) << shift for p, shift in zip(parts, (0, 8, 16, 24)))
 
 
+def pairs_of(tokens: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs of a word and the word before as ``word * words + before``, and each token's pair. Word 0 is the
+    end, so the end of the text before stands before a first word."""
+    return np.unique(tokens * words + np.r_[0, tokens[:-1]], return_inverse=True)
+
+
 @dataclass
 class Chunk:
-    """Documents as numbers. Words ascend by hash; entries are the distinct (word, context) pairs, ascending."""
+    """Documents as numbers: words by falling frequency after the end, which is 0."""
 
-    words: np.ndarray
-    entries_per_word: np.ndarray
-    contexts: np.ndarray
-    counts: np.ndarray
+    hashes: np.ndarray
+    endings: np.ndarray
     tokens: np.ndarray
     lengths: np.ndarray
+    pairs: np.ndarray
+    counts: np.ndarray
 
     @classmethod
     def of(cls, texts: pa.Array, teaches: np.ndarray) -> Chunk:
         starts, ids, dictionary = words_of(texts)
         listed = dictionary.to_pylist()
-        hashes = np.array([xxhash.xxh64_intdigest(w) for w in listed] + [END], np.uint64)
-        kind = np.int32 if len(hashes) * CONTEXTS < 1 << 31 else np.int64
-        contexts = np.array([context_of(w) for w in listed] + [0], kind)
-        tokens = np.insert(ids.astype(kind), starts[1:], len(listed))
-        # Before each text's first token stands the end of the text before, whose context is that of a start.
-        before = contexts[np.r_[len(listed), tokens[:-1]]]
-        order = np.argsort(hashes)
-        place = np.empty(len(order), kind)
-        place[order] = np.arange(len(order))
-        codes, numbers = np.unique(place[tokens] * CONTEXTS + before, return_inverse=True)
+        order = np.argsort(-np.bincount(ids, minlength=len(listed)), kind="stable")
+        number = np.empty(len(listed), np.int64)
+        number[order] = np.arange(1, len(listed) + 1)
+        hashes = np.array([END] + [xxhash.xxh64_intdigest(listed[i]) for i in order.tolist()], np.uint64)
+        endings = np.array([END_ENDING] + [ending_of(listed[i]) for i in order.tolist()], np.uint32)
+        tokens = np.insert(number[ids], starts[1:], 0)
+        pairs, of = pairs_of(tokens, len(hashes))
         lengths = np.diff(starts) + 1
-        counts = np.bincount(numbers, np.repeat(teaches, lengths), len(codes)).astype(np.int64)
-        used, per_word = np.unique(codes // CONTEXTS, return_counts=True)
-        return cls(hashes[order][used], per_word, codes % CONTEXTS, counts, numbers, lengths)
+        counts = np.bincount(of, np.repeat(teaches, lengths), len(pairs)).astype(np.int64)
+        return cls(hashes, endings, tokens, lengths, pairs, counts)
 
 
 @dataclass
@@ -101,120 +105,191 @@ class Seating:
     starts: np.ndarray
 
     @classmethod
-    def spread(cls, customers: np.ndarray, tables: np.ndarray) -> Seating:
-        """Customers shared evenly among tables; there are no more tables than customers."""
-        starts = np.r_[0, np.cumsum(tables)]
-        nth = np.arange(starts[-1]) - np.repeat(starts[:-1], tables)
-        each, rest = customers // np.maximum(tables, 1), customers % np.maximum(tables, 1)
-        return cls(np.repeat(each, tables) + (nth < np.repeat(rest, tables)), starts)
+    def of(cls, sizes: np.ndarray, tables: np.ndarray) -> Seating:
+        return cls(sizes.astype(np.int64), np.r_[0, np.cumsum(tables, dtype=np.int64)])
 
     def tables(self) -> np.ndarray:
         return np.diff(self.starts)
 
+    def customers(self) -> np.ndarray:
+        return np.diff(np.r_[0, np.cumsum(self.sizes)][self.starts])
+
+    def take(self, pairs: np.ndarray) -> Seating:
+        tables = self.tables()[pairs]
+        starts = np.r_[0, np.cumsum(tables)]
+        return Seating(self.sizes[np.arange(starts[-1]) + np.repeat(self.starts[pairs] - starts[:-1], tables)], starts)
+
     def choose(self, weights: np.ndarray, at: np.ndarray, drawn: np.ndarray) -> np.ndarray:
         """The table of each pair ``at`` where the running sum of the tables' weights passes ``drawn`` times their sum."""
-        sums = np.cumsum(weights)
-        low = np.where(self.starts[at] > 0, sums[self.starts[at] - 1], 0)
-        found = np.searchsorted(sums, low + drawn * (sums[self.starts[at + 1] - 1] - low), "right")
-        return np.clip(found, self.starts[at], self.starts[at + 1] - 1)
-
-    def remove(self, at: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-        """One customer of each pair ``at`` leaves, any with equal chance; whether a table closed with that."""
-        found = self.choose(self.sizes, at, rng.random(len(at)))
-        self.sizes[found] -= 1
-        empty = self.sizes[found] == 0
+        sums = np.r_[0, np.cumsum(weights)]
+        low, high = sums[self.starts[at]], sums[self.starts[at + 1]]
+        return np.clip(np.searchsorted(sums, low + drawn * (high - low), "right") - 1, self.starts[at], self.starts[at + 1] - 1)
+
+    def close_empty(self) -> None:
+        empty = self.sizes == 0
         if empty.any():
-            gone = np.zeros(len(self.starts) - 1, np.int64)
-            gone[at[empty]] = 1
-            self.starts = self.starts - np.r_[0, np.cumsum(gone)]
-            self.sizes = np.delete(self.sizes, found[empty])
-        return empty
-
-    def add(self, at: np.ndarray, fresh: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
-        """One customer of each pair ``at`` sits down: at a table by its size less the discount, or at a new one by ``fresh``;
-        whether a table opened with that."""
+            self.starts = self.starts - np.r_[0, np.cumsum(empty)][self.starts]
+            self.sizes = self.sizes[~empty]
+
+    def remove(self, at: np.ndarray, rng: np.random.Generator) -> None:
+        """One customer of each pair ``at`` leaves, any with equal chance."""
+        self.sizes[self.choose(self.sizes, at, rng.random(len(at)))] -= 1
+        self.close_empty()
+
+    def remove_some(self, at: np.ndarray, many: np.ndarray, rng: np.random.Generator) -> None:
+        """So many customers of each pair ``at`` leave, any with equal chance."""
+        own = self.take(at)
+        pair = np.repeat(np.arange(len(at)), own.customers())
+        table = np.repeat(np.arange(len(own.sizes)) + np.repeat(self.starts[at] - own.starts[:-1], own.tables()), own.sizes)
+        order = np.lexsort([rng.random(len(pair)), pair])
+        nth = np.arange(len(pair)) - np.repeat(np.r_[0, np.cumsum(own.customers())[:-1]], own.customers())
+        self.sizes -= np.bincount(table[order][nth < many[pair]], minlength=len(self.sizes))
+        self.close_empty()
+
+    def add(self, at: np.ndarray, fresh: np.ndarray, discount: float, rng: np.random.Generator) -> None:
+        """A customer sits down for each item of ``at``, which ascends and may repeat a pair: at a table by its size less the
+        discount, or at a new one by ``fresh``, a number for each pair of the seating."""
         weights = self.sizes - discount
         sums = np.r_[0, np.cumsum(weights)]
         old = sums[self.starts[at + 1]] - sums[self.starts[at]]
-        opens = (rng.random(len(at)) * (old + fresh) >= old) | (self.starts[at + 1] == self.starts[at])
+        opens = (rng.random(len(at)) * (old + fresh[at]) >= old) | (self.starts[at + 1] == self.starts[at])
         stay = at[~opens]
         if len(stay):
-            self.sizes[self.choose(weights, stay, rng.random(len(stay)))] += 1
+            self.sizes += np.bincount(self.choose(weights, stay, rng.random(len(stay))), minlength=len(self.sizes))
         if opens.any():
             self.sizes = np.insert(self.sizes, self.starts[at[opens] + 1], 1)
-            more = np.zeros(len(self.starts) - 1, np.int64)
-            more[at[opens]] = 1
-            self.starts = self.starts + np.r_[0, np.cumsum(more)]
-        return opens
+            self.starts = self.starts + np.r_[0, np.cumsum(np.bincount(at[opens], minlength=len(self.starts) - 1))]
+
+    def fit(self, wanted: np.ndarray, fresh: np.ndarray, discount: float, rng: np.random.Generator) -> None:
+        """Customers leave or come until each pair has as many as wanted; they come in eighths of those still missing."""
+        have = self.customers()
+        less = np.flatnonzero(wanted < have)
+        if len(less):
+            self.remove_some(less, (have - wanted)[less], rng)
+        while len(more := np.flatnonzero(wanted > (have := self.customers()))):
+            self.add(np.repeat(more, -(-(wanted - have)[more] // 8)), fresh, discount, rng)
+
+
+def sweep(seats: Seating, fresh: np.ndarray, discount: float, rng: np.random.Generator) -> Seating:
+    """As many moves of every pair as it has customers, in each of which a random one leaves and sits down again. Pairs above ``BLOCKS``
+    customers move them by blocks: each customer of a pair leaves with the same chance, so that a block is a
+    ``BLOCKS``-th of the pair on average, and those who left sit down without seeing each other."""
+    customers = seats.customers()
+    size = np.frexp(customers)[1]
+    order, done = [], []
+    for bits in np.unique(size).tolist():
+        own = np.flatnonzero(size == bits)
+        part, number, weights = seats.take(own), customers[own], fresh[own]
+        most = int(number.max())
+        if most > BLOCKS:
+            blocks = max(BLOCKS, -(-most // BLOCK_CUSTOMERS))
+            for _ in range(blocks):
+                part.sizes = part.sizes - rng.binomial(part.sizes, 1 / blocks)
+                part.close_empty()
+                part.add(np.repeat(np.arange(len(own)), number - part.customers()), weights, discount, rng)
+        elif most > 1:
+            for done_so_far in range(most):
+                at = np.flatnonzero(number > done_so_far)
+                part.remove(at, rng)
+                part.add(at, weights, discount, rng)
+        order.append(own)
+        done.append(part)
+    if not done:
+        return seats
+    place = np.empty(len(customers), np.int64)
+    place[np.concatenate(order)] = np.arange(len(customers))
+    return Seating.of(np.concatenate([p.sizes for p in done]), np.concatenate([p.tables() for p in done])).take(place)
 
 
 @dataclass
 class Totals:
-    """What all tasks know of the model: words, tokens and discounts, and the customers and tables of root and restaurants,
-    by sample (a single one before there are samples)."""
+    """What all tasks know of the model: words, tokens, the discounts of words before, endings and root, and the root's customers and
+    tables, by sample."""
 
     words: int
     tokens: int
-    context_discount: float
-    root_discount: float
-    customers: np.ndarray
+    discounts: tuple[float, float, float]
     root_customers: np.ndarray
     root_tables: np.ndarray
-    tables: np.ndarray
 
 
-def sample(words: int, word_of: np.ndarray, contexts: np.ndarray, counts: np.ndarray, known: Totals, rng: np.random.Generator):
-    """Seats the customers of some words by Gibbs: in each sweep one customer of each pair with more than one leaves and
-    sits down again, at the context's tables and then the root's; tables that open or close there send or withdraw a customer
-    of the root.
+@dataclass
+class Range:
+    """The words of one range. ``before`` are the hashes of all words before them, by ending and hash; pairs of word and word before ascend,
+    so pairs of word and ending do too."""
 
-    Returns, of the samples after the burn-in: the mean of each entry's customers less the discount of its tables, each
-    word's root customers less the discount of its tables, and the numbers of root customers, root tables and context tables.
-    """
-    strength, d, d_root = STRENGTH, known.context_discount, known.root_discount
-    uniform, root_customers, root_tables, tables = 1 / (known.words + 1), known.root_customers[-1], known.root_tables[-1], known.tables[-1]
-
-    def at_root(customers: np.ndarray, of_root: np.ndarray) -> np.ndarray:
-        return (customers - d_root * of_root + (strength + d_root * root_tables) * uniform) / (strength + root_customers)
-
-    many = np.flatnonzero(counts > 1)
-    fresh_context = strength + d * tables[contexts[many]]
-    # Start near where the chain goes: about a * log(1 + c / a) tables for a pair whose new table weighs a.
-    types = np.bincount(word_of, minlength=words)
-    a = fresh_context * at_root(types, np.ones(words))[word_of[many]]
-    start = np.clip(np.rint(1 + a * np.log1p((counts[many] - 1) / (a + 1))), 1, counts[many]).astype(np.int64)
-    context_tables = np.ones(len(counts), np.int64)
-    context_tables[many] = start
-    lower = Seating.spread(counts[many], start)
-    customers = np.bincount(word_of, context_tables, words).astype(np.int64)
-    fresh_root = (strength + d_root * root_tables) * uniform
-    root = Seating.spread(customers, np.clip(np.rint(1 + fresh_root * np.log1p((customers - 1) / (fresh_root + 1))), 1, customers).astype(np.int64))
-    every, held, at_words, sums = np.arange(len(many)), np.zeros(len(counts)), [], []
-    for sweep in range(BURN_IN + SAMPLES):
-        p = at_root(customers, root.tables())
-        lower.remove(every, rng)
-        lower.add(every, fresh_context * p[word_of[many]], d, rng)
-        context_tables[many] = lower.tables()
-        wanted = np.bincount(word_of, context_tables, words).astype(np.int64)
-        while len(less := np.flatnonzero(wanted < customers)):
-            root.remove(less, rng)
-            customers[less] -= 1
-        while len(more := np.flatnonzero(wanted > customers)):
-            root.add(more, np.full(len(more), fresh_root), d_root, rng)
-            customers[more] += 1
-        moving = np.flatnonzero(customers > 1)
-        root.remove(moving, rng)
-        root.add(moving, np.full(len(moving), fresh_root), d_root, rng)
-        if sweep >= BURN_IN:
-            held += (counts - d * context_tables) / SAMPLES
-            at_words.append((customers - d_root * root.tables()).astype(np.float32))
-            sums.append((customers.sum(), root.tables().sum(), np.bincount(contexts, context_tables, CONTEXTS)))
-    return held.astype(np.float32), at_words, sums
+    words: np.ndarray
+    before: np.ndarray
+    endings: np.ndarray
+    low_word: np.ndarray
+    low_before: np.ndarray
+    counts: np.ndarray
+
+    def __post_init__(self) -> None:
+        self.known_endings, self.ending_at = np.unique(self.endings, return_inverse=True)
+        codes = self.low_word * max(len(self.known_endings), 1) + self.ending_at[self.low_before]
+        self.mid_codes, self.low_mid = np.unique(codes, return_inverse=True)
+        self.mid_word, self.mid_ending = self.mid_codes // max(len(self.known_endings), 1), self.mid_codes % max(len(self.known_endings), 1)
+        ids = np.r_[self.before, mixed(self.known_endings.astype(np.uint64) + np.uint64(1 << 40))]
+        self.order = np.argsort(ids, kind="stable")
+        self.ids = ids[self.order]
+
+    def packed(self) -> list[np.ndarray]:
+        per_word = np.bincount(self.low_word, minlength=len(self.words))
+        return [self.words, self.before, self.endings, narrow(per_word), narrow(self.low_before), narrow(self.counts)]
+
+    @classmethod
+    def of(cls, words, before, endings, per_word, low_before, counts) -> Range:
+        return cls(words, before, endings, np.repeat(np.arange(len(words)), per_word.astype(np.int64)), low_before.astype(np.int64), counts.astype(np.int64))
+
+    def numbers(self, samples: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
+        """Ids of the restaurants, and of each sample (tables of the pairs with a word before, and with an ending) what they hold here:
+        customers of all samples, then tables."""
+        low = lambda weights: np.bincount(self.low_before, weights, len(self.before))
+        mid = lambda weights: np.bincount(self.mid_ending, weights, len(self.known_endings))
+        customers = [np.r_[low(self.counts), mid(np.bincount(self.low_mid, t, len(self.mid_codes)))] for t, _ in samples]
+        tables = [np.r_[low(t), mid(m)] for t, m in samples]
+        return pack(self.ids, *[narrow(c[self.order].astype(np.int64)) for c in customers + tables])
+
+    def totals(self, replies: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of the restaurants of words before and of endings, by sample: customers and tables in all ranges."""
+        columns = np.empty((len(replies[0]) if replies else 2, len(self.ids)))
+        for i, column in enumerate(columns):
+            column[self.order] = np.concatenate([r[i] for r in replies]) if replies else 0
+        n, half = len(self.before), len(columns) // 2
+        return columns[:half, :n], columns[half:, :n], columns[:half, n:], columns[half:, n:]
+
+
+def at_root(held: np.ndarray, known: Totals, sample: int) -> np.ndarray:
+    """The root's probability of words, of their customers less the discount of their tables."""
+    fresh = (STRENGTH + known.discounts[2] * known.root_tables[sample]) / (known.words + 1)
+    return (held + fresh) / (STRENGTH + known.root_customers[sample])
+
+
+def seat(own: Range, totals: tuple, seats: list[Seating], known: Totals, sweeps: int, rng: np.random.Generator):
+    """Sweeps over all customers: at words before, then endings, then the root. Tables that open or close on one level send or withdraw
+    customers of the next. Yields after each sweep; ``seats`` are the three levels' and change."""
+    _, before_tables, ending_customers, ending_tables = (t[-1] for t in totals)
+    d, d_mid, d_root = known.discounts
+    fresh_low = (STRENGTH + d * before_tables)[own.low_before]
+    fresh_mid = (STRENGTH + d_mid * ending_tables)[own.mid_ending]
+    among = (STRENGTH + ending_customers)[own.mid_ending]
+    fresh_root = np.full(len(own.words), (STRENGTH + d_root * known.root_tables[-1]) / (known.words + 1))
+    for _ in range(sweeps):
+        low, mid, root = seats
+        p = at_root(root.customers() - d_root * root.tables(), known, -1)[own.mid_word]
+        p_mid = (mid.customers() - d_mid * mid.tables() + fresh_mid * p) / among
+        seats[0] = low = sweep(low, fresh_low * p_mid[own.low_mid], d, rng)
+        mid.fit(np.bincount(own.low_mid, low.tables(), len(own.mid_codes)).astype(np.int64), fresh_mid * p, d_mid, rng)
+        seats[1] = mid = sweep(mid, fresh_mid * p, d_mid, rng)
+        root.fit(np.bincount(own.mid_word, mid.tables(), len(own.words)).astype(np.int64), fresh_root, d_root, rng)
+        seats[2] = sweep(root, fresh_root, d_root, rng)
+        yield
 
 
 def chunk_messages(docs: DataFrame, range_bits: int, chunk_bytes: int) -> DataFrame:
-    """Rows (chunk, part, data): part -1 holds a chunk's documents as entry numbers, the others its words and counts by
-    ranges of word hashes."""
+    """Rows (part, kind, data): part -1 holds the documents of chunk ``kind`` as word numbers, the others the chunk's words, words before
+    and counts of pairs by ranges of word hashes."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 32
@@ -222,53 +297,113 @@ def chunk_messages(docs: DataFrame, range_bits: int, chunk_bytes: int) -> DataFr
             teaches = np.array([not h for h in rows.column("held_out").to_pylist()])
             c = Chunk.of(rows.column("text"), teaches)
             ids = rows.column("doc_id")
+            parts = (c.hashes >> np.uint64(64 - range_bits)).astype(np.int64) if range_bits else np.zeros(len(c.hashes), np.int64)
             sent = [(-1, pack(
                 ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), np.array(ids.is_null().to_pylist(), np.uint8), teaches.astype(np.uint8),
-                narrow(c.lengths), narrow(c.entries_per_word), *planes(c.tokens),
+                narrow(c.lengths), narrow(parts), *planes(c.tokens),
             ))]
-            parts = (c.words >> np.uint64(64 - range_bits)).astype(np.int64) if range_bits else np.zeros(len(c.words), np.int64)
-            bounds = np.searchsorted(parts, np.arange((1 << range_bits) + 1))
-            entry_at = np.r_[0, np.cumsum(c.entries_per_word)]
+            word, before = np.divmod(c.pairs, len(c.hashes))
+            order = np.argsort(parts[word], kind="stable")
+            bounds = np.searchsorted(parts[word][order], np.arange((1 << range_bits) + 1))
             for part, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
                 if a < b:
-                    own = slice(entry_at[a], entry_at[b])
-                    sent.append((part, pack(c.words[a:b], narrow(c.entries_per_word[a:b]), narrow(c.contexts[own]), narrow(c.counts[own]))))
+                    own = order[a:b]
+                    words, per_word = np.unique(word[own], return_counts=True)
+                    firsts, first = np.unique(before[own], return_inverse=True)
+                    sent.append((part, pack(
+                        c.hashes[words], narrow(per_word), c.hashes[firsts], c.endings[firsts], *planes(first), narrow(c.counts[own]),
+                    )))
             yield pa.RecordBatch.from_pydict({
-                "chunk": pa.array([task + nr] * len(sent)), "part": pa.array([p for p, _ in sent], pa.int32()), "data": pa.array([d for _, d in sent], pa.binary()),
+                "part": pa.array([p for p, _ in sent], pa.int32()), "kind": pa.array([task + nr] * len(sent)), "data": pa.array([d for _, d in sent], pa.binary()),
             })
 
-    return docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")).mapInArrow(send, "chunk long, part int, data binary")
+    return docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")).mapInArrow(send, ROWS)
+
+
+#: Rows that go to the ranges of words: kind is the number of a chunk, STATE, or ``-2 - r`` for totals from range r of restaurants.
+ROWS = "part int, kind long, data binary"
+STATE = -1
+STATES = f"{ROWS}, totals binary, sums array<double>"
 
 
-def summed(sums: DataFrame, name: str) -> np.ndarray:
+def states(part: int, arrays: list[np.ndarray], totals: bytes, sums: list[float]) -> pa.Table:
+    return pa.table({
+        "part": pa.array([part], pa.int32()), "kind": pa.array([STATE], pa.int64()), "data": pa.array([pack(*arrays)], pa.binary()),
+        "totals": pa.array([totals], pa.binary()), "sums": pa.array([[float(x) for x in sums]]),
+    })
+
+
+def by_kind(group: pa.Table) -> tuple[list[np.ndarray], list[list[np.ndarray]], list[tuple[int, bytes]]]:
+    """State, totals in the order of their ranges, and messages of chunks."""
+    rows = sorted(zip(group["kind"].to_pylist(), group["data"].to_pylist()), key=lambda r: -r[0])
+    state = next(unpack(d) for k, d in rows if k == STATE)
+    return state, [unpack(d) for k, d in rows if k < STATE], [(k, d) for k, d in rows if k > STATE]
+
+
+def summed(sums: DataFrame) -> list[float]:
     """The element-wise sum of an array column of fixed length."""
-    rows = sums.select(F.posexplode(name)).groupBy("pos").agg(F.sum("col").alias("sum")).collect()
-    out = np.zeros(max((r.pos for r in rows), default=-1) + 1)
-    for r in rows:
-        out[r.pos] = r.sum
-    return out
+    rows = sums.select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("sum")).collect()
+    return [r["sum"] for r in sorted(rows, key=lambda r: r["pos"])]
+
+
+def once_and_twice(counts: np.ndarray) -> list[int]:
+    return [(counts == 1).sum(), (counts == 2).sum()]
 
 
 def merged_counts(group: pa.Table) -> pa.Table:
-    """One range of words from all chunks, counts added up; entries that training lacks are left out."""
-    words, codes, counts = [], [], []
+    """One range of words from all chunks, counts added up; pairs that training lacks are left out, not the words before."""
     messages = [unpack(v) for v in group["data"].to_pylist()]
-    every = np.unique(np.concatenate([m[0] for m in messages]))
-    for own, per_word, contexts, count in messages:
-        codes.append(np.repeat(np.searchsorted(every, own), per_word) * CONTEXTS + contexts)
-        counts.append(count.astype(np.int64))
+    words = np.unique(np.concatenate([m[0] for m in messages]))
+    before, nth = np.unique(np.concatenate([m[2] for m in messages]), return_index=True)
+    endings = np.concatenate([m[3] for m in messages])[nth]
+    order = np.lexsort([before, endings])
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    codes, counts = [], []
+    for own, per_word, firsts, _, *first, count in messages:
+        teaches = count > 0
+        firsts = place[np.searchsorted(before, firsts)][joined(first)]
+        codes.append((np.repeat(np.searchsorted(words, own), per_word.astype(np.int64)) * len(before) + firsts)[teaches])
+        counts.append(count[teaches].astype(np.int64))
     codes, number = np.unique(np.concatenate(codes), return_inverse=True)
     counts = np.bincount(number, np.concatenate(counts), len(codes)).astype(np.int64)
-    codes, counts = codes[counts > 0], counts[counts > 0]
-    used, per_word = np.unique(codes // CONTEXTS, return_counts=True)
-    contexts = codes % CONTEXTS
-    words = every[used]
-    of_counts = [len(words), counts.sum(), (counts == 1).sum(), (counts == 2).sum(), (per_word == 1).sum(), (per_word == 2).sum()]
-    return pa.table({
-        "part": group["part"].slice(0, 1), "data": pa.array([pack(words, narrow(per_word), narrow(contexts), narrow(counts))], pa.binary()),
-        "sums": pa.array([[float(x) for x in of_counts]]),
-        "customers": pa.array([np.bincount(contexts, counts, CONTEXTS).astype(float)]), "types": pa.array([np.bincount(contexts, minlength=CONTEXTS).astype(float)]),
-    })
+    used, word = np.unique(codes // len(before), return_inverse=True)
+    own = Range(words[used], before[order], endings[order], word, codes % len(before), counts)
+    ones, mids = np.ones(len(counts), np.int64), np.ones(len(own.mid_codes), np.int64)
+    per_mid, per_word = np.bincount(own.low_mid, minlength=len(mids)), np.bincount(own.mid_word, minlength=len(own.words))
+    start = [counts, ones, per_mid, mids, per_word, np.ones(len(own.words), np.int64)]
+    return states(
+        group["part"][0].as_py(), [*own.packed(), *map(narrow, start)], own.numbers([(ones, mids)]),
+        [len(own.words), counts.sum(), *once_and_twice(counts), *once_and_twice(per_mid), *once_and_twice(per_word), len(mids)],
+    )
+
+
+def exchanged(state: DataFrame, range_bits: int) -> DataFrame:
+    """The restaurants' numbers summed over all ranges of words, as rows for each of these."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, totals in zip(batch.column("part").to_pylist(), batch.column("totals").to_pylist()):
+                ids, *columns = unpack(totals)
+                ranges = (ids >> np.uint64(64 - range_bits)).astype(np.int64) if range_bits else np.zeros(len(ids), np.int64)
+                bounds = np.searchsorted(ranges, np.arange((1 << range_bits) + 1))
+                sent = [(r, a, b) for r, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())) if a < b]
+                yield pa.RecordBatch.from_pydict({
+                    "range": pa.array([r for r, _, _ in sent], pa.int32()), "part": pa.array([part] * len(sent), pa.int32()),
+                    "data": pa.array([pack(ids[a:b], *[narrow(c[a:b]) for c in columns]) for _, a, b in sent], pa.binary()),
+                })
+
+    def add(group: pa.Table) -> pa.Table:
+        messages = [unpack(v) for v in group["data"].to_pylist()]
+        ids, at = np.unique(np.concatenate([m[0] for m in messages]), return_inverse=True)
+        columns = [np.bincount(at, np.concatenate(c), len(ids)).astype(np.int64) for c in zip(*[m[1:] for m in messages])]
+        ends = np.cumsum([len(m[0]) for m in messages]).tolist()
+        replies = [pack(*[narrow(c[at[a:b]]) for c in columns]) for a, b in zip([0, *ends], ends)]
+        return pa.table({
+            "part": group["part"], "kind": pa.array([-2 - group["range"][0].as_py()] * len(replies), pa.int64()), "data": pa.array(replies, pa.binary()),
+        })
+
+    return state.select("part", "totals").mapInArrow(send, "range int, part int, data binary").groupBy("range").applyInArrow(add, ROWS)
 
 
 def discount(once: float, twice: float) -> float:
@@ -276,100 +411,128 @@ def discount(once: float, twice: float) -> float:
     return min(0.95, max(0.05, once / (once + 2 * twice) if once else 0.5))
 
 
+def seated(known: Totals, sweeps: int, last: bool):
+    """Seats the customers of a range, from where the state left them. The last time the state holds what scoring needs instead, of each sweep."""
+
+    def run(group: pa.Table) -> pa.Table:
+        state, replies, _ = by_kind(group)
+        own, part = Range.of(*state[:6]), group["part"][0].as_py()
+        seats = [Seating.of(*state[i : i + 2]) for i in (6, 8, 10)]
+        samples, root, held, mids, words = [], [], np.zeros(len(own.counts)), [], []
+        for _ in seat(own, own.totals(replies), seats, known, sweeps, np.random.default_rng([SEED, part, last])):
+            if last:
+                samples.append((seats[0].tables(), seats[1].tables()))
+                held += (own.counts - known.discounts[0] * seats[0].tables()) / sweeps
+                mids.append((seats[1].customers() - known.discounts[1] * seats[1].tables()).astype(np.float32))
+                words.append((seats[2].customers() - known.discounts[2] * seats[2].tables()).astype(np.float32))
+                root += [seats[2].customers().sum(), seats[2].tables().sum()]
+        if not last:
+            kept = [narrow(a) for s in seats for a in (s.sizes, s.tables())]
+            return states(part, [*own.packed(), *kept], own.numbers([(seats[0].tables(), seats[1].tables())]), [seats[2].sizes.sum(), len(seats[2].sizes)])
+        return states(part, [*own.packed(), held.astype(np.float32), *mids, *words], own.numbers(samples), root)
+
+    return run
+
+
+def looked_up(codes: np.ndarray, wanted: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Each wanted code's value, 0 where there is none; codes ascend."""
+    if not len(codes):
+        return np.zeros(len(wanted))
+    at = np.minimum(np.searchsorted(codes, wanted), len(codes) - 1)
+    return np.where(codes[at] == wanted, values[at], 0)
+
+
+def log10_of(own: Range, totals: tuple, held: np.ndarray, mids: list, words: list, known: Totals, word: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """log10 probability of words (numbers, -1 for one that training lacks) after words before (numbers), averaged over samples."""
+    n, ends = max(len(own.before), 1), max(len(own.known_endings), 1)
+    ending = own.ending_at[before]
+    low_codes = own.low_word * n + own.low_before
+    of_low, of_mid = np.where(word < 0, -1, word * n + before), np.where(word < 0, -1, word * ends + ending)
+    d, d_mid, _ = known.discounts
+    p = np.zeros(len(word))
+    for s, (customers, tables, in_ending, of_ending) in enumerate(zip(*totals)):
+        root = at_root(np.where(word < 0, 0, words[s][word]) if len(own.words) else np.zeros(len(word)), known, s)
+        mid = (looked_up(own.mid_codes, of_mid, mids[s]) + (STRENGTH + d_mid * of_ending[ending]) * root) / (STRENGTH + in_ending[ending])
+        p += (STRENGTH + d * tables[before]) * mid / (STRENGTH + customers[before]) / SAMPLES
+    return np.log10(p + looked_up(low_codes, of_low, held) / (STRENGTH + totals[0][0][before]))
+
+
+def answers(known: Totals):
+    """For each chunk and a range of words: training counts of its words, log10 probabilities of its pairs."""
+
+    def answer(group: pa.Table) -> pa.Table:
+        state, replies, asked = by_kind(group)
+        own = Range.of(*state[:6])
+        held, mids, words = state[6], state[7 : 7 + SAMPLES], state[7 + SAMPLES :]
+        totals = own.totals(replies)
+        totalled = np.bincount(own.low_word, own.counts, len(own.words)).astype(np.int64)
+        by_hash = np.argsort(own.before)
+        hashes, out = own.before[by_hash], []
+        for _, data in asked:
+            listed, per_word, firsts, _, *first, _ = unpack(data)
+            number = looked_up(own.words, listed, np.arange(1, len(own.words) + 1)).astype(np.int64) - 1
+            before = by_hash[np.searchsorted(hashes, firsts)][joined(first)]
+            logs = log10_of(own, totals, held, mids, words, known, np.repeat(number, per_word.astype(np.int64)), before)
+            counts = np.where(number < 0, 0, totalled[number]) if len(totalled) else np.zeros(len(listed), np.int64)
+            out.append(pack(narrow(counts), logs.astype(np.float32)))
+        return pa.table({"chunk": pa.array([k for k, _ in asked], pa.int64()), "part": pa.array([group["part"][0].as_py()] * len(asked), pa.int32()), "reply": pa.array(out, pa.binary())})
+
+    return answer
+
+
 def score_documents(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Every row of ``docs`` (doc_id, text) with its log10 probability under the model.
 
     Text: lower-case A-Z, words ``[^\\x20\\x09-\\x0D]+``, then one end; null is the empty text, which is its end alone. The
     model learns from the documents that are not held out, and scores all. Columns: doc_id, held_out, n_tokens,
     n_known (tokens that training has), train_tokens, base_score (words alone, counts plus 0.1), score. A word
-    that training lacks is the unknown word. Probabilities are averaged over the samples. Words are told apart by 64 bits of hash. Repeated
+    that training lacks is the unknown word; after a word that training lacks, its ending decides, then the root.
+    Probabilities are averaged over the samples and kept in single precision. Words are told apart by 64 bits of hash. Repeated
     rows stay, and teach as often as they occur. An empty table gives no rows, and without training every score is 0.
 
+    Every customer moves in every sweep. While the ranges of words are seated side by side, restaurants count the tables of other ranges'
+    words as they were at the last exchange; seating is carried over it.
+
     Every chunk of ``chunk_bytes`` of text exchanges one message with every range of words, and ``range_bytes`` of text make a
-    range. Both take about ten times their size in a task's memory. On very large tables raise both as far as that allows:
-    messages are as many as chunks times ranges.
+    range. On very large tables raise both as far as a task's memory allows: messages are as many as chunks times ranges.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     range_bits = (size // range_bytes).bit_length()
     messages = stored(chunk_messages(docs, range_bits, chunk_bytes), "messages")
     sent = messages.where("part >= 0")
-    counted = stored(
-        sent.groupBy("part").applyInArrow(merged_counts, "part int, data binary, sums array<double>, customers array<double>, types array<double>"),
-        "word-counts",
-    )
-    words, tokens, *of_counts = [*summed(counted, "sums"), *[0.0] * 6][:6]
-    customers, types = np.resize(summed(counted, "customers"), CONTEXTS), np.resize(summed(counted, "types"), CONTEXTS)
+    state = stored(sent.groupBy("part").applyInArrow(merged_counts, STATES), "word-counts")
+    words, tokens, *twos, mids = summed(state) or [0.0] * 9
     known = Totals(
-        int(words), int(tokens), discount(of_counts[0], of_counts[1]), discount(of_counts[2], of_counts[3]), customers,
-        np.array([types.sum()]), np.array([words]), types[None, :],
+        int(words), int(tokens), tuple(discount(twos[i], twos[i + 1]) for i in (0, 2, 4)), np.array([mids]), np.array([words]),
+    )
+    totals = exchanged(state, range_bits)
+    for sweeps, last in ((BURN_IN, False), (SAMPLES, True)):
+        state = stored(state.select("part", "kind", "data").unionAll(totals).groupBy("part").applyInArrow(seated(known, sweeps, last), STATES), "seating")
+        root = np.resize(summed(state) or [0.0], 2 * (SAMPLES if last else 1)).reshape(-1, 2)
+        known = Totals(known.words, known.tokens, known.discounts, root[:, 0], root[:, 1])
+        totals = exchanged(state, range_bits)
+    replies = (
+        sent.unionAll(state.select("part", "kind", "data")).unionAll(totals).groupBy("part")
+        .applyInArrow(answers(known), "chunk long, part int, reply binary")
     )
-
-    def seated(totals: Totals):
-        def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part, data in zip(batch.column("part").to_pylist(), batch.column("data").to_pylist()):
-                    own, per_word, contexts, counts = unpack(data)
-                    word_of = np.repeat(np.arange(len(own)), per_word)
-                    rng = np.random.default_rng([SEED, part])
-                    held, at_words, sums = sample(len(own), word_of, contexts.astype(np.int64), counts.astype(np.int64), totals, rng)
-                    totalled = np.bincount(word_of, counts, len(own)).astype(np.int64)
-                    yield pa.RecordBatch.from_pydict({
-                        "part": pa.array([part], pa.int32()),
-                        "data": pa.array([pack(own, narrow(totalled), per_word, contexts, held, *at_words)], pa.binary()),
-                        "sums": pa.array([np.concatenate([np.r_[c, t, k] for c, t, k in sums]).astype(float)]),
-                    })
-
-        return seat
-
-    for _ in range(ROUNDS):
-        seating = stored(counted.select("part", "data").mapInArrow(seated(known), "part int, data binary, sums array<double>"), "seating")
-        sums = np.resize(summed(seating, "sums"), SAMPLES * (CONTEXTS + 2)).reshape(SAMPLES, -1)
-        known = Totals(known.words, known.tokens, known.context_discount, known.root_discount, customers, sums[:, 0], sums[:, 1], sums[:, 2:])
-
-    shares = (STRENGTH + known.context_discount * known.tables) / (STRENGTH + customers)
-    uniform = (STRENGTH + known.root_discount * known.root_tables) / (known.words + 1)
-
-    def answer(key: tuple, asked: pa.Table, state: pa.Table) -> pa.Table:
-        """For each chunk and this range of words: training counts of its words, log10 probabilities of its entries."""
-        own, totalled, per_word, contexts, held, *at_words = (
-            unpack(state["data"][0].as_py()) if len(state) else [np.zeros(0, np.uint64)] + [np.zeros(0)] * (4 + SAMPLES)
-        )
-        codes = np.repeat(np.arange(len(own)), per_word.astype(np.int64)) * CONTEXTS + contexts.astype(np.int64)
-        replies = []
-        for data in asked["data"].to_pylist():
-            words, entries, of, _ = unpack(data)
-            at = np.searchsorted(own, words)
-            found = (at < len(own)) & (own[np.minimum(at, len(own) - 1)] == words) if len(own) else np.zeros(len(words), bool)
-            at = np.where(found, at, 0)
-            which, of = np.repeat(at, entries), of.astype(np.int64)
-            seen = np.repeat(found, entries)
-            code = which * CONTEXTS + of
-            place = np.minimum(np.searchsorted(codes, code), max(len(codes) - 1, 0))
-            p = np.where(seen & (codes[place] == code), held[place], 0) / (STRENGTH + customers[of]) if len(codes) else np.zeros(len(code))
-            for s in range(SAMPLES):
-                root = np.where(seen, at_words[s][which], 0) if len(own) else 0
-                p = p + shares[s, of] * (root + uniform[s]) / (STRENGTH + known.root_customers[s]) / SAMPLES
-            counts = np.where(found, totalled[at], 0).astype(np.int64) if len(own) else np.zeros(len(words), np.int64)
-            replies.append(pack(narrow(counts), np.log10(p).astype(np.float32)))
-        return pa.table({"chunk": asked["chunk"], "part": asked["part"], "reply": pa.array(replies, pa.binary())})
-
-    replies = sent.groupBy("part").cogroup(seating.select("part", "data").groupBy("part")).applyInArrow(answer, "chunk long, part int, reply binary")
 
     def score(key: tuple, program: pa.Table, replies: pa.Table) -> pa.Table:
-        ids, nameless, teaches, lengths, per_word, *tokens = unpack(program["data"][0].as_py())
-        parts = [unpack(v) for v in replies.sort_by("part")["reply"].to_pylist()]
-        counts, logs = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+        ids, nameless, teaches, lengths, parts, *tokens = unpack(program["data"][0].as_py())
         tokens, n = joined(tokens), lengths.astype(np.int64)
-        own = np.repeat(counts.astype(np.int64), per_word)
+        pairs, of = pairs_of(tokens, len(parts))
+        answered = [unpack(v) for v in replies.sort_by("part")["reply"].to_pylist()]
+        own, logs = np.empty(len(parts), np.int64), np.empty(len(pairs))
+        own[np.argsort(parts, kind="stable")] = np.concatenate([a[0] for a in answered])
+        logs[np.argsort(parts[pairs // len(parts)], kind="stable")] = np.concatenate([a[1] for a in answered])
         base = np.log10((own + ADDED) / (known.tokens + ADDED * (known.words + 1)))
         starts = np.cumsum(n) - n
         return pa.table({
             "doc_id": pa.array(ids, mask=nameless.astype(bool)), "held_out": pa.array(teaches == 0), "n_tokens": pa.array(n),
             "n_known": pa.array(np.add.reduceat((own > 0).astype(np.int64)[tokens], starts)), "train_tokens": pa.array(np.full(len(n), known.tokens)),
-            "base_score": pa.array(np.add.reduceat(base[tokens], starts)), "score": pa.array(np.add.reduceat(logs.astype(np.float64)[tokens], starts)),
+            "base_score": pa.array(np.add.reduceat(base[tokens], starts)), "score": pa.array(np.add.reduceat(logs[of], starts)),
         })
 
     return (
-        messages.where("part < 0").select("chunk", "data").groupBy("chunk").cogroup(replies.groupBy("chunk"))
+        messages.where("part < 0").select(F.col("kind").alias("chunk"), "data").groupBy("chunk").cogroup(replies.groupBy("chunk"))
         .applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     )
