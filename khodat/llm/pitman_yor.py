@@ -23,19 +23,24 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from khodat.llm.common import CHUNK_BYTES, mixed, narrow, pack, stored, text_chunks, unpack, words_of
-
-#: Bytes of text whose words come to one range of word hashes, on average.
-RANGE_BYTES = 16 << 20
-#: Sweeps before restaurants exchange their numbers, and sweeps after that, each of which is a sample; samples are averaged.
-BURN_IN = 3
-SAMPLES = 3
+from khodat.llm.common import gathered_chunks, mixed, narrow, pack, stored, unpack, words_of
+
+#: Bytes of text in a chunk.
+CHUNK_BYTES = 16 << 20
+#: Bytes of text whose words come to one range of word hashes, at most on average.
+RANGE_BYTES = 32 << 20
+#: Sweeps before restaurants exchange their numbers, sweeps after that, and the sweeps then that are samples, to be averaged.
+BURN_IN = 2
+SETTLING = 1
+SAMPLES = 2
 #: Pairs of up to so many customers move them one by one; larger ones in as many blocks, of this many at most.
-BLOCKS = 64
+BLOCKS = 32
 BLOCK_CUSTOMERS = 1 << 20
 #: Strength of all restaurants.
 STRENGTH = 1.0
 SEED = 23
+#: A log10 probability travels as a multiple of one over this.
+STEPS = 1 << 13
 #: Added to counts in the base score.
 ADDED = 0.1
 
@@ -170,6 +175,21 @@ class Seating:
             self.add(np.repeat(more, -(-(wanted - have)[more] // 8)), fresh, discount, rng)
 
 
+def drawn_anew(customers: np.ndarray, fresh: np.ndarray, discount: float, rng: np.random.Generator) -> Seating:
+    """Pairs of up to three customers, all of whom leave and sit down again: the chances of their few seatings are known."""
+    one = 1 - discount
+    three = customers == 3
+    together = np.where(three, one * (one + 1), one)
+    split = np.where(three, 3 * one * fresh, fresh)
+    alone = np.where(three, fresh * fresh, 0)
+    drawn = rng.random(len(customers)) * (together + split + alone)
+    tables = np.where(customers > 1, 1 + (drawn >= together) + (three & (drawn >= together + split)), customers)
+    starts = np.r_[0, np.cumsum(tables)]
+    sizes = np.ones(starts[-1], np.int64)
+    sizes[starts[:-1]] = customers - tables + 1
+    return Seating(sizes, starts)
+
+
 def sweep(seats: Seating, fresh: np.ndarray, discount: float, rng: np.random.Generator) -> Seating:
     """As many moves of every pair as it has customers, in each of which a random one leaves and sits down again. Pairs above ``BLOCKS``
     customers move them by blocks: each customer of a pair leaves with the same chance, so that a block is a
@@ -181,13 +201,15 @@ def sweep(seats: Seating, fresh: np.ndarray, discount: float, rng: np.random.Gen
         own = np.flatnonzero(size == bits)
         part, number, weights = seats.take(own), customers[own], fresh[own]
         most = int(number.max())
-        if most > BLOCKS:
+        if most < 4:
+            part = drawn_anew(number, weights, discount, rng)
+        elif most > BLOCKS:
             blocks = max(BLOCKS, -(-most // BLOCK_CUSTOMERS))
             for _ in range(blocks):
                 part.sizes = part.sizes - rng.binomial(part.sizes, 1 / blocks)
                 part.close_empty()
                 part.add(np.repeat(np.arange(len(own)), number - part.customers()), weights, discount, rng)
-        elif most > 1:
+        else:
             for done_so_far in range(most):
                 at = np.flatnonzero(number > done_so_far)
                 part.remove(at, rng)
@@ -293,7 +315,7 @@ def chunk_messages(docs: DataFrame, range_bits: int, chunk_bytes: int) -> DataFr
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 32
-        for nr, rows in enumerate(text_chunks(batches, most=chunk_bytes)):
+        for nr, rows in enumerate(gathered_chunks(batches, most=chunk_bytes)):
             teaches = np.array([not h for h in rows.column("held_out").to_pylist()])
             c = Chunk.of(rows.column("text"), teaches)
             ids = rows.column("doc_id")
@@ -320,24 +342,26 @@ def chunk_messages(docs: DataFrame, range_bits: int, chunk_bytes: int) -> DataFr
     return docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")).mapInArrow(send, ROWS)
 
 
-#: Rows that go to the ranges of words: kind is the number of a chunk, STATE, or ``-2 - r`` for totals from range r of restaurants.
+#: Rows that go to the ranges of words: kind is the number of a chunk, STATE (pairs and their seating), SAMPLED (what sampling left), or
+#: ``-3 - r`` for totals from range r of restaurants.
 ROWS = "part int, kind long, data binary"
 STATE = -1
+SAMPLED = -2
 STATES = f"{ROWS}, totals binary, sums array<double>"
 
 
-def states(part: int, arrays: list[np.ndarray], totals: bytes, sums: list[float]) -> pa.Table:
+def states(part: int, kind: int, arrays: list[np.ndarray], totals: bytes, sums: list[float]) -> pa.Table:
     return pa.table({
-        "part": pa.array([part], pa.int32()), "kind": pa.array([STATE], pa.int64()), "data": pa.array([pack(*arrays)], pa.binary()),
+        "part": pa.array([part], pa.int32()), "kind": pa.array([kind], pa.int64()), "data": pa.array([pack(*arrays)], pa.binary()),
         "totals": pa.array([totals], pa.binary()), "sums": pa.array([[float(x) for x in sums]]),
     })
 
 
-def by_kind(group: pa.Table) -> tuple[list[np.ndarray], list[list[np.ndarray]], list[tuple[int, bytes]]]:
-    """State, totals in the order of their ranges, and messages of chunks."""
+def by_kind(group: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray], list[list[np.ndarray]], list[tuple[int, bytes]]]:
+    """State, samples, totals in the order of their ranges, and messages of chunks."""
     rows = sorted(zip(group["kind"].to_pylist(), group["data"].to_pylist()), key=lambda r: -r[0])
-    state = next(unpack(d) for k, d in rows if k == STATE)
-    return state, [unpack(d) for k, d in rows if k < STATE], [(k, d) for k, d in rows if k > STATE]
+    state, sampled = (next((unpack(d) for k, d in rows if k == kind), []) for kind in (STATE, SAMPLED))
+    return state, sampled, [unpack(d) for k, d in rows if k < SAMPLED], [(k, d) for k, d in rows if k > STATE]
 
 
 def summed(sums: DataFrame) -> list[float]:
@@ -350,9 +374,33 @@ def once_and_twice(counts: np.ndarray) -> list[int]:
     return [(counts == 1).sum(), (counts == 2).sum()]
 
 
-def merged_counts(group: pa.Table) -> pa.Table:
-    """One range of words from all chunks, counts added up; pairs that training lacks are left out, not the words before."""
-    messages = [unpack(v) for v in group["data"].to_pylist()]
+def merged(ranges: int):
+    """One range of words from all chunks, counts added up; pairs that training lacks are left out, not the words before. The first sweeps
+    are made at once, with the numbers of this range in place of all."""
+
+    def merge(group: pa.Table) -> pa.Table:
+        own = Range.of(*range_of([unpack(v) for v in group["data"].to_pylist()]).packed())
+        part, ones, per_mid, per_word = group["part"][0].as_py(), np.ones(len(own.counts), np.int64), np.bincount(own.low_mid), np.bincount(own.mid_word)
+        twos = [n for c in (own.counts, per_mid, per_word) for n in once_and_twice(c)]
+        # Words are dealt by hash, so other ranges are like this one: root and endings are taken to have as many customers there.
+        known = Totals(
+            len(own.words) * ranges, int(own.counts.sum()) * ranges, discounts(twos), np.array([len(per_mid) * ranges]), np.array([len(own.words) * ranges]),
+        )
+        seats = [Seating.of(c, np.ones(len(c), np.int64)) for c in (own.counts, per_mid, per_word)]
+        customers, tables, in_ending, of_ending = own.totals([unpack(own.numbers([(ones, np.ones(len(per_mid), np.int64))]))[1:]])
+        local = (customers, tables, in_ending * ranges, of_ending * ranges)
+        for _ in seat(own, local, seats, known, BURN_IN, np.random.default_rng([SEED, part])):
+            pass
+        return states(
+            part, STATE, [*own.packed(), *[narrow(a) for s in seats for a in (s.sizes, s.tables())]],
+            own.numbers([(seats[0].tables(), seats[1].tables())]),
+            [len(own.words), own.counts.sum(), *twos, seats[2].customers().sum(), seats[2].tables().sum()],
+        )
+
+    return merge
+
+
+def range_of(messages: list[list[np.ndarray]]) -> Range:
     words = np.unique(np.concatenate([m[0] for m in messages]))
     before, nth = np.unique(np.concatenate([m[2] for m in messages]), return_index=True)
     endings = np.concatenate([m[3] for m in messages])[nth]
@@ -368,14 +416,7 @@ def merged_counts(group: pa.Table) -> pa.Table:
     codes, number = np.unique(np.concatenate(codes), return_inverse=True)
     counts = np.bincount(number, np.concatenate(counts), len(codes)).astype(np.int64)
     used, word = np.unique(codes // len(before), return_inverse=True)
-    own = Range(words[used], before[order], endings[order], word, codes % len(before), counts)
-    ones, mids = np.ones(len(counts), np.int64), np.ones(len(own.mid_codes), np.int64)
-    per_mid, per_word = np.bincount(own.low_mid, minlength=len(mids)), np.bincount(own.mid_word, minlength=len(own.words))
-    start = [counts, ones, per_mid, mids, per_word, np.ones(len(own.words), np.int64)]
-    return states(
-        group["part"][0].as_py(), [*own.packed(), *map(narrow, start)], own.numbers([(ones, mids)]),
-        [len(own.words), counts.sum(), *once_and_twice(counts), *once_and_twice(per_mid), *once_and_twice(per_word), len(mids)],
-    )
+    return Range(words[used], before[order], endings[order], word, codes % len(before), counts)
 
 
 def exchanged(state: DataFrame, range_bits: int) -> DataFrame:
@@ -400,7 +441,7 @@ def exchanged(state: DataFrame, range_bits: int) -> DataFrame:
         ends = np.cumsum([len(m[0]) for m in messages]).tolist()
         replies = [pack(*[narrow(c[at[a:b]]) for c in columns]) for a, b in zip([0, *ends], ends)]
         return pa.table({
-            "part": group["part"], "kind": pa.array([-2 - group["range"][0].as_py()] * len(replies), pa.int64()), "data": pa.array(replies, pa.binary()),
+            "part": group["part"], "kind": pa.array([-3 - group["range"][0].as_py()] * len(replies), pa.int64()), "data": pa.array(replies, pa.binary()),
         })
 
     return state.select("part", "totals").mapInArrow(send, "range int, part int, data binary").groupBy("range").applyInArrow(add, ROWS)
@@ -411,25 +452,27 @@ def discount(once: float, twice: float) -> float:
     return min(0.95, max(0.05, once / (once + 2 * twice) if once else 0.5))
 
 
-def seated(known: Totals, sweeps: int, last: bool):
-    """Seats the customers of a range, from where the state left them. The last time the state holds what scoring needs instead, of each sweep."""
+def discounts(twos: list[float]) -> tuple[float, float, float]:
+    return tuple(discount(twos[i], twos[i + 1]) for i in (0, 2, 4))
+
+
+def sampled(known: Totals):
+    """Sweeps over a range from where its state left off, and what scoring needs of the samples."""
 
     def run(group: pa.Table) -> pa.Table:
-        state, replies, _ = by_kind(group)
+        state, _, replies, _ = by_kind(group)
         own, part = Range.of(*state[:6]), group["part"][0].as_py()
         seats = [Seating.of(*state[i : i + 2]) for i in (6, 8, 10)]
         samples, root, held, mids, words = [], [], np.zeros(len(own.counts)), [], []
-        for _ in seat(own, own.totals(replies), seats, known, sweeps, np.random.default_rng([SEED, part, last])):
-            if last:
+        sweeps = seat(own, own.totals(replies), seats, known, SETTLING + SAMPLES, np.random.default_rng([SEED, part, 1]))
+        for nr, _ in enumerate(sweeps):
+            if nr >= SETTLING:
                 samples.append((seats[0].tables(), seats[1].tables()))
-                held += (own.counts - known.discounts[0] * seats[0].tables()) / sweeps
+                held += (own.counts - known.discounts[0] * seats[0].tables()) / SAMPLES
                 mids.append((seats[1].customers() - known.discounts[1] * seats[1].tables()).astype(np.float32))
                 words.append((seats[2].customers() - known.discounts[2] * seats[2].tables()).astype(np.float32))
                 root += [seats[2].customers().sum(), seats[2].tables().sum()]
-        if not last:
-            kept = [narrow(a) for s in seats for a in (s.sizes, s.tables())]
-            return states(part, [*own.packed(), *kept], own.numbers([(seats[0].tables(), seats[1].tables())]), [seats[2].sizes.sum(), len(seats[2].sizes)])
-        return states(part, [*own.packed(), held.astype(np.float32), *mids, *words], own.numbers(samples), root)
+        return states(part, SAMPLED, [held.astype(np.float32), *mids, *words], own.numbers(samples), root)
 
     return run
 
@@ -461,9 +504,8 @@ def answers(known: Totals):
     """For each chunk and a range of words: training counts of its words, log10 probabilities of its pairs."""
 
     def answer(group: pa.Table) -> pa.Table:
-        state, replies, asked = by_kind(group)
-        own = Range.of(*state[:6])
-        held, mids, words = state[6], state[7 : 7 + SAMPLES], state[7 + SAMPLES :]
+        state, (held, *left), replies, asked = by_kind(group)
+        own, mids, words = Range.of(*state[:6]), left[:SAMPLES], left[SAMPLES:]
         totals = own.totals(replies)
         totalled = np.bincount(own.low_word, own.counts, len(own.words)).astype(np.int64)
         by_hash = np.argsort(own.before)
@@ -474,7 +516,7 @@ def answers(known: Totals):
             before = by_hash[np.searchsorted(hashes, firsts)][joined(first)]
             logs = log10_of(own, totals, held, mids, words, known, np.repeat(number, per_word.astype(np.int64)), before)
             counts = np.where(number < 0, 0, totalled[number]) if len(totalled) else np.zeros(len(listed), np.int64)
-            out.append(pack(narrow(counts), logs.astype(np.float32)))
+            out.append(pack(narrow(counts), *planes(np.rint(-logs * STEPS).astype(np.int64))))
         return pa.table({"chunk": pa.array([k for k, _ in asked], pa.int64()), "part": pa.array([group["part"][0].as_py()] * len(asked), pa.int32()), "reply": pa.array(out, pa.binary())})
 
     return answer
@@ -487,11 +529,12 @@ def score_documents(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, range_bytes
     model learns from the documents that are not held out, and scores all. Columns: doc_id, held_out, n_tokens,
     n_known (tokens that training has), train_tokens, base_score (words alone, counts plus 0.1), score. A word
     that training lacks is the unknown word; after a word that training lacks, its ending decides, then the root.
-    Probabilities are averaged over the samples and kept in single precision. Words are told apart by 64 bits of hash. Repeated
+    Probabilities are averaged over the samples; a token's log10 is rounded to
+    a multiple of 2 ** -13. Words are told apart by 64 bits of hash. Repeated
     rows stay, and teach as often as they occur. An empty table gives no rows, and without training every score is 0.
 
-    Every customer moves in every sweep. While the ranges of words are seated side by side, restaurants count the tables of other ranges'
-    words as they were at the last exchange; seating is carried over it.
+    Every pair makes as many moves in a sweep as it has customers. While the ranges of words are seated side by side, restaurants count the tables of other ranges'
+    words as they were at the last exchange (before the first: as this range would have them); seating is carried over it.
 
     Every chunk of ``chunk_bytes`` of text exchanges one message with every range of words, and ``range_bytes`` of text make a
     range. On very large tables raise both as far as a task's memory allows: messages are as many as chunks times ranges.
@@ -500,21 +543,15 @@ def score_documents(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, range_bytes
     range_bits = (size // range_bytes).bit_length()
     messages = stored(chunk_messages(docs, range_bits, chunk_bytes), "messages")
     sent = messages.where("part >= 0")
-    state = stored(sent.groupBy("part").applyInArrow(merged_counts, STATES), "word-counts")
-    words, tokens, *twos, mids = summed(state) or [0.0] * 9
-    known = Totals(
-        int(words), int(tokens), tuple(discount(twos[i], twos[i + 1]) for i in (0, 2, 4)), np.array([mids]), np.array([words]),
-    )
-    totals = exchanged(state, range_bits)
-    for sweeps, last in ((BURN_IN, False), (SAMPLES, True)):
-        state = stored(state.select("part", "kind", "data").unionAll(totals).groupBy("part").applyInArrow(seated(known, sweeps, last), STATES), "seating")
-        root = np.resize(summed(state) or [0.0], 2 * (SAMPLES if last else 1)).reshape(-1, 2)
-        known = Totals(known.words, known.tokens, known.discounts, root[:, 0], root[:, 1])
-        totals = exchanged(state, range_bits)
-    replies = (
-        sent.unionAll(state.select("part", "kind", "data")).unionAll(totals).groupBy("part")
-        .applyInArrow(answers(known), "chunk long, part int, reply binary")
-    )
+    state = stored(sent.groupBy("part").applyInArrow(merged(1 << range_bits), STATES), "word-counts")
+    words, tokens, *twos, root_customers, root_tables = summed(state) or [0.0] * 10
+    known = Totals(int(words), int(tokens), discounts(twos), np.array([root_customers]), np.array([root_tables]))
+    pairs = state.select("part", "kind", "data")
+    left = stored(pairs.unionAll(exchanged(state, range_bits)).groupBy("part").applyInArrow(sampled(known), STATES), "samples")
+    root = np.reshape(summed(left) or [0.0] * (2 * SAMPLES), (SAMPLES, 2))
+    known = Totals(known.words, known.tokens, known.discounts, root[:, 0], root[:, 1])
+    asked = sent.unionAll(pairs).unionAll(left.select("part", "kind", "data")).unionAll(exchanged(left, range_bits))
+    replies = asked.groupBy("part").applyInArrow(answers(known), "chunk long, part int, reply binary")
 
     def score(key: tuple, program: pa.Table, replies: pa.Table) -> pa.Table:
         ids, nameless, teaches, lengths, parts, *tokens = unpack(program["data"][0].as_py())
@@ -523,7 +560,7 @@ def score_documents(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, range_bytes
         answered = [unpack(v) for v in replies.sort_by("part")["reply"].to_pylist()]
         own, logs = np.empty(len(parts), np.int64), np.empty(len(pairs))
         own[np.argsort(parts, kind="stable")] = np.concatenate([a[0] for a in answered])
-        logs[np.argsort(parts[pairs // len(parts)], kind="stable")] = np.concatenate([a[1] for a in answered])
+        logs[np.argsort(parts[pairs // len(parts)], kind="stable")] = np.concatenate([joined(a[1:]) / -STEPS for a in answered])
         base = np.log10((own + ADDED) / (known.tokens + ADDED * (known.words + 1)))
         starts = np.cumsum(n) - n
         return pa.table({

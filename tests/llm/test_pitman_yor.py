@@ -219,7 +219,7 @@ def test_seating_follows_the_chinese_restaurant():
 def test_blocks_seat_as_single_moves_do(monkeypatch):
     """Pairs of 300 customers: the mean and spread of their tables, moved in blocks and one by one."""
     found = []
-    for blocks in (64, 300):
+    for blocks in (32, 300):
         monkeypatch.setattr(P, "BLOCKS", blocks)
         rng, seats = np.random.default_rng(6), P.Seating.of(np.full(400, 300), np.ones(400, int))
         for _ in range(6):
