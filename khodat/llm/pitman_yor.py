@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from khodat.llm.common import gathered_chunks, mixed, narrow, pack, stored, unpack, words_of
 
 #: Bytes of text in a chunk.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 #: Bytes of text whose words come to one range of word hashes, at most on average.
 RANGE_BYTES = 32 << 20
 #: Sweeps before restaurants exchange their numbers, sweeps after that, and the sweeps then that are samples, to be averaged.
@@ -102,6 +102,13 @@ class Chunk:
         return cls(hashes, endings, tokens, lengths, pairs, counts)
 
 
+def running(values: np.ndarray) -> np.ndarray:
+    """Running sums from 0 on, one more than there are values."""
+    sums = np.zeros(len(values) + 1, values.dtype if values.dtype.kind == "f" else np.int64)
+    np.cumsum(values, out=sums[1:])
+    return sums
+
+
 @dataclass
 class Seating:
     """Tables of many pairs of restaurant and dish, side by side: pair i has ``sizes[starts[i]:starts[i + 1]]``."""
@@ -111,29 +118,29 @@ class Seating:
 
     @classmethod
     def of(cls, sizes: np.ndarray, tables: np.ndarray) -> Seating:
-        return cls(sizes.astype(np.int64), np.r_[0, np.cumsum(tables, dtype=np.int64)])
+        return cls(sizes.astype(np.int64), running(tables))
 
     def tables(self) -> np.ndarray:
         return np.diff(self.starts)
 
     def customers(self) -> np.ndarray:
-        return np.diff(np.r_[0, np.cumsum(self.sizes)][self.starts])
+        return np.diff(running(self.sizes)[self.starts])
 
     def take(self, pairs: np.ndarray) -> Seating:
         tables = self.tables()[pairs]
-        starts = np.r_[0, np.cumsum(tables)]
+        starts = running(tables)
         return Seating(self.sizes[np.arange(starts[-1]) + np.repeat(self.starts[pairs] - starts[:-1], tables)], starts)
 
     def choose(self, weights: np.ndarray, at: np.ndarray, drawn: np.ndarray) -> np.ndarray:
         """The table of each pair ``at`` where the running sum of the tables' weights passes ``drawn`` times their sum."""
-        sums = np.r_[0, np.cumsum(weights)]
+        sums = running(weights)
         low, high = sums[self.starts[at]], sums[self.starts[at + 1]]
         return np.clip(np.searchsorted(sums, low + drawn * (high - low), "right") - 1, self.starts[at], self.starts[at + 1] - 1)
 
     def close_empty(self) -> None:
         empty = self.sizes == 0
         if empty.any():
-            self.starts = self.starts - np.r_[0, np.cumsum(empty)][self.starts]
+            self.starts = self.starts - running(empty)[self.starts]
             self.sizes = self.sizes[~empty]
 
     def remove(self, at: np.ndarray, rng: np.random.Generator) -> None:
@@ -155,7 +162,7 @@ class Seating:
         """A customer sits down for each item of ``at``, which ascends and may repeat a pair: at a table by its size less the
         discount, or at a new one by ``fresh``, a number for each pair of the seating."""
         weights = self.sizes - discount
-        sums = np.r_[0, np.cumsum(weights)]
+        sums = running(weights)
         old = sums[self.starts[at + 1]] - sums[self.starts[at]]
         opens = (rng.random(len(at)) * (old + fresh[at]) >= old) | (self.starts[at + 1] == self.starts[at])
         stay = at[~opens]
@@ -163,16 +170,30 @@ class Seating:
             self.sizes += np.bincount(self.choose(weights, stay, rng.random(len(stay))), minlength=len(self.sizes))
         if opens.any():
             self.sizes = np.insert(self.sizes, self.starts[at[opens] + 1], 1)
-            self.starts = self.starts + np.r_[0, np.cumsum(np.bincount(at[opens], minlength=len(self.starts) - 1))]
+            self.starts = self.starts + running(np.bincount(at[opens], minlength=len(self.starts) - 1))
 
-    def fit(self, wanted: np.ndarray, fresh: np.ndarray, discount: float, rng: np.random.Generator) -> None:
-        """Customers leave or come until each pair has as many as wanted; they come in eighths of those still missing."""
+    def fit(self, wanted: np.ndarray, fresh: np.ndarray, discount: float, rng: np.random.Generator) -> Seating:
+        """The seating after customers left or came until each pair has as many as wanted; they come in eighths of those still missing."""
         have = self.customers()
-        less = np.flatnonzero(wanted < have)
+        other = wanted != have
+        less, more = np.flatnonzero(wanted < have), np.flatnonzero(wanted > have)
+        fewer, grown = self.take(less), self.take(more)
         if len(less):
-            self.remove_some(less, (have - wanted)[less], rng)
-        while len(more := np.flatnonzero(wanted > (have := self.customers()))):
-            self.add(np.repeat(more, -(-(wanted - have)[more] // 8)), fresh, discount, rng)
+            fewer.remove_some(np.arange(len(less)), (have - wanted)[less], rng)
+        missing, weights = (wanted - have)[more], fresh[more]
+        while missing.any():
+            coming = -(-missing // 8)
+            grown.add(np.repeat(np.arange(len(more)), coming), weights, discount, rng)
+            missing = missing - coming
+        return together([np.flatnonzero(~other), less, more], [self.take(np.flatnonzero(~other)), fewer, grown])
+
+
+def together(pairs: list[np.ndarray], parts: list[Seating]) -> Seating:
+    """One seating of parts that hold these pairs."""
+    order = np.concatenate(pairs)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return Seating.of(np.concatenate([p.sizes for p in parts]), np.concatenate([p.tables() for p in parts])).take(place)
 
 
 def drawn_anew(customers: np.ndarray, fresh: np.ndarray, discount: float, rng: np.random.Generator) -> Seating:
@@ -184,7 +205,7 @@ def drawn_anew(customers: np.ndarray, fresh: np.ndarray, discount: float, rng: n
     alone = np.where(three, fresh * fresh, 0)
     drawn = rng.random(len(customers)) * (together + split + alone)
     tables = np.where(customers > 1, 1 + (drawn >= together) + (three & (drawn >= together + split)), customers)
-    starts = np.r_[0, np.cumsum(tables)]
+    starts = running(tables)
     sizes = np.ones(starts[-1], np.int64)
     sizes[starts[:-1]] = customers - tables + 1
     return Seating(sizes, starts)
@@ -216,11 +237,7 @@ def sweep(seats: Seating, fresh: np.ndarray, discount: float, rng: np.random.Gen
                 part.add(at, weights, discount, rng)
         order.append(own)
         done.append(part)
-    if not done:
-        return seats
-    place = np.empty(len(customers), np.int64)
-    place[np.concatenate(order)] = np.arange(len(customers))
-    return Seating.of(np.concatenate([p.sizes for p in done]), np.concatenate([p.tables() for p in done])).take(place)
+    return together(order, done) if done else seats
 
 
 @dataclass
@@ -302,9 +319,9 @@ def seat(own: Range, totals: tuple, seats: list[Seating], known: Totals, sweeps:
         p = at_root(root.customers() - d_root * root.tables(), known, -1)[own.mid_word]
         p_mid = (mid.customers() - d_mid * mid.tables() + fresh_mid * p) / among
         seats[0] = low = sweep(low, fresh_low * p_mid[own.low_mid], d, rng)
-        mid.fit(np.bincount(own.low_mid, low.tables(), len(own.mid_codes)).astype(np.int64), fresh_mid * p, d_mid, rng)
+        mid = mid.fit(np.bincount(own.low_mid, low.tables(), len(own.mid_codes)).astype(np.int64), fresh_mid * p, d_mid, rng)
         seats[1] = mid = sweep(mid, fresh_mid * p, d_mid, rng)
-        root.fit(np.bincount(own.mid_word, mid.tables(), len(own.words)).astype(np.int64), fresh_root, d_root, rng)
+        root = root.fit(np.bincount(own.mid_word, mid.tables(), len(own.words)).astype(np.int64), fresh_root, d_root, rng)
         seats[2] = sweep(root, fresh_root, d_root, rng)
         yield
 
@@ -477,6 +494,15 @@ def sampled(known: Totals):
     return run
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` stored, and the shuffle files that this took deleted: Spark deletes those of plans that its driver has collected, which may
+    be long after."""
+    out = stored(df, label)
+    del df
+    out.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def looked_up(codes: np.ndarray, wanted: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Each wanted code's value, 0 where there is none; codes ascend."""
     if not len(codes):
@@ -541,13 +567,13 @@ def score_documents(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, range_bytes
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     range_bits = (size // range_bytes).bit_length()
-    messages = stored(chunk_messages(docs, range_bits, chunk_bytes), "messages")
+    messages = written(chunk_messages(docs, range_bits, chunk_bytes), "messages")
     sent = messages.where("part >= 0")
-    state = stored(sent.groupBy("part").applyInArrow(merged(1 << range_bits), STATES), "word-counts")
+    state = written(sent.groupBy("part").applyInArrow(merged(1 << range_bits), STATES), "word-counts")
     words, tokens, *twos, root_customers, root_tables = summed(state) or [0.0] * 10
     known = Totals(int(words), int(tokens), discounts(twos), np.array([root_customers]), np.array([root_tables]))
     pairs = state.select("part", "kind", "data")
-    left = stored(pairs.unionAll(exchanged(state, range_bits)).groupBy("part").applyInArrow(sampled(known), STATES), "samples")
+    left = written(pairs.unionAll(exchanged(state, range_bits)).groupBy("part").applyInArrow(sampled(known), STATES), "samples")
     root = np.reshape(summed(left) or [0.0] * (2 * SAMPLES), (SAMPLES, 2))
     known = Totals(known.words, known.tokens, known.discounts, root[:, 0], root[:, 1])
     asked = sent.unionAll(pairs).unionAll(left.select("part", "kind", "data")).unionAll(exchanged(left, range_bits))

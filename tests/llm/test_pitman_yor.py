@@ -201,7 +201,7 @@ def test_customers_leave_and_come():
         seats.add(at, np.full(4, 0.8), 0.5, rng)
         assert (seats.customers() == customers).all() and (seats.sizes > 0).all()
     for wanted in ([5, 1, 7, 2], [50, 3, 1, 2], [2, 1, 90, 4], [1, 1, 1, 1]):
-        seats.fit(np.array(wanted), np.full(4, 0.8), 0.5, rng)
+        seats = seats.fit(np.array(wanted), np.full(4, 0.8), 0.5, rng)
         assert seats.customers().tolist() == wanted and (seats.sizes > 0).all() and (seats.tables() > 0).all()
 
 
