@@ -13,6 +13,7 @@ probability for it.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -499,6 +500,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     be long after."""
     out = stored(df, label)
     del df
+    gc.collect()
     out.sparkSession.sparkContext._jvm.System.gc()
     return out
 
