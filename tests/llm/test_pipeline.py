@@ -20,7 +20,7 @@ def test_query_gives_what_its_sql_gives(spark, name):
 
 
 def test_all_queries_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in QUERIES if k != "pipeline"}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in QUERIES if k != "pipeline"}
     assert set(QUERIES) <= set(driver.queries()) and driver.queries()["pipeline"] is corpus_pipeline.run
 
 
