@@ -54,6 +54,16 @@ def ranged_for_write(df: DataFrame, order: Sequence[str], num_partitions: int |
     return ranged.sortWithinPartitions(*names)
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Frame dealt by the hash of ``by`` over as many tasks as ``spark.sql.shuffle.partitions`` says, however few bytes it has.
+
+    For narrow rows before a step that makes much of each: splits and merged shuffles are sized by bytes, so a million of
+    them would end in one task.
+    """
+    names = [F.col("`" + c.replace("`", "``") + "`") for c in by]
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *names)
+
+
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     """Concatenation by column name; a column missing from a frame is NULL there. Neighbours are joined in pairs, so that
     the plan of many frames stays flat."""

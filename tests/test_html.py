@@ -8,7 +8,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
+from khodat.checks import data
 from khodat.plans.ingest import listing_ingest, listing_links
 from khodat.sources.html import (
     HOUSE_TYPE, LOCATION_CLASS, PRICE_CLASS, PROJECT_CLASS, VALUE_CLASS, Field, _AllFound, _AnyPage, _Fields, _Links,
@@ -163,3 +165,18 @@ def test_links(spark):
 def test_other_columns_stay(spark):
     pages = spark.createDataFrame([(1, "<h1>a</h1>", "k")], "page_id int, html string, note string")
     assert extract_fields(pages, (Field("h", "h1"),)).first().asDict() == {"page_id": 1, "note": "k", "h": "a"}
+
+
+def rows_by_task(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_pages_made_of_one_row_group_are_read_by_many_tasks(spark):
+    found = rows_by_task(extract_fields(data.listing_pages(spark, "/root/testdata/sf0.001"), listing_fields()))
+    assert sum(found) == 200 and len(found) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(found) < 60
+
+
+def test_index_pages_are_read_by_many_tasks(spark):
+    # Ten pages only, so some tasks may get none.
+    found = rows_by_task(data.index_pages(spark, "/root/testdata/sf0.001").select("page_id"))
+    assert sum(found) == 10 and len(found) > 2
