@@ -49,9 +49,12 @@ def raw_extract(source: DataFrame, root: str, business_date: str, spec: TableSpe
 def staging_rows(raw: DataFrame) -> DataFrame:
     """Distinct raw rows with created_date as a timestamp.
 
-    Duplicates are judged on the text, before the cast, and the cast is part of the same write.
+    Duplicates are judged on the text, before the cast, and the cast is part of the same write. Equal rows are brought
+    together first, in parts of bounded size: files hold many times their bytes in rows, and a task that looked for
+    copies in a whole split would hold all of it. Parts that one row fills are split, and collapse before the second shuffle.
     """
-    rows = raw.select(*LISTING_RAW.columns).distinct()
+    columns = [F.col(c) for c in LISTING_RAW.columns]
+    rows = raw.select(*columns).hint("rebalance", *columns).distinct()
     return rows.withColumn("created_date", P.cast_timestamp("created_date"))
 
 

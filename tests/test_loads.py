@@ -84,3 +84,9 @@ def test_the_warehouse_transform_does_not_shuffle(spark, csv_path):
 def test_staging_shuffles_once(spark, csv_path):
     plan = lakehouse.staging_rows(lakehouse.source_load(spark, csv_path))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def test_staging_brings_equal_rows_together_before_it_looks_for_copies(spark, csv_path):
+    text = lakehouse.staging_rows(lakehouse.source_load(spark, csv_path))._jdf.queryExecution().executedPlan().toString()
+    lines = [line for line in text.splitlines() if "HashAggregate" in line or "REBALANCE_PARTITIONS_BY_COL" in line]
+    assert "REBALANCE_PARTITIONS_BY_COL" in lines[-1]
