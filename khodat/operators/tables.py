@@ -166,16 +166,33 @@ def _sized_for_table(
 
 
 @contextmanager
-def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
-    """What an overwrite replaces meanwhile: the ``static`` whole table, or the ``dynamic`` partitions that get rows. An
-    insert into a table takes that from the session alone."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, mode)
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """The session setting has this value meanwhile."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def _overwriting(spark: SparkSession, mode: str):
+    """What an overwrite replaces meanwhile: the ``static`` whole table, or the ``dynamic`` partitions that get rows. An
+    insert into a table takes that from the session alone."""
+    return _setting(spark, "spark.sql.sources.partitionOverwriteMode", mode)
+
+
+# Shuffled bytes, compressed, that one task of a merge is meant to get.
+MERGE_TASK_BYTES = 8 * 1024 * 1024
+
+
+def _small_tasks(spark: SparkSession):
+    """Shuffles are merged and split to MERGE_TASK_BYTES meanwhile. Rows of a few numbers take ten times their shuffled
+    bytes and more in sorts and hash tables, so tasks of the usual size would need gigabytes. For steps whose files are not the
+    table's: those would get small as well."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    usual = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    return _setting(spark, key, f"{min(usual, MERGE_TASK_BYTES)}b")
 
 
 def insert_overwrite(
@@ -240,7 +257,8 @@ def _staged(df: DataFrame) -> Iterator[str]:
     spark = df.sparkSession
     database = scratch_database(spark)
     table = f"{database}.staged"
-    df.write.saveAsTable(table)
+    with _small_tasks(spark):
+        df.write.saveAsTable(table)
     try:
         yield table
     except Exception as error:
@@ -343,11 +361,13 @@ def _merge_partitions(source: DataFrame, table: str, keys: Sequence[str], names:
     wanted = F.broadcast(source) if small else source
     matched = target.alias("t").join(wanted.select(*map(quoted, keys)).alias("s"), same_keys(keys, "t", "s"), "left_semi")
     key = _partition_key(names).alias("partition")
-    touched = matched.select(key, *map(quoted, names)).unionByName(source.select(key, *map(quoted, names))).distinct().collect()
-    if not touched:
-        return
-    within = target.where(_in_partitions(names, [r.partition for r in touched]))
-    _replace_files(merge_upsert(within, source, keys, dedup=False, small_source=small), table, _files_of(within))
+    with _small_tasks(spark):
+        touched = matched.select(key, *map(quoted, names)).unionByName(source.select(key, *map(quoted, names))).distinct().collect()
+        if not touched:
+            return
+        within = target.where(_in_partitions(names, [r.partition for r in touched]))
+        merged = merge_upsert(within, source, keys, dedup=False, small_source=small)
+    _replace_files(merged, table, _files_of(within))
 
 
 def _files_of(rows: DataFrame) -> list[str]:
@@ -363,18 +383,21 @@ def _replace_files(rows: DataFrame, table: str, files: Sequence[str]) -> None:
 
 def _merge_files(source: DataFrame, table: str, keys: Sequence[str], small: bool) -> None:
     """A merge that rewrites only the files that hold a matched row. Just keys are read to find them."""
-    target = source.sparkSession.table(table)
+    spark = source.sparkSession
+    target = spark.table(table)
     wanted = F.broadcast(source) if small else source
     path = F.col("_metadata.file_path")
     matched = target.select(*map(quoted, keys), path.alias("_file")).alias("t").join(
         wanted.select(*map(quoted, keys)).alias("s"), same_keys(keys, "t", "s"), "left_semi",
     )
-    files = [r._file for r in matched.select("_file").distinct().collect()]
-    if not files and source.isEmpty():
-        return
-    # Every row with a key of the source is in one of these files.
-    within = target.where(path.isin(files))
-    _replace_files(merge_upsert(within, source, keys, dedup=False, small_source=small), table, files)
+    with _small_tasks(spark):
+        files = [r._file for r in matched.select("_file").distinct().collect()]
+        if not files and source.isEmpty():
+            return
+        # Every row with a key of the source is in one of these files.
+        within = target.where(path.isin(files))
+        merged = merge_upsert(within, source, keys, dedup=False, small_source=small)
+    _replace_files(merged, table, files)
 
 
 def merge_into(df: DataFrame, table: str, keys: Sequence[str], distinct: bool = True) -> None:

@@ -490,3 +490,20 @@ def test_a_table_format_with_merge_uses_it(spark, database, monkeypatch):
     monkeypatch.setattr(type(source), "mergeInto", merge_into)
     tables.merge_into(source, name, ["k"])
     assert calls == [(name, 1), "whenMatched", "updateAll", "whenNotMatched", "insertAll", "merge"]
+
+
+def test_tasks_of_a_merge_get_few_bytes_and_the_session_stays_as_it_was(spark, database, monkeypatch):
+    key, name, seen = "spark.sql.adaptive.advisoryPartitionSizeInBytes", f"{database}.t", []
+    tables.create_table(spark, name, SPEC)
+    tables.insert_append(frame(spark, (1, "a"), (2, "b")), name)
+    before = spark.conf.get(key)
+    real = tables.merge_upsert
+
+    def watched(*args, **options):
+        seen.append(spark.conf.get(key))
+        return real(*args, **options)
+
+    monkeypatch.setattr(tables, "merge_upsert", watched)
+    tables.merge_into(frame(spark, (2, "c"), (3, "d")), name, ["k"])
+    assert content(spark.table(name)) == [(1, "a"), (2, "c"), (3, "d")]
+    assert seen == [f"{tables.MERGE_TASK_BYTES}b"] and spark.conf.get(key) == before
