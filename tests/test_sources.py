@@ -251,3 +251,12 @@ def test_jdbc_options():
         "(MOD(ABS(CRC32(id)), 2) = 0 OR CRC32(id) IS NULL)", "(MOD(ABS(CRC32(id)), 2) = 1)",
     ]
     assert jdbc.replace_options("jdbc:x", "t")["truncate"] == "true"
+
+
+def test_whole_numbers_are_matched_against_a_pattern_only_if_they_end_in_zero(spark, scratch):
+    path = scratch("whole.csv")
+    texts = ["30", "3.0", "10.00", "0", "-7", None, "NA"]
+    spark.createDataFrame([(t, "x") for t in texts], "n string, t string").write.option("header", True).csv(path)
+    rows = files.read_csv(spark, path, struct(n="bigint", t="string"))
+    assert sorted((r.n for r in rows.collect()), key=str) == sorted([30, 3, 10, 0, -7, None, None], key=str)
+    assert "EndsWith(n" in rows._jdf.queryExecution().executedPlan().toString()
