@@ -8,7 +8,8 @@ and endings.
 Words are dealt by hash, and a task seats the customers of its words at all three levels. What a restaurant needs to know of all words, its
 numbers of customers and tables, is summed by a shuffle on the restaurants and sent back to the tasks that ask; only the root's numbers are known
 everywhere. A chunk of documents sends each of its pairs of word and word before once, with a count, and gets back one
-probability for it.
+probability for it. Words are in the order of their hashes wherever they are listed, so the range that gets the pairs keeps of a chunk only which
+of its own pairs they are, as steps from one to the next.
 """
 
 from __future__ import annotations
@@ -28,12 +29,14 @@ from khodat.llm.common import gathered_chunks, mixed, narrow, pack, stored, unpa
 #: Bytes of text in a chunk.
 CHUNK_BYTES = 8 << 20
 #: Bytes of text whose words come to one range of word hashes, at most on average.
-RANGE_BYTES = 32 << 20
+RANGE_BYTES = 8 << 20
 #: Sweeps before restaurants exchange their numbers, sweeps after that, and the sweeps then that are samples, to be averaged.
 BURN_IN = 2
 SETTLING = 1
 SAMPLES = 2
-#: Pairs of up to so many customers move them one by one; larger ones in as many blocks, of this many at most.
+#: Pairs of up to so many customers are seated anew in a sweep.
+ANEW = 15
+#: Pairs above that and of up to so many customers move them one by one; larger ones in as many blocks, of this many at most.
 BLOCKS = 32
 BLOCK_CUSTOMERS = 1 << 20
 #: Strength of all restaurants.
@@ -41,6 +44,8 @@ STRENGTH = 1.0
 SEED = 23
 #: A log10 probability travels as a multiple of one over this.
 STEPS = 1 << 13
+#: Pairs whose probabilities are worked out at once; bounds a task's memory.
+SCORED_TOGETHER = 1 << 17
 #: Added to counts in the base score.
 ADDED = 0.1
 
@@ -60,27 +65,66 @@ def ending_of(word: str) -> int:
     return len(last) << 24 | int.from_bytes(last, "big")
 
 
-def planes(values: np.ndarray) -> list[np.ndarray]:
-    """Non-negative integers below 2 ** 32 as four arrays of bytes, which compress better."""
-    return [((values >> shift) & 255).astype(np.uint8) for shift in (0, 8, 16, 24)]
+def planes(values: np.ndarray, kind: str = "<u4") -> np.ndarray:
+    """Non-negative integers as their first bytes, then their second bytes and so on, which compress better."""
+    kind = np.dtype(kind)
+    return values.astype(kind).view(np.uint8).reshape(-1, kind.itemsize).T.ravel()
 
 
-def joined(parts: list[np.ndarray]) -> np.ndarray:
-    return sum(p.astype(np.int64) << shift for p, shift in zip(parts, (0, 8, 16, 24)))
+def joined(parts: np.ndarray, kind: str = "<u4") -> np.ndarray:
+    kind = np.dtype(kind)
+    values = np.ascontiguousarray(parts.reshape(kind.itemsize, -1).T).view(kind).ravel()
+    return values if kind.itemsize == 8 else values.astype(np.int64)
 
 
-def pairs_of(tokens: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct pairs of a word and the word before as ``word * words + before``, and each token's pair. Word 0 is the
-    end, so the end of the text before stands before a first word."""
-    return np.unique(tokens * words + np.r_[0, tokens[:-1]], return_inverse=True)
+def steps(hashes: np.ndarray) -> np.ndarray:
+    """Ascending 64-bit hashes as the differences of neighbours, in planes."""
+    return planes(np.diff(hashes, prepend=np.uint64(0)), "<u8")
+
+
+def climbed(parts: np.ndarray) -> np.ndarray:
+    return np.cumsum(joined(parts, "<u8"), dtype=np.uint64)
+
+
+def steps_within(values: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    """Numbers that ascend within each of some runs (given by their lengths, none of them 0) as differences, in planes."""
+    out, starts = np.diff(values, prepend=0), np.cumsum(runs) - runs
+    out[starts] = values[starts]
+    return planes(out)
+
+
+def climbed_within(parts: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    values = np.cumsum(own := joined(parts))
+    starts = np.cumsum(runs) - runs
+    return values - np.repeat(values[starts] - own[starts], runs)
+
+
+def pairs_of(tokens: np.ndarray, words: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs of a word and the word before as ``word * words + before``, and each token's pair. The end of the
+    text before stands before a first word."""
+    return np.unique(tokens * words + np.r_[end, tokens[:-1]], return_inverse=True)
+
+
+def endings_of(words: pa.Array) -> np.ndarray:
+    """``ending_of`` of each word."""
+    words = words.cast(pa.large_string())
+    ends = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1, 8 * words.offset)
+    raw = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    known = np.minimum(np.diff(ends), 3)
+    out = known << 24
+    for nth in range(3):
+        at = np.flatnonzero(known > nth)
+        out[at] |= raw[ends[1:][at] - 1 - nth].astype(np.int64) << 8 * nth
+    return out
 
 
 @dataclass
 class Chunk:
-    """Documents as numbers: words by falling frequency after the end, which is 0."""
+    """Documents as numbers: words in the order of their hashes, ``end`` among them."""
 
     hashes: np.ndarray
     endings: np.ndarray
+    end: int
     tokens: np.ndarray
     lengths: np.ndarray
     pairs: np.ndarray
@@ -89,17 +133,14 @@ class Chunk:
     @classmethod
     def of(cls, texts: pa.Array, teaches: np.ndarray) -> Chunk:
         starts, ids, dictionary = words_of(texts)
-        listed = dictionary.to_pylist()
-        order = np.argsort(-np.bincount(ids, minlength=len(listed)), kind="stable")
-        number = np.empty(len(listed), np.int64)
-        number[order] = np.arange(1, len(listed) + 1)
-        hashes = np.array([END] + [xxhash.xxh64_intdigest(listed[i]) for i in order.tolist()], np.uint64)
-        endings = np.array([END_ENDING] + [ending_of(listed[i]) for i in order.tolist()], np.uint32)
-        tokens = np.insert(number[ids], starts[1:], 0)
-        pairs, of = pairs_of(tokens, len(hashes))
+        hashes = np.array([END, *map(xxhash.xxh64_intdigest, dictionary.to_pylist())], np.uint64)
+        hashes, nth, number = np.unique(hashes, return_index=True, return_inverse=True)
+        endings, end = np.r_[END_ENDING, endings_of(dictionary)][nth], int(number[0])
+        tokens = np.insert(number[1:][ids], starts[1:], end)
+        pairs, of = pairs_of(tokens, len(hashes), end)
         lengths = np.diff(starts) + 1
         counts = np.bincount(of, np.repeat(teaches, lengths), len(pairs)).astype(np.int64)
-        return cls(hashes, endings, tokens, lengths, pairs, counts)
+        return cls(hashes, endings, end, tokens, lengths, pairs, counts)
 
 
 def running(values: np.ndarray) -> np.ndarray:
@@ -129,6 +170,8 @@ class Seating:
     def take(self, pairs: np.ndarray) -> Seating:
         tables = self.tables()[pairs]
         starts = running(tables)
+        if (tables == 1).all():
+            return Seating(self.sizes[self.starts[pairs]], starts)
         return Seating(self.sizes[np.arange(starts[-1]) + np.repeat(self.starts[pairs] - starts[:-1], tables)], starts)
 
     def choose(self, weights: np.ndarray, at: np.ndarray, drawn: np.ndarray) -> np.ndarray:
@@ -190,10 +233,18 @@ class Seating:
 
 def together(pairs: list[np.ndarray], parts: list[Seating]) -> Seating:
     """One seating of parts that hold these pairs."""
-    order = np.concatenate(pairs)
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    return Seating.of(np.concatenate([p.sizes for p in parts]), np.concatenate([p.tables() for p in parts])).take(place)
+    tables = np.empty(sum(map(len, pairs)), np.int64)
+    for own, part in zip(pairs, parts):
+        tables[own] = part.tables()
+    starts = running(tables)
+    sizes = np.empty(starts[-1], np.int64)
+    for own, part in zip(pairs, parts):
+        each = part.tables()
+        if (each == 1).all():
+            sizes[starts[own]] = part.sizes
+        else:
+            sizes[np.arange(len(part.sizes)) + np.repeat(starts[own] - part.starts[:-1], each)] = part.sizes
+    return Seating(sizes, starts)
 
 
 def drawn_anew(customers: np.ndarray, fresh: np.ndarray, discount: float, rng: np.random.Generator) -> Seating:
@@ -212,25 +263,35 @@ def drawn_anew(customers: np.ndarray, fresh: np.ndarray, discount: float, rng: n
 
 
 def sweep(seats: Seating, fresh: np.ndarray, discount: float, rng: np.random.Generator) -> Seating:
-    """As many moves of every pair as it has customers, in each of which a random one leaves and sits down again. Pairs above ``BLOCKS``
+    """All customers of pairs of up to ``ANEW`` leave, and sit down again one after another; the chances of the few seatings of up to three are
+    known, and one customer alone has one. Every other pair makes as many moves as it has customers, in each of which a random one leaves
+    and sits down again. Pairs above ``BLOCKS``
     customers move them by blocks: each customer of a pair leaves with the same chance, so that a block is a
     ``BLOCKS``-th of the pair on average, and those who left sit down without seeing each other."""
     customers = seats.customers()
     size = np.frexp(customers)[1]
     order, done = [], []
-    for bits in np.unique(size).tolist():
+    for bits in np.flatnonzero(np.bincount(size)).tolist():
         own = np.flatnonzero(size == bits)
-        part, number, weights = seats.take(own), customers[own], fresh[own]
+        number, weights = customers[own], fresh[own]
         most = int(number.max())
-        if most < 4:
+        if most == 1:
+            part = Seating.of(number, number)
+        elif most < 4:
             part = drawn_anew(number, weights, discount, rng)
+        elif most <= ANEW:
+            part = Seating.of(np.ones(len(own)), np.ones(len(own), np.int64))
+            for seated in range(1, most):
+                part.add(np.flatnonzero(number > seated), weights, discount, rng)
         elif most > BLOCKS:
+            part = seats.take(own)
             blocks = max(BLOCKS, -(-most // BLOCK_CUSTOMERS))
             for _ in range(blocks):
                 part.sizes = part.sizes - rng.binomial(part.sizes, 1 / blocks)
                 part.close_empty()
                 part.add(np.repeat(np.arange(len(own)), number - part.customers()), weights, discount, rng)
         else:
+            part = seats.take(own)
             for done_so_far in range(most):
                 at = np.flatnonzero(number > done_so_far)
                 part.remove(at, rng)
@@ -252,10 +313,17 @@ class Totals:
     root_tables: np.ndarray
 
 
+def restaurants(before: np.ndarray, endings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the restaurants of words before and then of (different) endings, ascending, and the place of each in that row."""
+    ids = np.r_[before, mixed(endings.astype(np.uint64) + np.uint64(1 << 40))]
+    order = np.argsort(ids, kind="stable")
+    return ids[order], order
+
+
 @dataclass
 class Range:
-    """The words of one range. ``before`` are the hashes of all words before them, by ending and hash; pairs of word and word before ascend,
-    so pairs of word and ending do too."""
+    """The words of one range that training has, and the pairs with a word before. ``before`` are the hashes of all words before them; pairs of word and
+    word before ascend."""
 
     words: np.ndarray
     before: np.ndarray
@@ -269,36 +337,63 @@ class Range:
         codes = self.low_word * max(len(self.known_endings), 1) + self.ending_at[self.low_before]
         self.mid_codes, self.low_mid = np.unique(codes, return_inverse=True)
         self.mid_word, self.mid_ending = self.mid_codes // max(len(self.known_endings), 1), self.mid_codes % max(len(self.known_endings), 1)
-        ids = np.r_[self.before, mixed(self.known_endings.astype(np.uint64) + np.uint64(1 << 40))]
-        self.order = np.argsort(ids, kind="stable")
-        self.ids = ids[self.order]
-
-    def packed(self) -> list[np.ndarray]:
-        per_word = np.bincount(self.low_word, minlength=len(self.words))
-        return [self.words, self.before, self.endings, narrow(per_word), narrow(self.low_before), narrow(self.counts)]
-
-    @classmethod
-    def of(cls, words, before, endings, per_word, low_before, counts) -> Range:
-        return cls(words, before, endings, np.repeat(np.arange(len(words)), per_word.astype(np.int64)), low_before.astype(np.int64), counts.astype(np.int64))
+        self.ids, self.order = restaurants(self.before, self.known_endings)
 
-    def numbers(self, samples: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
-        """Ids of the restaurants, and of each sample (tables of the pairs with a word before, and with an ending) what they hold here:
+    def columns(self, samples: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+        """Of the restaurants, and of each sample (tables of the pairs with a word before, and with an ending) what they hold here:
         customers of all samples, then tables."""
         low = lambda weights: np.bincount(self.low_before, weights, len(self.before))
         mid = lambda weights: np.bincount(self.mid_ending, weights, len(self.known_endings))
         customers = [np.r_[low(self.counts), mid(np.bincount(self.low_mid, t, len(self.mid_codes)))] for t, _ in samples]
         tables = [np.r_[low(t), mid(m)] for t, m in samples]
-        return pack(self.ids, *[narrow(c[self.order].astype(np.int64)) for c in customers + tables])
+        return [planes(c[self.order]) for c in customers + tables]
+
+    def numbers(self, samples: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
+        """Ids of the restaurants, and their columns."""
+        return pack(steps(self.ids), *self.columns(samples))
 
     def totals(self, replies: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of the restaurants of words before and of endings, by sample: customers and tables in all ranges."""
         columns = np.empty((len(replies[0]) if replies else 2, len(self.ids)))
         for i, column in enumerate(columns):
-            column[self.order] = np.concatenate([r[i] for r in replies]) if replies else 0
+            column[self.order] = np.concatenate([joined(r[i]) for r in replies]) if replies else 0
         n, half = len(self.before), len(columns) // 2
         return columns[:half, :n], columns[half:, :n], columns[:half, n:], columns[half:, n:]
 
 
+@dataclass
+class Pairs:
+    """All pairs of a range in the order of word and word before, as chunks have them; those that training lacks count 0."""
+
+    words: np.ndarray
+    before: np.ndarray
+    endings: np.ndarray
+    word: np.ndarray
+    first: np.ndarray
+    counts: np.ndarray
+
+    def packed(self) -> list[np.ndarray]:
+        per_word = np.bincount(self.word, minlength=len(self.words))
+        return [steps(self.words), steps(self.before), planes(self.endings), planes(per_word), steps_within(self.first, per_word), planes(self.counts)]
+
+    @classmethod
+    def of(cls, words, before, endings, per_word, first, counts) -> Pairs:
+        per_word = joined(per_word)
+        return cls(
+            climbed(words), climbed(before), joined(endings), np.repeat(np.arange(len(per_word)), per_word), climbed_within(first, per_word), joined(counts),
+        )
+
+    def totalled(self) -> np.ndarray:
+        return np.bincount(self.word, self.counts, len(self.words)).astype(np.int64)
+
+    def taught(self) -> tuple[Range, np.ndarray]:
+        """What training has of it, and each word's number there, -1 for one that training lacks."""
+        known = self.totalled() > 0
+        number = np.where(known, np.cumsum(known) - 1, -1)
+        teaches = np.flatnonzero(self.counts)
+        return Range(self.words[known], self.before, self.endings, number[self.word[teaches]], self.first[teaches], self.counts[teaches]), number
+
+
 def at_root(held: np.ndarray, known: Totals, sample: int) -> np.ndarray:
     """The root's probability of words, of their customers less the discount of their tables."""
     fresh = (STRENGTH + known.discounts[2] * known.root_tables[sample]) / (known.words + 1)
@@ -336,21 +431,21 @@ def chunk_messages(docs: DataFrame, range_bits: int, chunk_bytes: int) -> DataFr
             teaches = np.array([not h for h in rows.column("held_out").to_pylist()])
             c = Chunk.of(rows.column("text"), teaches)
             ids = rows.column("doc_id")
-            parts = (c.hashes >> np.uint64(64 - range_bits)).astype(np.int64) if range_bits else np.zeros(len(c.hashes), np.int64)
             sent = [(-1, pack(
                 ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), np.array(ids.is_null().to_pylist(), np.uint8), teaches.astype(np.uint8),
-                narrow(c.lengths), narrow(parts), *planes(c.tokens),
+                narrow(c.lengths), np.array([c.end]), planes(c.tokens),
             ))]
             word, before = np.divmod(c.pairs, len(c.hashes))
-            order = np.argsort(parts[word], kind="stable")
-            bounds = np.searchsorted(parts[word][order], np.arange((1 << range_bits) + 1))
-            for part, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+            parts = (c.hashes >> np.uint64(64 - range_bits)).astype(np.int64) if range_bits else np.zeros(len(c.hashes), np.int64)
+            firsts_of = np.searchsorted(parts, np.arange((1 << range_bits) + 1))
+            bounds = np.searchsorted(word, firsts_of).tolist()
+            for part, (low, high, a, b) in enumerate(zip(firsts_of[:-1].tolist(), firsts_of[1:].tolist(), bounds[:-1], bounds[1:])):
                 if a < b:
-                    own = order[a:b]
-                    words, per_word = np.unique(word[own], return_counts=True)
-                    firsts, first = np.unique(before[own], return_inverse=True)
+                    per_word = np.bincount(word[a:b] - low, minlength=high - low)
+                    firsts, first = np.unique(before[a:b], return_inverse=True)
                     sent.append((part, pack(
-                        c.hashes[words], narrow(per_word), c.hashes[firsts], c.endings[firsts], *planes(first), narrow(c.counts[own]),
+                        steps(c.hashes[low:high]), planes(per_word), steps(c.hashes[firsts]), planes(c.endings[firsts]),
+                        steps_within(first, per_word), planes(c.counts[a:b]),
                     )))
             yield pa.RecordBatch.from_pydict({
                 "part": pa.array([p for p, _ in sent], pa.int32()), "kind": pa.array([task + nr] * len(sent)), "data": pa.array([d for _, d in sent], pa.binary()),
@@ -359,8 +454,8 @@ def chunk_messages(docs: DataFrame, range_bits: int, chunk_bytes: int) -> DataFr
     return docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")).mapInArrow(send, ROWS)
 
 
-#: Rows that go to the ranges of words: kind is the number of a chunk, STATE (pairs and their seating), SAMPLED (what sampling left), or
-#: ``-3 - r`` for totals from range r of restaurants.
+#: Rows that go to the ranges of words: kind is the number of a chunk (its pairs; later, which of the range's pairs they are), STATE (pairs and
+#: their seating), SAMPLED (the tables of the samples), or ``-3 - r`` for totals from range r of restaurants.
 ROWS = "part int, kind long, data binary"
 STATE = -1
 SAMPLED = -2
@@ -392,76 +487,95 @@ def once_and_twice(counts: np.ndarray) -> list[int]:
 
 
 def merged(ranges: int):
-    """One range of words from all chunks, counts added up; pairs that training lacks are left out, not the words before. The first sweeps
-    are made at once, with the numbers of this range in place of all."""
+    """One range of words from all chunks, counts added up, and for each chunk which of the range's pairs it has. The first sweeps
+    are made at once, with the numbers of this range in place of all. The documents of a chunk, part -1, pass."""
 
     def merge(group: pa.Table) -> pa.Table:
-        own = Range.of(*range_of([unpack(v) for v in group["data"].to_pylist()]).packed())
-        part, ones, per_mid, per_word = group["part"][0].as_py(), np.ones(len(own.counts), np.int64), np.bincount(own.low_mid), np.bincount(own.mid_word)
+        part = group["part"][0].as_py()
+        if part < 0:
+            return with_nothing(group)
+        pairs, held = range_of([unpack(v.as_py()) for v in group["data"]])
+        asked = group.set_column(group.column_names.index("data"), "data", pa.array([pack(planes(np.diff(h, prepend=0))) for h in held], pa.binary()))
+        packed, (own, _) = pairs.packed(), pairs.taught()
+        del pairs, held, group
+        ones, per_mid, per_word = np.ones(len(own.counts), np.int64), np.bincount(own.low_mid), np.bincount(own.mid_word)
         twos = [n for c in (own.counts, per_mid, per_word) for n in once_and_twice(c)]
         # Words are dealt by hash, so other ranges are like this one: root and endings are taken to have as many customers there.
         known = Totals(
             len(own.words) * ranges, int(own.counts.sum()) * ranges, discounts(twos), np.array([len(per_mid) * ranges]), np.array([len(own.words) * ranges]),
         )
         seats = [Seating.of(c, np.ones(len(c), np.int64)) for c in (own.counts, per_mid, per_word)]
-        customers, tables, in_ending, of_ending = own.totals([unpack(own.numbers([(ones, np.ones(len(per_mid), np.int64))]))[1:]])
+        customers, tables, in_ending, of_ending = own.totals([own.columns([(ones, np.ones(len(per_mid), np.int64))])])
         local = (customers, tables, in_ending * ranges, of_ending * ranges)
         for _ in seat(own, local, seats, known, BURN_IN, np.random.default_rng([SEED, part])):
             pass
-        return states(
-            part, STATE, [*own.packed(), *[narrow(a) for s in seats for a in (s.sizes, s.tables())]],
-            own.numbers([(seats[0].tables(), seats[1].tables())]),
+        state = states(
+            part, STATE, [*packed, *[planes(a) for s in seats for a in (s.sizes, s.tables())]],
+            pack(*own.columns([(seats[0].tables(), seats[1].tables())])),
             [len(own.words), own.counts.sum(), *twos, seats[2].customers().sum(), seats[2].tables().sum()],
         )
+        return pa.concat_tables([state, with_nothing(asked)])
 
     return merge
 
 
-def range_of(messages: list[list[np.ndarray]]) -> Range:
-    words = np.unique(np.concatenate([m[0] for m in messages]))
-    before, nth = np.unique(np.concatenate([m[2] for m in messages]), return_index=True)
-    endings = np.concatenate([m[3] for m in messages])[nth]
-    order = np.lexsort([before, endings])
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    codes, counts = [], []
-    for own, per_word, firsts, _, *first, count in messages:
-        teaches = count > 0
-        firsts = place[np.searchsorted(before, firsts)][joined(first)]
-        codes.append((np.repeat(np.searchsorted(words, own), per_word.astype(np.int64)) * len(before) + firsts)[teaches])
-        counts.append(count[teaches].astype(np.int64))
+def with_nothing(rows: pa.Table) -> pa.Table:
+    """Rows that have no totals and no sums."""
+    rows = rows.select(["part", "kind", "data"])
+    return rows.append_column("totals", pa.nulls(len(rows), pa.binary())).append_column("sums", pa.array([[]] * len(rows), pa.list_(pa.float64())))
+
+
+def range_of(messages: list[list[np.ndarray]]) -> tuple[Pairs, list[np.ndarray]]:
+    """All pairs of a range, and which of them each message has."""
+    listed = [(climbed(m[0]), climbed(m[2])) for m in messages]
+    words = np.unique(np.concatenate([w for w, _ in listed]))
+    before, nth = np.unique(np.concatenate([b for _, b in listed]), return_index=True)
+    endings = np.concatenate([joined(m[3]) for m in messages])[nth]
+    codes = []
+    for (own, firsts), (_, per_word, _, _, first, _) in zip(listed, messages):
+        per_word = joined(per_word)
+        firsts = np.searchsorted(before, firsts)[climbed_within(first, per_word)]
+        codes.append(np.repeat(np.searchsorted(words, own), per_word) * len(before) + firsts)
+    ends = np.cumsum([len(c) for c in codes])
     codes, number = np.unique(np.concatenate(codes), return_inverse=True)
-    counts = np.bincount(number, np.concatenate(counts), len(codes)).astype(np.int64)
-    used, word = np.unique(codes // len(before), return_inverse=True)
-    return Range(words[used], before[order], endings[order], word, codes % len(before), counts)
+    counts = np.bincount(number, np.concatenate([joined(m[5]) for m in messages]), len(codes)).astype(np.int64)
+    word, first = np.divmod(codes, len(before))
+    return Pairs(words, before, endings, word, first, counts), np.split(number, ends[:-1])
 
 
 def exchanged(state: DataFrame, range_bits: int) -> DataFrame:
-    """The restaurants' numbers summed over all ranges of words, as rows for each of these."""
+    """The restaurants' numbers summed over all ranges of words, as rows for each of these. A row with pairs names its restaurants by them."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, totals in zip(batch.column("part").to_pylist(), batch.column("totals").to_pylist()):
-                ids, *columns = unpack(totals)
+            for part, totals, pairs in zip(*[batch.column(c).to_pylist() for c in ("part", "totals", "pairs")]):
+                columns = unpack(totals)
+                if pairs is None:
+                    ids = climbed(columns.pop(0))
+                else:
+                    _, before, endings, *_ = unpack(pairs)
+                    ids, _ = restaurants(climbed(before), np.unique(joined(endings)))
+                columns = [joined(c) for c in columns]
                 ranges = (ids >> np.uint64(64 - range_bits)).astype(np.int64) if range_bits else np.zeros(len(ids), np.int64)
                 bounds = np.searchsorted(ranges, np.arange((1 << range_bits) + 1))
                 sent = [(r, a, b) for r, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())) if a < b]
                 yield pa.RecordBatch.from_pydict({
                     "range": pa.array([r for r, _, _ in sent], pa.int32()), "part": pa.array([part] * len(sent), pa.int32()),
-                    "data": pa.array([pack(ids[a:b], *[narrow(c[a:b]) for c in columns]) for _, a, b in sent], pa.binary()),
+                    "data": pa.array([pack(steps(ids[a:b]), *[planes(c[a:b]) for c in columns]) for _, a, b in sent], pa.binary()),
                 })
 
     def add(group: pa.Table) -> pa.Table:
-        messages = [unpack(v) for v in group["data"].to_pylist()]
+        messages = [[climbed(m[0]), *map(joined, m[1:])] for m in map(unpack, group["data"].to_pylist())]
         ids, at = np.unique(np.concatenate([m[0] for m in messages]), return_inverse=True)
         columns = [np.bincount(at, np.concatenate(c), len(ids)).astype(np.int64) for c in zip(*[m[1:] for m in messages])]
         ends = np.cumsum([len(m[0]) for m in messages]).tolist()
-        replies = [pack(*[narrow(c[at[a:b]]) for c in columns]) for a, b in zip([0, *ends], ends)]
+        replies = [pack(*[planes(c[at[a:b]]) for c in columns]) for a, b in zip([0, *ends], ends)]
         return pa.table({
             "part": group["part"], "kind": pa.array([-3 - group["range"][0].as_py()] * len(replies), pa.int64()), "data": pa.array(replies, pa.binary()),
         })
 
-    return state.select("part", "totals").mapInArrow(send, "range int, part int, data binary").groupBy("range").applyInArrow(add, ROWS)
+    rows = state.where("totals is not null").select("part", "totals", F.when(F.col("kind") == STATE, F.col("data")).alias("pairs"))
+    return rows.mapInArrow(send, "range int, part int, data binary").groupBy("range").applyInArrow(add, ROWS)
 
 
 def discount(once: float, twice: float) -> float:
@@ -478,18 +592,17 @@ def sampled(known: Totals):
 
     def run(group: pa.Table) -> pa.Table:
         state, _, replies, _ = by_kind(group)
-        own, part = Range.of(*state[:6]), group["part"][0].as_py()
-        seats = [Seating.of(*state[i : i + 2]) for i in (6, 8, 10)]
-        samples, root, held, mids, words = [], [], np.zeros(len(own.counts)), [], []
+        (own, _), part = Pairs.of(*state[:6]).taught(), group["part"][0].as_py()
+        seats = [Seating.of(*map(joined, state[i : i + 2])) for i in (6, 8, 10)]
+        del state
+        samples, root, kept = [], [], []
         sweeps = seat(own, own.totals(replies), seats, known, SETTLING + SAMPLES, np.random.default_rng([SEED, part, 1]))
         for nr, _ in enumerate(sweeps):
             if nr >= SETTLING:
                 samples.append((seats[0].tables(), seats[1].tables()))
-                held += (own.counts - known.discounts[0] * seats[0].tables()) / SAMPLES
-                mids.append((seats[1].customers() - known.discounts[1] * seats[1].tables()).astype(np.float32))
-                words.append((seats[2].customers() - known.discounts[2] * seats[2].tables()).astype(np.float32))
+                kept += [planes(s.tables()) for s in seats]
                 root += [seats[2].customers().sum(), seats[2].tables().sum()]
-        return states(part, SAMPLED, [held.astype(np.float32), *mids, *words], own.numbers(samples), root)
+        return states(part, SAMPLED, kept, own.numbers(samples), root)
 
     return run
 
@@ -521,24 +634,40 @@ def answers(known: Totals):
     """For each chunk and a range of words: training counts of its words, log10 probabilities of its pairs."""
 
     def answer(group: pa.Table) -> pa.Table:
-        state, (held, *left), replies, asked = by_kind(group)
-        own, mids, words = Range.of(*state[:6]), left[:SAMPLES], left[SAMPLES:]
-        totals = own.totals(replies)
-        totalled = np.bincount(own.low_word, own.counts, len(own.words)).astype(np.int64)
-        by_hash = np.argsort(own.before)
-        hashes, out = own.before[by_hash], []
+        state, sampled, replies, asked = by_kind(group)
+        pairs, (d, d_mid, d_root) = Pairs.of(*state[:6]), known.discounts
+        own, number = pairs.taught()
+        tables = [joined(a) for a in sampled]
+        tables = [tables[i : i + 3] for i in range(0, len(tables), 3)]
+        held = sum(own.counts - d * low for low, _, _ in tables) / SAMPLES
+        # Tables are the customers of the next level.
+        mids = [np.bincount(own.low_mid, low, len(mid)) - d_mid * mid for low, mid, _ in tables]
+        words = [np.bincount(own.mid_word, mid, len(root)) - d_root * root for _, mid, root in tables]
+        del state, sampled, tables
+        totals, totalled, out, logs = own.totals(replies), pairs.totalled(), [], np.empty(len(pairs.word), np.uint32)
+        for low in range(0, len(logs), SCORED_TOGETHER):
+            some = slice(low, low + SCORED_TOGETHER)
+            logs[some] = np.rint(-STEPS * log10_of(own, totals, held, mids, words, known, number[pairs.word[some]], pairs.first[some]))
         for _, data in asked:
-            listed, per_word, firsts, _, *first, _ = unpack(data)
-            number = looked_up(own.words, listed, np.arange(1, len(own.words) + 1)).astype(np.int64) - 1
-            before = by_hash[np.searchsorted(hashes, firsts)][joined(first)]
-            logs = log10_of(own, totals, held, mids, words, known, np.repeat(number, per_word.astype(np.int64)), before)
-            counts = np.where(number < 0, 0, totalled[number]) if len(totalled) else np.zeros(len(listed), np.int64)
-            out.append(pack(narrow(counts), *planes(np.rint(-logs * STEPS).astype(np.int64))))
+            at = np.cumsum(joined(unpack(data)[0]))
+            word = pairs.word[at]
+            out.append(pack(planes(totalled[word[np.flatnonzero(np.diff(word, prepend=-1))]]), planes(logs[at])))
         return pa.table({"chunk": pa.array([k for k, _ in asked], pa.int64()), "part": pa.array([group["part"][0].as_py()] * len(asked), pa.int32()), "reply": pa.array(out, pa.binary())})
 
     return answer
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` stored. Spark deletes the shuffle files that this took when it is done, by a session setting that is put back."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name)
+    conf.set(name, "true")
+    try:
+        return stored(df, label)
+    finally:
+        conf.set(name, before)
+
+
 def score_documents(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Every row of ``docs`` (doc_id, text) with its log10 probability under the model.
 
@@ -558,26 +687,26 @@ def score_documents(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, range_bytes
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     range_bits = (size // range_bytes).bit_length()
-    messages = stored(chunk_messages(docs, range_bits, chunk_bytes), "messages")
-    sent = messages.where("part >= 0")
-    state = stored(sent.groupBy("part").applyInArrow(merged(1 << range_bits), STATES), "word-counts")
+    messages = chunk_messages(docs, range_bits, chunk_bytes)
+    # Documents are a group for each chunk.
+    merging = messages.groupBy("part", F.when(F.col("part") < 0, F.col("kind"))).applyInArrow(merged(1 << range_bits), STATES)
+    state = written(merging, "word-counts")
     words, tokens, *twos, root_customers, root_tables = summed(state) or [0.0] * 10
     known = Totals(int(words), int(tokens), discounts(twos), np.array([root_customers]), np.array([root_tables]))
-    pairs = state.select("part", "kind", "data")
-    left = stored(pairs.unionAll(exchanged(state, range_bits)).groupBy("part").applyInArrow(sampled(known), STATES), "samples")
+    pairs = state.select("part", "kind", "data").where("part >= 0")
+    left = written(pairs.where(F.col("kind") == STATE).unionAll(exchanged(state, range_bits)).groupBy("part").applyInArrow(sampled(known), STATES), "samples")
     root = np.reshape(summed(left) or [0.0] * (2 * SAMPLES), (SAMPLES, 2))
     known = Totals(known.words, known.tokens, known.discounts, root[:, 0], root[:, 1])
-    asked = sent.unionAll(pairs).unionAll(left.select("part", "kind", "data")).unionAll(exchanged(left, range_bits))
-    replies = asked.groupBy("part").applyInArrow(answers(known), "chunk long, part int, reply binary")
+    asked = pairs.unionAll(left.select("part", "kind", "data")).unionAll(exchanged(left, range_bits))
+    replies = written(asked.groupBy("part").applyInArrow(answers(known), "chunk long, part int, reply binary"), "replies")
 
     def score(key: tuple, program: pa.Table, replies: pa.Table) -> pa.Table:
-        ids, nameless, teaches, lengths, parts, *tokens = unpack(program["data"][0].as_py())
+        ids, nameless, teaches, lengths, (end,), tokens = unpack(program["data"][0].as_py())
         tokens, n = joined(tokens), lengths.astype(np.int64)
-        pairs, of = pairs_of(tokens, len(parts))
-        answered = [unpack(v) for v in replies.sort_by("part")["reply"].to_pylist()]
-        own, logs = np.empty(len(parts), np.int64), np.empty(len(pairs))
-        own[np.argsort(parts, kind="stable")] = np.concatenate([a[0] for a in answered])
-        logs[np.argsort(parts[pairs // len(parts)], kind="stable")] = np.concatenate([joined(a[1:]) / -STEPS for a in answered])
+        answered = [[joined(a) for a in unpack(v)] for v in replies.sort_by("part")["reply"].to_pylist()]
+        own, logs = (np.concatenate(a) for a in zip(*answered))
+        _, of = pairs_of(tokens, len(own), end)
+        logs = logs / -STEPS
         base = np.log10((own + ADDED) / (known.tokens + ADDED * (known.words + 1)))
         starts = np.cumsum(n) - n
         return pa.table({
@@ -587,6 +716,6 @@ def score_documents(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, range_bytes
         })
 
     return (
-        messages.where("part < 0").select(F.col("kind").alias("chunk"), "data").groupBy("chunk").cogroup(replies.groupBy("chunk"))
+        state.where("part < 0").select(F.col("kind").alias("chunk"), "data").groupBy("chunk").cogroup(replies.groupBy("chunk"))
         .applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     )
