@@ -4,12 +4,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from khodat.llm.wavelet import Shard, documents_in, occurrences_in, read_file, token_count, token_digest, write_shards
+from khodat.llm.wavelet import Shard, WordEncoder, documents_in, occurrences_in, read_file, token_count, token_digest, write_shards
 
 DEFINITION = public_tokenizers.path("word_bpe_49k.json")
 
@@ -101,3 +102,21 @@ def test_empty(documents):
     assert token_digest(documents([]), DEFINITION).collect() == []
     shards = write_shards(documents([]), DEFINITION, 2)
     assert shards.collect() == [] and token_count(shards, 2) == 0 and occurrences_in(shards, 2).collect() == []
+
+
+def test_words_are_encoded_once_whatever_signs_follow(monkeypatch):
+    """Words of Latin letters go to the model without the signs and digits behind them, and kept words need no tokenizer."""
+    texts = [f"{w}{end}" for w in ("haus", "Größe", "été", "ÀÖØöøÿ", "µm", "x÷y") for end in ("", "$$$", "'", "''1", "%,%", "12", "=]", "_", "<|", "|>", "´", "~́")]
+    texts += ["don't dogs' l'été' it's'", "a<|endoftext|> b<|endoftext|>$ $<|startoftext|>", "ＡＢ, Ωmega; 日本! 12%a ²$ é$"]
+    tokenizer, encoder = Tokenizer.from_file(DEFINITION), WordEncoder(open(DEFINITION, encoding="utf-8").read())
+    wanted = [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    for kept in (0, 7, 1 << 20):
+        monkeypatch.setattr("khodat.llm.wavelet.KEPT_WORDS", kept)
+        for _ in range(2):
+            ids, lengths = encoder.encode_texts(pa.array(texts), 2)
+            assert [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])] == wanted
+    given, encoded = [], encoder.encoded
+    monkeypatch.setattr(encoder, "encoded", lambda words: given.extend(words) or encoded(words))
+    encoder.encode_texts(pa.array(["haus$$ Größe=1", "haus%, été[]"]), 2)
+    # The ASCII of texts is lower-cased before, other letters are not.
+    assert not [w for w in given if any(c.isalpha() for c in w)]
